@@ -3,9 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import load
+from .decontaminate import contained_items
+from .host_reputation import judge_urls
 from .minhash_dedup import near_duplicates
+from .mixing import mix
+
+#: Fixed values of the URL rules.
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is that of the document it shows (page_id = doc_id): bad if low in quality or toxic."""
+    outcomes = load(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), F.greatest(1 - F.col("quality"), F.col("toxic")).alias("bad"))
+    return judge_urls(load(spark, sf_dir, "pages"), outcomes, URL_RULES)
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(load(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +35,59 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_url_reputation": op2_url_reputation,
+    "op4_mix_sources": op4_mix_sources,
+    "op6_decontaminate": op6_decontaminate,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_MOMENTS = """SELECT coalesce(least(1000.0, greatest(1.0, 1 / greatest(
+  (sum(CASE WHEN n > 0 THEN n * pow(bad / n - p, 2) END) - sum(CASE WHEN n > 0 THEN p * (1 - p) END))
+  / nullif(sum(CASE WHEN n > 0 THEN p * (1 - p) * (n - 1) END), 0), 1e-6) - 1)), 1.0) AS m"""
+
+ORACLES: dict[str, str] = {
+    "op2_url_reputation": f"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+l AS (SELECT doc_id, max(CAST(greatest(1 - quality, toxic) AS INT)) AS bad FROM labels GROUP BY doc_id),
+c AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM p LEFT JOIN l ON page_id = doc_id GROUP BY host),
+h0 AS (SELECT *, split_part(host, '.', -1) AS suffix, CASE WHEN strpos(host, '.') = 0 THEN host
+  ELSE split_part(host, '.', -2) || '.' || split_part(host, '.', -1) END AS domain FROM c),
+h1 AS (SELECT host, n, bad, CASE WHEN strpos(host, '.') = 0 THEN '' ELSE suffix END AS suffix, domain FROM h0),
+g AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS p0 FROM h1),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(p0) AS p FROM h1, g GROUP BY suffix),
+d AS (SELECT h1.suffix, domain, sum(h1.n) AS n, sum(h1.bad) AS bad, any_value(CASE WHEN s.n > 0 THEN s.bad / s.n ELSE s.p END) AS p
+  FROM h1 JOIN s USING (suffix) GROUP BY h1.suffix, domain),
+h AS (SELECT host, h1.n, h1.bad, h1.suffix, h1.domain, CASE WHEN d.n > 0 THEN d.bad / d.n ELSE p0 END AS p FROM h1 JOIN d USING (domain), g),
+ms AS ({_MOMENTS} FROM s), md AS ({_MOMENTS} FROM d), mh AS ({_MOMENTS} FROM h),
+ps AS (SELECT suffix, (bad + m * p0) / (n + m) AS ps FROM s, ms, g),
+pd AS (SELECT domain, (bad + m * ps) / (n + m) AS pd FROM d JOIN ps USING (suffix), md),
+ab AS (SELECT host, n, bad, bad + m * pd AS a, n - bad + m * (1 - pd) AS b FROM h JOIN pd USING (domain), mh),
+v AS (SELECT host, n, bad, CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5 THEN 'block' ELSE 'allow' END AS verdict FROM ab),
+r(verdict, rh, rp) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+f AS (SELECT page_id, host AS fh, path AS fp, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS rv
+  FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY ALL)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(rv, v.verdict) AS verdict, v.n AS n_labelled, CAST(v.bad AS BIGINT) AS n_bad
+FROM p JOIN v USING (host) LEFT JOIN f ON p.page_id = f.page_id AND p.host = fh AND p.path = fp""",
+    "op4_mix_sources": r"""
+WITH d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+s AS (SELECT k, sum(size) AS sz, (ARRAY[5, 2, 1])[(row_number() OVER (ORDER BY k) - 1) % 3 + 1] AS w FROM d GROUP BY k),
+b AS (SELECT *, 2.0 * sz / w AS r, coalesce(sum(2.0 * sz) OVER o, 0) AS cb, coalesce(sum(w) OVER o, 0) AS wb, sum(sz) OVER () * 1.5 AS t, sum(w) OVER () AS tw
+  FROM s WINDOW o AS (ORDER BY 2.0 * sz / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, (t - cb) / (tw - wb) * w >= 2 * sz AS filled FROM b),
+g AS (SELECT k, sz, CAST(CASE WHEN filled THEN 2 * sz ELSE w * (t - coalesce(sum(2 * sz) FILTER (filled) OVER (), 0)) / sum(w) FILTER (NOT filled) OVER () END AS DOUBLE) AS target FROM f),
+p AS (SELECT *, CASE WHEN sz > 0 THEN CAST(floor(target / sz) AS BIGINT) ELSE 0 END AS whole FROM g),
+o AS (SELECT doc_id, d.k, size, sz, target, whole, CAST(round(target) AS BIGINT) - whole * sz AS extra,
+  coalesce(sum(size) OVER (PARTITION BY d.k ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sofar FROM d JOIN p ON d.k = p.k)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(sz AS BIGINT) AS source_size, target,
+  CAST(whole * size + greatest(0, least(size, extra - sofar)) AS BIGINT) AS taken FROM o""",
+    "op6_decontaminate": r"""
+WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - least(5, len(w)) + 2, 1)), lambda x: array_to_string(list_slice(w, x, x + least(5, len(w)) - 1), ' '))) AS s FROM w WHERE len(w) > 0),
+q AS (SELECT item_id, count(*) AS q FROM i GROUP BY item_id),
+dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)), lambda x: array_to_string(list_slice(w, x, x + 4), ' '))) AS s FROM dw)
+SELECT doc_id, item_id, count(*) AS shared, CAST(any_value(q) AS INT) AS item_shingles FROM d JOIN i USING (s) JOIN q USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(q)""",
+}
