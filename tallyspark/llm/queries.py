@@ -10,11 +10,17 @@ from .decontaminate import contained_items
 from .host_reputation import judge_urls
 from .minhash_dedup import near_duplicates
 from .mixing import mix
+from .paragraph_dedup import repeated_paragraphs
+from .suffix_dedup import suffix_dedup
 
 #: Fixed values of the URL rules.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(load(spark, sf_dir, "documents"), 400)
+
+
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is that of the document it shows (page_id = doc_id): bad if low in quality or toxic."""
     outcomes = load(spark, sf_dir, "labels").select(
@@ -30,14 +36,20 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_paragraphs(load(spark, sf_dir, "documents"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), shingle_words=4, threshold=80)
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_reputation": op2_url_reputation,
     "op4_mix_sources": op4_mix_sources,
     "op6_decontaminate": op6_decontaminate,
+    "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
