@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import load
+from .bit_sliced import top_k
 from .decontaminate import contained_items
 from .host_reputation import judge_urls
+from .language_id import identify_languages
 from .minhash_dedup import near_duplicates
 from .mixing import mix
 from .paragraph_dedup import repeated_paragraphs
 from .suffix_dedup import suffix_dedup
+from .toxicity import score_toxicity
 
 #: Fixed values of the URL rules.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -28,14 +31,26 @@ def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(load(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(load(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(load(spark, sf_dir, "embeddings"))
+
+
 def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_paragraphs(load(spark, sf_dir, "documents"))
 
@@ -47,8 +62,11 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_reputation": op2_url_reputation,
+    "op3_language_id": op3_language_id,
     "op4_mix_sources": op4_mix_sources,
+    "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
+    "op7_top_k": op7_top_k,
     "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
@@ -94,6 +112,13 @@ o AS (SELECT doc_id, d.k, size, sz, target, whole, CAST(round(target) AS BIGINT)
   coalesce(sum(size) OVER (PARTITION BY d.k ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sofar FROM d JOIN p ON d.k = p.k)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(sz AS BIGINT) AS source_size, target,
   CAST(whole * size + greatest(0, least(size, extra - sofar)) AS BIGINT) AS taken FROM o""",
+    "op7_top_k": """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
     "op6_decontaminate": r"""
 WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
 i AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - least(5, len(w)) + 2, 1)), lambda x: array_to_string(list_slice(w, x, x + least(5, len(w)) - 1), ' '))) AS s FROM w WHERE len(w) > 0),
