@@ -15,6 +15,7 @@ from .mixing import mix
 from .paragraph_dedup import repeated_paragraphs
 from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
+from .transcripts import format_chats
 
 #: Fixed values of the URL rules.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -51,6 +52,10 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(load(spark, sf_dir, "embeddings"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(load(spark, sf_dir, "conversations"))
+
+
 def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_paragraphs(load(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_top_k": op7_top_k,
+    "op8_chat_format": op8_chat_format,
     "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
