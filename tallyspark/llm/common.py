@@ -27,6 +27,9 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tallyspark-')}"
+        # Texts of up to megabytes pass through Arrow: fewer rows a batch bound a task's memory.
+        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
         self.spark, self.root, self.n = spark, f"{root}/{label}-{uuid.uuid4().hex}", 0
         atexit.register(self.drop)
 

@@ -16,7 +16,7 @@ from .neardup import SETS, MinHasher, list_array, near_links
 
 
 def signatures(docs: DataFrame, hasher: MinHasher, k: int) -> DataFrame:
-    """(doc_id, n_shingles, key, bands, odd): key identifies equal shingle sets, null for empty ones."""
+    """(doc_id, n_shingles, key, bands): key identifies equal shingle sets, null for empty ones."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -25,11 +25,11 @@ def signatures(docs: DataFrame, hasher: MinHasher, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [t.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary()),
-                 list_array(hasher.band_keys(s)), list_array(hasher.odd_sketch(s))],
-                names=["doc_id", "n_shingles", "key", "bands", "odd"])
+                 list_array(hasher.band_keys(s))],
+                names=["doc_id", "n_shingles", "key", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        make, "doc_id long, n_shingles long, key binary, bands array<long>, odd array<long>")
+        make, "doc_id long, n_shingles long, key binary, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -60,8 +60,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
     usable = sig.where("key is not null and doc_id is not null")
     first = usable.groupBy("key").agg(F.min("doc_id").alias("rep"))
     same = scratch.save(usable.select("doc_id", "key").join(first, "key").where("doc_id <> rep").select("doc_id", "rep").distinct())
-    nodes = scratch.save(usable.join(first, "key").where("doc_id = rep").select(F.col("doc_id").alias("id"), "bands", "odd").dropDuplicates(["id"]))
-    links, _ = near_links(nodes, lambda ids: shingle_sets(docs, ids, shingle_words).dropDuplicates(["id"]), hasher, scratch, threshold)
+    nodes = scratch.save(usable.join(first, "key").where("doc_id = rep").select(F.col("doc_id").alias("id"), "bands").dropDuplicates(["id"]))
+    links, _ = near_links(nodes, lambda ids: shingle_sets(docs, ids, shingle_words).dropDuplicates(["id"]), scratch, threshold)
     edges = links.unionByName(same.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     roots = components(edges, scratch)
     out = sig.select("doc_id", "n_shingles").join(roots.withColumnRenamed("id", "doc_id"), "doc_id", "left")

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,11 +15,11 @@ from .components import components
 
 
 class MinHasher:
-    """``bands`` x ``rows`` MinHash samples, their band keys and an odd sketch of ``bits`` parities."""
+    """MinHash samples by multiply-add permutations, and the keys of ``bands`` bands of ``rows`` samples."""
 
-    def __init__(self, bands: int = 32, rows: int = 4, bits: int = 512, seed: int = 7):
+    def __init__(self, bands: int = 32, rows: int = 4, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.bands, self.rows, self.bits = bands, rows, bits
+        self.bands, self.rows = bands, rows
         self.a = rng.integers(0, 2**31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.b = rng.integers(0, 2**32, bands * rows, dtype=np.uint32)
         self.p = rng.integers(0, 2**63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -36,19 +36,41 @@ class MinHasher:
         s = samples.reshape(len(samples), self.bands, self.rows).astype(np.uint64)
         return mix((s * self.p).sum(axis=2, dtype=np.uint64) + np.arange(self.bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
-    def odd_sketch(self, samples: np.ndarray) -> np.ndarray:
-        """(n, bits / 64) int64: each (position, sample) flips one bit, so equal samples cancel in an XOR."""
-        n, k = samples.shape
+
+class OddSketcher:
+    """Odd sketches: the ``keep`` least hashes of a set, its bottom MinHash samples, folded into ``bits`` parities.
+
+    Equal samples cancel in the XOR of two sketches, so its population count is at most the number of
+    samples in which they differ, and close to it while that is small against ``bits``. Sets of at most
+    ``keep`` members are sampled whole: a count above the difference that the threshold allows then rules a
+    pair out for certain. For larger sets the bound lies ``margin`` (five standard deviations) below the
+    threshold.
+    """
+
+    def __init__(self, keep: int = 1024, bits: int = 2048, margin: float = 0.1):
+        self.keep, self.bits, self.margin = keep, bits, margin
+
+    def sketches(self, sets: list[np.ndarray]) -> np.ndarray:
+        """(n, bits / 64) int64 from sorted hashes."""
+        n = len(sets)
         if not n:
             return np.empty((0, self.bits // 64), np.int64)
-        at = mix(samples.astype(np.uint64) + (np.arange(k, dtype=np.uint64) << np.uint64(32))) % np.uint64(self.bits)
-        flat = np.arange(n)[:, None] * self.bits + at.astype(np.int64)
-        parity = (np.bincount(flat.ravel(), minlength=n * self.bits) & 1).astype(np.uint8)
+        kept = [x[: self.keep] for x in sets]
+        at = (mix(np.concatenate(kept)) % np.uint64(self.bits)).astype(np.int64)
+        row = np.repeat(np.arange(n), [len(x) for x in kept])
+        parity = (np.bincount(row * self.bits + at, minlength=n * self.bits) & 1).astype(np.uint8)
         return np.packbits(parity).view(np.int64).reshape(n, self.bits // 64)
 
-    def most_flips(self, jaccard: float) -> float:
-        """XOR population count expected of two sets with this similarity."""
-        return self.bits / 2 * (1 - np.exp(-4 * len(self.a) * (1 - jaccard) / self.bits))
+    def may_link(self, threshold: int) -> Column:
+        """Whether (na, oa) and (nb, ob), sizes and sketches, can reach the similarity of threshold / 100."""
+        flips = F.bit_count(F.col("oa")[0].bitwiseXOR(F.col("ob")[0]))
+        for i in range(1, self.bits // 64):
+            flips = flips + F.bit_count(F.col("oa")[i].bitwiseXOR(F.col("ob")[i]))
+        low = threshold / 100 - self.margin
+        sampled = self.bits / 2 * (1 - np.exp(-4 * self.keep * (1 - low) / (1 + low) / self.bits))
+        exact = (F.col("na") + F.col("nb")) * (100 - threshold) / (100 + threshold)
+        sizes = 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+        return sizes & (flips <= F.when(F.greatest("na", "nb") <= self.keep, exact).otherwise(float(sampled)) + 1e-6)
 
 
 def list_array(matrix: np.ndarray) -> pa.Array:
@@ -58,11 +80,8 @@ def list_array(matrix: np.ndarray) -> pa.Array:
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Keeps pairs (a, b) with 100 * |A and B| >= threshold * |A or B| on the full sets."""
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("items").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("sb"))
-    sizes = pairs.join(left.select("a", "na"), "a").join(right.select("b", "nb"), "b")
-    fit = sizes.where(f"100 * least(na, nb) >= {threshold} * greatest(na, nb)").select("a", "b")
-    both = fit.join(left, "a").join(right, "b")
+    left = sets.select(F.col("id").alias("a"), F.col("items").alias("sa"))
+    right = sets.select(F.col("id").alias("b"), F.col("items").alias("sb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -74,64 +93,92 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
                 keep.append(100 * common >= threshold * (len(x) + len(y) - common))
             yield t.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(check, fit.schema)
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, pairs.select("a", "b").schema)
+
+
+def _sketched(sets: DataFrame, sketcher: OddSketcher) -> DataFrame:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            odd = sketcher.sketches([np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("items")])
+            yield pa.RecordBatch.from_arrays([t.column("id"), t.column("n"), t.column("items"), list_array(odd)], names=["id", "n", "items", "odd"])
+
+    return sets.mapInArrow(make, "id long, n long, items binary, odd array<long>")
+
+
+def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
+    """(h, id): for each set its n - ceil(t n) + 1 rarest members, of which two linked sets share one."""
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            ends = np.cumsum([0, *t.column("n").to_pylist()])
+            joined = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in t.column("items")] or [np.empty(0, np.int64)])
+            yield pa.RecordBatch.from_arrays([t.column("id"), t.column("n"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(joined))], names=["id", "n", "items"])
+
+    flat = sets.select("id", "n", "items").mapInArrow(members, "id long, n long, items array<long>").select("id", "n", F.explode("items").alias("h"))
+    common = flat.groupBy("h").agg(F.count("*").alias("df"))
+    ranked = flat.join(common, "h").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("df", "h")))
+    return ranked.where(f"r <= n - ceil({threshold} * n / 100) + 1 and df > 1").select("h", "id")
+
+
+def _across(at: DataFrame, sketcher: OddSketcher, threshold: int) -> DataFrame:
+    """at(h, id, c, n, odd) -> pairs (a, b) that share an h, differ in c and may be linked by their sketches.
+
+    The members of an h's largest c are not compared with each other, and the sketches are compared
+    inside the join, so only pairs that may be linked come out of it.
+    """
+    mixed = at.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
+    held = at.join(mixed, "h")
+    major = held.groupBy("h", "c").count().groupBy("h").agg(F.max_by("c", F.struct("count", "c")).alias("most"))
+    held = held.join(major, "h")
+    rare = held.where("c <> most").select("h", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("odd").alias("oa"))
+    every = held.select(F.col("h").alias("h2"), F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("odd").alias("ob"), (F.col("c") == F.col("most")).alias("big"))
+    pairs = rare.join(every, F.expr("h = h2 and ca <> cb and (big or a < b)") & sketcher.may_link(threshold))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_links(
-    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], hasher: MinHasher, scratch: Scratch,
-    threshold: int = 80, min_estimate: float | None = 0.55, waves: int = 3,
+    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch, threshold: int = 80,
+    sketcher: OddSketcher | None = None, waves: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
-    """nodes(id, bands[, odd]) -> (links(a, b), labels(id, root)).
+    """nodes(id, bands) -> (links(a, b), labels(id, root)).
 
-    Every pair of nodes that shares a band is either found in one component through verified links or
-    compared exactly, so no component loses a link that the bands meet; pairs already joined are not
-    compared again, which keeps the work linear in a large group of copies. ``sets_of(ids)`` returns
-    (id, n, items) with the sorted shingle hashes as bytes. With ``min_estimate`` a pair is compared only
-    if the odd sketches' estimate reaches it; it lies far enough below the threshold (over five standard
-    deviations) to lose none.
+    Nodes that share a band are candidates. ``sets_of(ids)`` returns their (id, n, items) with the sorted
+    shingle hashes as bytes; each gets an odd sketch, and only pairs that the sketches leave possible
+    are compared exactly.
 
-    ``waves`` star rounds compare each node with its bucket's smallest member, then all pairs of still
-    unjoined nodes that share a bucket follow.
+    A large group of copies is joined in linear work: ``waves`` star rounds compare each node with the
+    smallest member of one of its buckets, and pairs already in one component are not compared again.
+    Nodes that still share a bucket but no component are then compared with those that share one of
+    their rarest shingles, which any linked pair does; so no link between components is lost.
     """
+    sketcher = sketcher or OddSketcher()
     flat = nodes.select("id", F.explode("bands").alias("h"))
     buckets = flat.groupBy("h").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
     met = scratch.save(flat.join(buckets.select("h", "pivot"), "h"))
-    sets = scratch.save(sets_of(met.select("id").distinct()))
-
-    def estimated(pairs: DataFrame) -> DataFrame:
-        if min_estimate is None:
-            return pairs
-        odd = nodes.select("id", "odd")
-        both = pairs.join(odd.withColumnsRenamed({"id": "a", "odd": "oa"}), "a").join(odd.withColumnsRenamed({"id": "b", "odd": "ob"}), "b")
-        flips = F.aggregate(F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        return both.where(flips <= float(hasher.most_flips(min_estimate))).select("a", "b")
-
-    stars = scratch.save(estimated(met.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()))
+    sets = scratch.save(_sketched(sets_of(met.select("id").distinct()), sketcher))
+    end = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("odd").alias("o" + x))
+    stars = met.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    stars = scratch.save(stars.join(end("a"), "a").join(end("b"), "b").where(sketcher.may_link(threshold)).select("a", "b"))
     links = labels = None
     for _ in range(waves):
         left = stars if labels is None else unjoined(stars, labels)
         wave = left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        done = wave if labels is None else done.unionByName(wave)
         found = scratch.save(_verified(wave, sets, threshold))
         links = found if links is None else links.unionByName(found)
         labels = components(links, scratch)
         stars = scratch.save(stars.join(wave, ["a", "b"], "left_anti"))
         if stars.isEmpty():
             break
-    # What is left: pairs in one bucket but not in one component. Only members outside the bucket's
-    # largest component are paired, with every member of another component.
-    at = met.select("h", "id").join(labels, "id", "left").select("h", "id", F.coalesce("root", "id").alias("c"))
+    labelled = lambda rows: rows.join(labels, "id", "left").withColumn("c", F.coalesce("root", "id")).drop("root")
+    at = labelled(met.select("h", "id"))
     mixed = at.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
-    at = scratch.save(at.join(mixed, "h"))
-    if not at.isEmpty():
-        major = at.groupBy("h", "c").count().groupBy("h").agg(F.max_by("c", F.struct("count", "c")).alias("most"))
-        rare = at.join(major, "h").where("c <> most").select("h", F.col("id").alias("a"), F.col("c").alias("ca"))
-        every = at.join(major, "h").select("h", F.col("id").alias("b"), F.col("c").alias("cb"), (F.col("c") == F.col("most")).alias("big"))
-        pairs = rare.join(every, "h").where("ca <> cb and (big or a < b)")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = scratch.save(_verified(scratch.save(estimated(pairs)), sets, threshold))
-        links = links.unionByName(found)
+    loose = scratch.save(at.join(mixed, "h").select("id").distinct())
+    if not loose.isEmpty():
+        rarest = _prefixes(sets.join(loose, "id", "left_semi"), threshold).join(sets.select("id", "n", "odd"), "id")
+        pairs = scratch.save(_across(scratch.save(labelled(rarest)), sketcher, threshold))
+        found = scratch.save(_verified(pairs, sets, threshold))
         if not found.isEmpty():
+            links = links.unionByName(found)
             labels = components(links, scratch)
     return links, labels
 

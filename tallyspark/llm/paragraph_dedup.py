@@ -82,7 +82,7 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, threshold: int = 80, min_wo
     nodes = sig.join(classes.select("class", "doc_id"), ["class", "doc_id"]).select(F.col("class").alias("id"), "bands").dropDuplicates(["id"])
     source = classes.select(F.col("class").alias("id"), "doc_id")
     sets_of = lambda ids: class_sets(docs, source.join(ids, "id").select("doc_id", F.col("id").alias("class")), k, min_words).dropDuplicates(["id"])
-    _, roots = near_links(scratch.save(nodes), sets_of, hasher, scratch, threshold, min_estimate=None)
+    _, roots = near_links(scratch.save(nodes), sets_of, scratch, threshold)
     found = classes.select("class", "copies").join(roots.withColumnRenamed("id", "class"), "class", "left").withColumn("component_id", F.coalesce("root", "class"))
     grouped = found.groupBy("component_id").agg(F.sum("copies").alias("copies")).where("copies > 1")
     member = scratch.save(found.select("class", "component_id").join(grouped, "component_id"))
