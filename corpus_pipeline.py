@@ -18,7 +18,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the smallest doc_id. Rows without an id stay."""
+    """One document of each group of near duplicates stays: the smallest doc_id. Rows without an id stay.
+
+    Of rows that repeat an id and a text one stays.
+    """
+    ids = docs.where("doc_id is not null")
+    if not ids.groupBy("doc_id").count().where("count > 1").isEmpty():
+        docs = ids.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
     gone = near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
