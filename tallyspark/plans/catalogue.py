@@ -437,6 +437,36 @@ def q_checkpoint_rest(spark, d):
     return work_queue.unfinished(load(spark, d, "documents"), load(spark, d, "labels").where("quality = 1"), "doc_id").select("doc_id")
 
 
+@query("""SELECT c_custkey AS port, CAST(row_number() OVER (ORDER BY c_nationkey % 3, c_custkey % 2 = 1, CASE WHEN c_custkey % 5 > 0 THEN c_acctbal END NULLS FIRST, c_custkey) AS INT) AS choice
+FROM customer WHERE c_nationkey % 3 < 2""")
+def q_egress_choice(spark, d):
+    """Ports to use next: healthy before degraded, idle ones, those unused longest; quarantined ones not at all."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey") % 3
+    ports = load(spark, d, "customer").select(k.alias("port"), F.when(n == 0, "healthy").when(n == 1, "degraded").otherwise("quarantined").alias("state"),
+                                              (k % 2 == 1).alias("busy"), F.when(k % 5 > 0, F.col("c_acctbal")).alias("last_used"))
+    return work_queue.choose_egress(ports).select("port", "choice")
+
+
+@query("SELECT event_id, CAST(CASE WHEN props = '' THEN NULL ELSE nullif(regexp_extract(props, '[012]'), '') END AS INT) AS answer FROM events")
+def q_answer_class(spark, d):
+    return load(spark, d, "events").select("event_id", work_queue.answer_class(F.col("props")).alias("answer"))
+
+
+@query("""WITH p AS (SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) - 1 AS position FROM part)
+SELECT l_partkey AS p_partkey, sum(l_quantity) AS quantity, coalesce(any_value(position), 4611686018427387904) AS position FROM lineitem LEFT JOIN p ON l_partkey = p.p_partkey GROUP BY l_partkey""")
+def q_sheet_order(spark, d):
+    """Rows of one table in the order of another's popularity."""
+    places = relations.positions(load(spark, d, "part"), "p_partkey", "p_retailprice")
+    rows = load(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum("l_quantity").alias("quantity"))
+    return relations.sorted_by_position(rows, places, "p_partkey").select("p_partkey", "quantity", "position")
+
+
+@query("SELECT page_id, regexp_extract(url, '[?&]page=(\\d+)', 1) = '2' AS second, left(lpad(CAST(page_id AS VARCHAR), 6, '0'), 2) AS folder FROM pages")
+def q_page_folders(spark, d):
+    p = load(spark, d, "pages")
+    return p.select("page_id", F.coalesce(text.query_id(F.replace("url", F.lit("page="), F.lit("id="))) == "2", F.lit(False)).alias("second"), derive.id_folder(F.col("page_id"), 6).alias("folder"))
+
+
 # Pages
 
 _LINK = r"""'(?i)<a\s[^>]*href="([^"]*)"'"""
