@@ -34,4 +34,5 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         if mark == seen or not mark[0]:
             return e.select(F.col("u").alias("id"), F.col("v").alias("root"))
         seen = mark
-        e = scratch.save(_small(_large(e)))
+        # A round has at most about twice as many links; small ones need not be written by many tasks.
+        e = scratch.save(_small(_large(e)).coalesce(max(1, mark[0] // 100_000)))

@@ -61,16 +61,20 @@ class OddSketcher:
         parity = (np.bincount(row * self.bits + at, minlength=n * self.bits) & 1).astype(np.uint8)
         return np.packbits(parity).view(np.int64).reshape(n, self.bits // 64)
 
+    def flips(self) -> Column:
+        """Population count of the XOR of the sketches oa and ob."""
+        n = F.bit_count(F.col("oa")[0].bitwiseXOR(F.col("ob")[0]))
+        for i in range(1, self.bits // 64):
+            n = n + F.bit_count(F.col("oa")[i].bitwiseXOR(F.col("ob")[i]))
+        return n
+
     def may_link(self, threshold: int) -> Column:
         """Whether (na, oa) and (nb, ob), sizes and sketches, can reach the similarity of threshold / 100."""
-        flips = F.bit_count(F.col("oa")[0].bitwiseXOR(F.col("ob")[0]))
-        for i in range(1, self.bits // 64):
-            flips = flips + F.bit_count(F.col("oa")[i].bitwiseXOR(F.col("ob")[i]))
         low = threshold / 100 - self.margin
         sampled = self.bits / 2 * (1 - np.exp(-4 * self.keep * (1 - low) / (1 + low) / self.bits))
         exact = (F.col("na") + F.col("nb")) * (100 - threshold) / (100 + threshold)
         sizes = 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
-        return sizes & (flips <= F.when(F.greatest("na", "nb") <= self.keep, exact).otherwise(float(sampled)) + 1e-6)
+        return sizes & (self.flips() <= F.when(F.greatest("na", "nb") <= self.keep, exact).otherwise(float(sampled)) + 1e-6)
 
 
 def list_array(matrix: np.ndarray) -> pa.Array:
@@ -136,9 +140,13 @@ def _across(at: DataFrame, sketcher: OddSketcher, threshold: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+#: The member of a bucket nearest to each mask by XOR is a pivot, beside the least and the greatest.
+_MASKS = (0x5555555555555555, 0x3333333333333333)
+
+
 def near_links(
     nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch, threshold: int = 80,
-    sketcher: OddSketcher | None = None, waves: int = 3,
+    sketcher: OddSketcher | None = None, closest: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
     """nodes(id, bands) -> (links(a, b), labels(id, root)).
 
@@ -146,29 +154,25 @@ def near_links(
     shingle hashes as bytes; each gets an odd sketch, and only pairs that the sketches leave possible
     are compared exactly.
 
-    A large group of copies is joined in linear work: ``waves`` star rounds compare each node with the
-    smallest member of one of its buckets, and pairs already in one component are not compared again.
-    Nodes that still share a bucket but no component are then compared with those that share one of
-    their rarest shingles, which any linked pair does; so no link between components is lost.
+    A large group of copies is joined in linear work: of a few pivots of each of its buckets, each node is
+    compared with the ``closest`` by sketch. Nodes that still share a bucket but no
+    component are then compared with those that share one of their rarest shingles, which any linked
+    pair does; so no link between components is lost, and pairs already joined are not compared.
     """
     sketcher = sketcher or OddSketcher()
     flat = nodes.select("id", F.explode("bands").alias("h"))
-    buckets = flat.groupBy("h").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    met = scratch.save(flat.join(buckets.select("h", "pivot"), "h"))
+    i = F.col("id")
+    picks = [F.min(i), F.max(i), *[F.min(i.bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in _MASKS]]
+    buckets = flat.groupBy("h").agg(*[p.alias(f"p{k}") for k, p in enumerate(picks)]).where("p0 < p1")
+    met = scratch.save(flat.join(buckets.select("h", F.array_distinct(F.array(*[f"p{k}" for k in range(len(picks))])).alias("pivots")), "h"))
     sets = scratch.save(_sketched(sets_of(met.select("id").distinct()), sketcher))
     end = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("odd").alias("o" + x))
-    stars = met.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    stars = scratch.save(stars.join(end("a"), "a").join(end("b"), "b").where(sketcher.may_link(threshold)).select("a", "b"))
-    links = labels = None
-    for _ in range(waves):
-        left = stars if labels is None else unjoined(stars, labels)
-        wave = left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        found = scratch.save(_verified(wave, sets, threshold))
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, scratch)
-        stars = scratch.save(stars.join(wave, ["a", "b"], "left_anti"))
-        if stars.isEmpty():
-            break
+    stars = met.select(F.explode("pivots").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
+    stars = stars.join(end("a"), "a").join(end("b"), "b").where(sketcher.may_link(threshold)).select("b", F.struct(sketcher.flips().alias("flips"), "a").alias("x"))
+    best = F.slice(F.array_sort(F.collect_list("x")), 1, closest)  # of a few pivots a band
+    stars = stars.groupBy("b").agg(best.alias("x")).select("b", F.explode("x").alias("x")).select("x.a", "b")
+    links = scratch.save(_verified(stars, sets, threshold))
+    labels = components(links, scratch)
     labelled = lambda rows: rows.join(labels, "id", "left").withColumn("c", F.coalesce("root", "id")).drop("root")
     at = labelled(met.select("h", "id"))
     mixed = at.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
@@ -183,12 +187,4 @@ def near_links(
     return links, labels
 
 
-def unjoined(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose ends do not yet share a component."""
-    la = labels.select(F.col("id").alias("a"), F.col("root").alias("ra"))
-    lb = labels.select(F.col("id").alias("b"), F.col("root").alias("rb"))
-    out = pairs.join(la, "a", "left").join(lb, "b", "left")
-    return out.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-
-
 SETS = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("items", T.BinaryType())])

@@ -72,11 +72,14 @@ def anchors(text: bytes, length: int = 400, gram: int = GRAM) -> tuple[np.ndarra
     return pos[keep], hashes[keep]
 
 
-def suffix_array(texts: list[bytes], groups: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def suffix_array(texts: list[bytes], groups: list[int] | None = None, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(suffixes, common prefixes, symbols before, starts) of texts of under 2^20 bytes in all, each closed by a symbol of its own.
 
-    ``common[i]`` is the common prefix of suffixes i - 1 and i. Texts of different ``groups`` (ascending
-    numbers; by default all are one) share none, as if each of their symbols were marked with its group.
+    ``common[i]`` is the common prefix of suffixes i - 1 and i if that is at least ``least``, else at most
+    what it is. Texts of different ``groups`` (ascending numbers; by default all are one) share none, as if
+    each of their symbols were marked with its group.
+
+    Prefix doubling; a suffix that its first h symbols already tell from all others is not sorted again.
     """
     n = sum(map(len, texts)) + len(texts)
     assert n < 1 << 20 and len(texts) < 1700
@@ -86,36 +89,46 @@ def suffix_array(texts: list[bytes], groups: list[int] | None = None) -> tuple[n
         s[starts[i] : starts[i + 1] - 1] = np.frombuffer(x, np.uint8)
         s[starts[i + 1] - 1] = 257 + i
     group = np.repeat(np.array(groups or [0] * len(texts), np.uint64), np.diff(starts))
-    low = np.arange(n, dtype=np.uint64)
     pad = np.concatenate([s + np.uint64(1), np.zeros(3, np.uint64)])
     key = (group << np.uint64(33)) | (pad[:n] << np.uint64(22)) | (pad[1 : n + 1] << np.uint64(11)) | pad[2 : n + 2]
-    levels, h = [], 3
-    while True:
-        packed = np.sort((key << np.uint64(20)) | low)
-        sa = (packed & np.uint64(0xFFFFF)).astype(np.int64)
-        new = (packed[1:] >> np.uint64(20)) != (packed[:-1] >> np.uint64(20))
-        order = np.concatenate([np.zeros(1, np.uint32), np.cumsum(new, dtype=np.uint32)])
-        rank = np.full(n + 1024, 0xFFFFFFFF, np.uint32)
-        rank[sa] = order
-        if order[-1] == n - 1:
-            break
+    place = np.arange(n)
+
+    def first_of(new: np.ndarray) -> np.ndarray:
+        """Where the run of equal keys that each element belongs to begins."""
+        return np.maximum.accumulate(np.where(new, place[: len(new)], 0))
+
+    def changes(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([[True], x[1:] != x[:-1]])
+
+    packed = np.sort((key << np.uint64(20)) | place.astype(np.uint64))
+    sa = (packed & np.uint64(0xFFFFF)).astype(np.int64)
+    new = changes(packed >> np.uint64(20))
+    rank = np.empty(n, np.uint32)
+    rank[sa] = first_of(new)  # a suffix's rank is the place of the first one that is still equal to it
+    active, levels, h = sa[~(new & np.append(new[1:], True))], [(3, rank)], 3
+    while len(active):
+        # 20 bits each: the rank, the rank of what follows the first h symbols, the suffix.
+        packed = np.sort((rank[active].astype(np.uint64) << np.uint64(40)) | (rank[active + h].astype(np.uint64) << np.uint64(20)) | active.astype(np.uint64))
+        at, old = (packed & np.uint64(0xFFFFF)).astype(np.int64), (packed >> np.uint64(40)).astype(np.int64)
+        begin, new = first_of(changes(old)), changes(packed >> np.uint64(20))
+        rank = rank.copy()
+        rank[at] = old + first_of(new) - begin
+        sa[old + place[: len(at)] - begin] = at
+        active, h = at[~(new & np.append(new[1:], True))], 2 * h
         levels.append((h, rank))
-        nxt = np.zeros(n, np.uint64)
-        nxt[: max(0, n - h)] = rank[h:n] + np.uint32(1)
-        key = (rank[:n].astype(np.uint64) << np.uint64(21)) | nxt  # 41 bits, beside a 20-bit index
-        h *= 2
     common = np.zeros(n, np.int64)
-    a, b = sa[:-1].copy(), sa[1:].copy()
-    for step, rank in reversed(levels):
-        same = (rank[a] == rank[b]) & (a < n) & (b < n)
-        a, b = a + step * same, b + step * same
+    base = next((r for size, r in reversed(levels) if size <= least), None)
+    near = np.flatnonzero(base[sa[1:]] == base[sa[:-1]]) if base is not None else place[: n - 1]
+    a, b = sa[near], sa[near + 1]
+    for size, rank in reversed(levels):
+        same = (rank[np.minimum(a, n - 1)] == rank[np.minimum(b, n - 1)]) * size
+        a, b = a + same, b + same
     for _ in range(2):  # what the shortest level leaves
-        same = (a < n) & (b < n)
+        same = np.maximum(a, b) < n
         same[same] = (s[a[same]] == s[b[same]]) & (group[a[same]] == group[b[same]])
         a, b = a + same, b + same
-    common[1:] = a - sa[:-1]
-    before = s[sa - 1]
-    return sa, common, before, starts
+    common[near + 1] = a - sa[near]
+    return sa, common, s[sa - 1], starts
 
 
 def maximal_repeats(sa: np.ndarray, common: np.ndarray, before: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -143,7 +156,7 @@ def maximal_repeats(sa: np.ndarray, common: np.ndarray, before: np.ndarray, leas
 
 def repeated_parts(texts: list[bytes], least: int, groups: list[int] | None = None) -> list[list[tuple[int, int]]]:
     """For each text, the spans covered by strings of ``least`` bytes that occur twice among its group."""
-    sa, common, before, starts = suffix_array(texts, groups)
+    sa, common, before, starts = suffix_array(texts, groups, least)
     reach = np.zeros(len(sa), np.int64)
     for length, lo, hi in maximal_repeats(sa, common, before, least):
         np.maximum(reach[lo : hi + 1], length, out=reach[lo : hi + 1])
@@ -231,8 +244,11 @@ def _search(length: int):
     return make
 
 
-def _blocks(length: int, step: int, fine: bool):
-    """Rows for blocks of ``step`` string starts (fine: single starts of the blocks in ``todo``)."""
+def _blocks(length: int, step: int, within: int):
+    """Rows for the blocks of ``step`` string starts inside the blocks of ``within`` starts named in ``todo``.
+
+    k is a block's first start, counted from the first string that holds the anchor.
+    """
     back = length - GRAM
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,16 +256,16 @@ def _blocks(length: int, step: int, fine: bool):
             out = []
             for d, t, text, want in zip(*(b.column(x) for x in ("d", "t", "text", "want")), strict=True):
                 raw = memoryview(text.as_buffer())
+                d, t = d.as_py(), t.as_py()
                 for w in want.as_py():
                     p = w["pos"]
-                    for k in w["todo"] if fine else range(-(-(back + 1) // step)):
-                        first, last = p - back + k * step, min(p, p - back + (k + 1) * step - 1)
+                    for k in (k for o in w["todo"] for k in range(o, min(o + within, back + 1), step)):
+                        first = p - back + k
+                        last = min(p, first + step - 1, p - back + k - k % within + within - 1)
                         lo, hi = max(first, 0), min(last, len(raw) - length)
-                        if fine:
-                            out += [(d.as_py(), t.as_py(), p, w["a"], s - p, 0, xxhash.xxh3_64_intdigest(raw[s : s + length]), s, s + length) for s in range(lo, hi + 1)]
-                        elif lo <= hi:  # every string of the block holds its core
+                        if lo <= hi:  # every string of the block holds its core
                             core = xxhash.xxh3_64_intdigest(raw[last : first + length])
-                            out.append((d.as_py(), t.as_py(), p, w["a"], k, core, xxhash.xxh3_64_intdigest(raw[lo : hi + length], seed=lo - first), lo, hi + length))
+                            out.append((d, t, p, w["a"], k, core, xxhash.xxh3_64_intdigest(raw[lo : hi + length], seed=lo - first), lo, hi + length))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.uint64(), pa.uint64(), pa.int64(), pa.int64())
             cols = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
             cols = [c.view(pa.int64()) if c.type == pa.uint64() else c for c in cols]
@@ -261,23 +277,29 @@ def _blocks(length: int, step: int, fine: bool):
 _BLOCK = "d long, t int, pos long, a long, k long, core long, h long, x long, y long"
 
 
-def _split_hot(held: DataFrame, length: int, scratch: Scratch, step: int = 18) -> DataFrame:
+def _split_hot(held: DataFrame, length: int, scratch: Scratch, steps: tuple[int, ...] = (80, 20, 5, 1)) -> DataFrame:
     """Spans in contexts of anchors with very many distinct contexts; held(d, t, text, want).
 
     All contexts of an anchor are aligned, so a string that starts in block k of one starts in block k of
-    the other: blocks that are equal in whole are covered in whole; the rest, near a difference, go to
-    single starts. Both are counts by hash.
+    the other: blocks that are equal in whole are covered in whole; one of each kind goes on to smaller
+    blocks if another kind shares the core that all their strings hold, down to single starts. All of it
+    is counts by hash. Steps divide each other, so blocks nest.
     """
-    rows = scratch.save(held.mapInArrow(_blocks(length, step, False), _BLOCK))
-    whole = rows.groupBy("a", "k", "core", "h").agg(F.count("*").alias("n"), F.min(F.struct("d", "t", "pos")).alias("r"))
-    cores = rows.groupBy("a", "k", "core").agg(F.count("*").alias("alike"))
-    whole = scratch.save(whole.join(cores, ["a", "k", "core"]))
-    done = rows.join(whole.where("n > 1").select("a", "k", "core", "h"), ["a", "k", "core", "h"]).select("d", "t", "x", "y")
-    todo = whole.where("alike > n").select("r.d", "r.t", "r.pos", "a", "k").groupBy("d", "t", "pos", "a").agg(F.collect_list("k").alias("todo"))
-    want = todo.groupBy("d", "t").agg(F.collect_list(F.struct("pos", "a", "todo")).alias("want"))
-    single = scratch.save(held.drop("want").join(want, ["d", "t"]).mapInArrow(_blocks(length, step, True), _BLOCK))
-    twice = single.groupBy("a", "k", "h").agg(F.count("*").alias("n")).where("n > 1")
-    return scratch.save(done.unionByName(single.join(twice, ["a", "k", "h"]).select("d", "t", "x", "y")))
+    within, done = length, []
+    todo = held
+    for step in steps:
+        rows = scratch.save(todo.mapInArrow(_blocks(length, step, within), _BLOCK))
+        whole = rows.groupBy("a", "k", "core", "h").agg(F.count("*").alias("n"), F.min(F.struct("d", "t", "pos")).alias("r"))
+        cores = rows.groupBy("a", "k", "core").agg(F.count("*").alias("alike"))
+        whole = scratch.save(whole.join(cores, ["a", "k", "core"]).where("alike > 1"))
+        done.append(rows.join(whole.where("n > 1").select("a", "k", "core", "h"), ["a", "k", "core", "h"]).select("d", "t", "x", "y"))
+        left = whole.where("alike > n").select("r.d", "r.t", "r.pos", "a", "k").groupBy("d", "t", "pos", "a").agg(F.collect_list("k").alias("todo"))
+        left = left.groupBy("d", "t").agg(F.collect_list(F.struct("pos", "a", "todo")).alias("want"))
+        todo, within = held.drop("want").join(left, ["d", "t"]).select("d", "t", "text", "want"), step
+    spans = done[0]
+    for x in done[1:]:
+        spans = spans.unionByName(x)
+    return scratch.save(spans)
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, most_contexts: int = 1024, scratch: Scratch | None = None) -> DataFrame:
@@ -301,9 +323,10 @@ def repeated_spans(docs: DataFrame, length: int = 400, most_contexts: int = 1024
     plain = texts.join(want(reps.where(F.col("contexts") <= most_contexts)), ["d", "t"])
     contexts = plain.select("d", "t", "text", "want").mapInArrow(_contexts(length), "d long, t int, a long, c long, start long, context binary")
     parts = [equal, contexts.repartition("a").sortWithinPartitions("a", "c").mapInArrow(_search(length), "d long, t int, x long, y long")]
+    all_of = lambda rows: rows.groupBy("d", "t").agg(F.collect_list(F.struct("pos", "a", F.array(F.lit(0).cast("long")).alias("todo"))).alias("want"))
     hot = reps.where(F.col("contexts") > most_contexts)
     if not hot.isEmpty():
-        parts.append(_split_hot(scratch.save(texts.join(want(hot), ["d", "t"]).select("d", "t", "text", "want")), length, scratch))
+        parts.append(_split_hot(scratch.save(texts.join(all_of(hot), ["d", "t"]).select("d", "t", "text", "want")), length, scratch))
     spans = parts[0]
     for p in parts[1:]:
         spans = spans.unionByName(p)
