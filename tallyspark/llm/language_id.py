@@ -49,15 +49,21 @@ class ByteCNN:
             out[i : i + step] = _softmax(np.maximum(f, 0) @ self.dense + self.bias)
         return out
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 128, rate: float = 0.01, seed: int = 2) -> ByteCNN:
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, least_steps: int = 300, batch: int = 128, rate: float = 0.01, seed: int = 2) -> ByteCNN:
+        """A small sample gets more epochs, for ``least_steps`` steps at least.
+
+        In each batch one window in three is cut short and filled up with spaces, as the end of a text is.
+        """
         rng, step = np.random.default_rng(seed), 0
+        epochs = max(epochs, -(-least_steps // -(-len(x) // batch)))
         params = [*self.tables.values(), self.dense, self.bias]
         m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         for _ in range(epochs):
             order = rng.permutation(len(x))
             for i in range(0, len(x), batch):
                 take = order[i : i + batch]
-                f, where = self._pooled(x[take], at=True)
+                seen = _cut_short(x[take], rng)
+                f, where = self._pooled(seen, at=True)
                 r = np.maximum(f, 0)
                 g = _softmax(r @ self.dense + self.bias)
                 g[np.arange(len(take)), y[take]] -= 1
@@ -68,7 +74,7 @@ class ByteCNN:
                 for k, (w, t) in enumerate(self.tables.items()):
                     gk, gt = gf[:, k * self.filters : (k + 1) * self.filters], np.zeros_like(t)
                     for j in range(w):
-                        np.add.at(gt[j], (x[take][rows, where[k] + j], np.broadcast_to(cols, gk.shape)), gk)
+                        np.add.at(gt[j], (seen[rows, where[k] + j], np.broadcast_to(cols, gk.shape)), gk)
                     grads.append(gt)
                 grads += [r.T @ g, g.sum(axis=0)]
                 step += 1
@@ -79,6 +85,11 @@ class ByteCNN:
         return self
 
 
+def _cut_short(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    ends = np.where(rng.random(len(x)) < 1 / 3, rng.integers(8, WINDOW, len(x)), WINDOW)
+    return np.where(np.arange(WINDOW) < ends[:, None], x, np.uint8(32))
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
