@@ -208,38 +208,79 @@ def _contexts(length: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([d.as_py()] * len(want), pa.int64()), pa.array([t.as_py()] * len(want), pa.int32()),
                      pa.array([w["a"] for w in want], pa.int64()), pa.array([w["c"] for w in want], pa.int64()),
-                     pa.array([max(0, w["pos"] - back) for w in want], pa.int64()),
+                     pa.array([w["pos"] for w in want], pa.int64()),
                      pa.array([bytes(raw[max(0, w["pos"] - back) : w["pos"] + length]) for w in want], pa.binary())],
-                    names=["d", "t", "a", "c", "start", "context"])
+                    names=["d", "t", "a", "c", "pos", "context"])
 
     return make
 
 
+def _promising(group: list[tuple], length: int, step: int = 8) -> list[tuple]:
+    """The contexts (a, c, d, t, pos, context) of one anchor cut down to what may repeat: (a, d, t, start, bytes).
+
+    Two contexts share a string only at equal distances from the anchor. The strings that start in one
+    block of ``step`` distances all hold the block's core, so a block whose core no other context has
+    holds no repeat. Pieces of one text that overlap become one, or its bytes would repeat themselves.
+    """
+    back = length - GRAM
+    seen: dict = {}
+    found = []
+    for _, _, _, _, pos, text in group:
+        origin = min(pos, back) - back  # where distance 0 lies in the context
+        cores = []
+        for k in range(0, back + 1, step):
+            last = origin + min(k + step - 1, back)
+            if origin + k + length <= len(text) and last >= 0:
+                core = (k, text[last : origin + k + length])
+                seen[core] = seen.get(core, 0) + 1
+                cores.append(core)
+        found.append((origin, cores))
+    out = []
+    for (a, _, d, t, pos, text), (origin, cores) in zip(group, found, strict=True):
+        alive = [k for k, core in cores if seen[k, core] > 1]
+        if alive:
+            x, y = max(0, origin + alive[0]), origin + min(alive[-1] + step - 1, back) + length
+            out.append((a, d, t, max(0, pos - back) + x, text[x:y]))
+    merged: list[tuple] = []
+    for a, d, t, start, text in sorted(out):
+        if merged and merged[-1][1:3] == (d, t) and start <= (end := merged[-1][3] + len(merged[-1][4])):
+            merged[-1] = (*merged[-1][:4], merged[-1][4] + text[end - start :])
+        else:
+            merged.append((a, d, t, start, text))
+    return merged
+
+
 def _search(length: int):
     def one(rows: list[tuple]) -> pa.RecordBatch | None:
         number = np.cumsum([0, *(x[0] != y[0] for x, y in zip(rows, rows[1:]))]).tolist()
-        parts = repeated_parts([r[5] for r in rows], length, number)
-        out = [(d, t, start + x, start + y) for (_, _, d, t, start, _), spans in zip(rows, parts, strict=True) for x, y in spans]
+        parts = repeated_parts([r[4] for r in rows], length, number)
+        out = [(d, t, start + x, start + y) for (_, d, t, start, _), spans in zip(rows, parts, strict=True) for x, y in spans]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["d", "t", "x", "y"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group, size, last = [], [], 0, None
+
+        def close() -> Iterator[pa.RecordBatch]:
+            """The group joins those held; they are searched first if all would be too much for one suffix array."""
+            nonlocal held, group, size
+            group = _promising(group, length)
+            more = sum(len(r[4]) + 1 for r in group)
+            if held and (size + more >= 1 << 20 or len(held) + len(group) >= 1600):
+                yield one(held)
+                held, size = [], 0
+            held, size, group = held + group, size + more, []
+
         for b in batches:
-            for row in zip(*(b.column(x).to_pylist() for x in ("a", "c", "d", "t", "start", "context")), strict=True):
+            for row in zip(*(b.column(x).to_pylist() for x in ("a", "c", "d", "t", "pos", "context")), strict=True):
                 if last == row[:2]:
                     continue
                 if group and group[-1][0] != row[0]:
-                    if held and (size + sum(len(r[5]) + 1 for r in group) >= 1 << 20 or len(held) + len(group) >= 1600):
-                        yield one(held)
-                        held, size = [], 0
-                    held, size, group = held + group, size + sum(len(r[5]) + 1 for r in group), []
+                    yield from close()
                 group.append(row)
                 last = row[:2]
-        if held and (size + sum(len(r[5]) + 1 for r in group) >= 1 << 20 or len(held) + len(group) >= 1600):
+        yield from close()
+        if held:
             yield one(held)
-            held = []
-        if held or group:
-            yield one(held + group)
 
     return make
 
@@ -277,7 +318,7 @@ def _blocks(length: int, step: int, within: int):
 _BLOCK = "d long, t int, pos long, a long, k long, core long, h long, x long, y long"
 
 
-def _split_hot(held: DataFrame, length: int, scratch: Scratch, steps: tuple[int, ...] = (80, 20, 5, 1)) -> DataFrame:
+def _split_hot(held: DataFrame, length: int, scratch: Scratch, steps: tuple[int, ...] = (96, 32, 8, 2, 1)) -> DataFrame:
     """Spans in contexts of anchors with very many distinct contexts; held(d, t, text, want).
 
     All contexts of an anchor are aligned, so a string that starts in block k of one starts in block k of
@@ -321,7 +362,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, most_contexts: int = 1024
     reps = scratch.save(reps.join(sizes, "a"))
     want = lambda rows: rows.groupBy("d", "t").agg(F.collect_list(F.struct("a", "c", "pos")).alias("want"))
     plain = texts.join(want(reps.where(F.col("contexts") <= most_contexts)), ["d", "t"])
-    contexts = plain.select("d", "t", "text", "want").mapInArrow(_contexts(length), "d long, t int, a long, c long, start long, context binary")
+    contexts = plain.select("d", "t", "text", "want").mapInArrow(_contexts(length), "d long, t int, a long, c long, pos long, context binary")
     parts = [equal, contexts.repartition("a").sortWithinPartitions("a", "c").mapInArrow(_search(length), "d long, t int, x long, y long")]
     all_of = lambda rows: rows.groupBy("d", "t").agg(F.collect_list(F.struct("pos", "a", F.array(F.lit(0).cast("long")).alias("todo"))).alias("want"))
     hot = reps.where(F.col("contexts") > most_contexts)

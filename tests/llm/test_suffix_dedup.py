@@ -70,3 +70,16 @@ def test_null_ids_repeats_and_empty(spark):
     gone = hashlib.sha256(b"").hexdigest()
     assert got == sorted([(None, 600, 600, 1, gone), (1, 600, 600, 1, gone), (1, 600, 600, 1, gone), (2, 0, 0, 0, gone)], key=str)
     assert suffix_dedup(docs.limit(0)).count() == 0
+
+
+def test_phrase_repeated_within_a_text(spark):
+    """Contexts of one anchor overlap in the same text; its bytes are no repeat of themselves."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrase, passage = text(180), text(450)
+    texts = [text(300) + phrase + text(rng.randint(5, 70)) + phrase + text(300) for _ in range(40)]
+    texts += [text(50) + phrase + passage + phrase + text(40) for _ in range(5)] + [phrase + text(100) + phrase + text(7) + phrase + passage[:230]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup(docs).collect()}
+    want = brute(texts)
+    assert [i for i, w in enumerate(want) if got[i] != w] == [] and sum(w[1] for w in want) > 0
