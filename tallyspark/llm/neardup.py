@@ -43,12 +43,12 @@ class OddSketcher:
     Equal samples cancel in the XOR of two sketches, so its population count is at most the number of
     samples in which they differ, and close to it while that is small against ``bits``. Sets of at most
     ``keep`` members are sampled whole: a count above the difference that the threshold allows then rules a
-    pair out for certain. For larger sets the bound lies ``margin`` (five standard deviations) below the
-    threshold.
+    pair out for certain. For larger sets the bound follows from the sizes of the pair and lies
+    ``deviations`` standard deviations above the count expected at the threshold.
     """
 
-    def __init__(self, keep: int = 1024, bits: int = 2048, margin: float = 0.1):
-        self.keep, self.bits, self.margin = keep, bits, margin
+    def __init__(self, keep: int = 1024, bits: int = 2048, deviations: float = 6.0):
+        self.keep, self.bits, self.deviations = keep, bits, deviations
 
     def sketches(self, sets: list[np.ndarray]) -> np.ndarray:
         """(n, bits / 64) int64 from sorted hashes."""
@@ -70,11 +70,17 @@ class OddSketcher:
 
     def may_link(self, threshold: int) -> Column:
         """Whether (na, oa) and (nb, ob), sizes and sketches, can reach the similarity of threshold / 100."""
-        low = threshold / 100 - self.margin
-        sampled = self.bits / 2 * (1 - np.exp(-4 * self.keep * (1 - low) / (1 + low) / self.bits))
-        exact = (F.col("na") + F.col("nb")) * (100 - threshold) / (100 + threshold)
-        sizes = 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
-        return sizes & (self.flips() <= F.when(F.greatest("na", "nb") <= self.keep, exact).otherwise(float(sampled)) + 1e-6)
+        n, most = F.col("na") + F.col("nb"), F.greatest("na", "nb")
+        # A pair at the threshold has this share of the larger set in common; of its bottom ``keep`` as many.
+        common = n * threshold / (100 + threshold) / most
+        differ = F.least("na", F.lit(self.keep)) + F.least("nb", F.lit(self.keep)) - 2 * self.keep * common
+        alone = F.exp(differ * (-2 / self.bits))
+        spread = 4 * self.keep * common * (1 - common) * alone * alone
+        folding = self.bits / 4 * (1 - alone * alone) - differ * alone * alone
+        sampled = self.bits / 2 * (1 - alone) + self.deviations * F.sqrt(spread + F.greatest(folding, F.lit(0.0)))
+        exact = n * (100 - threshold) / (100 + threshold)
+        sizes = 100 * F.least("na", "nb") >= threshold * most
+        return sizes & (self.flips() <= F.when(most <= self.keep, exact).otherwise(sampled) + 1e-6)
 
 
 def list_array(matrix: np.ndarray) -> pa.Array:

@@ -66,6 +66,18 @@ def test_sketch_bounds_the_difference():
     assert real - 20 <= flips <= real
 
 
+def test_long_texts_cut_short_are_linked(spark):
+    rng, texts = random.Random(4), []
+    for size in (1_100, 1_400, 2_000, 4_000, 10_000):
+        for ratio in (0.80, 0.82, 0.85):
+            base = ["w%d" % rng.randrange(10**6) for _ in range(size)]
+            texts += [" ".join(base), " ".join(base[: int(size * ratio) + 2])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = classes({i: shingles(t, 5) for i, t in enumerate(texts)})
+    assert want == {i: i - i % 2 for i in range(len(texts))}
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()} == want
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20, 60)] + [(3, 9), (9, 3), (9, 1), (7, 7), (None, 2)], "a long, b long")
     got = {r["id"]: r["root"] for r in components(links, Scratch(spark, "t")).collect()}
