@@ -1,4 +1,4 @@
-"""Repeated passages by paragraph MinHash banding (operator 9)."""
+"""Repeated passages by paragraph MinHash banding and by word anchors that no line end stops (operator 9)."""
 
 from __future__ import annotations
 
@@ -7,14 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, shingle_set, word_hashes
+from .common import Scratch, mix, shingle_set, word_hashes
 from .neardup import SETS, MinHasher, list_array, near_links
 
 #: 24 bands of 4 rows meet a pair of similarity 0.8 with probability 1 - (1 - 0.8^4)^24 = 0.999997.
 BANDS, ROWS = 24, 4
+_BASE = 0x9E3779B97F4A7C15  # of the gram hashes; odd, so it has an inverse
 
 
 def _paragraph_sets(text: str | None, k: int, min_words: int) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -93,6 +94,60 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, threshold: int = 80, min_wo
         (F.col("f") == F.struct("doc_id", "paragraph")).alias("kept"))
 
 
+def _anchors(words: np.ndarray, gram: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the least gram of ``gram`` words in every ``least`` words."""
+    if len(words) < least:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    falling, rising = (np.cumprod(np.full(len(words), m, np.uint64)) for m in (_BASE, pow(_BASE, -1, 2**64)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * rising, dtype=np.uint64)])
+    # A gram's weights depend on its place by a power of the base, which the factor takes away.
+    h = mix((sums[gram:] - sums[:-gram]) * falling[: len(words) - gram + 1])
+    near = np.lib.stride_tricks.sliding_window_view(h, least - gram + 1)
+    at = np.unique(near.argmin(axis=1) + np.arange(len(near)))
+    return at, h[at]
+
+
+def repeated_passages(docs: DataFrame, least: int = 50, min_words: int = 40) -> DataFrame:
+    """docs(doc_id, text, ...) -> (doc_id, start, n_words, first_doc_id, first_start, copies, kept).
+
+    Words (A-Z lower-cased) run through a text regardless of its lines. Every run of ``least`` words that
+    occurs twice holds the same anchor, its least gram of ``min_words`` words, so it is found wherever it
+    stands; no shorter run than ``min_words`` is returned. A row is a verbatim copy of words of
+    first_doc_id from first_start on, the first occurrence itself if kept; where a run goes on beyond its
+    outermost anchors, up to least - min_words words at either end are left out of the row. Rows without
+    doc_id take no part; repeated rows are copies under the same (doc_id, start) and returned once.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [_anchors(word_hashes(t.as_py()), min_words, least) for t in b.column("text")]
+            ids = np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False), [len(at) for at, _ in found])
+            at, h = (np.concatenate([x[i] for x in found] or [np.empty(0, kind)]) for i, kind in enumerate((np.int64, np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], names=["doc_id", "start", "h"])
+
+    held = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    same = Window.partitionBy("h")
+    seen = held.mapInArrow(make, "doc_id long, start int, h long").select(
+        "doc_id", "start", F.count("*").over(same).alias("copies"), F.min(F.struct("doc_id", "start")).over(same).alias("f")).where("copies > 1")
+    seen = seen.select("doc_id", "start", "copies", F.col("f.doc_id").alias("first_doc_id"), F.col("f.start").alias("first_start"))
+    # Anchors of one copy that overlap are one run: the words between them agree too.
+    copy = Window.partitionBy("doc_id", "first_doc_id", F.col("start") - F.col("first_start")).orderBy("start")
+    seen = seen.withColumn("opens", F.coalesce(F.col("start") - F.lag("start").over(copy) > min_words, F.lit(True)).cast("int")).withColumn("run", F.sum("opens").over(copy))
+    runs = seen.groupBy("doc_id", "first_doc_id", (F.col("start") - F.col("first_start")).alias("shift"), "run").agg(
+        F.min("start").alias("start"), (F.max("start") - F.min("start") + min_words).cast("int").alias("n_words"), F.min("first_start").alias("first_start"), F.max("copies").alias("copies"))
+    return runs.select("doc_id", "start", "n_words", "first_doc_id", "first_start", "copies", ((F.col("doc_id") == F.col("first_doc_id")) & (F.col("shift") == 0)).alias("kept"))
+
+
+def repeated_text(docs: DataFrame) -> DataFrame:
+    """Repeated paragraphs, and repeated passages in or across any lines, as rows of one table.
+
+    A passage has start and first_start, its first word in its own and the first document, and no
+    paragraph or component_id; a paragraph has no start. Verbatim copies of a paragraph appear as both.
+    """
+    lines = repeated_paragraphs(docs).select("*", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("first_start"))
+    return lines.unionByName(repeated_passages(docs), allowMissingColumns=True).select(lines.columns)
+
+
 def without_repeats(docs: DataFrame, k: int = 5, threshold: int = 80, min_words: int = 40) -> DataFrame:
     """docs with every repeated paragraph but the first removed from ``text``, and n_chars counted anew if there.
 

@@ -12,7 +12,7 @@ from .host_reputation import judge_urls
 from .language_id import identify_languages
 from .minhash_dedup import near_duplicates
 from .mixing import mix
-from .paragraph_dedup import repeated_paragraphs
+from .paragraph_dedup import repeated_text
 from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
 from .transcripts import format_chats
@@ -57,7 +57,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_paragraphs(load(spark, sf_dir, "documents"))
+    return repeated_text(load(spark, sf_dir, "documents"))
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ from tallyspark.llm.common import Scratch, shingle_set, word_hashes
 from tallyspark.llm.components import components
 from tallyspark.llm.minhash_dedup import near_duplicates
 from tallyspark.llm.neardup import OddSketcher
-from tallyspark.llm.paragraph_dedup import repeated_paragraphs, without_repeats
+from tallyspark.llm.paragraph_dedup import _anchors, repeated_paragraphs, without_repeats
+from tallyspark.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001/documents.parquet"
 
@@ -120,6 +121,40 @@ def test_paragraphs_of_given_documents(spark):
     assert got == set(paragraph_classes([(r["doc_id"], r["text"]) for r in docs.collect()]))
 
 
+def test_anchors_follow_words():
+    rng = np.random.default_rng(3)
+    run, new = rng.integers(0, 2**63, 50, dtype=np.uint64), lambda n: rng.integers(0, 2**63, n, dtype=np.uint64)
+    for before, after in ((0, 0), (7, 300), (500, 1), (33, 33)):
+        at, h = _anchors(np.concatenate([new(before), run, new(after)]), 40, 50)
+        assert set(_anchors(run, 40, 50)[1].tolist()) <= set(h[(at >= before) & (at <= before + 10)].tolist())
+    assert len(_anchors(run[:49], 40, 50)[0]) == 0
+
+
+def test_passages_inside_and_across_lines(spark, tmp_path):
+    rng = random.Random(6)
+    new = lambda n: ["w%d" % rng.randrange(10**6) for _ in range(n)]
+    wrap = lambda words, n: "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+    rows, at = [], {}
+    for p in range(6):
+        passage = new(rng.randint(50, 90))
+        for k in range(3):
+            before, after = new(rng.randint(0, 300)), new(rng.randint(100, 300))
+            at[len(rows)] = (len(before), len(passage), 3 * p)
+            rows.append((len(rows), wrap([x.upper() if k == 1 else x for x in before + passage + after], (1000, 9, 38)[k])))
+    rows += [(len(rows) + i, wrap(new(200), n)) for i, n in enumerate((1000, 9, 38))] + [(None, rows[0][1]), (90, None), (91, "")]
+    shared = new(39)
+    rows += [(95 + i, " ".join(new(80) + shared + new(80))) for i in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {}
+    for r in QUERIES["op9_paragraph_dedup"](spark, str(tmp_path)).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    assert set(got) == set(at)
+    for d, (start, n, first) in at.items():
+        (r,) = got[d]
+        assert start <= r["start"] <= start + 10 and start + n - 10 <= r["start"] + r["n_words"] <= start + n
+        assert r["first_doc_id"] == first and r["copies"] == 3 and r["kept"] == (d == first) and r["first_start"] - at[first][0] == r["start"] - start
+
+
 def test_hashes_follow_words():
     assert (word_hashes("A\tb\x0bC  é") == word_hashes(" a b c é\n")).all() and len(word_hashes("a\u00a0b\u2028c")) == 1
     assert len(shingle_set(word_hashes("a b a b a b"), 2)) == 2 and len(shingle_set(word_hashes("a b"), 5)) == 1
