@@ -126,3 +126,46 @@ def retry_after(header: Column, now: Column, attempt: Column) -> Column:
 
 def percent_of(part: Column, total: Column) -> Column:
     return F.when(total > 0, 100.0 * part / total).otherwise(0.0)
+
+
+def username(s: Column) -> Column:
+    """A user's name: trimmed, white space collapsed, then entities decoded."""
+    return unescape(F.regexp_replace(F.trim(s), r"\s+", " "))
+
+
+def amount(x: Column) -> Column:
+    """A figure with as many decimals as its size needs: 6 below 0.01, 4 below 1, else 2; 0 for zero."""
+    a = F.abs(x)
+    return F.when(a == 0, "0").when(a < 0.01, F.format_number(x, 6)).when(a < 1, F.format_number(x, 4)).otherwise(F.format_number(x, 2))
+
+
+def ratio_text(x: Column) -> Column:
+    """A ratio with two decimals; what has a zero denominator says so."""
+    return F.when(F.abs(x) == float("inf"), "not computable (denominator 0)").otherwise(F.format_string("%.2f", x))
+
+
+def count_lines(pairs: Column) -> Column:
+    """``name: count`` of each struct (name, count), a line each."""
+    return F.array_join(F.transform(pairs, lambda p: F.concat(p["name"], F.lit(": "), p["count"].cast("string"))), "\n")
+
+
+def model_retry_delay(attempt: Column, base: float, limited: Column, jitter: Column | None = None) -> Column:
+    """Seconds before another try: the base, at least 0.1; if limited, doubled with each attempt up to 60, plus a jitter of up to a second."""
+    b = max(0.1, base)
+    more = F.rand() if jitter is None else jitter
+    return F.when(limited, F.least(b * F.pow(F.lit(2.0), attempt - 1), F.lit(60.0)) + more * min(1.0, b)).otherwise(F.lit(b))
+
+
+def json_array_size(s: Column) -> Column:
+    """Elements of a JSON array; 0 for anything else."""
+    return F.coalesce(F.json_array_length(F.when(F.try_parse_json(s).isNotNull(), s)), F.lit(0))
+
+
+def json_int(s: Column, path: str) -> Column:
+    """A field that is a whole number or a string of digits, as a number; null for all else."""
+    return F.when(F.get_json_object(s, path).rlike(r"^-?\d+$"), F.get_json_object(s, path)).try_cast("long")
+
+
+def file_item_id(name: Column) -> Column:
+    """The digits of a file named ``mod_<digits>.html``; null for other names."""
+    return F.nullif(F.regexp_extract(name, r"^mod_(\d+)\.html$", 1), F.lit("")).cast("long")

@@ -87,11 +87,42 @@ def script_mix(s: Column) -> Column:
     return F.when(han & latin, "mixed").when(han, "zh").when(latin, "en").otherwise("unknown")
 
 
+#: A line of a text that says nothing of the item itself.
+BOILERPLATE = r"(?i)^\s*(https?://\S+|(version|v)\s*[\d.]+|(license|licence|copyright|all rights reserved|terms of|subscribe|please)\b.*|\W*)\s*$"
+
+
 def corpus_rows(df: DataFrame, key: str, text: str, least_chars: int = 100) -> DataFrame:
-    """(key, content_hash, n_chars, excluded, tier): too short, or a repeat of an earlier row's text; quality by length."""
+    """(key, content_hash, n_chars, excluded, tier): too short, a repeat of an earlier row's text, or boilerplate lines only; quality by length."""
     t = collapse(F.coalesce(F.col(text), F.lit("")))
-    rows = df.select(key, F.md5(t).alias("content_hash"), F.length(t).alias("n_chars"))
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    rows = df.select(key, F.md5(t).alias("content_hash"), F.length(t).alias("n_chars"), F.forall(lines, lambda x: x.rlike(BOILERPLATE)).alias("_bare"))
     first = rows.groupBy("content_hash").agg(F.min(key).alias("_first"))
-    why = F.when(F.col("n_chars") < least_chars, "too_short").when(F.col(key) != F.col("_first"), "duplicate")
+    why = F.when(F.col("n_chars") < least_chars, "too_short").when(F.col(key) != F.col("_first"), "duplicate").when(F.col("_bare"), "boilerplate_only")
     level = F.when(F.col("n_chars") >= 2000, "A").when(F.col("n_chars") >= 500, "B").otherwise("C")
     return rows.join(first, "content_hash").select(key, "content_hash", "n_chars", why.alias("excluded"), level.alias("tier"))
+
+
+def group_label(flag: Column, one: str = "domestic", other: str = "international") -> Column:
+    """The label of a 0/1 flag; anything but 1 counts as 0."""
+    return F.when(flag == 1, one).otherwise(other)
+
+
+def has_category(categories: Column, number: int = 30, word: str = "workshop") -> Column:
+    """Whether any of the structs (id, description) has this id or names the word; false for none."""
+    return F.coalesce(F.exists(categories, lambda c: F.coalesce(c["id"] == number, F.lit(False)) | F.contains(F.lower(F.coalesce(c["description"], F.lit(""))), F.lit(word))), F.lit(False))
+
+
+def created_time(files: DataFrame, first: int = 9) -> DataFrame:
+    """files(row_id, file, size, modified) -> (file, modified): the data's age.
+
+    The least of the ids 1 to ``first`` that has a non-empty file tells it, else the earliest non-empty file.
+    """
+    rank = F.when(F.col("row_id").between(1, first), F.col("row_id")).otherwise(first + 1)
+    key = F.struct(rank.alias("r"), F.when(rank > first, F.col("modified")).alias("m"), "file")
+    return files.where("size > 0").agg(F.min_by(F.struct("file", "modified"), key).alias("z")).where("z is not null").select("z.*")
+
+
+def corpus_view(df: DataFrame, key: str, title: str, description: str, requires: str | None = None) -> DataFrame:
+    """(key, text): title, a blank line, description, and a line ``Requires: ...`` if an array of names is given and not empty."""
+    more = [F.when(F.size(requires) > 0, F.concat(F.lit("Requires: "), F.array_join(requires, ", ")))] if requires else []
+    return df.select(key, F.concat_ws("\n\n", F.nullif(F.trim(title), F.lit("")), F.nullif(F.trim(description), F.lit("")), *more).alias("text"))

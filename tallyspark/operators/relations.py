@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import rank_desc
+from .scan import rank_desc, row_numbers
 
 
 def missing_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -52,10 +52,9 @@ def ranked_subset(items: DataFrame, subset: DataFrame, key: str, value: str) ->
 
 
 def positions(items: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, position): 0-based place by value descending, then key, found without ordering all rows in one task."""
-    r = rank_desc(items.select(key, value), value, "_r")
-    inside = F.row_number().over(Window.partitionBy("_r").orderBy(key))
-    return r.select(key, (F.col("_r") + inside - 2).alias("position"))
+    """(key, position): 0-based place by value descending, then key, found without ordering all rows, or all ties, in one task."""
+    r = row_numbers(items.select(key, value), [F.desc(value), F.col(key)], "_r")
+    return r.select(key, (F.col("_r") - 1).alias("position"))
 
 
 def sorted_by_position(rows: DataFrame, places: DataFrame, key: str, default: int = 2**62) -> DataFrame:
@@ -72,6 +71,18 @@ def page_urls(tags: DataFrame, tag: str, count: str, base: str, per_page: int =
     return rows.select(tag, "page", F.concat(F.lit(base + "?p="), F.col("page").cast("string"), F.lit("&requiredtags%5B%5D="), form_encode(F.col(tag))).alias("url"))
 
 
+def all_page_urls(tags: DataFrame, tag: str, count: str, total: DataFrame, items: str, base: str, per_page: int = 30, most: int = 1667) -> DataFrame:
+    """(place, tag, page, url): the pages of each tag, then those without a tag (null) up to ``items`` of the one-row table total.
+
+    Tags keep their order by the column ``place`` of tags; place orders the result.
+    """
+    tagged = page_urls(tags, tag, count, base, per_page, most).join(tags.select(tag, "place"), tag)
+    pages = F.least(F.lit(most), F.ceil(F.col(items) / per_page)).cast("int")
+    plain = total.where(F.col(items) > 0).select(F.explode(F.sequence(F.lit(1), pages)).alias("page"))
+    plain = plain.select(F.lit(None).cast("string").alias(tag), "page", F.concat(F.lit(base + "?p="), F.col("page").cast("string")).alias("url"), F.lit(2**62).alias("place"))
+    return tagged.select(tag, "page", "url", "place").unionByName(plain).select(F.struct("place", "page").alias("place"), tag, "page", "url")
+
+
 def prefer(detail: DataFrame, browse: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """All keys of both; detail's values where it has them."""
     a = detail.select(key, *[F.col(c).alias(f"_a_{c}") for c in columns])
@@ -95,3 +106,35 @@ def check_violations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """(check, violations): rows for which each condition is not true, in one pass."""
     one = df.agg(*[F.count_if(~F.coalesce(c, F.lit(False))).alias(k) for k, c in checks.items()])
     return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("violations")) for k in checks])))
+
+
+def authors(browse: DataFrame, author: str, order: list[str]) -> DataFrame:
+    """(username, has_han): each normalised, non-blank name once, with the flag of its last sighting."""
+    from ..functions.text import has_han, username
+
+    seen = browse.where(F.trim(author) != "").select(username(F.col(author)).alias("username"), *order).where("username <> ''")
+    return last_wins(seen.withColumn("has_han", has_han(F.col("username"))), ["username"], order, ["has_han"])
+
+
+def with_authors(items: DataFrame, browse: DataFrame, names: DataFrame, flags: DataFrame, key: str) -> DataFrame:
+    """Items with their author's flag (0 if the author or its row is missing), without private-like ones and without null or negative use."""
+    from .derive import in_scope
+
+    able = in_scope(items, flags, key).where("subscribers is not null and subscribers >= 0")
+    known = able.join(browse.select(key, "author"), key, "left").join(names.select(F.col("username").alias("author"), "has_han"), "author", "left")
+    return known.select(key, "subscribers", F.coalesce("has_han", F.lit(0)).alias("has_han"))
+
+
+def by_flagged_author(items: DataFrame, browse: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """Items whose author's flag is 1, with the author."""
+    flagged = names.where("has_han = 1").select(F.col("username").alias("author"))
+    return items.join(browse.select(key, "author"), key).join(flagged, "author", "left_semi")
+
+
+def missing_columns(spark, required: dict[str, list[str]]) -> DataFrame:
+    """(table, column): what the session's catalogue lacks of the required tables and columns; column is null for a whole table."""
+    lacks = []
+    for table, columns in required.items():
+        there = {c.name for c in spark.catalog.listColumns(table)} if spark.catalog.tableExists(table) else None
+        lacks += [(table, None)] if there is None else [(table, c) for c in columns if c not in there]
+    return spark.createDataFrame(lacks, "table string, column string")

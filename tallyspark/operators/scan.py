@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import Scratch
+
 BUCKETS = 64
 
 
@@ -17,9 +19,14 @@ def value_runs(df: DataFrame, value: str, group_cols: list[str] | None = None) -
 def bucket_of(df: DataFrame, value: str, buckets: int = BUCKETS) -> Column:
     """Range bucket of a numeric column by approximate quantiles; at most ``buckets`` bounds reach the driver."""
     bounds = sorted(set(df.stat.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
-    if not bounds:
-        return F.lit(0)
-    return F.aggregate(F.array(*map(F.lit, bounds)), F.lit(0), lambda n, b: n + (F.col(value) > b).cast("int"))
+
+    def among(lo: int, hi: int) -> Column:  # binary search
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(value) > bounds[mid], among(mid + 1, hi)).otherwise(among(lo, mid))
+
+    return among(0, len(bounds))
 
 
 def running_totals(df: DataFrame, value: str, sums: dict[str, Column], group_cols: list[str] | None = None, descending: bool = False) -> DataFrame:
@@ -51,3 +58,15 @@ def rank_desc(df: DataFrame, value: str, name: str = "rank") -> DataFrame:
     """RANK() OVER (ORDER BY value DESC): ranks of distinct values, joined back."""
     runs = running_totals(value_runs(df, value), "v", {"c": F.col("c")}, descending=True)
     return df.join(runs.select(F.col("v").alias(value), (F.col("c_before") + 1).alias(name)), value)
+
+
+def row_numbers(df: DataFrame, order: list[Column], name: str = "row") -> DataFrame:
+    """Adds the 1-based place of each row in a total order, by range partitions and the counts before each.
+
+    The ranges are saved before they are counted, so that a second look finds the same ones.
+    """
+    parts = Scratch(df.sparkSession, "ranges").save(df.repartitionByRange(BUCKETS, *order).withColumn("_part", F.spark_partition_id()))
+    upto = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return parts.join(F.broadcast(counts), "_part").withColumn(name, inside + F.col("_before")).drop("_part", "_before")

@@ -14,19 +14,45 @@ THRESHOLDS = (100, 500, 1000, 5000, 10000)
 BUCKETS = ((0, 99, "0_99"), (100, 999, "100_999"), (1000, 4999, "1000_4999"), (5000, 9999, "5000_9999"), (10000, 49999, "10000_49999"), (50000, None, "50000_plus"))
 
 
+def quantiles(df: DataFrame, value: str, percents, group_cols: list[str] | None = None) -> DataFrame:
+    """(groups, p...): exact percentiles, linear between ranks, named p<percent>; read off the running counts of
+    distinct values, so no task holds the values of a group. Groups without values have no row.
+    """
+    g = group_cols or []
+    r = running_totals(value_runs(df, value, g), "v", {"c": F.col("c")}, g)
+    place = [F.lit(p) * (F.col("c_all") - 1) for p in percents]
+    at = lambda k: F.max(F.when(F.col("c_before") <= k, F.col("v"))).cast("double")
+    got = r.groupBy(*g).agg(F.max("c_all").alias("c_all"), *[at(F.floor(k)).alias(f"_lo{i}") for i, k in enumerate(place)], *[at(F.ceil(k)).alias(f"_hi{i}") for i, k in enumerate(place)])
+    between = lambda i, k: F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (k - F.floor(k))
+    return got.select(*g, *[between(i, k).alias(f"p{round(100 * p)}") for i, (p, k) in enumerate(zip(percents, place, strict=True))])
+
+
+def _beside(left: DataFrame, right: DataFrame, group_cols: list[str] | None) -> DataFrame:
+    """Two tables of one row a group, or of one row each, side by side."""
+    g = group_cols or ["_k"]
+    a, b = (left, right) if group_cols else (left.withColumn("_k", F.lit(1)), right.withColumn("_k", F.lit(1)))
+    b = b.withColumnsRenamed({c: f"_right_{c}" for c in g})
+    on = F.lit(True)
+    for c in g:
+        on = on & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    return a.join(b, on, "left").drop("_k", *[f"_right_{c}" for c in g])
+
+
 def overview(df: DataFrame, value: str, group_cols: list[str] | None = None) -> DataFrame:
     """n, total, mean, median, population deviation, least and largest; zeros for an empty table."""
     x = F.col(value)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return df.groupBy(*(group_cols or [])).agg(
-        F.count(x).alias("n"), zero(F.sum(x)).alias("total"), zero(F.avg(x)).alias("mean"), zero(F.median(x)).alias("median"),
+    one = df.groupBy(*(group_cols or [])).agg(
+        F.count(x).alias("n"), zero(F.sum(x)).alias("total"), zero(F.avg(x)).alias("mean"),
         zero(F.stddev_pop(x)).alias("std"), zero(F.min(x)).alias("least"), zero(F.max(x)).alias("most"))
+    out = _beside(one, quantiles(df, value, (0.5,), group_cols), group_cols)
+    return out.select(*(group_cols or []), "n", "total", "mean", zero(F.col("p50")).alias("median"), "std", "least", "most")
 
 
 def percentiles(df: DataFrame, value: str, percents=PERCENTS, group_cols: list[str] | None = None) -> DataFrame:
-    """One column a percent, linear interpolation between ranks; exact."""
-    got = df.groupBy(*(group_cols or [])).agg(F.percentile(value, F.array(*map(F.lit, percents))).alias("p"))
-    return got.select(*(group_cols or []), *[F.coalesce(F.col("p")[i], F.lit(0.0)).alias(f"p{round(100 * q)}") for i, q in enumerate(percents)])
+    """One column a percent, linear interpolation between ranks; exact; zeros for an empty table."""
+    got = quantiles(df, value, percents, group_cols)
+    return got.select(*(group_cols or []), *[F.coalesce(F.col(f"p{round(100 * q)}"), F.lit(0.0)).alias(f"p{round(100 * q)}") for q in percents])
 
 
 def _skew(x: Column, n: Column) -> Column:
@@ -55,9 +81,8 @@ def descriptive(df: DataFrame, value: str, group_cols: list[str] | None = None)
     out = df.groupBy(*(group_cols or [])).agg(
         n.alias("n"), F.avg(x).alias("mean"), std.alias("std"), F.when(F.avg(x) != 0, std / F.avg(x)).alias("cv"), F.min(x).alias("least"), F.max(x).alias("most"),
         (F.max(x) - F.min(x)).alias("spread"), _skew(x, n).alias("skewness"), _kurtosis(x, n).alias("kurtosis"),
-        F.count_if(x > 1).alias("above_one"), F.count_if(x == 1).alias("at_one"), F.percentile(x, F.array(*map(F.lit, ps))).alias("p"))
-    cols = [F.col("p")[i].alias(f"p{round(100 * q)}") for i, q in enumerate(ps)]
-    return out.select("*", *cols, (F.col("p")[5] - F.col("p")[3]).alias("iqr")).drop("p")
+        F.count_if(x > 1).alias("above_one"), F.count_if(x == 1).alias("at_one"))
+    return _beside(out, quantiles(df, value, ps, group_cols), group_cols).withColumn("iqr", F.col("p75") - F.col("p25"))
 
 
 def gini(df: DataFrame, value: str, group_cols: list[str] | None = None) -> DataFrame:
@@ -121,12 +146,12 @@ def end_shares(df: DataFrame, value: str, tops=(0.01, 0.05, 0.10), bottoms=(0.10
 
 def quantile_ratios(df: DataFrame, value: str) -> DataFrame:
     """P90/P10, P99/P1 and the Palma ratio; infinite where the denominator is not positive."""
-    p = df.agg(F.percentile(value, F.array(*map(F.lit, (0.90, 0.10, 0.99, 0.01)))).alias("p"))
+    p = quantiles(df, value, (0.90, 0.10, 0.99, 0.01))
     s = end_shares(df, value, (0.10,), (0.40,)).groupBy().agg(
         F.max(F.when(F.col("side") == "top", F.col("share"))).alias("top"), F.max(F.when(F.col("side") == "bottom", F.col("share"))).alias("bottom"))
     over = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(float("inf")))
     one = p.withColumn("_k", F.lit(1)).join(s.withColumn("_k", F.lit(1)), "_k")
-    return one.select(over(F.col("p")[0], F.col("p")[1]).alias("p90_p10"), over(F.col("p")[2], F.col("p")[3]).alias("p99_p1"), over(F.col("top"), F.col("bottom")).alias("palma"))
+    return one.select(over(F.col("p90"), F.col("p10")).alias("p90_p10"), over(F.col("p99"), F.col("p1")).alias("p99_p1"), over(F.col("top"), F.col("bottom")).alias("palma"))
 
 
 def lorenz(df: DataFrame, value: str) -> DataFrame:
@@ -142,7 +167,8 @@ def dagum(df: DataFrame, value: str, group: str, method: str = "reference") -> D
 
     Groups are paired by ascending mean; with prefix counts N and sums S of the lower group below each
     value v, the mean positive difference is sum(c (v N - S)) / (n_h n_k), so no pairs of rows are made.
-    method 'reference' divides pair differences by twice the overall mean and puts what is then missing
+    The tables of groups (one row each) are small and broadcast; each group's values meet each other group's,
+    so this is meant for some dozens of groups. method 'reference' divides pair differences by twice the overall mean and puts what is then missing
     into transvariation; 'textbook' divides by the two groups' means.
     """
     runs = value_runs(df.where(F.col(group).isNotNull()), value, [group]).withColumnRenamed(group, "g")
@@ -155,10 +181,10 @@ def dagum(df: DataFrame, value: str, group: str, method: str = "reference") -> D
     within = parts.agg(F.sum(F.col("gini") * F.col("p") * F.col("s")).alias("within")).withColumn("_k", F.lit(1))
     lo = parts.select(F.col("g").alias("h"), F.col("n").alias("nh"), F.col("m").alias("mh"), F.col("p").alias("ph"), F.col("s").alias("sh"), "_k", "tm")
     hi = parts.select(F.col("g").alias("k"), F.col("n").alias("nk"), F.col("m").alias("mk"), F.col("p").alias("pk"), F.col("s").alias("sk"), "_k")
-    pairs = lo.join(hi, "_k").where("mh < mk or (mh = mk and h < k)")  # as many rows as pairs of groups
+    pairs = lo.join(F.broadcast(hi), "_k").where("mh < mk or (mh = mk and h < k)")  # as many rows as pairs of groups
     # Merge both groups' values: for each pair, running count and sum of the lower one by value.
-    both = pairs.select("h", "k").join(runs.withColumnRenamed("g", "h"), "h").select("h", "k", "v", F.col("c").alias("ch"), F.lit(0).cast("long").alias("ck")).unionByName(
-        pairs.select("h", "k").join(runs.withColumnRenamed("g", "k"), "k").select("h", "k", "v", F.lit(0).cast("long").alias("ch"), F.col("c").alias("ck")))
+    both = runs.withColumnRenamed("g", "h").join(F.broadcast(pairs.select("h", "k")), "h").select("h", "k", "v", F.col("c").alias("ch"), F.lit(0).cast("long").alias("ck")).unionByName(
+        runs.withColumnRenamed("g", "k").join(F.broadcast(pairs.select("h", "k")), "k").select("h", "k", "v", F.lit(0).cast("long").alias("ch"), F.col("c").alias("ck")))
     both = both.groupBy("h", "k", "v").agg(F.sum("ch").alias("ch"), F.sum("ck").alias("ck"))
     r = running_totals(both, "v", {"a": F.col("ch"), "b": F.col("ch") * F.col("v"), "d": F.col("ck"), "e": F.col("ck") * F.col("v")}, ["h", "k"])
     d = r.groupBy("h", "k").agg(F.sum(F.col("ck") * (F.col("v") * F.col("a_before") - F.col("b_before"))).alias("up"), F.sum(F.col("ch") * (F.col("v") * F.col("d_before") - F.col("e_before"))).alias("down"))
@@ -234,12 +260,12 @@ def kde(df: DataFrame, value: str, points: int = 200, pad: float = 0.0, least_pa
 
 def box_stats(df: DataFrame, value: str, group_cols: list[str]) -> DataFrame:
     """Quartiles, whiskers (the last data within 1.5 quartile ranges), mean, n and number of outliers by group."""
-    q = df.where(F.col(value).isNotNull()).groupBy(*group_cols).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    j = df.where(F.col(value).isNotNull()).join(q, group_cols)
-    x, reach = F.col(value), 1.5 * (F.col("q")[2] - F.col("q")[0])
-    ok = (x >= F.col("q")[0] - reach) & (x <= F.col("q")[2] + reach)
-    out = j.groupBy(*group_cols, "q").agg(F.count("*").alias("n"), F.avg(x).alias("mean"), F.min(F.when(ok, x)).alias("whisker_lo"), F.max(F.when(ok, x)).alias("whisker_hi"), F.count_if(~ok).alias("outliers"))
-    return out.select(*group_cols, "n", "mean", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "whisker_lo", "whisker_hi", "outliers")
+    some = df.where(F.col(value).isNotNull())
+    j = _beside(some, quantiles(some, value, (0.25, 0.5, 0.75), group_cols), group_cols)
+    x, reach = F.col(value), 1.5 * (F.col("p75") - F.col("p25"))
+    ok = (x >= F.col("p25") - reach) & (x <= F.col("p75") + reach)
+    out = j.groupBy(*group_cols, "p25", "p50", "p75").agg(F.count("*").alias("n"), F.avg(x).alias("mean"), F.min(F.when(ok, x)).alias("whisker_lo"), F.max(F.when(ok, x)).alias("whisker_hi"), F.count_if(~ok).alias("outliers"))
+    return out.select(*group_cols, "n", "mean", F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3"), "whisker_lo", "whisker_hi", "outliers")
 
 
 #: Fixed values: (rank, multiple of the average, multiple of the top).

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import row_numbers
+
 
 def start(urls: DataFrame, id_col: str, url: str) -> DataFrame:
     return urls.select(F.col(id_col).alias("id"), F.col(url).alias("url"), F.lit("pending").alias("status"), F.lit(0).alias("retry_count"))
@@ -86,11 +88,57 @@ def breaker(df: DataFrame, key: str, order: str, failed: Column, degrade: int =
     return x.select(key, order, n.alias("failures"), state.alias("state"))
 
 
+def standing(df: DataFrame, key: str, order: str, at: str, failed: Column, now: Column, quarantine_s: float = 900.0) -> DataFrame:
+    """(key, failures, state) at the time ``now``: the state after the last row, a quarantine that has run out being degraded.
+
+    A quarantine lasts ``quarantine_s`` seconds from the failure that set or renewed it.
+    """
+    each = breaker(df.withColumn("_f", failed), key, order, F.col("_f")).join(df.select(key, order, at), [key, order])
+    last = each.groupBy(key).agg(F.max_by(F.struct("failures", "state", at), F.col(order)).alias("z")).select(key, "z.*")
+    over = F.col(at).cast("timestamp").cast("double") + quarantine_s <= now.cast("double")
+    return last.select(key, "failures", F.when((F.col("state") == "quarantined") & over, "degraded").otherwise(F.col("state")).alias("state"))
+
+
 def choose_egress(ports: DataFrame) -> DataFrame:
     """ports(port, state, busy, last_used) in the order to use them: healthy before degraded, idle, least recently used."""
-    order = F.when(F.col("state") == "healthy", 0).when(F.col("state") == "degraded", 1)
-    w = Window.orderBy(order, F.col("busy"), F.col("last_used").asc_nulls_first(), "port")  # as many rows as ports
-    return ports.where(order.isNotNull()).withColumn("choice", F.row_number().over(w))
+    rank = F.when(F.col("state") == "healthy", 0).when(F.col("state") == "degraded", 1)
+    able = ports.withColumn("_rank", rank).where("_rank is not null")
+    return row_numbers(able, [F.col("_rank"), F.col("busy"), F.col("last_used").asc_nulls_first(), F.col("port")], "choice").drop("_rank")
+
+
+def grade_counts(graded: DataFrame) -> DataFrame:
+    """(grade, ports, pct) of A, B, C and F, empty ones too."""
+    g = graded.groupBy("grade").agg(F.count("*").alias("ports"))
+    every = graded.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, "ABCF"))).alias("grade"), F.lit(1).alias("_k"))
+    total = graded.agg(F.count("*").alias("_t")).withColumn("_k", F.lit(1))
+    n = F.coalesce("ports", F.lit(0))
+    return every.join(g, "grade", "left").join(F.broadcast(total), "_k").select("grade", n.alias("ports"), F.when(F.col("_t") > 0, 100.0 * n / F.col("_t")).otherwise(0.0).alias("pct"))
+
+
+def worst_first(graded: DataFrame, key: str) -> DataFrame:
+    """Adds place: F before C, B and A, then by key."""
+    order = F.when(F.col("grade") == "F", 0).when(F.col("grade") == "C", 1).when(F.col("grade") == "B", 2).otherwise(3)
+    return row_numbers(graded.withColumn("_o", order), [F.col("_o"), F.col(key)], "place").drop("_o")
+
+
+def to_review(state: DataFrame, most: int) -> DataFrame:
+    """(why, id): rows out of retries, and rows that don't exist."""
+    why = F.when((F.col("status") == "fail") & (F.col("retry_count") >= most), "exhausted").when(F.col("status") == "invalid", "invalid")
+    return state.select(why.alias("why"), "id").where("why is not null")
+
+
+def gap_sweeps(gaps: DataFrame, attempts: DataFrame, key: str, budget: int = 5) -> DataFrame:
+    """gaps(key), attempts(key, seq, ok) -> (key, used, state): what sweeps of one attempt a gap make of each.
+
+    The first good attempt within the budget fills a gap; without one it is exhausted once the budget is used,
+    and open before. Attempts beyond the budget or after a good one are not made.
+    """
+    w = Window.partitionBy(key).orderBy("seq")
+    made = attempts.join(gaps.select(key), key, "left_semi").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= budget)
+    per = made.groupBy(key).agg(F.max("_n").alias("_made"), F.min(F.when(F.col("ok"), F.col("_n"))).alias("_good"))
+    used = F.coalesce("_good", "_made", F.lit(0))
+    state = F.when(F.col("_good").isNotNull(), "filled").when(used >= budget, "exhausted").otherwise("open")
+    return gaps.select(key).distinct().join(per, key, "left").select(key, used.cast("int").alias("used"), state.alias("state"))
 
 
 def consensus(first: Column, second: Column) -> Column:
@@ -106,3 +154,13 @@ def answer_class(text: Column) -> Column:
 def unfinished(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What a checkpoint of finished keys leaves to do."""
     return items.join(done.select(key), key, "left_anti")
+
+
+def valid_done(done: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """A checkpoint's rows whose key is still among the items."""
+    return done.join(items.select(key), key, "left_semi")
+
+
+def write_checkpoint(done: DataFrame, key: str, value: str, root: str) -> None:
+    """Finished keys with their class as JSON lines, one folder a class, replacing what is there."""
+    done.select(key, value).write.mode("overwrite").partitionBy(value).json(root)

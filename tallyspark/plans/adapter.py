@@ -16,12 +16,12 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as items: (mod_id, mod_name, subscribers, exposure, favorites, lang, source)."""
     d, q = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels").select("doc_id", "quality")
     words = F.regexp_count("text", F.lit(r"\S+")).cast("long")
-    return d.join(q, "doc_id", "left").select(F.col("doc_id").alias("mod_id"), F.left("text", F.lit(60)).alias("mod_name"), F.col("n_chars").alias("subscribers"),
+    return d.join(q, "doc_id", "left").select(F.col("doc_id").alias("mod_id"), F.col("text").alias("mod_name"), F.col("n_chars").alias("subscribers"),
                                               (words * 6).alias("exposure"), F.coalesce("quality", F.lit(0)).alias("favorites"), "lang", "source")
 
 
 #: The same as SQL.
-ITEMS_SQL = r"""mods AS (SELECT d.doc_id AS mod_id, left(d.text, 60) AS mod_name, d.n_chars AS subscribers,
+ITEMS_SQL = r"""mods AS (SELECT d.doc_id AS mod_id, d.text AS mod_name, d.n_chars AS subscribers,
   6 * len(regexp_extract_all(d.text, '\S+')) AS exposure, coalesce(l.quality, 0) AS favorites, d.lang, d.source
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import derive, relations, stats, work_queue
+from ..operators.scan import running_totals
 from ..sources import markup
 from . import adapter, report
 from .adapter import FLAGS_SQL, ITEMS_SQL, RATIOS_SQL, load
@@ -247,21 +248,23 @@ def q_anti_gap(spark, d):
     return relations.missing_in(load(spark, d, "documents"), load(spark, d, "labels"), "doc_id").select("doc_id")
 
 
-@query("""WITH e AS (SELECT i AS page_id FROM range(0, 300) t(i)) SELECT coalesce(e.page_id, p.page_id) AS page_id,
-CASE WHEN e.page_id IS NULL THEN 'extra' WHEN p.page_id IS NULL THEN 'missing' WHEN strpos(html, '<article>') > 0 THEN 'ok' ELSE 'invalid' END AS status FROM e FULL JOIN (SELECT * FROM pages WHERE page_id % 7 <> 0 OR page_id > 200) p USING (page_id)""")
+_COVERAGE = """c AS (SELECT coalesce(p.page_id, l.doc_id) AS page_id, CASE WHEN p.page_id IS NULL THEN 'extra' WHEN l.doc_id IS NULL THEN 'missing' WHEN quality = 1 THEN 'ok' ELSE 'invalid' END AS status
+FROM pages p FULL JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l ON p.page_id = l.doc_id)"""
+
+
+@query(f"WITH {_COVERAGE} SELECT page_id, status FROM c")
 def q_coverage(spark, d):
-    there = load(spark, d, "pages").where("page_id % 7 <> 0 or page_id > 200")
-    return relations.coverage(spark.range(300).select(F.col("id").alias("page_id")), there, "page_id", F.contains("html", F.lit("<article>")))
+    """Pages against labels: which are labelled, well or badly, which aren't, and labels of no page."""
+    there = load(spark, d, "labels").select(F.col("doc_id").alias("page_id"), "quality")
+    return relations.coverage(load(spark, d, "pages"), there, "page_id", F.col("quality") == 1)
 
 
 _SEEN = "seen AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rank FROM events)"
 
 
 def _seen(spark, d):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("event_type").orderBy("event_id")
-    return load(spark, d, "events").select("user_id", "event_type", "event_id", F.row_number().over(w).cast("long").alias("rank"))
+    e = running_totals(load(spark, d, "events").select("user_id", "event_type", "event_id"), "event_id", {"c": F.lit(1)}, ["event_type"])
+    return e.select("user_id", "event_type", "event_id", (F.col("c_before") + 1).cast("long").alias("rank"))
 
 
 @query(f"WITH {_SEEN} SELECT user_id, arg_min(event_type, event_id) AS first_type, arg_max(event_type, event_id) AS last_type FROM seen GROUP BY user_id")
@@ -390,39 +393,74 @@ def q_breaker(spark, d):
     return work_queue.breaker(_attempts(spark, d), "port", "event_id", ~F.col("ok"))
 
 
-_STATE = "state AS (SELECT page_id AS id, url, CASE page_id % 5 WHEN 0 THEN 'success' WHEN 1 THEN 'fail' WHEN 2 THEN 'invalid' ELSE 'pending' END AS status, CAST(CASE WHEN page_id % 5 = 1 THEN page_id % 4 ELSE 0 END AS INT) AS retry_count FROM pages)"
+#: A page's state by its length, as if a run had been broken off.
+_STATE = """state AS (SELECT page_id AS id, url, CASE length(html) % 5 WHEN 0 THEN 'success' WHEN 1 THEN 'fail' WHEN 2 THEN 'invalid' ELSE 'pending' END AS status,
+CAST(CASE WHEN length(html) % 5 = 1 THEN length(url) % 4 ELSE 0 END AS INT) AS retry_count FROM pages)"""
 
 
 def _state(spark, d):
-    i = F.col("page_id")
-    status = F.when(i % 5 == 0, "success").when(i % 5 == 1, "fail").when(i % 5 == 2, "invalid").otherwise("pending")
-    return load(spark, d, "pages").select(i.alias("id"), "url", status.alias("status"), F.when(i % 5 == 1, i % 4).otherwise(0).cast("int").alias("retry_count"))
+    i = F.length("html") % 5
+    status = F.when(i == 0, "success").when(i == 1, "fail").when(i == 2, "invalid").otherwise("pending")
+    return load(spark, d, "pages").select(F.col("page_id").alias("id"), "url", status.alias("status"), F.when(i == 1, F.length("url") % 4).otherwise(0).cast("int").alias("retry_count"))
 
 
 def _results(spark, d):
-    i = F.col("page_id")
-    return load(spark, d, "pages").where((i % 5).isin(1, 3, 4) & (i % 11 != 0)).select(i.alias("id"), (i % 3 == 0).alias("ok"), F.when(i % 3 == 1, 404).otherwise(500).alias("status_code"))
+    """A labelled page has been tried: good, gone or failed."""
+    own = load(spark, d, "labels").groupBy(F.col("doc_id").alias("id")).agg((F.max("quality") == 1).alias("ok"), F.max("toxic").alias("_t"))
+    return own.select("id", "ok", F.when(F.col("_t") == 1, 404).otherwise(500).alias("status_code"))
 
 
-@query(f"""WITH {_STATE} SELECT id, url, CASE WHEN id % 5 NOT IN (1, 3, 4) OR id % 11 = 0 THEN status WHEN id % 3 = 0 THEN 'success' WHEN id % 3 = 1 THEN 'invalid' ELSE 'fail' END AS status,
-CASE WHEN id % 5 IN (1, 3, 4) AND id % 11 <> 0 AND id % 3 = 2 THEN retry_count + 1 ELSE retry_count END AS retry_count FROM state""")
+@query(f"""WITH {_STATE}, r AS (SELECT doc_id AS id, max(quality) = 1 AS ok, max(toxic) = 1 AS gone FROM labels GROUP BY doc_id)
+SELECT s.id, url, CASE WHEN ok IS NULL THEN status WHEN ok THEN 'success' WHEN gone THEN 'invalid' ELSE 'fail' END AS status,
+CASE WHEN NOT ok AND NOT gone THEN retry_count + 1 ELSE retry_count END AS retry_count FROM state s LEFT JOIN r ON s.id = r.id""")
 def q_queue_step(spark, d):
     return work_queue.step(_state(spark, d), _results(spark, d), True)
 
 
+@query(f"""WITH {_STATE}, r AS (SELECT doc_id AS id, max(quality) = 1 AS ok, max(toxic) = 1 AS gone FROM labels GROUP BY doc_id)
+SELECT s.id, url, CASE WHEN ok IS NULL THEN status WHEN ok THEN 'success' WHEN gone THEN 'invalid' ELSE 'fail' END AS status,
+CASE WHEN NOT ok AND NOT gone THEN 0 ELSE retry_count END AS retry_count FROM state s LEFT JOIN r ON s.id = r.id""")
+def q_queue_step_full(spark, d):
+    return work_queue.step(_state(spark, d), _results(spark, d), False)
+
+
+@query("SELECT page_id AS id, url, 'pending' AS status, CAST(0 AS INT) AS retry_count FROM pages")
+def q_queue_start(spark, d):
+    return work_queue.start(load(spark, d, "pages"), "page_id", "url")
+
+
 @query(f"WITH {_STATE} SELECT 'full' AS phase, count(*) FILTER (status = 'pending') AS todo, CAST(NULL AS INT) AS least_retry FROM state")
 def q_queue_phase(spark, d):
     return work_queue.phase(_state(spark, d), 3)
 
 
-@query(f"WITH {_STATE} SELECT id, url, status, retry_count FROM state WHERE status = 'fail' AND retry_count < 3 ORDER BY retry_count, id LIMIT 15")
+@query(f"WITH {_STATE} SELECT * FROM state WHERE status = 'pending' ORDER BY id LIMIT 15")
 def q_queue_pick(spark, d):
-    return work_queue.pick(_state(spark, d).where("status <> 'pending'"), 3, 15)
+    return work_queue.pick(_state(spark, d), 3, 15)
+
+
+@query(f"WITH {_STATE} SELECT id, url, 'fail' AS status, retry_count FROM state WHERE status IN ('fail', 'pending') AND retry_count < 3 ORDER BY retry_count, id LIMIT 15")
+def q_queue_pick_retry(spark, d):
+    """All that was pending has failed once."""
+    failed = F.when(F.col("status") == "pending", "fail").otherwise(F.col("status"))
+    return work_queue.pick(_state(spark, d).withColumn("status", failed), 3, 15)
 
 
-@query(f"WITH {_STATE} SELECT id, url, CASE WHEN id % 2 = 0 AND status IN ('pending', 'fail') THEN 'success' ELSE status END AS status, retry_count FROM state")
+@query(f"WITH {_STATE} SELECT s.id, url, CASE WHEN g.id IS NOT NULL AND status IN ('pending', 'fail') THEN 'success' ELSE status END AS status, retry_count FROM state s LEFT JOIN (SELECT DISTINCT doc_id AS id FROM labels WHERE quality = 1) g ON s.id = g.id")
 def q_queue_sync(spark, d):
-    return work_queue.sync_saved(_state(spark, d), load(spark, d, "pages").where("page_id % 2 = 0").select(F.col("page_id").alias("id")))
+    return work_queue.sync_saved(_state(spark, d), load(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("id")))
+
+
+@query(f"WITH {_STATE} SELECT * FROM state")
+def q_queue_checked(spark, d):
+    """The state passes as long as as many pages are saved as are done."""
+    state = _state(spark, d)
+    return work_queue.checked_count(state, state.where("status = 'success'").count())
+
+
+@query(f"WITH {_STATE} SELECT CASE WHEN status = 'fail' THEN 'exhausted' ELSE 'invalid' END AS why, id FROM state WHERE status = 'invalid' OR (status = 'fail' AND retry_count >= 2)")
+def q_queue_review(spark, d):
+    return work_queue.to_review(_state(spark, d), 2)
 
 
 @query("""WITH v AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 2 ELSE quality END AS a, CASE WHEN doc_id % 7 = 0 THEN 2 ELSE toxic END AS b FROM labels)
@@ -444,7 +482,7 @@ def q_egress_choice(spark, d):
     k, n = F.col("c_custkey"), F.col("c_nationkey") % 3
     ports = load(spark, d, "customer").select(k.alias("port"), F.when(n == 0, "healthy").when(n == 1, "degraded").otherwise("quarantined").alias("state"),
                                               (k % 2 == 1).alias("busy"), F.when(k % 5 > 0, F.col("c_acctbal")).alias("last_used"))
-    return work_queue.choose_egress(ports).select("port", "choice")
+    return work_queue.choose_egress(ports).select("port", F.col("choice").cast("int").alias("choice"))
 
 
 @query("SELECT event_id, CAST(CASE WHEN props = '' THEN NULL ELSE nullif(regexp_extract(props, '[012]'), '') END AS INT) AS answer FROM events")
@@ -489,21 +527,25 @@ def q_page_status(spark, d):
     return p.select("page_id", markup.page_status(F.col("html"), "<nav>").alias("status"), markup.is_invalid(F.col("html")).alias("is_invalid"))
 
 
-@query()
+@query(r"""WITH x AS (SELECT doc_id // 5 AS page, doc_id, source, trim(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS t FROM documents)
+SELECT page, 'Trade' AS tag, page * 5 + row_number() OVER (PARTITION BY page ORDER BY doc_id) AS rank, CAST(doc_id AS VARCHAR) AS item_id, t AS title, t AS description, '4-star' AS star_rating,
+source AS author, 'https://catalogue.example/item?id=' || doc_id AS detail_url FROM x""")
 def q_list_pages(spark, d):
     """Five items to a list page made of documents, parsed back."""
     docs = load(spark, d, "documents").where("doc_id is not null")
-    payload = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.left("text", F.lit(40)).alias("title"), F.left("text", F.lit(80)).alias("description")))
+    payload = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("title"), F.col("text").alias("description")))
     row = F.concat(F.lit('<img class="fileRating" src="https://x.example/4-star.png?v=1"><a class="workshop_author_link" href="#">by '), F.coalesce("source", F.lit("")),
                    F.lit("</a><script>" + markup.HOVER + "(1, "), payload, F.lit(")</script>"))
     rows = docs.select(F.floor(F.col("doc_id") / 5).alias("page"), "doc_id", row.alias("row"))
     page = rows.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "row"))), lambda z: z["row"]), "").alias("rows"))
     html = F.concat(F.lit('<script>var paramsGET = {"requiredtags":["Trade"]};</script><div class="workshopBrowsePagingInfo">Showing '), (F.col("page") * 5 + 1).cast("string"),
                     F.lit("-9 of</div><div " + markup.ITEMS_FROM + ">"), "rows", F.lit("</div><div " + markup.ITEMS_TO + "></div>"))
-    return markup.list_rows(page.select("page", html.alias("html")), "page", "html", "https://catalogue.example/item?id=")
+    out = markup.list_rows(page.select("page", html.alias("html")), "page", "html", "https://catalogue.example/item?id=")
+    return out.withColumn("rank", F.col("rank").cast("long"))
 
 
-@query()
+@query(rf"""{M} SELECT CAST(mod_id AS VARCHAR) AS item_id, trim(regexp_replace(mod_name, '\s+', ' ', 'g')) AS name, CAST(exposure AS INT) AS exposure, CAST(subscribers AS INT) AS subscribers,
+CAST(favorites AS INT) AS favorites, ['Economy and Buildings', 'Map'] AS tags FROM mods WHERE trim(regexp_replace(mod_name, '\s+', ' ', 'g')) <> ''""")
 def q_detail_pages(spark, d):
     """Item pages made of documents, parsed back."""
     m = adapter.items(spark, d)
@@ -515,10 +557,11 @@ def q_detail_pages(spark, d):
 
 # Corpus map
 
-_CORPUS = r"""c AS (SELECT doc_id, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS content_hash, CAST(length(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS INT) AS n_chars FROM documents)"""
+_CORPUS = r"""c AS (SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x,
+  '(?i)^\s*(https?://\S+|(version|v)\s*[\d.]+|(license|licence|copyright|all rights reserved|terms of|subscribe|please)\b.*|\W*)\s*$'))) = 0 AS bare, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS content_hash, CAST(length(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS INT) AS n_chars FROM documents)"""
 
 
-@query(f"""WITH {_CORPUS} SELECT doc_id, content_hash, n_chars, CASE WHEN n_chars < 100 THEN 'too_short' WHEN doc_id <> min(doc_id) OVER (PARTITION BY content_hash) THEN 'duplicate' END AS excluded,
+@query(f"""WITH {_CORPUS} SELECT doc_id, content_hash, n_chars, CASE WHEN n_chars < 100 THEN 'too_short' WHEN doc_id <> min(doc_id) OVER (PARTITION BY content_hash) THEN 'duplicate' WHEN bare THEN 'boilerplate_only' END AS excluded,
 CASE WHEN n_chars >= 2000 THEN 'A' WHEN n_chars >= 500 THEN 'B' ELSE 'C' END AS tier FROM c""")
 def q_corpus_tiers(spark, d):
     return derive.corpus_rows(load(spark, d, "documents"), "doc_id", "text")
@@ -548,28 +591,90 @@ def q_label_spread(spark, d):
 
 # Reports
 
-@query()
+def _figures(ord_: int, block: str, relation: str, figures: dict[str, str], key: str = "") -> str:
+    """SQL rows (ord, block, key, metric, value) of a relation's aggregates, by key if one is given."""
+    cols = ", ".join(f"CAST({x} AS DOUBLE) AS m{i}" for i, x in enumerate(figures.values()))
+    rows = ", ".join(f"{{'metric': '{k}', 'value': m{i}}}" for i, k in enumerate(figures))
+    one = f"SELECT CAST({key or chr(39) * 2} AS VARCHAR) AS key, {cols} FROM {relation}" + (f" GROUP BY {key}" if key else "")
+    return f"SELECT {ord_} AS ord, '{block}' AS block, key, r.metric AS metric, round(r.value, 6) AS value FROM (SELECT key, unnest([{rows}]) AS r FROM ({one}))"
+
+
+def _statistic_sql() -> str:
+    over = lambda p: {"n": "count(v)", "total": "coalesce(sum(v), 0)", "mean": "avg(v)", "median": "median(v)", "std": "stddev_pop(v)", "least": "min(v)", "most": "max(v)"}
+    pct = lambda ps: {f"p{round(100 * p)}": f"quantile_cont(v, {p})" for p in ps}
+    gini = {"gini": "2.0 * sum(a * v) / (count(*) * sum(v)) - (count(*) + 1.0) / count(*)"}
+    share = lambda c: f"CAST(sum(v) FILTER ({c}) AS DOUBLE) / any_value(t)"
+    top = "(SELECT k.key AS kk, k.c AS c, o.* FROM o, k)"
+    desc = {"n": "count(*)", "mean": "avg(ratio)", "std": "stddev_samp(ratio)", "cv": "stddev_samp(ratio) / avg(ratio)", "least": "min(ratio)", "most": "max(ratio)", "spread": "max(ratio) - min(ratio)",
+            "skewness": "avg(pow((ratio - m) / s, 3))", "kurtosis": "avg(pow((ratio - m) / s, 4)) - 3", "above_one": "count(*) FILTER (ratio > 1)", "at_one": "count(*) FILTER (ratio = 1)",
+            **{f"p{round(100 * p)}": f"quantile_cont(ratio, {p})" for p in (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)}, "iqr": "quantile_cont(ratio, 0.75) - quantile_cont(ratio, 0.25)"}
+    blocks = [
+        _figures(1, "scope", "flags", {"items": "count(*)", "private_like": "count(*) FILTER (is_private_like = 1)", "in_scope": "count(*) FILTER (is_private_like = 0)", "private_share": "avg(CASE WHEN is_private_like = 1 THEN 1.0 ELSE 0 END)"}),
+        _figures(2, "all", "o", over(0)), _figures(3, "all", "o", pct(stats.PERCENTS)),
+        _figures(4, "all_top", top, {"count": "least(any_value(c), any_value(n))", "share_items": "least(any_value(c), any_value(n)) / any_value(n)", "sum": "sum(v) FILTER (i <= c)", "share_total": share("i <= c")}, "kk"),
+        _figures(5, "all", "o", {"hhi": "sum(CAST(v AS DOUBLE) * v) / pow(sum(v), 2)"}), _figures(6, "all", "o", gini),
+        _figures(7, "all_pareto", "(SELECT target AS kk, o.* FROM o, (SELECT CAST(unnest([0.5, 0.8, 0.9]) AS DOUBLE) AS target) WHERE CAST(s AS DOUBLE) / t >= target - 1e-12)", {"needed": "min(i)", "share": "CAST(min(i) AS DOUBLE) / any_value(n)"}, "kk"),
+        _figures(8, "all_at_least", "(SELECT unnest([100, 500, 1000, 5000, 10000]) AS kk), o", {"items": "count(*) FILTER (v >= kk)", "share": "count(*) FILTER (v >= kk) / count(*)"}, "kk"),
+        _figures(9, "all_bucket", "(VALUES (0, 99, '0_99'), (100, 999, '100_999'), (1000, 4999, '1000_4999'), (5000, 9999, '5000_9999'), (10000, 49999, '10000_49999'), (50000, 9000000000, '50000_plus')) b(lo, hi, kk), o",
+                 {"items": "count(*) FILTER (v BETWEEN lo AND hi)", "share": "count(*) FILTER (v BETWEEN lo AND hi) / count(*)"}, "kk"),
+        _figures(10, "scope_use", "oi", over(0)), _figures(11, "scope_use", "oi", pct((0.01, 0.1, 0.5, 0.9, 0.99))),
+        _figures(12, "scope_share", "(VALUES ('top_1', 0.01), ('top_5', 0.05), ('top_10', 0.1), ('bottom_10', 0.1), ('bottom_20', 0.2)) b(kk, p), oi",
+                 {"share": share("CASE WHEN kk LIKE 'top%' THEN i ELSE a END <= greatest(1, ceil(n * CAST(p AS DOUBLE)))")}, "kk"),
+        _figures(13, "scope_use", "oi", {"p90_p10": "quantile_cont(v, 0.9) / quantile_cont(v, 0.1)", "p99_p1": "quantile_cont(v, 0.99) / quantile_cont(v, 0.01)",
+                                          "palma": "CAST(sum(v) FILTER (i <= greatest(1, ceil(n * CAST(0.1 AS DOUBLE)))) AS DOUBLE) / sum(v) FILTER (a <= greatest(1, ceil(n * CAST(0.4 AS DOUBLE))))"}),
+        _figures(14, "scope_use", "oi", gini),
+        _figures(15, "ratio", "(SELECT *, avg(ratio) OVER () AS m, stddev_samp(ratio) OVER () AS s FROM ratios)", desc),
+        _figures(16, "ratio_tier", "(SELECT t AS kk, ratio FROM range(4) r(t) LEFT JOIN ratios ON tier = t)", {"n": "count(ratio)", "mean": "avg(ratio)", "median": "median(ratio)"}, "kk")]
+    ordered = lambda rel: f"""SELECT subscribers AS v, row_number() OVER (ORDER BY subscribers DESC) AS i, row_number() OVER (ORDER BY subscribers) AS a,
+  count(*) OVER () AS n, sum(subscribers) OVER () AS t, sum(subscribers) OVER (ORDER BY subscribers DESC ROWS UNBOUNDED PRECEDING) AS s FROM {rel}"""
+    return f"""{MR}, o AS ({ordered('mods')}), oi AS ({ordered('mods JOIN flags USING (mod_id) WHERE is_private_like = 0')}),
+k AS (SELECT unnest(['top_10', 'top_50', 'top_100', 'top_1pct', 'top_5pct', 'top_10pct']) AS key,
+  unnest([10, 50, 100, greatest(1, round_even(n * CAST(0.01 AS DOUBLE), 0)), greatest(1, round_even(n * CAST(0.05 AS DOUBLE), 0)), greatest(1, round_even(n * CAST(0.1 AS DOUBLE), 0))]) AS c FROM (SELECT any_value(n) AS n FROM o))
+""" + "\nUNION ALL ".join(blocks)
+
+
+@query(_statistic_sql())
 def q_statistic_table(spark, d):
     m = adapter.items(spark, d)
-    return report.statistic_table(m, adapter.flags(m), adapter.ratios(m))
+    return rounded(report.statistic_table(m, adapter.flags(m), adapter.ratios(m)), "value")
 
 
 @query()
 def q_statistic_text(spark, d):
-    return report.as_text(q_statistic_table(spark, d))
+    m = adapter.items(spark, d)
+    return report.as_text(report.statistic_table(m, adapter.flags(m), adapter.ratios(m)))
 
 
 @query("""WITH g AS (SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
 SELECT 'description' AS field, 'labelled documents' AS value UNION ALL SELECT 'items', CAST(count(*) AS VARCHAR) FROM labels UNION ALL SELECT 'listed', CAST(count(*) AS VARCHAR) FROM documents
-UNION ALL SELECT 'missing', CAST(count(*) AS VARCHAR) FROM g UNION ALL SELECT 'missing_ids', string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) FROM g""")
+UNION ALL SELECT 'missing', CAST(count(*) AS VARCHAR) FROM g UNION ALL SELECT 'missing_id', CAST(doc_id AS VARCHAR) FROM g
+UNION ALL SELECT 'created', strftime(min(ts) + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') FROM events
+UNION ALL SELECT 'app_id', '77' UNION ALL SELECT 'hub_items', CAST(count(*) AS VARCHAR) FROM part
+UNION ALL SELECT 'tag_counts', string_agg(p_brand || ': ' || n, chr(10) ORDER BY p_brand) FROM (SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand)""")
 def q_metadata_table(spark, d):
     ids = lambda t: load(spark, d, t).select(F.col("doc_id").alias("mod_id"))
-    return report.metadata_table(ids("labels"), ids("documents"), "labelled documents")
+    created = load(spark, d, "events").agg(F.min("ts").alias("modified"))
+    return report.metadata_table(ids("labels"), ids("documents"), "labelled documents", created, markup.hub_row(hub_page(spark, d), "html", "url"))
+
 
+def hub_page(spark, d):
+    """One hub page (html, url) made of the brands and the number of parts."""
+    brands = load(spark, d, "part").groupBy("p_brand").agg(F.count("*").alias("n"))
+    block = F.concat(F.lit('<div class="filterOption"><input name="requiredtags[]" value="'), F.url_encode("p_brand"), F.lit('"><label class="tag_label">'), "p_brand",
+                     F.lit('&nbsp;<span class="tag_count">('), F.format_number("n", 0), F.lit(")</span></label></div>"))
+    one = brands.agg(F.sum("n").alias("t"), F.array_join(F.array_sort(F.collect_list(block)), "").alias("b"))  # a row a brand
+    return one.select(F.concat(F.lit('<input type="hidden" name="appid" value="77">'), "b", F.lit(" See all 3 Items See all "), F.format_number("t", 0), F.lit(" Items")).alias("html"), F.lit("").alias("url"))
 
-@query("SELECT CAST(to_json(list(url ORDER BY page_id)) AS VARCHAR) AS json FROM pages WHERE trim(url) <> ''")
+
+@query("SELECT row_number() OVER (ORDER BY page_id, url) AS place, CAST(to_json(url) AS VARCHAR) AS json FROM pages WHERE trim(url) <> ''")
 def q_url_document(spark, d):
-    return report.url_document(load(spark, d, "pages"), "page_id", "url")
+    return report.url_document(load(spark, d, "pages"), "page_id", "url").withColumn("place", F.col("place").cast("long"))
+
+
+@query(f"""WITH {_COVERAGE} SELECT 'url_count' AS part, count(*) FILTER (status <> 'extra') AS key, NULL AS status FROM c UNION ALL SELECT 'gap_count', count(*) FILTER (status IN ('missing', 'invalid')), NULL FROM c
+UNION ALL SELECT CASE status WHEN 'extra' THEN 'extra' ELSE 'gap' END, page_id, status FROM c WHERE status <> 'ok'""")
+def q_gap_document(spark, d):
+    return report.gap_document(q_coverage(spark, d), "page_id")
 
 
 @query("SELECT date_trunc('hour', ts) AS \"from\", date_trunc('hour', ts) + INTERVAL 1 HOUR AS \"to\", count(*) AS n FROM events GROUP BY 1, 2")

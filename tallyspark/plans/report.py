@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import stats
+from ..operators.scan import row_numbers
+from ..sources.staging import Scratch
 
 
 def _long(df: DataFrame, block: str, key: str | None = None) -> DataFrame:
@@ -20,11 +22,15 @@ def _long(df: DataFrame, block: str, key: str | None = None) -> DataFrame:
 
 
 def statistic_table(items: DataFrame, flags: DataFrame, ratios: DataFrame) -> DataFrame:
-    """(block, key, metric, value): scope, all items' use, inequality in scope, ratios and their tiers."""
-    f = F.col("is_private_like")
+    """(ord, block, key, metric, value): scope, all items' use, inequality in scope, ratios and their tiers.
+
+    The three tables are saved once, narrowed to what the figures need; ord numbers the blocks in the order of the report.
+    """
+    scratch = Scratch(items.sparkSession, "statistics")
+    s, f = "subscribers", F.col("is_private_like")
+    flags = scratch.save(items.select("mod_id", s).join(flags, "mod_id", "left"))
+    items, inside, ratios = flags.select(s), flags.where(f != 1).select(s), scratch.save(ratios.select("ratio", "tier"))
     scope = flags.agg(F.count("*").alias("items"), F.count_if(f == 1).alias("private_like"), F.count_if(f == 0).alias("in_scope"), F.avg((f == 1).cast("double")).alias("private_share"))
-    inside = items.join(flags.where("is_private_like = 1"), "mod_id", "left_anti")
-    s = "subscribers"
     shares = stats.end_shares(inside, s, (0.01, 0.05, 0.10), (0.10, 0.20)).select(F.concat_ws("_", "side", F.round(F.col("p") * 100).cast("int").cast("string")).alias("side"), "share")
     parts = [
         _long(scope, "scope"), _long(stats.overview(items, s), "all"), _long(stats.percentiles(items, s), "all"), _long(stats.top_concentration(items, s), "all_top", "key"),
@@ -32,36 +38,49 @@ def statistic_table(items: DataFrame, flags: DataFrame, ratios: DataFrame) -> Da
         _long(stats.buckets(items, s), "all_bucket", "bucket"), _long(stats.overview(inside, s), "scope_use"), _long(stats.percentiles(inside, s, (0.01, 0.10, 0.50, 0.90, 0.99)), "scope_use"),
         _long(shares, "scope_share", "side"), _long(stats.quantile_ratios(inside, s), "scope_use"), _long(stats.gini(inside, s), "scope_use"),
         _long(stats.descriptive(ratios, "ratio"), "ratio"), _long(ratio_tiers(ratios), "ratio_tier", "tier")]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [p.select(F.lit(i).alias("ord"), "*") for i, p in enumerate(parts, 1)])
 
 
 def ratio_tiers(ratios: DataFrame) -> DataFrame:
     """(tier, n, mean, median) of all four tiers; an empty one has n = 0 and nulls."""
-    g = ratios.groupBy("tier").agg(F.count("*").alias("n"), F.avg("ratio").alias("mean"), F.median("ratio").alias("median"))
+    g = ratios.groupBy("tier").agg(F.count("*").alias("n"), F.avg("ratio").alias("mean")).join(
+        stats.quantiles(ratios, "ratio", (0.5,), ["tier"]).withColumnRenamed("p50", "median"), "tier", "left")
     every = ratios.sparkSession.range(4).select(F.col("id").cast("int").alias("tier"))
     return every.join(g, "tier", "left").select("tier", F.coalesce("n", F.lit(0)).alias("n"), "mean", "median")
 
 
-def metadata_table(items: DataFrame, listed: DataFrame, description: str) -> DataFrame:
-    """(field, value): description, counts and the ids that are listed but have no item, in numeric order."""
+def tier_figures(ratios: DataFrame) -> DataFrame:
+    """All figures of the ratio by tier, one row a tier that has items."""
+    return stats.descriptive(ratios, "ratio", ["tier"])
+
+
+def metadata_table(items: DataFrame, listed: DataFrame, description: str, created: DataFrame | None = None, hub: DataFrame | None = None) -> DataFrame:
+    """(field, value): description, time of creation, counts, hub figures, and a row for each id that is listed but has no item.
+
+    created has one row with ``modified``; hub has app_id, tags (structs of name and count) and items.
+    """
+    count = lambda df, name: df.agg(F.lit(name).alias("field"), F.count("*").cast("string").alias("value"))
     gaps = listed.select("mod_id").join(items.select("mod_id"), "mod_id", "left_anti")
-    one = items.agg(F.count("*").alias("n")).withColumn("_k", F.lit(1)).join(listed.agg(F.count("*").alias("l")).withColumn("_k", F.lit(1)), "_k").join(
-        gaps.agg(F.count("*").alias("g"), F.array_sort(F.collect_list("mod_id")).alias("ids")).withColumn("_k", F.lit(1)), "_k")
-    pairs = [("description", F.lit(description)), ("items", F.col("n").cast("string")), ("listed", F.col("l").cast("string")), ("missing", F.col("g").cast("string")),
-             ("missing_ids", F.array_join(F.transform("ids", lambda x: x.cast("string")), ","))]
-    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("field"), v.alias("value")) for k, v in pairs])))
+    parts = [items.sparkSession.createDataFrame([("description", description)], "field string, value string"), count(items, "items"), count(listed, "listed"), count(gaps, "missing"),
+             gaps.select(F.lit("missing_id").alias("field"), F.col("mod_id").cast("string").alias("value"))]
+    if created is not None:
+        parts.append(created.select(F.lit("created").alias("field"), text.local_stamp(F.col("modified")).alias("value")))
+    if hub is not None:
+        fields = [("app_id", F.col("app_id").cast("string")), ("tag_counts", text.count_lines(F.col("tags"))), ("hub_items", F.col("items").cast("string"))]
+        parts.append(hub.select(F.inline(F.array(*[F.struct(F.lit(k).alias("field"), v.alias("value")) for k, v in fields]))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def as_text(table: DataFrame) -> DataFrame:
     """The report table with numbers as text and, for shares, a bar."""
     share = F.col("metric").startswith("share") | F.col("metric").endswith("share")
-    return table.select("block", "key", "metric", F.when(share, text.percent_text(F.col("value"))).otherwise(text.number_text(F.col("value"))).alias("value"), F.when(share, text.bar(F.col("value"))).alias("bar"))
+    return table.select("ord", "block", "key", "metric", F.when(share, text.percent_text(F.col("value"))).otherwise(text.number_text(F.col("value"))).alias("value"), F.when(share, text.bar(F.col("value"))).alias("bar"))
 
 
 def markdown(table: DataFrame) -> str:
     """A report of a few hundred rows at most (one a statistic), read to the driver."""
     out, block = [], None
-    for r in as_text(table).orderBy("block", "key", "metric").collect():
+    for r in as_text(table).orderBy("ord", "key", "metric").collect():
         if r.block != block:
             block = r.block
             out += ["", f"## {block}", "", "| key | metric | value | |", "|---|---|---|---|"]
@@ -85,14 +104,20 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def url_document(urls: DataFrame, id_col: str, url: str) -> DataFrame:
-    """One JSON array of the non-blank urls in order of id: for lists that one reader takes whole."""
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct(id_col, url))), lambda z: z[url])
-    return urls.where(F.trim(url) != "").agg(F.to_json(ordered).alias("json"))
+    """(place, json): the non-blank urls as JSON strings, one a row, placed in order of id: the lines of a list of any length."""
+    some = row_numbers(urls.where(F.trim(url) != "").select(id_col, url), [F.col(id_col), F.col(url)], "place")
+    return some.select("place", F.regexp_extract(F.to_json(F.array(url)), r"(?s)^\[(.*)\]$", 1).alias("json"))
+
+
+def write_lines(document: DataFrame, path: str) -> None:
+    """The rows' json as text files that follow one another in order of place."""
+    document.repartitionByRange("place").sortWithinPartitions("place").select("json").write.mode("overwrite").text(path)
 
 
 def gap_document(status: DataFrame, key: str) -> DataFrame:
-    """One JSON object: counts, and the keys that are not ok with their status."""
-    bad = F.array_sort(F.collect_list(F.when(~F.col("status").isin("ok", "extra"), F.struct(key, "status"))))
-    extra = F.array_sort(F.collect_list(F.when(F.col("status") == "extra", F.col(key))))
-    return status.agg(F.count_if(F.col("status") != "extra").alias("n"), bad.alias("gaps"), extra.alias("extra")).select(
-        F.to_json(F.struct(F.col("n").alias("url_count"), F.size("gaps").alias("gap_count"), "gaps", F.col("extra").alias("extra_row_ids"))).alias("json"))
+    """(part, key, status): the counts, then each key that is not ok, and those that nothing expected."""
+    s = F.col("status")
+    one = status.agg(F.count_if(s != "extra").alias("url_count"), F.count_if(~s.isin("ok", "extra")).alias("gap_count"))
+    counts = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("part"), F.col(c).alias("key"), F.lit(None).cast("string").alias("status")) for c in one.columns])))
+    rows = status.where(s != "ok").select(F.when(s == "extra", "extra").otherwise("gap").alias("part"), F.col(key).cast("long").alias("key"), "status")
+    return counts.unionByName(rows)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import author_name, loose_int, strict_int, tag_display, unescape
+from ..functions.text import author_name, collapse, loose_int, strict_int, tag_display, unescape
 from ..operators.derive import canonical_tag, star_name
 
 #: Fixed values of the page format: marks of sections, payloads and fields.
@@ -22,7 +22,7 @@ RATING = r'(?i)<img\s+class="fileRating"\s+src="([^"]+)"'
 AUTHOR = r'(?i)<a\s+class="workshop_author_link"[^>]*>([^<]*)</a>'
 ITEM_ID = r"(?i)var\s+publishedfileid\s*=\s*'(\d+)'"
 ITEM_TITLE = r'(?is)<div class="workshopItemTitle">(.*?)</div>'
-TAG_LINK = r'(?i)requiredtags%5B%5D=[^">&]+">([^<]+)</a>'
+TAG_LINK = r'(?i)requiredtags%5B%5D=[^"&>]+">([^<]+)</a>'
 APP_ID = (r'(?i)<input[^>]*\bname="appid"[^>]*\bvalue="(\d+)"', r'(?i)"APPID"\s*:\s*(\d+)')
 FILTER = r'(?is)<div[^>]*\bclass="[^"]*\bfilterOption\b[^"]*"[^>]*>.*?<input[^>]*\bname="requiredtags\[\]"[^>]*\bvalue="([^"]*)"[^>]*>.*?<label[^>]*\bclass="tag_label"[^>]*>(.*?)</label>'
 TAG_COUNT = r'(?is)<span[^>]*\bclass="tag_count"[^>]*>\(([^)]+)\)</span>'
@@ -110,13 +110,13 @@ def list_rows(pages: DataFrame, page_id: str, html: str, detail_base: str) -> Da
 
 def labelled_int(page: Column, label: str) -> Column:
     """The number in the table row before this label, or 0."""
-    return loose_int(F.regexp_extract(page, rf"(?i)<tr>\s*<td>\s*([\d,]+)\s*</td>\s*<td>\s*{label}\s*</td>", 1))
+    return loose_int(F.regexp_extract(page, rf"(?i)<tr>\s*<td>\s*([\d,]+)\s*</td>\s*<td>\s*{label}\s*</td>\s*</tr>", 1))
 
 
 def detail_rows(pages: DataFrame, html: str) -> DataFrame:
     """(item_id, name, exposure, subscribers, favorites, tags) of item pages; pages without id or title give none."""
     h = F.col(html)
-    rows = pages.select(F.regexp_extract(h, ITEM_ID, 1).alias("item_id"), F.trim(unescape(F.regexp_extract(h, ITEM_TITLE, 1))).alias("name"),
+    rows = pages.select(F.regexp_extract(h, ITEM_ID, 1).alias("item_id"), unescape(collapse(F.regexp_extract(h, ITEM_TITLE, 1))).alias("name"),
                         labelled_int(h, "Unique Visitors").alias("exposure"), labelled_int(h, "Current Subscribers").alias("subscribers"), labelled_int(h, "Current Favorites").alias("favorites"),
                         F.array_distinct(F.filter(F.transform(F.regexp_extract_all(h, F.lit(TAG_LINK)), canonical_tag), lambda t: t.isNotNull())).alias("tags"))
     return rows.where("item_id <> '' and name <> ''")
@@ -157,3 +157,13 @@ def plain_page(pages: DataFrame, page_id: str, html: str) -> DataFrame:
 def page_links(pages: DataFrame, page_id: str, html: str) -> DataFrame:
     """(page_id, position, href) of every link."""
     return pages.select(page_id, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'))).alias("position", "href"))
+
+
+def unfiltered(page: Column) -> Column:
+    """Whether a list page asks for no tag."""
+    return F.coalesce(page_tag(page) == NO_TAG, F.lit(False))
+
+
+def item_id(page: Column) -> Column:
+    """An item page's id; null without one."""
+    return F.nullif(F.regexp_extract(page, ITEM_ID, 1), F.lit(""))

@@ -68,3 +68,24 @@ def table_columns(spark: SparkSession, table: str) -> DataFrame:
     """(table, column) of the catalogue; no rows if the table isn't there."""
     names = [c.name for c in spark.catalog.listColumns(table)] if spark.catalog.tableExists(table) else []
     return spark.createDataFrame([(table, n) for n in names], "table string, column string")
+
+
+def required_pages(spark: SparkSession, root: str) -> DataFrame:
+    """The pages below root; an error if there is none."""
+    df = pages(spark, root)
+    if df.select("file").isEmpty():
+        raise FileNotFoundError(f"no page below {root}")
+    return df
+
+
+def required_table(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
+    """The table; an error if it isn't there, lacks a column or has no row."""
+    if not spark.catalog.tableExists(table):
+        raise ValueError(f"no table {table}")
+    df = spark.table(table)
+    lacks = [c for c in columns if c not in df.columns]
+    if lacks:
+        raise ValueError(f"{table} lacks {', '.join(lacks)}")
+    if df.isEmpty():
+        raise ValueError(f"{table} is empty")
+    return df

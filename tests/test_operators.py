@@ -35,7 +35,7 @@ def test_detail_and_hub_pages(spark):
     page = ("var publishedfileid = '42';<div class=\"workshopItemTitle\">A &lt;b&gt;\nc</div><tr><td>1,234</td><td>Unique Visitors</td></tr>"
             '<tr><td>12</td><td>Current Subscribers</td></tr><a href="?requiredtags%5B%5D=x">fix</a><a href="?requiredtags%5B%5D=y">no such</a>')
     got = markup.detail_rows(spark.createDataFrame([(page,), ("<p>no id</p>",)], "h string"), "h").collect()
-    assert [tuple(r) for r in got] == [("42", "A <b>\nc", 1234, 12, 0, ["Fixes"])]
+    assert [tuple(r) for r in got] == [("42", "A <b> c", 1234, 12, 0, ["Fixes"])]
     hub = ('<input type=x name="appid" value="77"><div class="a filterOption b"><input name="requiredtags[]" value="New+Nations"><label class="tag_label">New Nations <span class="tag_count">(1,234)</span></label></div>'
            "See all 16,244 Items See all 3 Items")
     r = markup.hub_row(spark.createDataFrame([(hub, "")], "h string, u string"), "h", "u").first()
@@ -108,6 +108,9 @@ def test_readers_and_sinks(spark, tmp_path):
     report.write_tiers(r, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).where("tier = 1").count() == 1
     urls = spark.createDataFrame([(2, "b"), (1, "a"), (3, " ")], "i int, u string")
-    assert report.url_document(urls, "i", "u").first()[0] == '["a","b"]'
+    lines = report.url_document(urls, "i", "u")
+    assert sorted(tuple(r) for r in lines.collect()) == [(1, '"a"'), (2, '"b"')]
+    report.write_lines(lines, f"{tmp_path}/lines")
+    assert [r[0] for r in spark.read.text(f"{tmp_path}/lines").collect()] == ['"a"', '"b"']
     status = relations.coverage(spark.range(3).toDF("k"), spark.createDataFrame([(1, True), (2, False), (9, True)], "k long, o boolean"), "k", F.col("o"))
-    assert json.loads(report.gap_document(status, "k").first()[0]) == {"url_count": 3, "gap_count": 2, "gaps": [{"k": 0, "status": "missing"}, {"k": 2, "status": "invalid"}], "extra_row_ids": [9]}
+    assert sorted((tuple(r) for r in report.gap_document(status, "k").collect()), key=str) == [("extra", 9, "extra"), ("gap", 0, "missing"), ("gap", 2, "invalid"), ("gap_count", 2, None), ("url_count", 3, None)]
