@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.staging import Scratch  # noqa: F401
+
 _P = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
                0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=np.uint64)
 
@@ -18,35 +19,16 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-class Scratch:
-    """Intermediate Parquet tables under the shared folder in ``spark.checkpoint.dir``.
-
-    Each table cuts lineage durably: a lost executor only re-reads files. Where the session names no
-    folder (single-machine tests) a temporary one is used.
-    """
-
-    def __init__(self, spark: SparkSession, label: str):
-        root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tallyspark-')}"
-        # Texts of up to megabytes pass through Arrow: fewer rows a batch bound a task's memory.
-        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
-        self.spark, self.root, self.n = spark, f"{root}/{label}-{uuid.uuid4().hex}", 0
-        atexit.register(self.drop)
-
-    def save(self, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self) -> None:
-        """Deletes the tables; called when the driver exits, since returned frames read them lazily."""
-        try:
-            jvm = self.spark._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self.root)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # the JVM may have gone first
-            pass
+def slices(texts: list[str | None], most: int = 1 << 20) -> Iterator[list[str | None]]:
+    """The texts in turn, about ``most`` characters at a time."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t or "") > most:
+            yield texts[at:i]
+            at, size = i, 0
+        size += len(t or "")
+    if texts:
+        yield texts[at:]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,10 +40,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all whitespace-separated words, A-Z lower-cased, and how many each text has; whitespace is x20 and x09-x0D."""
+    split = [(t or "").encode().lower().split() for t in texts]
+    counts = np.fromiter(map(len, split), np.int64, len(split))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(split)), np.uint64, int(counts.sum())), counts
+
+
 def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hash of each whitespace-separated word, A-Z lower-cased; whitespace is x20 and x09-x0D."""
-    words = (text or "").encode().lower().split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return words_of([text])[0]
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:

@@ -28,11 +28,12 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """
     e = links.where("a is not null and b is not null and a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e, seen = scratch.save(e), None
+    e, seen, last = scratch.save(e), None, None
     while True:
         mark = tuple(e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.hash("v", "u").cast("long"))).first())
         if mark == seen or not mark[0]:
             return e.select(F.col("u").alias("id"), F.col("v").alias("root"))
         seen = mark
         # A round has at most about twice as many links; small ones need not be written by many tasks.
-        e = scratch.save(_small(_large(e)).coalesce(max(1, mark[0] // 100_000)))
+        last, e = e, scratch.save(_small(_large(e)).coalesce(max(1, mark[0] // 100_000)))
+        scratch.free(last)

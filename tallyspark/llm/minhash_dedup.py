@@ -12,58 +12,71 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, shingle_set, word_hashes
 from .components import components
-from .neardup import SETS, MinHasher, list_array, near_links
+from .neardup import SETS, MinHasher, list_array, meeting, near_links
 
 
 def signatures(docs: DataFrame, hasher: MinHasher, k: int) -> DataFrame:
-    """(doc_id, n_shingles, key, bands): key identifies equal shingle sets, null for empty ones."""
+    """(doc_id, n_shingles, id, bands): id identifies equal shingle sets, null for empty ones."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             sets = [shingle_set(word_hashes(x.as_py()), k) for x in t.column("text")]
             s = np.array([hasher.samples(x) for x in sets], np.uint32).reshape(len(sets), len(hasher.a))
             yield pa.RecordBatch.from_arrays(
-                [t.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary()),
-                 list_array(hasher.band_keys(s))],
-                names=["doc_id", "n_shingles", "key", "bands"])
+                [t.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([set_id(x) for x in sets], pa.int64()), list_array(hasher.band_keys(s))],
+                names=["doc_id", "n_shingles", "id", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        make, "doc_id long, n_shingles long, key binary, bands array<long>")
+        make, "doc_id long, n_shingles long, id long, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """Full sets (id, n, items) of the documents whose id is in ids(id)."""
+def set_id(items: np.ndarray) -> int | None:
+    return xxhash.xxh3_64_intdigest(items.tobytes()) - 2**63 if len(items) else None
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """Full sets (id, n, items) of the ids in wanted(doc_id, id), each read from a text of that document."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            sets = [shingle_set(word_hashes(x.as_py()), k) for x in t.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [t.column("id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
-                names=["id", "n", "items"])
+            rows = []
+            for text, want in zip(t.column("text"), t.column("want").to_pylist(), strict=True):
+                x = shingle_set(word_hashes(text.as_py()), k)
+                if (c := set_id(x)) in want:
+                    rows.append((c, len(x), x.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "n", "items"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(ids, "id", "left_semi").mapInArrow(make, SETS)
+    lists = wanted.groupBy("doc_id").agg(F.collect_list("id").alias("want"))  # one id for each text of a document
+    held = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(lists, "doc_id")
+    return held.select("text", "want").mapInArrow(make, SETS).dropDuplicates(["id"])
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80, hasher: MinHasher | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80, hasher: MinHasher | None = None, scratch: Scratch | None = None) -> DataFrame:
     """docs(doc_id, text, ...) -> (doc_id, n_shingles, component_id, kept), one row per input row.
 
     Documents are linked if 100 * intersection >= threshold * union of their shingle sets; components
-    carry the smallest doc_id they reach. Documents with equal sets are one node from the start, so a
+    carry the smallest doc_id they reach. Equal sets are one node from the start, so a
     large group of copies costs one comparison. Null or empty texts have an empty set and stay alone;
     a row without doc_id is linked with nothing, is kept and has a null component; rows that share a
-    doc_id are one document. Other columns are ignored; an empty table gives an empty result.
+    doc_id are one document, which is linked with all that any of its texts is linked with.
+    Other columns are ignored; an empty table gives an empty result.
     """
     hasher = hasher or MinHasher()
-    scratch = Scratch(docs.sparkSession, "minhash")
+    scratch = scratch or Scratch(docs.sparkSession, "minhash")
     sig = scratch.save(signatures(docs, hasher, shingle_words))
-    usable = sig.where("key is not null and doc_id is not null")
-    first = usable.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    same = scratch.save(usable.select("doc_id", "key").join(first, "key").where("doc_id <> rep").select("doc_id", "rep").distinct())
-    nodes = scratch.save(usable.join(first, "key").where("doc_id = rep").select(F.col("doc_id").alias("id"), "bands").dropDuplicates(["id"]))
-    links, _ = near_links(nodes, lambda ids: shingle_sets(docs, ids, shingle_words).dropDuplicates(["id"]), scratch, threshold)
-    edges = links.unionByName(same.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
-    roots = components(edges, scratch)
+    usable = sig.where("id is not null and doc_id is not null")
+    first = scratch.save(usable.groupBy("id").agg(F.min("doc_id").alias("rep")))
+    same = scratch.save(usable.select("doc_id", "id").join(first, "id").where("doc_id <> rep").select("doc_id", "rep").distinct())
+    nodes = usable.join(first, "id").where("doc_id = rep").select("id", F.explode("bands").alias("h"))
+    some = usable.where("pmod(xxhash64(doc_id), 256) = 0").select("id", F.explode("bands").alias("h"))
+    met = scratch.save(meeting(nodes, some, scratch))
+    sets_of = lambda ids: shingle_sets(docs, first.join(ids, "id").select(F.col("rep").alias("doc_id"), "id"), shingle_words)
+    links, _ = near_links(met, sets_of, scratch, threshold)
+    scratch.free(met)
+    at = lambda x: first.select(F.col("id").alias(x), F.col("rep").alias("r" + x))
+    edges = links.join(at("a"), "a").join(at("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    roots = components(edges.unionByName(same.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))), scratch)
+    scratch.free(first, same, links)
     out = sig.select("doc_id", "n_shingles").join(roots.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.coalesce("root", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -150,11 +150,28 @@ def _across(at: DataFrame, sketcher: OddSketcher, threshold: int) -> DataFrame:
 _MASKS = (0x5555555555555555, 0x3333333333333333)
 
 
+def meeting(flat: DataFrame, sample: DataFrame, scratch: Scratch, hot: int = 256) -> DataFrame:
+    """flat(h, id) -> its rows, repeats aside, whose h has two or more different ids.
+
+    The keys are shuffled once. Those with ``hot`` rows or more in ``sample``, a small part of flat, go
+    another way, by a join that Spark can split, so that no task holds a group that grows with
+    the corpus; which way a key goes does not change the result.
+    """
+    often = scratch.save(sample.groupBy("h").count().where(f"count >= {hot}").select("h"))
+    group = Window.partitionBy("h")
+    one_pass = lambda rows: rows.withColumn("lo", F.min("id").over(group)).withColumn("hi", F.max("id").over(group)).where("lo < hi").select("h", "id").distinct()
+    if often.isEmpty():
+        return one_pass(flat)
+    crowded = flat.join(often, "h", "left_semi")
+    mixed = crowded.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
+    return one_pass(flat.join(often, "h", "left_anti")).unionByName(crowded.join(mixed, "h").distinct())
+
+
 def near_links(
-    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch, threshold: int = 80,
+    met: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch, threshold: int = 80,
     sketcher: OddSketcher | None = None, closest: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
-    """nodes(id, bands) -> (links(a, b), labels(id, root)).
+    """met(h, id), a saved table of the band keys that nodes share -> (links(a, b), labels(id, root)).
 
     Nodes that share a band are candidates. ``sets_of(ids)`` returns their (id, n, items) with the sorted
     shingle hashes as bytes; each gets an odd sketch, and only pairs that the sketches leave possible
@@ -166,30 +183,32 @@ def near_links(
     pair does; so no link between components is lost, and pairs already joined are not compared.
     """
     sketcher = sketcher or OddSketcher()
-    flat = nodes.select("id", F.explode("bands").alias("h"))
     i = F.col("id")
     picks = [F.min(i), F.max(i), *[F.min(i.bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in _MASKS]]
-    buckets = flat.groupBy("h").agg(*[p.alias(f"p{k}") for k, p in enumerate(picks)]).where("p0 < p1")
-    met = scratch.save(flat.join(buckets.select("h", F.array_distinct(F.array(*[f"p{k}" for k in range(len(picks))])).alias("pivots")), "h"))
+    pivots = met.groupBy("h").agg(F.array_distinct(F.array(*picks)).alias("pivots"))
+    stars = scratch.save(met.join(pivots, "h").select(F.explode("pivots").alias("a"), F.col("id").alias("b")).where("a <> b").distinct())
     sets = scratch.save(_sketched(sets_of(met.select("id").distinct()), sketcher))
     end = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("odd").alias("o" + x))
-    stars = met.select(F.explode("pivots").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
-    stars = stars.join(end("a"), "a").join(end("b"), "b").where(sketcher.may_link(threshold)).select("b", F.struct(sketcher.flips().alias("flips"), "a").alias("x"))
+    likely = stars.join(end("a"), "a").join(end("b"), "b").where(sketcher.may_link(threshold)).select("b", F.struct(sketcher.flips().alias("flips"), "a").alias("x"))
     best = F.slice(F.array_sort(F.collect_list("x")), 1, closest)  # of a few pivots a band
-    stars = stars.groupBy("b").agg(best.alias("x")).select("b", F.explode("x").alias("x")).select("x.a", "b")
-    links = scratch.save(_verified(stars, sets, threshold))
+    likely = likely.groupBy("b").agg(best.alias("x")).select("b", F.explode("x").alias("x")).select("x.a", "b")
+    links = scratch.save(_verified(likely, sets, threshold))
+    scratch.free(stars)
     labels = components(links, scratch)
     labelled = lambda rows: rows.join(labels, "id", "left").withColumn("c", F.coalesce("root", "id")).drop("root")
-    at = labelled(met.select("h", "id"))
+    at = labelled(met)
     mixed = at.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
     loose = scratch.save(at.join(mixed, "h").select("id").distinct())
     if not loose.isEmpty():
         rarest = _prefixes(sets.join(loose, "id", "left_semi"), threshold).join(sets.select("id", "n", "odd"), "id")
-        pairs = scratch.save(_across(scratch.save(labelled(rarest)), sketcher, threshold))
+        rarest = scratch.save(labelled(rarest))
+        pairs = scratch.save(_across(rarest, sketcher, threshold))
         found = scratch.save(_verified(pairs, sets, threshold))
         if not found.isEmpty():
-            links = links.unionByName(found)
+            links = scratch.save(links.unionByName(found))
             labels = components(links, scratch)
+        scratch.free(rarest, pairs)
+    scratch.free(sets, loose)
     return links, labels
 
 

@@ -1,4 +1,10 @@
-"""Repeated passages by paragraph MinHash banding and by word anchors that no line end stops (operator 9)."""
+"""Repeated passages by MinHash banding of content-defined paragraphs (operator 9).
+
+A text is one stream of words; lines play no part. It is cut before each word whose pair with the next
+word has a hash that is least among its neighbours, so every stretch of text is cut alike wherever it
+stands, in the middle of a line or across many, and every word lies in a paragraph. Paragraphs are 7
+words or more, 13 on average; a repeated passage of over 50 words holds whole ones.
+"""
 
 from __future__ import annotations
 
@@ -6,156 +12,218 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, shingle_set, word_hashes
-from .neardup import SETS, MinHasher, list_array, near_links
-
-#: 24 bands of 4 rows meet a pair of similarity 0.8 with probability 1 - (1 - 0.8^4)^24 = 0.999997.
-BANDS, ROWS = 24, 4
-_BASE = 0x9E3779B97F4A7C15  # of the gram hashes; odd, so it has an inverse
-
-
-def _paragraph_sets(text: str | None, k: int, min_words: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(index, words, set) of the lines of at least min_words words."""
-    for i, line in enumerate((text or "").split("\n")):
-        words = word_hashes(line)
-        if len(words) >= min_words:
-            yield i, len(words), shingle_set(words, k)
+from .common import _P, Scratch, mix, slices, words_of
+from .neardup import SETS, OddSketcher, meeting, near_links
+
+#: A paragraph starts at the least word pair among this many on either side.
+REACH = 6
+#: A passage is a run of neighbouring repeated paragraphs of at least so many words; shorter repeats are phrases.
+LEAST = 16
+
+
+class Paragraphs:
+    """The paragraphs of some texts: text, start and size (in words), id of the shingle set, and the sorted sets."""
+
+    def __init__(self, texts: list[str | None], k: int, reach: int = REACH):
+        words, counts = words_of(texts)
+        n, ends = len(words), np.cumsum(counts)
+        begins = ends - counts
+        place = np.arange(n) - np.repeat(begins, counts)
+        cut = (place == 0) | (cuts(words, reach) & (place >= reach) & (np.repeat(counts, counts) - place >= reach + 2))
+        first = np.flatnonzero(cut)
+        self.text = np.repeat(np.arange(len(texts)), counts)[first]
+        self.start, self.words = place[first], np.diff(np.append(first, n))
+        which = np.cumsum(cut) - 1
+        h = np.zeros(max(0, n - k + 1), np.uint64)
+        for j in range(k if n >= k else 0):
+            h += words[j : n - k + 1 + j] * _P[j]
+        whole = which[: n - k + 1] == which[k - 1 :] if n >= k else np.empty(0, bool)
+        items, unit = mix(h[whole]), which[: len(whole)][whole]
+        for i in np.flatnonzero(self.words < k):  # a text of under k words is one shingle
+            w = words[first[i] : first[i] + self.words[i]]
+            items = np.append(items, mix(np.array([(w * _P[: len(w)]).sum(dtype=np.uint64) + np.uint64(len(w))], np.uint64)))
+            unit = np.append(unit, i)
+        order = np.lexsort((items, unit))
+        items, unit = items[order], unit[order]
+        new = np.append(True, (items[1:] != items[:-1]) | (unit[1:] != unit[:-1])) if len(items) else np.empty(0, bool)
+        self.items, self.unit = items[new], unit[new]
+        self.at = np.searchsorted(self.unit, np.arange(len(first) + 1))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.items ^ np.uint64(0x51ED270B9F6C)), dtype=np.uint64)])
+        self.id = mix(total[self.at[1:]] - total[self.at[:-1]]).view(np.int64)
+
+    def keys(self, of: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+        """(paragraph, key) for the paragraphs in ``of``: one-permutation MinHash, each bin a band of one row.
+
+        The range of hashes is dealt into bins, and a bin's least member is its key. Two sets that reach the
+        threshold differ in at most d = (1 - t) / (1 + t) of their sizes' sum; with more than d bins, some
+        bin is the same in both. So the number of bins, a power of two, follows from the sizes that linked
+        sets can have; a set near a step is keyed for both numbers.
+        """
+        low, high = (self._levels(np.diff(self.at) * (100 - threshold) // by) for by in (100, threshold))
+        wanted = np.zeros(len(self.id), bool)
+        wanted[of] = True
+        units, keys = [], []
+        for e in range(2, int(high[of].max(initial=0)) + 1):
+            pick = (wanted & (low <= e) & (e <= high))[self.unit]
+            u, x = self.unit[pick], self.items[pick]
+            b = x >> np.uint64(64 - e)
+            new = np.append(True, (u[1:] != u[:-1]) | (b[1:] != b[:-1])) if len(u) else np.empty(0, bool)
+            units.append(u[new])
+            keys.append(mix(x[new] + np.uint64(e)))
+        none = np.empty(0, np.int64)
+        return np.concatenate(units or [none]), np.concatenate(keys or [none.view(np.uint64)]).view(np.int64)
+
+    @staticmethod
+    def _levels(differ: np.ndarray) -> np.ndarray:
+        """The least e of at least 2 for which 2^e is more than the number of members in which sets differ."""
+        return np.maximum(2, np.floor(np.log2(np.maximum(differ, 1))).astype(int) + 1)
+
+
+def cuts(words: np.ndarray, reach: int) -> np.ndarray:
+    """Whether the pair that starts at a word has the leftmost least hash of the pairs up to ``reach`` away."""
+    out = np.zeros(len(words), bool)
+    if len(words) < 2 * reach + 2:
+        return out
+    pairs = mix(words[:-1] * _P[0] + words[1:] * _P[1])
+    side = np.lib.stride_tricks.sliding_window_view(pairs, reach).min(axis=1)
+    mid = pairs[reach : len(pairs) - reach]
+    out[reach : reach + len(mid)] = (mid < side[: len(mid)]) & (mid <= side[reach + 1 : reach + 1 + len(mid)])
+    return out
+
+
+def _held(docs: DataFrame) -> DataFrame:
+    """doc_id and t, a hash of the text, stand for a row and its exact copies."""
+    text = F.col("text").cast("string")
+    return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("t"), text.alias("text"))
+
+
+def paragraphs(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, t, start, n_words, id) of every paragraph; equal shingle sets have one id."""
 
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = 0
+            for part in slices(b.column("text").to_pylist()):
+                p = Paragraphs(part, k)
+                take = pa.array(p.text + at)
+                at += len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").take(take), b.column("t").take(take), pa.array(p.start.astype(np.int32)), pa.array(p.words.astype(np.int32)), pa.array(p.id)],
+                    names=["doc_id", "t", "start", "n_words", "id"])
 
-def _class(items: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(items.tobytes()) - 2**63
+    return _held(docs).mapInArrow(make, "doc_id long, t long, start int, n_words int, id long")
 
 
-def paragraph_signatures(docs: DataFrame, hasher: MinHasher, k: int, min_words: int) -> DataFrame:
-    """(doc_id, paragraph, n_words, class, bands) of every paragraph; equal shingle sets have one class."""
+def band_keys(docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """(h, id): the band keys of each paragraph set, once for all its copies in a slice of texts."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(d, i, n, s) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True) for i, n, s in _paragraph_sets(t.as_py(), k, min_words)]
-            samples = np.array([hasher.samples(r[3]) for r in rows], np.uint32).reshape(len(rows), len(hasher.a))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32()),
-                 pa.array([_class(r[3]) for r in rows], pa.int64()), list_array(hasher.band_keys(samples))],
-                names=["doc_id", "paragraph", "n_words", "class", "bands"])
+            for part in slices(b.column("text").to_pylist()):
+                p = Paragraphs(part, k)
+                unit, h = p.keys(np.unique(p.id, return_index=True)[1], threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(p.id[unit])], names=["h", "id"])
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        make, "doc_id long, paragraph int, n_words int, class long, bands array<long>")
+    return _held(docs).select("text").mapInArrow(make, "h long, id long")
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, k: int, min_words: int) -> DataFrame:
-    """Full sets (id, n, items) of the classes in wanted(doc_id, class), each read from that document."""
+def paragraph_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """Full sets (id, n, items) of the ids in wanted(doc_id, t, id), each read from that text."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for t, want in zip(b.column("text"), b.column("want").to_pylist(), strict=True):
-                want = set(want)
-                for _, _, s in _paragraph_sets(t.as_py(), k, min_words):
-                    if (c := _class(s)) in want:
-                        want.discard(c)
-                        rows.append((c, len(s), s.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "n", "items"])
-
-    lists = wanted.groupBy("doc_id").agg(F.collect_list("class").alias("want"))
-    held = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(lists, "doc_id")
-    return held.select("text", "want").mapInArrow(make, SETS)
-
-
-def repeated_paragraphs(docs: DataFrame, k: int = 5, threshold: int = 80, min_words: int = 40, scratch: Scratch | None = None) -> DataFrame:
-    """docs(doc_id, text, ...) -> (doc_id, paragraph, n_words, component_id, first_doc_id, copies, kept).
-
-    A paragraph is a line of at least ``min_words`` words (``\\n`` ends a line); shorter lines are left
-    alone, since short phrases repeat in clean text. Paragraphs whose sets of k-word shingles (A-Z
-    lower-cased) have 100 * intersection >= threshold * union are linked; each component of two or more
-    occurrences is returned in full, with its first occurrence by (doc_id, paragraph) kept. Equal
-    sets are one node from the start. Null or empty texts have no paragraphs, rows without doc_id take
-    no part, repeated rows are copies whose later ones fall under the same (doc_id, paragraph) and are
-    returned once; other columns are ignored; an empty table gives an empty result.
+            want, at = b.column("want"), 0
+            for part in slices(b.column("text").to_pylist()):
+                p = Paragraphs(part, k)
+                rows: dict[int, tuple] = {}
+                asked = want.slice(at, len(part))
+                text = np.repeat(np.arange(len(part)), np.diff(asked.offsets.to_numpy()))
+                asked = set(zip(text.tolist(), asked.flatten().to_pylist(), strict=True))
+                at += len(part)
+                for i, (t, x) in enumerate(zip(p.text.tolist(), p.id.tolist(), strict=True)):
+                    if x not in rows and (t, x) in asked:
+                        a, z = p.at[i], p.at[i + 1]
+                        rows[x] = x, z - a, p.items[a:z].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows.values()], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "n", "items"])
+
+    lists = wanted.groupBy("doc_id", "t").agg(F.collect_list("id").alias("want"))  # at most a text's own paragraphs
+    return _held(docs).join(lists, ["doc_id", "t"]).select("text", "want").mapInArrow(make, SETS).dropDuplicates(["id"])
+
+
+def repeated_paragraphs(docs: DataFrame, k: int = 5, threshold: int = 80, least: int = LEAST, scratch: Scratch | None = None) -> DataFrame:
+    """docs(doc_id, text, ...) -> (doc_id, t, start, n_words, run_words, component_id, first_doc_id, first_start, copies, kept).
+
+    Paragraphs (see above) whose sets of k-word shingles (A-Z lower-cased) have 100 * intersection >=
+    threshold * union are linked; each component of two or more occurrences counts as repeated, with
+    its first occurrence by (doc_id, start, t) kept. A row is one occurrence: n_words words from word
+    ``start`` of the text with xxhash64 ``t``. Neighbouring repeated paragraphs of a text are one run of
+    ``run_words`` words; runs shorter than ``least`` are left out of the result, as short phrases and
+    single boilerplate lines repeat in clean text. Every paragraph is searched, whatever its size, and
+    equal sets are one node from the start. Null or empty texts have no paragraphs, rows without doc_id
+    take no part, rows that share a doc_id are told apart by their text, and exact copies of a row
+    count as copies that share one set of result rows; other columns are ignored; an empty table
+    gives an empty result.
     """
     scratch = scratch or Scratch(docs.sparkSession, "paragraphs")
-    hasher = MinHasher(BANDS, ROWS)
-    sig = scratch.save(paragraph_signatures(docs, hasher, k, min_words).dropDuplicates(["doc_id", "paragraph"]))
-    classes = scratch.save(sig.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")))
-    nodes = sig.join(classes.select("class", "doc_id"), ["class", "doc_id"]).select(F.col("class").alias("id"), "bands").dropDuplicates(["id"])
-    source = classes.select(F.col("class").alias("id"), "doc_id")
-    sets_of = lambda ids: class_sets(docs, source.join(ids, "id").select("doc_id", F.col("id").alias("class")), k, min_words).dropDuplicates(["id"])
-    _, roots = near_links(scratch.save(nodes), sets_of, scratch, threshold)
-    found = classes.select("class", "copies").join(roots.withColumnRenamed("id", "class"), "class", "left").withColumn("component_id", F.coalesce("root", "class"))
-    grouped = found.groupBy("component_id").agg(F.sum("copies").alias("copies")).where("copies > 1")
-    member = scratch.save(found.select("class", "component_id").join(grouped, "component_id"))
-    rows = scratch.save(sig.select("doc_id", "paragraph", "n_words", "class").join(member, "class"))
-    first = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "paragraph")).alias("f"))
-    return rows.join(first, "component_id").select(
-        "doc_id", "paragraph", "n_words", "component_id", F.col("f.doc_id").alias("first_doc_id"), "copies",
-        (F.col("f") == F.struct("doc_id", "paragraph")).alias("kept"))
-
-
-def _anchors(words: np.ndarray, gram: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of the least gram of ``gram`` words in every ``least`` words."""
-    if len(words) < least:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    falling, rising = (np.cumprod(np.full(len(words), m, np.uint64)) for m in (_BASE, pow(_BASE, -1, 2**64)))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * rising, dtype=np.uint64)])
-    # A gram's weights depend on its place by a power of the base, which the factor takes away.
-    h = mix((sums[gram:] - sums[:-gram]) * falling[: len(words) - gram + 1])
-    near = np.lib.stride_tricks.sliding_window_view(h, least - gram + 1)
-    at = np.unique(near.argmin(axis=1) + np.arange(len(near)))
-    return at, h[at]
-
-
-def repeated_passages(docs: DataFrame, least: int = 50, min_words: int = 40) -> DataFrame:
-    """docs(doc_id, text, ...) -> (doc_id, start, n_words, first_doc_id, first_start, copies, kept).
-
-    Words (A-Z lower-cased) run through a text regardless of its lines. Every run of ``least`` words that
-    occurs twice holds the same anchor, its least gram of ``min_words`` words, so it is found wherever it
-    stands; no shorter run than ``min_words`` is returned. A row is a verbatim copy of words of
-    first_doc_id from first_start on, the first occurrence itself if kept; where a run goes on beyond its
-    outermost anchors, up to least - min_words words at either end are left out of the row. Rows without
-    doc_id take no part; repeated rows are copies under the same (doc_id, start) and returned once.
-    """
+    some = docs.where(F.pmod(F.xxhash64(F.col("text").cast("string"), F.lit(1)), F.lit(256)) == 0)
+    met = scratch.save(meeting(band_keys(docs, k, threshold), band_keys(some, k, threshold), scratch))
+    every = scratch.save(paragraphs(docs, k))
+    classes = every.groupBy("id").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "start", "t")).alias("first"))
+    classes = classes.join(met.select("id").distinct().withColumn("met", F.lit(True)), "id", "left").where("copies > 1 or met")
+    classes = scratch.save(classes)
+    source = classes.where("met").select("first.doc_id", "first.t", "id")
+    links, roots = near_links(met, lambda ids: paragraph_sets(docs, source, k), scratch, threshold, OddSketcher(bits=128))
+    found = classes.join(roots, "id", "left").withColumn("component_id", F.coalesce("root", "id"))
+    grouped = found.groupBy("component_id").agg(F.sum("copies").alias("copies"), F.min("first").alias("first")).where("copies > 1")
+    member = scratch.save(found.select("id", "component_id").join(grouped, "component_id"))
+    rows = every.join(member, "id").repartition("doc_id", "t").dropDuplicates(["doc_id", "t", "start"])
+    text = Window.partitionBy("doc_id", "t").orderBy("start")  # the paragraphs of one text
+    opens = F.coalesce(F.col("start") != F.lag(F.col("start") + F.col("n_words")).over(text), F.lit(True)).cast("int")
+    rows = rows.withColumn("opens", opens).withColumn("run", F.sum("opens").over(text))
+    rows = rows.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "t", "run")).cast("int")).where(F.col("run_words") >= least)
+    out = scratch.save(rows.select(
+        "doc_id", "t", "start", "n_words", "run_words", "component_id", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"),
+        "copies", (F.col("first") == F.struct("doc_id", "start", "t")).alias("kept")))
+    scratch.free(met, every, classes, member, links)
+    return out
+
+
+def without_repeats(docs: DataFrame, k: int = 5, threshold: int = 80, least: int = LEAST, scratch: Scratch | None = None) -> DataFrame:
+    """docs with every repeated paragraph but the first removed from ``text``, and n_chars counted anew if there.
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [_anchors(word_hashes(t.as_py()), min_words, least) for t in b.column("text")]
-            ids = np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False), [len(at) for at, _ in found])
-            at, h = (np.concatenate([x[i] for x in found] or [np.empty(0, kind)]) for i, kind in enumerate((np.int64, np.uint64)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], names=["doc_id", "start", "h"])
-
-    held = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    same = Window.partitionBy("h")
-    seen = held.mapInArrow(make, "doc_id long, start int, h long").select(
-        "doc_id", "start", F.count("*").over(same).alias("copies"), F.min(F.struct("doc_id", "start")).over(same).alias("f")).where("copies > 1")
-    seen = seen.select("doc_id", "start", "copies", F.col("f.doc_id").alias("first_doc_id"), F.col("f.start").alias("first_start"))
-    # Anchors of one copy that overlap are one run: the words between them agree too.
-    copy = Window.partitionBy("doc_id", "first_doc_id", F.col("start") - F.col("first_start")).orderBy("start")
-    seen = seen.withColumn("opens", F.coalesce(F.col("start") - F.lag("start").over(copy) > min_words, F.lit(True)).cast("int")).withColumn("run", F.sum("opens").over(copy))
-    runs = seen.groupBy("doc_id", "first_doc_id", (F.col("start") - F.col("first_start")).alias("shift"), "run").agg(
-        F.min("start").alias("start"), (F.max("start") - F.min("start") + min_words).cast("int").alias("n_words"), F.min("first_start").alias("first_start"), F.max("copies").alias("copies"))
-    return runs.select("doc_id", "start", "n_words", "first_doc_id", "first_start", "copies", ((F.col("doc_id") == F.col("first_doc_id")) & (F.col("shift") == 0)).alias("kept"))
-
-
-def repeated_text(docs: DataFrame) -> DataFrame:
-    """Repeated paragraphs, and repeated passages in or across any lines, as rows of one table.
-
-    A passage has start and first_start, its first word in its own and the first document, and no
-    paragraph or component_id; a paragraph has no start. Verbatim copies of a paragraph appear as both.
+    A paragraph goes with the white space that follows it; all else stays byte for byte. A document keeps its
+    row even if nothing is left of its text; null ids and texts stay as they are.
     """
-    lines = repeated_paragraphs(docs).select("*", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("first_start"))
-    return lines.unionByName(repeated_passages(docs), allowMissingColumns=True).select(lines.columns)
+    gone = repeated_paragraphs(docs, k, threshold, least, scratch).where("not kept").groupBy("doc_id", "t").agg(
+        F.collect_list(F.struct("start", "n_words")).alias("gone"))  # at most a text's own paragraphs
 
+    names = docs.columns
 
-def without_repeats(docs: DataFrame, k: int = 5, threshold: int = 80, min_words: int = 40) -> DataFrame:
-    """docs with every repeated paragraph but the first removed from ``text``, and n_chars counted anew if there.
-
-    A document keeps its row even if nothing is left of its text; null ids and texts stay as they are.
-    """
-    gone = repeated_paragraphs(docs, k, threshold, min_words).where("not kept").groupBy("doc_id").agg(F.collect_list("paragraph").alias("_gone"))
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    out = docs.join(gone, "doc_id", "left").withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(docs.columns)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns = b.column("row").flatten()
+            at = names.index("text")
+            texts = [_without(t, g) if g else t for t, g in zip(columns[at].to_pylist(), b.column("gone").to_pylist(), strict=True)]
+            columns[at] = pa.array(texts, columns[at].type)
+            if "n_chars" in names:
+                i = names.index("n_chars")
+                sizes = [len(t) if g else n for t, g, n in zip(texts, b.column("gone").to_pylist(), columns[i].to_pylist(), strict=True)]
+                columns[i] = pa.array(sizes, columns[i].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("d"), F.xxhash64(F.col("text").cast("string")).alias("s"))
+    return row.join(gone, F.expr("d = doc_id and s = t"), "left").select("row", "gone").mapInArrow(cut, docs.schema)
+
+
+def _without(text: str, gone: list[dict]) -> str:
+    raw = np.frombuffer(text.encode(), np.uint8)
+    space = np.isin(raw, [9, 10, 11, 12, 13, 32])
+    begins = np.flatnonzero(~space & np.append(True, space[:-1]))
+    begins = np.append(begins, len(raw))
+    keep = np.ones(len(raw), bool)
+    for g in gone:
+        keep[begins[g["start"]] : begins[g["start"] + g["n_words"]]] = False
+    return raw[keep].tobytes().decode()

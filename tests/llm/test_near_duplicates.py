@@ -2,13 +2,12 @@ import random
 
 import numpy as np
 import pytest
-from brute import classes, shingles
+from brute import classes, repeats, shingles, without
 from tallyspark.llm.common import Scratch, shingle_set, word_hashes
 from tallyspark.llm.components import components
 from tallyspark.llm.minhash_dedup import near_duplicates
-from tallyspark.llm.neardup import OddSketcher
-from tallyspark.llm.paragraph_dedup import _anchors, repeated_paragraphs, without_repeats
-from tallyspark.llm.queries import QUERIES
+from tallyspark.llm.neardup import OddSketcher, meeting
+from tallyspark.llm.paragraph_dedup import Paragraphs, repeated_paragraphs, without_repeats
 
 SF = "/root/testdata/sf0.001/documents.parquet"
 
@@ -79,80 +78,122 @@ def test_long_texts_cut_short_are_linked(spark):
     assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()} == want
 
 
+def test_long_texts_that_overlap_are_linked(spark):
+    rng, texts = random.Random(5), []
+    for size in (1_025, 1_600, 4_003, 20_000):
+        for similarity in (0.801, 0.81, 0.83):
+            part = round(size * 2 * similarity / (1 + similarity)) + 1
+            base = ["w%d" % rng.randrange(10**7) for _ in range(2 * size - part)]
+            texts += [" ".join(base[:size]), " ".join(base[-size:])]
+    texts += [" ".join(w := ["w%d" % rng.randrange(10**7) for _ in range(4_003)]), " ".join(w[:3_243])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = classes({i: shingles(t, 4) for i, t in enumerate(texts)})
+    assert want == {i: i - i % 2 for i in range(len(texts))}
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, 4).collect()} == want
+
+
+def test_two_texts_of_one_document(spark):
+    rng = random.Random(5)
+    a, b, c = (" ".join("w%d" % rng.randrange(10**6) for _ in range(60)) for _ in range(3))
+    docs = spark.createDataFrame([(5, a), (5, b), (3, a + " x"), (8, "y " + b), (9, c)], "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in near_duplicates(docs).collect()} == {(5, 3), (3, 3), (8, 3), (9, 9)}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20, 60)] + [(3, 9), (9, 3), (9, 1), (7, 7), (None, 2)], "a long, b long")
     got = {r["id"]: r["root"] for r in components(links, Scratch(spark, "t")).collect()}
     assert got == {i: 20 for i in range(21, 61)} | {3: 1, 9: 1}
 
 
-def paragraph_classes(rows, k=5, least=40):
-    sets = {(d, i): shingles(line, k) for d, t in rows for i, line in enumerate((t or "").split("\n")) if len(line.encode().split()) >= least}
-    found = classes(sets)
-    size = {}
-    for c in found.values():
-        size[c] = size.get(c, 0) + 1
-    return {p: c for p, c in found.items() if size[c] > 1}
+def as_rows(df):
+    return {(r["doc_id"], r["start"]): (r["n_words"], r["run_words"], r["copies"], (r["first_doc_id"], r["first_start"]), r["kept"]) for r in df.collect()}
 
 
-def test_paragraphs_against_all_pairs(spark):
-    rng = random.Random(2)
-    new = lambda n: ["w%d" % rng.randrange(5000) for _ in range(n)]
-    passages = [new(60), new(120)]
-    rows = [(0, None), (1, ""), (2, "\n\n")]
-    for i in range(3, 50):
-        lines = [" ".join(new(rng.randint(1, 70))) for _ in range(rng.randint(0, 4))]
-        lines.insert(rng.randint(0, len(lines)), " ".join(edited(rng, rng.choice(passages), rng.choice([0.01, 0.03, 0.08]))))
-        rows.append((i, "\n".join(lines) + rng.choice(["", "\n"])))
-    docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, paragraph int")
-    got = {(r["doc_id"], r["paragraph"]): r for r in repeated_paragraphs(docs).collect()}
-    want = paragraph_classes(rows)
-    assert set(got) == set(want)
-    assert all(r["kept"] == (p == want[p]) and r["first_doc_id"] == want[p][0] for p, r in got.items())
-    left = {r["doc_id"]: r["text"] for r in without_repeats(docs.drop("paragraph")).collect()}
+def wrap(words, n):
+    return "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+
+def passages(seed=6):
+    """Texts that share passages inside and across lines, verbatim, in other case or slightly changed, and their places."""
+    rng = random.Random(seed)
+    new = lambda n: ["w%d" % rng.randrange(10**6) for _ in range(n)]
+    rows, at = [], {}
+    for p in range(12):
+        passage = new(rng.randint(51, 120))
+        for k in range(3):
+            copy = edited(rng, passage, 0.01) if k == 2 and p % 2 else passage
+            before, after = new(rng.randint(0, 300)), new(rng.randint(100, 300))
+            at[len(rows)] = (len(before), len(passage))
+            rows.append((len(rows), wrap([x.upper() if k == 1 else x for x in before + copy + after], (1000, 9, 38)[k])))
+    for p in range(3):  # paragraphs that differ at their ends only
+        base = new(300)
+        rows += [(len(rows) + i, " ".join(edited(rng, base, 0.05))) for i in range(4)]
+    rows += [(len(rows) + i, wrap(new(200), n)) for i, n in enumerate((1000, 9, 38))]
+    rows += [(len(rows), " ".join(["ha"] * 400)), (len(rows) + 1, "é " * 90), (len(rows) + 2, "one two"), (len(rows) + 3, "ONE\ttwo")]
+    rows += [(None, rows[0][1]), (900, None), (901, ""), (902, " \n"), (903, " ".join(new(10) * 30))]
+    return rows, at
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_passages_against_all_pairs(spark, seed):
+    rows, at = passages(seed)
+    docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, start int, kept string").repartition(5)
+    want = repeats(rows)
+    assert as_rows(repeated_paragraphs(docs)) == want
+    hit = {d for d, _ in want}
+    assert set(at) <= hit and not hit & {d for d, _ in rows[48:51]}
+    got = {r["doc_id"]: r["text"] for r in without_repeats(docs).collect()}
     for d, t in rows:
-        lines = [x for i, x in enumerate(t.split("\n")) if want.get((d, i), (d, i)) == (d, i)] if t is not None else None
-        assert left[d] == (None if t is None else "\n".join(lines))
-    assert repeated_paragraphs(docs.limit(0)).count() == 0
+        assert got[d] == (t if t is None or d is None else without(t, [(p[1], v[0]) for p, v in want.items() if p[0] == d and not v[4]]))
 
 
-def test_paragraphs_of_given_documents(spark):
-    docs = spark.read.parquet(SF)
-    got = {(r["doc_id"], r["paragraph"]) for r in repeated_paragraphs(docs).collect()}
-    assert got == set(paragraph_classes([(r["doc_id"], r["text"]) for r in docs.collect()]))
+def test_every_run_of_over_50_words_is_caught(spark):
+    rng = random.Random(1)
+    new = lambda n: ["w%d" % rng.randrange(10**6) for _ in range(n)]
+    rows = []
+    for _ in range(200):
+        run = new(51)
+        rows += [(len(rows) + i, " ".join(new(rng.randint(20, 200)) + run + new(rng.randint(20, 200)))) for i in range(2)]
+    found = {r[0] for r in repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").collect()}
+    assert len(found) >= 0.95 * len(rows)
 
 
-def test_anchors_follow_words():
-    rng = np.random.default_rng(3)
-    run, new = rng.integers(0, 2**63, 50, dtype=np.uint64), lambda n: rng.integers(0, 2**63, n, dtype=np.uint64)
-    for before, after in ((0, 0), (7, 300), (500, 1), (33, 33)):
-        at, h = _anchors(np.concatenate([new(before), run, new(after)]), 40, 50)
-        assert set(_anchors(run, 40, 50)[1].tolist()) <= set(h[(at >= before) & (at <= before + 10)].tolist())
-    assert len(_anchors(run[:49], 40, 50)[0]) == 0
+def test_passages_of_given_documents(spark):
+    docs = spark.read.parquet(SF)
+    assert as_rows(repeated_paragraphs(docs)) == repeats([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
-def test_passages_inside_and_across_lines(spark, tmp_path):
-    rng = random.Random(6)
-    new = lambda n: ["w%d" % rng.randrange(10**6) for _ in range(n)]
-    wrap = lambda words, n: "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
-    rows, at = [], {}
-    for p in range(6):
-        passage = new(rng.randint(50, 90))
-        for k in range(3):
-            before, after = new(rng.randint(0, 300)), new(rng.randint(100, 300))
-            at[len(rows)] = (len(before), len(passage), 3 * p)
-            rows.append((len(rows), wrap([x.upper() if k == 1 else x for x in before + passage + after], (1000, 9, 38)[k])))
-    rows += [(len(rows) + i, wrap(new(200), n)) for i, n in enumerate((1000, 9, 38))] + [(None, rows[0][1]), (90, None), (91, "")]
-    shared = new(39)
-    rows += [(95 + i, " ".join(new(80) + shared + new(80))) for i in range(2)]
-    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {}
-    for r in QUERIES["op9_paragraph_dedup"](spark, str(tmp_path)).collect():
-        got.setdefault(r["doc_id"], []).append(r)
-    assert set(got) == set(at)
-    for d, (start, n, first) in at.items():
-        (r,) = got[d]
-        assert start <= r["start"] <= start + 10 and start + n - 10 <= r["start"] + r["n_words"] <= start + n
-        assert r["first_doc_id"] == first and r["copies"] == 3 and r["kept"] == (d == first) and r["first_start"] - at[first][0] == r["start"] - start
+def test_passages_at_the_edges(spark):
+    rng = random.Random(2)
+    a, b = (" ".join("w%d" % rng.randrange(10**6) for _ in range(60)) for _ in range(2))
+    docs = spark.createDataFrame([(1, a, 5), (1, a, 5), (1, b, 5), (2, b, None), (None, a, 1)], "doc_id long, text string, n_chars long")
+    got = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in without_repeats(docs.where("doc_id is not null")).collect())
+    assert got == sorted([(1, a, 5), (1, a, 5), (1, b, 5), (2, "", 0)])
+    assert {r["copies"] for r in repeated_paragraphs(docs).collect()} == {2} and without_repeats(docs).count() == 5
+    assert repeated_paragraphs(docs.limit(0)).count() == 0 and without_repeats(docs.limit(0)).count() == 0
+
+
+def test_linked_sets_share_a_band():
+    rng = np.random.default_rng(4)
+    for n in [*range(3, 60), 100, 400]:
+        for share in (1, 0.95, 0.9, 0.85):
+            word = lambda n: ["v%d" % x for x in rng.integers(0, 10**9, n)]
+            run = word(int(n * share) + 4)
+            p = Paragraphs([" ".join(run + word(n - int(n * share))), " ".join(run)], 5, reach=10**6)
+            sets = [set(p.items[p.unit == i].tolist()) for i in (0, 1)]
+            unit, h = p.keys(np.arange(2), 80)
+            if 100 * len(sets[0] & sets[1]) >= 80 * len(sets[0] | sets[1]):
+                assert set(h[unit == 0].tolist()) & set(h[unit == 1].tolist())
+
+
+def test_hot_keys_go_another_way_to_the_same_result(spark):
+    rng = random.Random(9)
+    flat = spark.createDataFrame([(rng.choice([1, 1, 1, 2, 3, *range(4, 400)]), rng.randrange(50)) for _ in range(2000)] + [(1000, 7)] * 300, "h long, id long")
+    one, other = ({tuple(r) for r in meeting(flat, sample, Scratch(spark, "t"), 20).collect()} for sample in (flat, flat.limit(0)))
+    seen = {}
+    for h, i in {tuple(r) for r in flat.collect()}:
+        seen.setdefault(h, set()).add(i)
+    assert one == other == {(h, i) for h, ids in seen.items() if len(ids) > 1 for i in ids}
 
 
 def test_hashes_follow_words():
