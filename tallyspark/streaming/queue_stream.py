@@ -2,24 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import work_queue
 
 
+BUCKETS = 256
+
+
+def _keep(state: DataFrame, root: str, version: int) -> None:
+    """Writes rows as this version of their buckets; the same version again replaces itself."""
+    rows = state.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")).withColumn("version", F.lit(version).cast("long"))
+    rows.repartition("bucket").write.partitionBy("bucket", "version").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
+
+
+def begin(state: DataFrame, root: str) -> None:
+    """Lays down the queue's start, version -1 of every bucket."""
+    _keep(state, root, -1)
+
+
+def current(spark: SparkSession, root: str, before: int = 2**62) -> DataFrame:
+    """The state as of the newest version of each bucket below ``before``: (id, url, status, retry_count, bucket)."""
+    every = spark.read.schema("id long, url string, status string, retry_count int, bucket int, version long").parquet(root)
+    newest = every.where(F.col("version") < before).groupBy("bucket").agg(F.max("version").alias("version"))
+    return every.join(F.broadcast(newest), ["bucket", "version"]).drop("version")  # BUCKETS rows
+
+
 def follow(results: DataFrame, state_root: str, checkpoint: str, gap_phase: bool = False):
-    """Starts a query that applies each micro-batch of results to the state in ``state_root``/<version>.
+    """Starts a query that applies each micro-batch of results to the state that ``begin`` laid down.
 
-    Versions are numbered by batch, so a batch that is run again after a failure reads the version before
-    it and writes its own anew. The first version, ``state_root``/-1, is the queue's start.
+    The state lies in buckets by a hash of id, each in versions numbered by batch: a batch reads and writes
+    the buckets its ids fall into and no others, and a batch that is run again after a failure reads
+    the versions before it and writes its own anew.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = spark.read.parquet(f"{state_root}/{number - 1}")
         latest = batch.groupBy("id").agg(F.max_by(F.struct("ok", "status_code"), "seq").alias("r")).select("id", "r.ok", "r.status_code")
-        work_queue.step(before, latest, gap_phase).write.mode("overwrite").parquet(f"{state_root}/{number}")
+        touched = latest.select(F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int").alias("bucket")).distinct()
+        before = current(batch.sparkSession, state_root, number).join(F.broadcast(touched), "bucket", "left_semi")
+        _keep(work_queue.step(before, latest, gap_phase), state_root, number)
 
     return results.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

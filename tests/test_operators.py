@@ -84,11 +84,15 @@ def test_runs_and_grades(spark):
 
 def test_stream_follows_batches(spark, tmp_path):
     state = spark.createDataFrame([(i, f"u{i}", "pending", 0) for i in range(4)], "id long, url string, status string, retry_count int")
-    state.write.parquet(f"{tmp_path}/state/-1")
+    queue_stream.begin(state, f"{tmp_path}/state")
     spark.createDataFrame([(0, True, 200, 1), (1, False, 500, 1), (1, True, 200, 2)], "id long, ok boolean, status_code int, seq long").write.parquet(f"{tmp_path}/results")
     results = spark.readStream.schema("id long, ok boolean, status_code int, seq long").parquet(f"{tmp_path}/results")
     queue_stream.follow(results, f"{tmp_path}/state", f"{tmp_path}/cp").awaitTermination()
-    assert sorted(r["status"] for r in spark.read.parquet(f"{tmp_path}/state/0").collect()) == ["pending", "pending", "success", "success"]
+    now = lambda n=9: {r["id"]: r["status"] for r in queue_stream.current(spark, f"{tmp_path}/state", n).collect()}
+    assert now() == {0: "success", 1: "success", 2: "pending", 3: "pending"} and set(now(0).values()) == {"pending"}
+    spark.createDataFrame([(2, False, 404, 3)], "id long, ok boolean, status_code int, seq long").write.mode("append").parquet(f"{tmp_path}/results")
+    queue_stream.follow(results, f"{tmp_path}/state", f"{tmp_path}/cp").awaitTermination()
+    assert now() == {0: "success", 1: "success", 2: "invalid", 3: "pending"}
 
 
 def test_readers_and_sinks(spark, tmp_path):
