@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 
 def bounded_sample(rows: DataFrame, label: str, id_col: str, per_label: dict | int, seed: int) -> DataFrame:
-    """At most ``per_label`` rows of each label value (a number, or one by value), chosen by a hash of the id.
+    """At most ``per_label`` rows of each label value (a number, or one by value): those with the least hashes of id and text.
 
-    The share to take comes from a count, so no task sorts or holds more than its part of the sample.
+    A threshold from a count leaves few more rows than are taken, so the order that makes reruns agree
+    costs a task no more than the sample.
     """
+    u = F.pmod(F.xxhash64(F.col(id_col), F.col("text"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     counts = rows.groupBy(label).count().collect()  # one row a label value
-    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     parts = None
     for value, n in ((r[label], r["count"]) for r in counts):
         most = per_label.get(value, 0) if isinstance(per_label, dict) else per_label
-        part = rows.where((F.col(label) == value) & (u < 1.05 * most / n)).limit(most)
+        part = rows.where((F.col(label) == value) & (u < (1.05 * most + 30) / n)).orderBy(u, id_col, "text").limit(most)
         parts = part if parts is None else parts.unionByName(part)
     return rows.limit(0) if parts is None else parts

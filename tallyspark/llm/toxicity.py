@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix
+from .common import mix, slices
 from .language_id import held_out
 from .sampling import bounded_sample
 
@@ -184,7 +184,8 @@ class ToxicityNet:
                 if epoch == 0:  # nothing learned yet: any window may be the one
                     z = rng.random(len(z))
                 pick = np.array([a + z[a:b].argmax() for a, b in zip(t.first_window[:-1], t.first_window[1:], strict=True)])
-                g = self.gradients(t, x, t.index[pick], y[take].astype(np.float32))
+                index, goal = _amid_others(t, pick, y[take], rng)
+                g = self.gradients(t, x, index, goal.astype(np.float32))
                 step += 1
                 for k, p in self.p.items():
                     m[k] += 0.1 * (g[k] - m[k])
@@ -193,6 +194,24 @@ class ToxicityNet:
         return self
 
 
+def _amid_others(t: Words, pick: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """The picked windows and their labels; each short toxic one once more, at a random place of a clean window.
+
+    So a few toxic words count wherever they stand in a window, not only on their own.
+    """
+    index = t.index[pick]
+    n = (index >= 0).sum(axis=1)
+    clean = np.flatnonzero(y == 0)
+    short = np.flatnonzero((y == 1) & (n > 0) & (n <= LENGTH // 2)) if len(clean) else np.empty(0, np.int64)
+    more = np.full((len(short), LENGTH), -1)
+    for row, i in zip(more, short, strict=True):
+        other = rng.choice(clean)
+        around = np.resize(index[other, : n[other]], LENGTH - n[i]) if n[other] else np.empty(0, np.int64)
+        at = rng.integers(0, len(around) + 1)
+        row[: len(around) + n[i]] = np.concatenate([around[:at], index[i, : n[i]], around[at:]])
+    return np.concatenate([index, more]), np.concatenate([y, np.ones(len(short), y.dtype)])
+
+
 def train(rows: DataFrame, toxic: int = 900, clean: int = 1500, most_chars: int = 6000, seed: int = 21) -> ToxicityNet | None:
     """rows(doc_id, text, toxic) -> the network, fitted on at most so many texts of at most so many characters."""
     usable = rows.where(f"text is not null and doc_id is not null and toxic in (0, 1) and length(text) <= {most_chars}")
@@ -208,13 +227,9 @@ def score(docs: DataFrame, model: ToxicityNet | None) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, out, i = b.column("text").to_pylist(), [], 0
-            while i < len(texts):  # about a megabyte at a time
-                j, size = i, 0
-                while j < len(texts) and (j == i or size < 1_000_000):
-                    size, j = size + len(texts[j] or ""), j + 1
-                out += model.scores(texts[i:j]).tolist() if model else [0.0] * (j - i)
-                i = j
+            out = []
+            for texts in slices(b.column("text").to_pylist()):
+                out += model.scores(texts).tolist() if model else [0.0] * len(texts)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(make, "doc_id long, score double")
@@ -245,15 +260,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.3) -> Dat
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
             ok = []
-            i = 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size < 1_000_000):
-                    size, j = size + len(texts[j] or ""), j + 1
-                ok += (model.scores(texts[i:j]) < limit).tolist() if model else [True] * (j - i)
-                i = j
+            for texts in slices(b.column("text").to_pylist()):
+                ok += (model.scores(texts) < limit).tolist() if model else [True] * len(texts)
             yield b.filter(pa.array(ok, pa.bool_()))
 
     return docs.select(columns).mapInArrow(keep, docs.schema)
