@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
 from .sampling import bounded_sample
 
 WINDOW = 96
-LETTER = re.compile(r"[^\W\d_]")
+#: What counts as a letter, in training and prediction alike.
+LETTER = r"\p{L}"
 
 
 class ByteCNN:
@@ -105,7 +106,7 @@ def windows(text: str) -> np.ndarray:
 def train(docs: DataFrame, per_language: int = 800, windows_each: int = 4, seed: int = 9) -> ByteCNN | None:
     """Fits the network on at most ``per_language`` documents a language, ``windows_each`` windows of each."""
     rows = docs.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang", "text")
-    sample = bounded_sample(rows.where(F.col("text").rlike(r"\p{L}")), "lang", "doc_id", per_language, seed)
+    sample = bounded_sample(rows.where(F.col("text").rlike(LETTER)), "lang", "doc_id", per_language, seed)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -132,19 +133,22 @@ def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
-            seen = [i for i, t in enumerate(texts) if model and t and LETTER.search(t)]
-            lang, value = ["und"] * len(texts), [0.0] * len(texts)
-            if seen:
-                parts = [windows(texts[i]) for i in seen]
+            lang, value = ["und"] * len(b), [0.0] * len(b)
+            seen = np.flatnonzero(b.column("letters").to_numpy(zero_copy_only=False)) if model else np.empty(0, np.int64)
+            texts, at = b.column("text").take(pa.array(seen)).to_pylist(), 0
+            for some in slices(texts):
+                parts = [windows(t) for t in some]
                 p = model.probabilities(np.concatenate(parts)).astype(np.float64)
                 starts = np.cumsum([0, *(len(x) for x in parts)])
                 mean = np.add.reduceat(p, starts[:-1], axis=0) / np.diff(starts)[:, None]
-                for i, k, s in zip(seen, mean.argmax(axis=1), mean.max(axis=1), strict=True):
+                for i, k, s in zip(seen[at : at + len(some)].tolist(), mean.argmax(axis=1), mean.max(axis=1), strict=True):
                     lang[i], value[i] = model.labels[k], min(1.0, float(s))
+                at += len(some)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang), pa.array(value, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, "doc_id long, lang_pred string, score double")
+    text = F.col("text").cast("string")
+    held = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(text.rlike(LETTER), F.lit(False)).alias("letters"))
+    return held.mapInArrow(score, "doc_id long, lang_pred string, score double")
 
 
 def held_out(modulus: int, remainder: int):
