@@ -16,7 +16,6 @@ ROLES = ("system", "user", "assistant")
 #: A state is a role and whether the line opens a turn or continues one.
 STATES = [(r, first) for r in ROLES for first in (True, False)]
 MARKER = re.compile(r"^\s*(?:#{1,4}\s*(\w{1,20}):?\s*$|<\|(\w{1,20})\|>\s*|\[(\w{1,20})\]\s*|\*{0,2}(\w{1,20})\*{0,2}:(?:\s+|$))")
-LINE = 1_000_000  # positions a turn's lines may take
 
 
 def split_marker(line: str) -> tuple[str, str]:
@@ -72,34 +71,32 @@ class RoleHMM:
 
 
 def transcript_lines(turns: DataFrame, raw: Column) -> DataFrame:
-    """turns(conv_id, turn, ...) -> (conv_id, pos, line): raw text of each turn in lines; pos orders them."""
-    parts = F.posexplode(F.split(F.coalesce(raw, F.lit("")), "\n", -1))
-    t = F.coalesce(F.col("turn").cast("long"), F.lit(0))
-    return turns.select("*", parts.alias("_i", "line")).withColumn("pos", t * LINE + F.least(F.col("_i"), F.lit(LINE - 1)))
+    """turns(conv_id, turn, ...) -> the same with (at, line): raw text of each turn in lines; turn and at order them."""
+    return turns.withColumn("turn", F.coalesce(F.col("turn").cast("long"), F.lit(0))).select("*", F.posexplode(F.split(F.coalesce(raw, F.lit("")), "\n", -1)).alias("at", "line"))
 
 
 def _segments(lines: DataFrame, span: int, overlap: int) -> DataFrame:
-    """Adds seg; lines at the end of one segment also go to the next one as context (own = false)."""
-    seg = F.floor(F.col("pos") / span)
-    near = F.pmod("pos", F.lit(span)) >= span - overlap
-    both = F.when(near, F.array(F.struct(seg.alias("seg"), F.lit(True).alias("own")), F.struct((seg + 1).alias("seg"), F.lit(False).alias("own"))))
-    return lines.select("*", F.explode(both.otherwise(F.array(F.struct(seg.alias("seg"), F.lit(True).alias("own"))))).alias("_s")).select(*lines.columns, "_s.seg", "_s.own")
+    """Adds seg; the turns at either end of a segment also go to its neighbour as context (own = false)."""
+    seg, place = F.floor(F.col("turn") / span), F.pmod("turn", F.lit(span))
+    to = lambda which, own, when: F.when(when, F.struct(which.alias("seg"), F.lit(own).alias("own")))
+    every = F.array(to(seg, True, F.lit(True)), to(seg + 1, False, place >= span - overlap), to(seg - 1, False, place < overlap))
+    return lines.select("*", F.inline(F.array_compact(every)))
 
 
-def train(lines: DataFrame, span: int = 256 * LINE) -> RoleHMM:
-    """lines(conv_id, pos, line, role) -> the model, from counts over all lines with a known role.
+def train(lines: DataFrame, span: int = 256) -> RoleHMM:
+    """lines(conv_id, turn, at, line, role) -> the model, from counts over all lines with a known role.
 
     Only counts by state and feature value reach the driver; feature values seen in fewer than five
     lines are counted as one.
     """
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.append_column("fs", pa.array([features(x) for x in b.column("line").to_pylist()], pa.list_(pa.string()))).select(["conv_id", "seg", "pos", "state", "fs"])
+            yield b.append_column("fs", pa.array([features(x) for x in b.column("line").to_pylist()], pa.list_(pa.string()))).select(["conv_id", "seg", "turn", "at", "state", "fs"])
 
-    state = F.coalesce(*[F.when((F.col("role") == r) & ((F.pmod("pos", F.lit(LINE)) == 0) == first), F.lit(i)) for i, (r, first) in enumerate(STATES)])
-    known = lines.where(F.col("role").isin(*ROLES)).select("conv_id", F.floor(F.col("pos") / span).alias("seg"), "pos", state.alias("state"), "line")
-    known = known.mapInArrow(mark, "conv_id long, seg long, pos long, state int, fs array<string>")
-    before = F.lag("state").over(Window.partitionBy("conv_id", "seg").orderBy("pos", "state"))
+    state = F.coalesce(*[F.when((F.col("role") == r) & ((F.col("at") == 0) == first), F.lit(i)) for i, (r, first) in enumerate(STATES)])
+    known = lines.where(F.col("role").isin(*ROLES)).select("conv_id", F.floor(F.col("turn") / span).alias("seg"), "turn", "at", state.alias("state"), "line")
+    known = known.mapInArrow(mark, "conv_id long, seg long, turn long, at int, state int, fs array<string>")
+    before = F.lag("state").over(Window.partitionBy("conv_id", "seg").orderBy("turn", "at", "state"))
     steps = known.select("state", before.alias("before"), "seg", "fs")
     counts = steps.where("before is not null or seg = 0").groupBy("before", "state").count().collect()
     seen = steps.select("state", F.explode("fs").alias("f")).groupBy("f", "state").count()
@@ -110,51 +107,61 @@ def train(lines: DataFrame, span: int = 256 * LINE) -> RoleHMM:
                    {(r["state"], r["f"]): r["count"] for r in table})
 
 
-def recover_turns(lines: DataFrame, model: RoleHMM, span: int = 256 * LINE, overlap: int = 4 * LINE) -> DataFrame:
-    """lines(conv_id, pos, line, ...) -> (conv_id, start, role, n_lines, rendered), one row a recovered turn.
+def recover_turns(lines: DataFrame, model: RoleHMM, span: int = 256, overlap: int = 4, most: int = 20_000, context: int = 16) -> DataFrame:
+    """lines(conv_id, turn, at, line, ...) -> (conv_id, turn, at, nth, role, n_lines, rendered), one row a recovered turn.
 
-    Lines are decoded in order of pos; a long conversation in segments of ``span`` positions, each with the
-    last ``overlap`` positions of the one before it as context, so no task holds a whole one. A turn runs
-    from an opening line to the next one and is rendered without its marker as
-    ``<|role|>\\ntext\\n<|end|>``; start is its first line's pos. Null lines are empty ones; rows without
+    Lines are decoded in order of turn and at, a long conversation in segments of ``span`` turn numbers, each with
+    ``overlap`` turns of either neighbour as context. A segment of more than ``most`` lines, as
+    a very long turn or many rows under one turn number make it, is decoded piece by piece with ``context`` lines
+    on either side, so no task holds more. A turn runs from an opening line to the next one and is rendered
+    without its marker as ``<|role|>\\ntext\\n<|end|>``; turn and at are its first line's, nth numbers the
+    openings at one place. Null lines are empty ones; rows without
     conv_id form one conversation; repeated rows are repeated lines; other columns are ignored; an empty
     table gives an empty result.
     """
-    held = _segments(lines.select(F.col("conv_id").cast("long"), F.col("pos").cast("long"), F.coalesce("line", F.lit("")).alias("line")), span, overlap)
-    held = held.repartition("conv_id", "seg").sortWithinPartitions("conv_id", "seg", "pos", "line")
-
-    def one(group: list[tuple]) -> list[tuple]:
-        out, start, role = [], None, None
-        for (conv, _, pos, line, own), s in zip(group, model.decode([g[3] for g in group]), strict=True):
-            if start is None or STATES[s][1]:
-                start, role = pos, STATES[s][0]
-            if own:
-                out.append((conv, start, role, pos, split_marker(line)[1] if STATES[s][1] else line))
-        return out
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["conv_id", "start", "role", "pos", "line"])
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, out = [], []
+    held = _segments(lines.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("at").cast("int"), F.coalesce("line", F.lit("")).alias("line")), span, overlap)
+    held = held.repartition("conv_id", "seg").sortWithinPartitions("conv_id", "seg", "turn", "at", "line")
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.string())
+    names = ["conv_id", "turn", "at", "nth", "role", "line_turn", "line_at", "line"]
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], int, int]]:
+        """(lines, from, to): lines of one segment to decode together, and which of them count."""
+        group, begin = [], 0
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("conv_id", "seg", "pos", "line", "own")), strict=True):
+            for row in zip(*(b.column(c).to_pylist() for c in ("conv_id", "seg", "turn", "at", "line", "own")), strict=True):
                 if group and group[-1][:2] != row[:2]:
-                    out += one(group)
-                    group = []
-                    if len(out) >= 1000:
-                        yield batch(out)
-                        out = []
+                    yield group, begin, len(group)
+                    group, begin = [], 0
+                elif len(group) >= most + 2 * context:
+                    yield group, begin, len(group) - context
+                    group, begin = group[-2 * context :], context
                 group.append(row)
         if group:
-            out += one(group)
-        yield batch(out)
+            yield group, begin, len(group)
 
-    found = held.mapInArrow(decode, "conv_id long, start long, role string, pos long, line string")
-    turns = found.groupBy("conv_id", "start", "role").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("x"))
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, last, nth, first = [], None, 0, None
+        for group, begin, end in pieces(batches):
+            if not begin:
+                last = first = None
+            for i, ((conv, _, turn, at, line, own), s) in enumerate(zip(group, model.decode([g[4] for g in group]), strict=True)):
+                if not begin <= i < end:
+                    continue
+                nth = nth + 1 if last == (turn, at) else 0
+                last = turn, at
+                if first is None or STATES[s][1]:
+                    first = turn, at, nth, STATES[s][0]
+                if own:
+                    out.append((conv, *first, turn, at, split_marker(line)[1] if STATES[s][1] else line))
+            if len(out) >= 1000:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+                out = []
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+
+    found = held.mapInArrow(decode, "conv_id long, turn long, at int, nth long, role string, line_turn long, line_at int, line string")
+    turns = found.groupBy("conv_id", "turn", "at", "nth", "role").agg(F.array_sort(F.collect_list(F.struct("line_turn", "line_at", "line"))).alias("x"))
     text = F.array_join(F.filter(F.transform("x", lambda z: z["line"]), lambda s: s != ""), "\n")
-    return turns.select("conv_id", "start", "role", F.size("x").alias("n_lines"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), text, F.lit("\n<|end|>")).alias("rendered"))
+    return turns.select("conv_id", "turn", "at", "nth", "role", F.size("x").alias("n_lines"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), text, F.lit("\n<|end|>")).alias("rendered"))
 
 
 #: Speaker markers of raw logs by style: one for each of ROLES.
@@ -162,7 +169,7 @@ STYLES = (("System: ", "User: ", "Assistant: "), ("### System\n", "### Human\n",
 
 
 def raw_log(turns: DataFrame, omit: int = 9) -> DataFrame:
-    """conversations(conv_id, turn, role, text) -> lines(conv_id, pos, line, role) of raw logs.
+    """conversations(conv_id, turn, role, text) -> lines(conv_id, turn, at, line, role) of raw logs.
 
     A conversation's log marks its speakers in one of STYLES; one turn in ``omit`` has no marker.
     """
@@ -173,7 +180,7 @@ def raw_log(turns: DataFrame, omit: int = 9) -> DataFrame:
             mark = F.when((key % len(STYLES) == s) & (F.col("role") == r), m).otherwise(mark)
     shown = F.coalesce((key + F.col("turn")) % omit != 0, F.lit(True))
     raw = F.concat(F.when(shown, mark).otherwise(""), F.coalesce("text", F.lit("")))
-    return transcript_lines(turns.select("conv_id", "turn", "role", "text"), raw).select("conv_id", "pos", "line", "role")
+    return transcript_lines(turns.select("conv_id", "turn", "role", "text"), raw).select("conv_id", "turn", "at", "line", "role")
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
@@ -184,4 +191,4 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     """
     lines = Scratch(conversations.sparkSession, "transcripts").save(raw_log(conversations))
     model = train(lines.where(F.crc32(F.col("conv_id").cast("string")) % 5 != 0))
-    return recover_turns(lines.drop("role"), model).withColumn("turn", F.floor(F.col("start") / LINE)).drop("start")
+    return recover_turns(lines.drop("role"), model).drop("at", "nth")
