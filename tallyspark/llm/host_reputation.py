@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Suffixes of two labels below which names are registered.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn",
@@ -86,8 +88,8 @@ def judge_urls(
     """
     parts = with_parts(pages)
     known = outcomes.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max(F.col("bad").cast("int")).alias("bad"))
-    counts = parts.select("page_id", "host").join(known, "page_id", "left").groupBy("host").agg(
-        F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    counts = Scratch(pages.sparkSession, "reputation").save(parts.select("page_id", "host").join(known, "page_id", "left").groupBy("host").agg(
+        F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
     found = host_reputation(counts, z)
     out = parts.withColumn("_r", _matching_rule(rules or [])).join(found, "host")
     verdict = F.coalesce("_r.verdict", F.when(F.col("bound") > limit, "block").otherwise("allow"))
