@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 ROWS, QUERIES, INNER = 2048, 256, 16
+#: Index blocks that a task holds while the queries stream past.
+HELD = 16
 
 
 @contextmanager
@@ -154,10 +156,10 @@ def _blocks(every: int, sliced: bool):
         rows.sort(key=lambda r: r[0])
         ids, x = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows]).reshape(len(rows), dim)
         s, low = slices_of(x) if sliced and dim else (x, np.zeros(dim, np.int64))
-        key = (TaskContext.get().partitionId() << 32) + number
-        cols = [pa.array([key], pa.int64()), pa.array([dim], pa.int32()), pa.array([len(s) if sliced else 0], pa.int32())]
+        part = (TaskContext.get().partitionId() << 32) + number // HELD
+        cols = [pa.array([part], pa.int64()), pa.array([dim], pa.int32()), pa.array([len(s) if sliced else 0], pa.int32())]
         cols += [pa.array([b.tobytes()], pa.binary()) for b in (ids, s, low)]
-        return pa.RecordBatch.from_arrays(cols, names=["block", "dim", "bits", "ids", "data", "low"])
+        return pa.RecordBatch.from_arrays(cols, names=["part", "dim", "bits", "ids", "data", "low"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -176,7 +178,7 @@ def _blocks(every: int, sliced: bool):
     return make
 
 
-_PACKED = "block long, dim int, bits int, ids binary, data binary, low binary"
+_PACKED = "part long, dim int, bits int, ids binary, data binary, low binary"
 
 
 def top_k(vectors: DataFrame, every_nth: int = 50, k: int = 5) -> DataFrame:
@@ -193,24 +195,37 @@ def top_k(vectors: DataFrame, every_nth: int = 50, k: int = 5) -> DataFrame:
     rows = scratch.save(vectors.where("vec_id is not null").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).distinct())
     index = scratch.save(rows.mapInArrow(_blocks(ROWS, True), _PACKED))
     asked = scratch.save(rows.where(F.col("vec_id") % every_nth == 0).coalesce(8).mapInArrow(_blocks(QUERIES, False), _PACKED))
-    # Every query block meets every index block of its dimension: a stated query set against all rows.
-    meet = index.select("block", "dim").join(asked.select(F.col("block").alias("asked"), "dim"), "dim").select("block", "asked")
-    both = meet.join(index, "block").join(asked.select(F.col("block").alias("asked"), F.col("ids").alias("qids"), F.col("data").alias("q")), "asked")
+    # A stated query set against all rows: each part of up to HELD index blocks sees every query block of its dimensions once.
+    past = asked.drop("part").join(index.select("part", "dim").distinct(), "dim")
+    stream = index.withColumn("asks", F.lit(False)).unionByName(past.withColumn("asks", F.lit(True)))
+    stream = stream.repartition("part").sortWithinPartitions("part", "asks")
+
+    def best_of(blocks: list[tuple], r: dict) -> list[tuple[int, int, int]]:
+        """The best k of a part's rows for each query of a block."""
+        dim, qids = r["dim"], np.frombuffer(r["ids"], np.int64)
+        out = []
+        for ids, s, low in (b[1:] for b in blocks if b[0] == dim):
+            if not dim:  # vectors without components all score 0
+                out += [(int(q), int(i), 0) for q in qids for i in ids[ids != q][:k]]
+            else:
+                out += search_block(ids, s, low, qids, np.frombuffer(r["data"], np.int64).reshape(-1, dim), k)
+        out.sort(key=lambda x: (x[0], -x[2], x[1]))
+        return [x for i, x in enumerate(out) if i < k or out[i - k][0] != x[0]]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, blocks = None, []
         for b in batches:
             for r in b.to_pylist():
-                ids, qids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["qids"], np.int64)
-                dim = r["dim"]
-                if not dim:  # vectors without components all score 0
-                    out = [(int(q), int(i), 0) for q in qids for i in ids[ids != q][:k]]
+                if r["part"] != part:
+                    part, blocks = r["part"], []
+                if r["asks"]:
+                    out = best_of(blocks, r)
+                    yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
                 else:
-                    s = np.frombuffer(r["data"], np.uint64).reshape(r["bits"], dim, -1)
-                    out = list(search_block(ids, s, np.frombuffer(r["low"], np.int64), qids, np.frombuffer(r["q"], np.int64).reshape(-1, dim), k))
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
+                    s = np.frombuffer(r["data"], np.uint64).reshape(r["bits"], r["dim"], -1) if r["dim"] else None
+                    blocks.append((r["dim"], np.frombuffer(r["ids"], np.int64), s, np.frombuffer(r["low"], np.int64)))
 
-    spread = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block", "asked")
     with _small_batches(spark, 16):
-        best = scratch.save(spread.mapInArrow(search, "query_id long, vec_id long, score long"))
+        best = scratch.save(stream.mapInArrow(search, "query_id long, vec_id long, score long"))
     first = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.distinct().withColumn("rank", first.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

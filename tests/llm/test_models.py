@@ -1,10 +1,13 @@
 """Held-out accuracy of the trained models, and their defined results at the edges."""
 
+from itertools import product
+
 import numpy as np
 from pyspark.sql import functions as F
 from tallyspark.llm.language_id import identify_languages
+from tallyspark.llm.sampling import bounded_sample
 from tallyspark.llm.toxicity import LENGTH, ToxicityNet, Words, score_toxicity, without_toxic
-from tallyspark.llm.transcripts import STYLES, format_chats, raw_log, recover_turns, split_marker, train
+from tallyspark.llm.transcripts import STATES, STYLES, RoleHMM, features, format_chats, raw_log, recover_turns, split_marker, train
 
 SF = "/root/testdata/sf0.1"
 
@@ -17,7 +20,7 @@ def test_language_held_out(spark):
 
 def test_language_edges(spark):
     rows = [(i, "der und die das nicht " * 9, "de", "x") for i in range(20)] + [(i, "the and of that with " * 9, "en", "x") for i in range(20, 40)]
-    docs = spark.createDataFrame(rows + [(90, None, "de", ""), (91, "12 ,,", None, ""), (None, "the and of", None, ""), (92, "und nicht die " * 30_000, None, "")], "doc_id long, text string, lang string, score string")
+    docs = spark.createDataFrame(rows + [(90, None, "de", ""), (91, "12 ½ ² Ⅷ ,,", None, ""), (None, "the and of", None, ""), (92, "und nicht die " * 30_000, None, "")], "doc_id long, text string, lang string, score string")
     got = {r["doc_id"]: (r["lang_pred"], r["held_out"]) for r in identify_languages(docs).collect()}
     assert got[90][0] == got[91][0] == "und" and got[92][0] == "de" and got[None] == ("en", False) and len(got) == 44
     assert identify_languages(docs.limit(0)).count() == 0
@@ -43,6 +46,12 @@ def test_toxicity_edges(spark):
     assert score_toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_samples_agree_on_reruns(spark):
+    rows = spark.range(4000).select((F.col("id") % 3000).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), (F.col("id") % 3).cast("int").alias("k"))
+    one, other = (sorted(map(tuple, bounded_sample(x, "k", "doc_id", {0: 100, 1: 30, 2: 5000}, 4).collect())) for x in (rows, rows.repartition(7, "text")))
+    assert one == other and [sum(r[2] == k for r in one) for k in range(3)] == [100, 30, 1333]
+
+
 def test_windows_cover_every_word():
     t = Words([None, "a", " ".join(map(str, range(100))), "b c"])
     assert len(t.word) == 103 and sorted(set(t.index[t.index >= 0].tolist())) == list(range(103))
@@ -78,13 +87,26 @@ def test_transcripts_round_trip(spark):
     model = train(lines.where(F.crc32(F.col("conv_id").cast("string")) % 5 != 0))
     held = lines.where(F.crc32(F.col("conv_id").cast("string")) % 5 == 0)
     turns = recover_turns(held, model)
-    truth = held.where("pos % 1000000 = 0").select("conv_id", F.col("pos").alias("start"), F.col("role").alias("true"))
-    both = truth.join(turns, ["conv_id", "start"], "left")
+    truth = held.where("at = 0").select("conv_id", "turn", "at", F.col("role").alias("true"))
+    both = truth.join(turns, ["conv_id", "turn", "at"], "left")
     assert both.agg(F.avg(F.coalesce(F.col("true") == F.col("role"), F.lit(False)).cast("int"))).first()[0] > 0.9
-    # A conversation decoded in short segments gives the same turns as in one.
-    short = {(r["conv_id"], r["start"], r["role"]) for r in recover_turns(held, model, span=4_000_000, overlap=2_000_000).collect()}
-    whole = {(r["conv_id"], r["start"], r["role"]) for r in turns.collect()}
-    assert len(short & whole) > 0.97 * len(whole)
+    # A conversation decoded in short segments or pieces gives the same turns as in one.
+    found = lambda **size: {(r["conv_id"], r["turn"], r["at"], r["role"]) for r in recover_turns(held, model, **size).collect()}
+    whole = found()
+    assert len(found(span=4, overlap=2) & whole) > 0.97 * len(whole) and len(found(most=5, context=8) & whole) > 0.97 * len(whole)
+
+
+def test_viterbi_finds_the_best_path():
+    rng = np.random.default_rng(2)
+    n = len(STATES)
+    model = RoleHMM({0: 3, 2: 5}, {(i, j): int(c) for i in range(n) for j, c in enumerate(rng.integers(0, 9, n))}, {(int(s), f): int(rng.integers(1, 9)) for s in range(n) for x in ("User: hi?", "so.", "and more", "") for f in features(x)})
+    for size in range(1, 6):
+        lines = rng.choice(["User: hi?", "so.", "and more", "", "[q] new"], size).tolist()
+        scores = {}
+        for path in product(range(n), repeat=size):
+            p = model.start[path[0]] + sum(model.step[a, b] for a, b in zip(path, path[1:]))
+            scores[path] = p + sum(model.emit.get(f, model.unknown.get(f[:2], np.zeros(n)))[s] for s, x in zip(path, lines) for f in features(x))
+        assert np.isclose(scores[tuple(model.decode(lines))], max(scores.values()))
 
 
 def test_transcript_edges(spark):
@@ -96,3 +118,12 @@ def test_transcript_edges(spark):
     for style in STYLES:
         assert all(split_marker(m.rstrip("\n") if m.endswith("\n") else m + "text")[0] for m in style)
     assert split_marker("no marker here") == ("", "no marker here")
+
+
+def test_lines_of_a_very_long_turn_keep_their_order(spark):
+    many = "\n".join(f"line {i % 7} of it" for i in range(50_000))
+    lines = raw_log(spark.createDataFrame([(1, 0, "user", "hm?"), (1, 1, "assistant", many), (1, 2, "user", "and?")], "conv_id long, turn long, role string, text string"))
+    model = train(raw_log(spark.read.parquet(f"{SF}/conversations.parquet")))
+    got = recover_turns(lines, model, most=9_000).collect()
+    text = "\n".join(x for r in sorted(got, key=lambda r: (r["turn"], r["at"])) for x in r["rendered"].split("\n")[1:-1])
+    assert [x.removeprefix("[a] ") for x in text.split("\n") if "line" in x] == many.split("\n") and sum(r["n_lines"] for r in got) == lines.count()
