@@ -174,10 +174,11 @@ def repeated_parts(texts: list[bytes], least: int, groups: list[int] | None = No
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """d stands for the doc_id (a null has a value of its own), d and t together for a row and its copies."""
+    """d and t, two 64-bit hashes of doc_id and text, stand together for a row and its exact copies."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long"), text.alias("text")).select(
-        F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), F.hash("text").alias("t"), "doc_id", "text")
+    own = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
+    both = lambda seed: F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", "text")
+    return own.select(both(1).alias("d"), both(2).alias("t"), "doc_id", "text")
 
 
 def _scan(length: int):
@@ -206,7 +207,7 @@ def _contexts(length: int):
             for d, t, text, want in zip(*(b.column(x) for x in ("d", "t", "text", "want")), strict=True):
                 raw, want = memoryview(text.as_buffer()), want.as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([d.as_py()] * len(want), pa.int64()), pa.array([t.as_py()] * len(want), pa.int32()),
+                    [pa.array([d.as_py()] * len(want), pa.int64()), pa.array([t.as_py()] * len(want), pa.int64()),
                      pa.array([w["a"] for w in want], pa.int64()), pa.array([w["c"] for w in want], pa.int64()),
                      pa.array([w["pos"] for w in want], pa.int64()),
                      pa.array([bytes(raw[max(0, w["pos"] - back) : w["pos"] + length]) for w in want], pa.binary())],
@@ -255,7 +256,7 @@ def _search(length: int):
         number = np.cumsum([0, *(x[0] != y[0] for x, y in zip(rows, rows[1:]))]).tolist()
         parts = repeated_parts([r[4] for r in rows], length, number)
         out = [(d, t, start + x, start + y) for (_, d, t, start, _), spans in zip(rows, parts, strict=True) for x, y in spans]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["d", "t", "x", "y"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate([pa.int64()] * 4)], names=["d", "t", "x", "y"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group, size, last = [], [], 0, None
@@ -307,7 +308,7 @@ def _blocks(length: int, step: int, within: int):
                         if lo <= hi:  # every string of the block holds its core
                             core = xxhash.xxh3_64_intdigest(raw[last : first + length])
                             out.append((d, t, p, w["a"], k, core, xxhash.xxh3_64_intdigest(raw[lo : hi + length], seed=lo - first), lo, hi + length))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.uint64(), pa.uint64(), pa.int64(), pa.int64())
+            kinds = (*[pa.int64()] * 5, pa.uint64(), pa.uint64(), pa.int64(), pa.int64())
             cols = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
             cols = [c.view(pa.int64()) if c.type == pa.uint64() else c for c in cols]
             yield pa.RecordBatch.from_arrays(cols, names=["d", "t", "pos", "a", "k", "core", "h", "x", "y"])
@@ -315,7 +316,7 @@ def _blocks(length: int, step: int, within: int):
     return make
 
 
-_BLOCK = "d long, t int, pos long, a long, k long, core long, h long, x long, y long"
+_BLOCK = "d long, t long, pos long, a long, k long, core long, h long, x long, y long"
 
 
 def _split_hot(held: DataFrame, length: int, scratch: Scratch, steps: tuple[int, ...] = (96, 32, 8, 2, 1)) -> DataFrame:
@@ -348,7 +349,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, most_contexts: int = 1024
     ``length`` bytes that also start elsewhere, as (x, y) pieces that may overlap."""
     scratch = scratch or Scratch(docs.sparkSession, "suffix")
     texts = _texts(docs)
-    found = scratch.save(texts.where(F.octet_length("text") >= length).mapInArrow(_scan(length), "d long, t int, pos array<long>, a array<long>, c array<long>"))
+    found = scratch.save(texts.where(F.octet_length("text") >= length).mapInArrow(_scan(length), "d long, t long, pos array<long>, a array<long>, c array<long>"))
     occ = found.select("d", "t", F.explode(F.arrays_zip("pos", "a", "c")).alias("z")).select("d", "t", "z.pos", "z.a", "z.c")
     again = occ.groupBy("a").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 1")
     alive = scratch.save(occ.join(again.select("a", (F.col("lo") != F.col("hi")).alias("mixed")), "a"))
@@ -362,8 +363,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, most_contexts: int = 1024
     reps = scratch.save(reps.join(sizes, "a"))
     want = lambda rows: rows.groupBy("d", "t").agg(F.collect_list(F.struct("a", "c", "pos")).alias("want"))
     plain = texts.join(want(reps.where(F.col("contexts") <= most_contexts)), ["d", "t"])
-    contexts = plain.select("d", "t", "text", "want").mapInArrow(_contexts(length), "d long, t int, a long, c long, pos long, context binary")
-    parts = [equal, contexts.repartition("a").sortWithinPartitions("a", "c").mapInArrow(_search(length), "d long, t int, x long, y long")]
+    contexts = plain.select("d", "t", "text", "want").mapInArrow(_contexts(length), "d long, t long, a long, c long, pos long, context binary")
+    parts = [equal, contexts.repartition("a").sortWithinPartitions("a", "c").mapInArrow(_search(length), "d long, t long, x long, y long")]
     all_of = lambda rows: rows.groupBy("d", "t").agg(F.collect_list(F.struct("pos", "a", F.array(F.lit(0).cast("long")).alias("todo"))).alias("want"))
     hot = reps.where(F.col("contexts") > most_contexts)
     if not hot.isEmpty():
@@ -371,7 +372,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, most_contexts: int = 1024
     spans = parts[0]
     for p in parts[1:]:
         spans = spans.unionByName(p)
-    return scratch.save(spans.groupBy("d", "t").agg(F.collect_list(F.struct("x", "y")).alias("spans")))
+    return scratch.save(spans.distinct().groupBy("d", "t").agg(F.collect_list(F.struct("x", "y")).alias("spans")))  # a text's own spans
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,19 +394,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.update(raw[at:])
             out.append((len(raw), gone, runs, kept.hexdigest()))
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id")] + [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            [b.column("doc_id")] + [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))] + [pa.array([r[1] > 0 for r in out])],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "repeats"])
 
 
 def suffix_dedup(docs: DataFrame, length: int = 400) -> DataFrame:
-    """docs(doc_id, text, ...) -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per input row.
+    """docs(doc_id, text, ...) -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256, repeats), one row per input row.
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else, in another row or
-    the same one, is removed, all copies alike, judged on the input. Null texts count as empty; texts
+    the same one, is removed, all copies alike, judged on the input; ``repeats`` says whether there is any. Null texts count as empty; texts
     under ``length`` bytes lose nothing; repeated rows are copies of each other; a null doc_id is
     returned as such; other columns are ignored; an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "suffix")
     spans = repeated_spans(docs, length, scratch=scratch)
     held = _texts(docs).join(spans, ["d", "t"], "left").select("doc_id", "text", "spans")
-    return held.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return held.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, repeats boolean")

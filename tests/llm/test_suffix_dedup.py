@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from tallyspark.llm.common import Scratch
 from tallyspark.llm.suffix_dedup import maximal_repeats, repeated_spans, suffix_array, suffix_dedup
 
@@ -58,7 +59,7 @@ def test_against_brute_force(spark, most, monkeypatch):
     if most == 3:
         monkeypatch.setattr(m, "repeated_spans", lambda docs, length, scratch: repeated_spans(docs, length, 3, Scratch(spark, "t")))
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, spans string, d int").repartition(5)
-    got = {r.doc_id: tuple(r)[1:] for r in m.suffix_dedup(docs).collect()}
+    got = {r.doc_id: tuple(r)[1:5] for r in m.suffix_dedup(docs).collect()}
     want = brute(texts)
     assert [i for i, w in enumerate(want) if got[i] != w] == []
 
@@ -66,12 +67,21 @@ def test_against_brute_force(spark, most, monkeypatch):
 def test_null_ids_repeats_and_empty(spark):
     long = "q" * 200 + "r" * 400
     docs = spark.createDataFrame([(None, long), (1, long), (1, long), (2, None)], "doc_id long, text string")
-    got = sorted(map(tuple, suffix_dedup(docs).collect()), key=str)
+    got = sorted((tuple(r)[:5] for r in suffix_dedup(docs).collect()), key=str)
     gone = hashlib.sha256(b"").hexdigest()
     assert got == sorted([(None, 600, 600, 1, gone), (1, 600, 600, 1, gone), (1, 600, 600, 1, gone), (2, 0, 0, 0, gone)], key=str)
+    assert {(r["n_removed"], r["repeats"]) for r in suffix_dedup(docs).collect()} == {(600, True), (0, False)}
     assert suffix_dedup(docs.limit(0)).count() == 0
 
 
+def test_rows_without_id_are_told_apart_by_their_text(spark):
+    """Two texts with one 32-bit hash, one of them copied: the other one repeats nowhere."""
+    texts = spark.range(200_000).select(F.concat(*[F.sha2(F.concat("id", F.lit(f" {i}")), 256) for i in range(8)]).alias("text"))
+    one, other = next((r["a"], r["b"]) for r in texts.groupBy(F.hash("text").alias("h")).agg(F.min("text").alias("a"), F.max("text").alias("b"), F.count("*").alias("n")).where("n > 1").limit(1).collect())
+    docs = spark.createDataFrame([(None, one), (None, other), (5, one)], "doc_id long, text string")
+    assert sorted((r["kept_sha256"], r["n_removed"]) for r in suffix_dedup(docs).collect()) == sorted([(hashlib.sha256(b"").hexdigest(), 512)] * 2 + [(hashlib.sha256(other.encode()).hexdigest(), 0)])
+
+
 def test_phrase_repeated_within_a_text(spark):
     """Contexts of one anchor overlap in the same text; its bytes are no repeat of themselves."""
     rng = random.Random(8)
@@ -80,6 +90,6 @@ def test_phrase_repeated_within_a_text(spark):
     texts = [text(300) + phrase + text(rng.randint(5, 70)) + phrase + text(300) for _ in range(40)]
     texts += [text(50) + phrase + passage + phrase + text(40) for _ in range(5)] + [phrase + text(100) + phrase + text(7) + phrase + passage[:230]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup(docs).collect()}
+    got = {r.doc_id: tuple(r)[1:5] for r in suffix_dedup(docs).collect()}
     want = brute(texts)
     assert [i for i, w in enumerate(want) if got[i] != w] == [] and sum(w[1] for w in want) > 0
