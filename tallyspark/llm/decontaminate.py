@@ -43,7 +43,9 @@ def item_sketches(shingles: DataFrame, threshold: float, seed: int = 5) -> DataF
     return s.select("item_id", "width", F.explode(F.slice("r", 1, F.col("k").cast("int"))).alias("r")).select("item_id", "width", "r.shingle")
 
 
-def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8, broadcast_rows: int = 1_000_000) -> DataFrame:
+def contained_items(
+    docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8, broadcast_rows: int = 1_000_000, scratch: Scratch | None = None,
+) -> DataFrame:
     """docs(doc_id, text, ...), items(item_id, text, ...) -> (doc_id, item_id, shared, item_shingles).
 
     A pair is returned if at least ``threshold`` of the item's k-word shingles occur in the document's
@@ -54,7 +56,7 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
     The items' table is broadcast only if it has at most ``broadcast_rows`` rows, and joined by shuffle
     beyond.
     """
-    scratch = Scratch(docs.sparkSession, "decontaminate")
+    scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
     every = scratch.save(item_shingles(items, k))
     sketch = scratch.save(item_sketches(every, threshold))
     widths = sorted(r[0] for r in every.select("width").distinct().collect())  # k values at most
@@ -79,7 +81,7 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
     return fit.select("doc_id", "item_id", "shared", F.col("q").alias("item_shingles"))
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
+def clean_documents(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8, scratch: Scratch | None = None) -> DataFrame:
     """The documents, all columns, that contain no item; a null doc_id can't be named and stays."""
-    hits = contained_items(docs, items, k, threshold).select("doc_id").distinct()
+    hits = contained_items(docs, items, k, threshold, scratch=scratch).select("doc_id").distinct()
     return docs.join(hits, "doc_id", "left_anti")

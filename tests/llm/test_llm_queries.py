@@ -5,7 +5,7 @@ import random
 import compare
 import numpy as np
 import pytest
-from brute import classes, shingles
+from brute import classes, repeats, shingles, without
 from pyspark.sql import functions as F
 from tallyspark.llm.bit_sliced import search_block, slices_of, top_k
 from tallyspark.llm.decontaminate import clean_documents, contained_items
@@ -120,15 +120,16 @@ def test_pipeline_stages(spark, tmp_path):
     found = classes({i: shingles(t, 5) for i, t in texts(docs).items()})
     assert set(texts(near)) == {i for i, c in found.items() if i == c} and near.columns == docs.columns
     cut = p.substring_dedup(spark, near, SF)
-    lines = {(i, k): shingles(x, 5) for i, t in texts(near).items() for k, x in enumerate(t.split("\n")) if len(x.encode().split()) >= 40}
-    same = classes(lines)
-    assert texts(cut) == {i: "\n".join(x for k, x in enumerate(t.split("\n")) if same.get((i, k), (i, k)) == (i, k)) for i, t in texts(near).items()}
+    again = repeats(sorted(texts(near).items()))
+    gone = lambda i: [(q[1], v[0]) for q, v in again.items() if q[0] == i and not v[4]]
+    assert texts(cut) == {i: without(t, gone(i)) for i, t in texts(near).items()}
     clean = p.decontamination(spark, cut, SF)
     hits = {r["doc_id"] for r in contained_items(cut, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert set(texts(clean)) == set(texts(cut)) - hits and clean.columns == docs.columns
     calm = p.toxicity(spark, docs, SF)
     assert calm.columns == docs.columns and calm.count() > 150
-    assert p.mixing(spark, clean, SF).count() == clean.count()
+    taken = {r["doc_id"]: r["taken"] for r in mix(clean).collect()}
+    assert {r["doc_id"]: (r["text"], r["taken"]) for r in p.mixing(spark, clean, SF).collect()} == {i: (t, taken[i]) for i, t in texts(clean).items()}
 
 
 def test_empty_pipeline(spark):
