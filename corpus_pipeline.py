@@ -12,6 +12,20 @@ from tallyspark.llm.paragraph_dedup import without_repeats
 from tallyspark.llm.toxicity import without_toxic
 
 
+#: Scratch space of the stages so far; a stage's goes when a later one starts that does not read it.
+_open: list[Scratch] = []
+
+
+def _scratch(spark: SparkSession, docs: DataFrame, label: str) -> Scratch:
+    """Scratch space for a stage. That of earlier stages is given up, as their results have been written by now."""
+    read = docs.inputFiles()
+    for old in [x for x in _open if x.spark is spark and not any(x.root.split(":")[-1].lstrip("/") in f for f in read)]:
+        _open.remove(old)
+        old.drop()
+    _open.append(Scratch(spark, label))
+    return _open[-1]
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
     return without_toxic(docs, load(spark, sf_dir, "labels"))
@@ -22,26 +36,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that repeat an id and a text one stays.
     """
+    scratch = _scratch(spark, docs, "near-dedup")
     ids = docs.where("doc_id is not null")
     if not ids.groupBy("doc_id").count().where("count > 1").isEmpty():
         docs = ids.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
-    gone = near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
+    gone = near_duplicates(docs.select("doc_id", "text"), scratch=scratch).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages stay in their first document only."""
-    return without_repeats(docs)
+    return without_repeats(docs, scratch=_scratch(spark, docs, "substring-dedup"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
-    return clean_documents(docs, load(spark, sf_dir, "benchmark")).select(docs.columns)
+    return clean_documents(docs, load(spark, sf_dir, "benchmark"), scratch=_scratch(spark, docs, "decontamination")).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document: (doc_id, size, source_size, target, taken)."""
-    return mix(docs)
+    """The documents with how many words the mix takes of each: their columns, size, source_size, target, taken."""
+    return mix(docs, keep=[c for c in docs.columns if c != "doc_id"], scratch=_scratch(spark, docs, "mixing"))
 
 
 STAGES = [
