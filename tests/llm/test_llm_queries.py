@@ -1,6 +1,7 @@
 """Queries against SQL, defined results at the edges, and the pipeline against plain versions of its stages."""
 
 import random
+import re
 
 import compare
 import numpy as np
@@ -111,25 +112,38 @@ def test_top_k_edges(spark):
     assert top_k(v.limit(0)).count() == 0
 
 
-def test_pipeline_stages(spark, tmp_path):
+def test_pipeline_against_plain_stages(spark, monkeypatch):
+    """One run; what each stage makes of what the one before it left is compared with a plain version."""
     import corpus_pipeline as p
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    texts = lambda df: {r["doc_id"]: r["text"] for r in df.collect()}
-    near = p.near_dedup(spark, docs, SF)
-    found = classes({i: shingles(t, 5) for i, t in texts(docs).items()})
-    assert set(texts(near)) == {i for i, c in found.items() if i == c} and near.columns == docs.columns
-    cut = p.substring_dedup(spark, near, SF)
+    kept = []
+
+    class Kept(p.Scratch):
+        def save(self, df):
+            out = super().save(df)
+            if "/pipeline-" in self.root:
+                kept.append(out)
+            return out
+
+    monkeypatch.setattr(p, "Scratch", Kept)
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    p.run(spark, SF)
+    assert len(kept) == 5 and all(x.columns == docs.columns for x in kept[:4])
+    every, mild, near, cut, clean, mixed = ({r["doc_id"]: r for r in x.collect()} for x in (docs, *kept))
+    texts = lambda rows: {i: r["text"] for i, r in rows.items()}
+    assert len(mild) > 150 and texts(mild) == {i: every[i]["text"] for i in mild}
+    found = classes({i: shingles(t, 5) for i, t in texts(mild).items()})
+    assert texts(near) == {i: t for i, t in texts(mild).items() if found[i] == i}
     again = repeats(sorted(texts(near).items()))
-    gone = lambda i: [(q[1], v[0]) for q, v in again.items() if q[0] == i and not v[4]]
-    assert texts(cut) == {i: without(t, gone(i)) for i, t in texts(near).items()}
-    clean = p.decontamination(spark, cut, SF)
-    hits = {r["doc_id"] for r in contained_items(cut, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
-    assert set(texts(clean)) == set(texts(cut)) - hits and clean.columns == docs.columns
-    calm = p.toxicity(spark, docs, SF)
-    assert calm.columns == docs.columns and calm.count() > 150
-    taken = {r["doc_id"]: r["taken"] for r in mix(clean).collect()}
-    assert {r["doc_id"]: (r["text"], r["taken"]) for r in p.mixing(spark, clean, SF).collect()} == {i: (t, taken[i]) for i, t in texts(clean).items()}
+    assert texts(cut) == {i: without(t, [(q[1], v[0]) for q, v in again.items() if q[0] == i and not v[4]]) for i, t in texts(near).items()}
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    runs = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    asked = [runs(w, min(5, len(w))) for w in (words(r["text"]) for r in items.collect()) if w]
+    widths = {len(x) for a in asked for x in a}
+    held = {i: set().union(*(runs(words(t), n) for n in widths)) for i, t in texts(cut).items()}
+    assert texts(clean) == {i: t for i, t in texts(cut).items() if not any(len(a & held[i]) >= 0.8 * len(a) - 1e-9 for a in asked)}
+    taken = {r["doc_id"]: r["taken"] for r in mix(kept[3]).collect()}
+    assert {i: (r["text"], r["source"], r["taken"]) for i, r in mixed.items()} == {i: (r["text"], r["source"], taken[i]) for i, r in clean.items()}
 
 
 def test_empty_pipeline(spark):
