@@ -59,7 +59,7 @@ class Paragraphs:
 
         The range of hashes is dealt into bins, and a bin's least member is its key. Two sets that reach the
         threshold differ in at most d = (1 - t) / (1 + t) of their sizes' sum; with more than d bins, some
-        bin is the same in both. So the number of bins, a power of two, follows from the sizes that linked
+        bin is the same in both (and empty in both only by chance, under 0.0002 for the smallest sets). So the number of bins, a power of two, follows from the sizes that linked
         sets can have; a set near a step is keyed for both numbers.
         """
         low, high = (self._levels(np.diff(self.at) * (100 - threshold) // by) for by in (100, threshold))
