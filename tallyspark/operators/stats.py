@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import Scratch
 from .scan import running_totals, value_runs
 
 PERCENTS = (0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
@@ -14,12 +15,29 @@ THRESHOLDS = (100, 500, 1000, 5000, 10000)
 BUCKETS = ((0, 99, "0_99"), (100, 999, "100_999"), (1000, 4999, "1000_4999"), (5000, 9999, "5000_9999"), (10000, 49999, "10000_49999"), (50000, None, "50000_plus"))
 
 
-def quantiles(df: DataFrame, value: str, percents, group_cols: list[str] | None = None) -> DataFrame:
+def totals(df: DataFrame, value: str, group_cols: list[str] | None = None) -> DataFrame:
+    """(groups, v, c, t, c_before, c_all, t_before, t_all): each distinct value, its count and sum, and the totals of smaller
+    values and of all. Order statistics are read off this table; a caller that wants several can save it and hand it to each.
+    """
+    return _running(value_runs(df, value, group_cols), group_cols)
+
+
+def _running(runs: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
+    runs = runs.withColumn("t", F.col("v") * F.col("c"))
+    return running_totals(runs, "v", {"c": F.col("c"), "t": F.col("t")}, group_cols)
+
+
+def _from_top(known: DataFrame) -> DataFrame:
+    """The same table with the totals of greater values instead of smaller ones."""
+    return known.withColumns({f"{k}_before": F.col(f"{k}_all") - F.col(f"{k}_before") - F.col(k) for k in ("c", "t")})
+
+
+def quantiles(df: DataFrame, value: str, percents, group_cols: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:
     """(groups, p...): exact percentiles, linear between ranks, named p<percent>; read off the running counts of
     distinct values, so no task holds the values of a group. Groups without values have no row.
     """
     g = group_cols or []
-    r = running_totals(value_runs(df, value, g), "v", {"c": F.col("c")}, g)
+    r = known or totals(df, value, g)
     place = [F.lit(p) * (F.col("c_all") - 1) for p in percents]
     at = lambda k: F.max(F.when(F.col("c_before") <= k, F.col("v"))).cast("double")
     got = r.groupBy(*g).agg(F.max("c_all").alias("c_all"), *[at(F.floor(k)).alias(f"_lo{i}") for i, k in enumerate(place)], *[at(F.ceil(k)).alias(f"_hi{i}") for i, k in enumerate(place)])
@@ -38,20 +56,20 @@ def _beside(left: DataFrame, right: DataFrame, group_cols: list[str] | None) ->
     return a.join(b, on, "left").drop("_k", *[f"_right_{c}" for c in g])
 
 
-def overview(df: DataFrame, value: str, group_cols: list[str] | None = None) -> DataFrame:
+def overview(df: DataFrame, value: str, group_cols: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:
     """n, total, mean, median, population deviation, least and largest; zeros for an empty table."""
     x = F.col(value)
     zero = lambda c: F.coalesce(c, F.lit(0))
     one = df.groupBy(*(group_cols or [])).agg(
         F.count(x).alias("n"), zero(F.sum(x)).alias("total"), zero(F.avg(x)).alias("mean"),
         zero(F.stddev_pop(x)).alias("std"), zero(F.min(x)).alias("least"), zero(F.max(x)).alias("most"))
-    out = _beside(one, quantiles(df, value, (0.5,), group_cols), group_cols)
+    out = _beside(one, quantiles(df, value, (0.5,), group_cols, known), group_cols)
     return out.select(*(group_cols or []), "n", "total", "mean", zero(F.col("p50")).alias("median"), "std", "least", "most")
 
 
-def percentiles(df: DataFrame, value: str, percents=PERCENTS, group_cols: list[str] | None = None) -> DataFrame:
+def percentiles(df: DataFrame, value: str, percents=PERCENTS, group_cols: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:
     """One column a percent, linear interpolation between ranks; exact; zeros for an empty table."""
-    got = quantiles(df, value, percents, group_cols)
+    got = quantiles(df, value, percents, group_cols, known)
     return got.select(*(group_cols or []), *[F.coalesce(F.col(f"p{round(100 * q)}"), F.lit(0.0)).alias(f"p{round(100 * q)}") for q in percents])
 
 
@@ -85,13 +103,13 @@ def descriptive(df: DataFrame, value: str, group_cols: list[str] | None = None)
     return _beside(out, quantiles(df, value, ps, group_cols), group_cols).withColumn("iqr", F.col("p75") - F.col("p25"))
 
 
-def gini(df: DataFrame, value: str, group_cols: list[str] | None = None) -> DataFrame:
+def gini(df: DataFrame, value: str, group_cols: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:
     """2 sum(i x_i) / (n T) - (n + 1) / n over ascending values; 0 if there are none or they sum to 0.
 
     A value of count c that k smaller ones precede adds v (c k + c (c + 1) / 2) to the sum.
     """
     g = group_cols or []
-    r = running_totals(value_runs(df, value, g), "v", {"c": F.col("c")}, g)
+    r = known or totals(df, value, g)
     v, c, k = F.col("v").cast("double"), F.col("c"), F.col("c_before")
     s = r.groupBy(*g).agg(F.sum(v * (c * k + c * (c + 1) / 2)).alias("s"), F.sum(v * c).alias("t"), F.sum("c").alias("n"))
     return s.select(*g, F.when((F.col("n") > 0) & (F.col("t") != 0), 2 * F.col("s") / (F.col("n") * F.col("t")) - (F.col("n") + 1) / F.col("n")).otherwise(0.0).alias("gini"))
@@ -108,9 +126,9 @@ def _top_sum(k: Column) -> Column:
     return F.sum(F.col("v") * F.greatest(F.lit(0), F.least(F.col("c"), k - F.col("c_before"))))
 
 
-def top_concentration(df: DataFrame, value: str) -> DataFrame:
+def top_concentration(df: DataFrame, value: str, known: DataFrame | None = None) -> DataFrame:
     """(key, count, share_items, sum, share_total) of the top 10, 50, 100 and 1, 5, 10 %; counts round half to even, at least 1."""
-    r = running_totals(value_runs(df, value), "v", {"c": F.col("c"), "t": F.col("v") * F.col("c")}, descending=True)
+    r = _from_top(known or totals(df, value))
     n = F.col("c_all")
     keys = [(f"top_{k}", F.lit(k)) for k in TOP_COUNTS] + [(f"top_{round(100 * p)}pct", F.greatest(F.lit(1), F.bround(n * F.lit(p)))) for p in TOP_SHARES]
     some = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.least(n, c.cast("long")).alias("count")) for k, c in keys]))
@@ -120,9 +138,9 @@ def top_concentration(df: DataFrame, value: str) -> DataFrame:
                       F.when(F.col("t_all") != 0, F.col("sum") / F.col("t_all")).otherwise(0.0).alias("share_total"))
 
 
-def pareto(df: DataFrame, value: str, targets=PARETO) -> DataFrame:
+def pareto(df: DataFrame, value: str, targets=PARETO, known: DataFrame | None = None) -> DataFrame:
     """(target, needed, share): the least number of top items whose sum reaches each share of the total; all items if it is 0."""
-    r = running_totals(value_runs(df, value), "v", {"c": F.col("c"), "t": F.col("v") * F.col("c")}, descending=True)
+    r = _from_top(known or totals(df, value))
     some = r.select("*", F.explode(F.array(*map(F.lit, targets))).alias("target"))
     v, goal = F.col("v").cast("double"), F.col("target") * F.col("t_all")
     own = F.greatest(F.lit(1), F.ceil((goal - F.col("t_before")) / v - 1e-9))
@@ -132,22 +150,24 @@ def pareto(df: DataFrame, value: str, targets=PARETO) -> DataFrame:
     return out.select("target", k.alias("needed"), (k / F.col("c_all")).alias("share"))
 
 
-def end_shares(df: DataFrame, value: str, tops=(0.01, 0.05, 0.10), bottoms=(0.10, 0.20, 0.40)) -> DataFrame:
+def end_shares(df: DataFrame, value: str, tops=(0.01, 0.05, 0.10), bottoms=(0.10, 0.20, 0.40), known: DataFrame | None = None) -> DataFrame:
     """(side, p, share) of the top and bottom ceil(n p) items, at least one; shares are 0 if the total is 0."""
-    def side(name: str, ps, descending: bool) -> DataFrame:
-        r = running_totals(value_runs(df, value), "v", {"c": F.col("c"), "t": F.col("v") * F.col("c")}, descending=descending)
+    known = known or totals(df, value)
+
+    def side(name: str, ps, r: DataFrame) -> DataFrame:
         x = r.select("*", F.explode(F.array(*map(F.lit, ps))).alias("p"))
         k = F.greatest(F.lit(1), F.ceil(F.col("c_all") * F.col("p"))).cast("long")
         out = x.groupBy("p", "t_all").agg(_top_sum(k).alias("s"))
         return out.select(F.lit(name).alias("side"), "p", F.when(F.col("t_all") != 0, F.col("s") / F.col("t_all")).otherwise(0.0).alias("share"))
 
-    return side("top", tops, True).unionByName(side("bottom", bottoms, False))
+    return side("top", tops, _from_top(known)).unionByName(side("bottom", bottoms, known))
 
 
-def quantile_ratios(df: DataFrame, value: str) -> DataFrame:
+def quantile_ratios(df: DataFrame, value: str, known: DataFrame | None = None) -> DataFrame:
     """P90/P10, P99/P1 and the Palma ratio; infinite where the denominator is not positive."""
-    p = quantiles(df, value, (0.90, 0.10, 0.99, 0.01))
-    s = end_shares(df, value, (0.10,), (0.40,)).groupBy().agg(
+    known = known or totals(df, value)
+    p = quantiles(df, value, (0.90, 0.10, 0.99, 0.01), known=known)
+    s = end_shares(df, value, (0.10,), (0.40,), known).groupBy().agg(
         F.max(F.when(F.col("side") == "top", F.col("share"))).alias("top"), F.max(F.when(F.col("side") == "bottom", F.col("share"))).alias("bottom"))
     over = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(float("inf")))
     one = p.withColumn("_k", F.lit(1)).join(s.withColumn("_k", F.lit(1)), "_k")
@@ -156,7 +176,7 @@ def quantile_ratios(df: DataFrame, value: str) -> DataFrame:
 
 def lorenz(df: DataFrame, value: str) -> DataFrame:
     """(x, y): the curve's corners, (0, 0) and one point after each distinct value in ascending order."""
-    r = running_totals(value_runs(df, value), "v", {"c": F.col("c"), "t": F.col("v") * F.col("c")})
+    r = totals(df, value)
     n, t = F.col("c_all"), F.col("t_all")
     points = r.select(((F.col("c_before") + F.col("c")) / n).alias("x"), F.when(t != 0, (F.col("t_before") + F.col("v") * F.col("c")) / t).otherwise(0.0).alias("y"))
     return points.unionByName(df.sparkSession.range(1).select(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")))
@@ -172,12 +192,14 @@ def dagum(df: DataFrame, value: str, group: str, method: str = "reference") -> D
     into transvariation; 'textbook' divides by the two groups' means.
     """
     runs = value_runs(df.where(F.col(group).isNotNull()), value, [group]).withColumnRenamed(group, "g")
+    scratch = Scratch(df.sparkSession, "dagum")
+    runs = scratch.save(runs)  # read by every part below, as are the groups' figures and their pairs' merged values
     sizes = runs.groupBy("g").agg(F.sum("c").alias("n"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("m"))
-    own = gini(df.where(F.col(group).isNotNull()), value, [group]).withColumnRenamed(group, "g").join(sizes, "g")
+    own = gini(df, value, ["g"], _running(runs, ["g"])).join(sizes, "g")
     total = sizes.agg(F.sum("n").alias("tn"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("tm")).withColumn("_k", F.lit(1))
-    all_gini = gini(df.where(F.col(group).isNotNull()), value).withColumn("_k", F.lit(1))
+    all_gini = gini(df, value, known=_running(runs.groupBy("v").agg(F.sum("c").alias("c")))).withColumn("_k", F.lit(1))
     p, s = F.col("n") / F.col("tn"), F.col("n") * F.col("m") / (F.col("tn") * F.col("tm"))
-    parts = own.withColumn("_k", F.lit(1)).join(total, "_k").withColumns({"p": p, "s": s})
+    parts = scratch.save(own.withColumn("_k", F.lit(1)).join(total, "_k").withColumns({"p": p, "s": s}))
     within = parts.agg(F.sum(F.col("gini") * F.col("p") * F.col("s")).alias("within")).withColumn("_k", F.lit(1))
     lo = parts.select(F.col("g").alias("h"), F.col("n").alias("nh"), F.col("m").alias("mh"), F.col("p").alias("ph"), F.col("s").alias("sh"), "_k", "tm")
     hi = parts.select(F.col("g").alias("k"), F.col("n").alias("nk"), F.col("m").alias("mk"), F.col("p").alias("pk"), F.col("s").alias("sk"), "_k")
@@ -185,7 +207,7 @@ def dagum(df: DataFrame, value: str, group: str, method: str = "reference") -> D
     # Merge both groups' values: for each pair, running count and sum of the lower one by value.
     both = runs.withColumnRenamed("g", "h").join(F.broadcast(pairs.select("h", "k")), "h").select("h", "k", "v", F.col("c").alias("ch"), F.lit(0).cast("long").alias("ck")).unionByName(
         runs.withColumnRenamed("g", "k").join(F.broadcast(pairs.select("h", "k")), "k").select("h", "k", "v", F.lit(0).cast("long").alias("ch"), F.col("c").alias("ck")))
-    both = both.groupBy("h", "k", "v").agg(F.sum("ch").alias("ch"), F.sum("ck").alias("ck"))
+    both = scratch.save(both.groupBy("h", "k", "v").agg(F.sum("ch").alias("ch"), F.sum("ck").alias("ck")))
     r = running_totals(both, "v", {"a": F.col("ch"), "b": F.col("ch") * F.col("v"), "d": F.col("ck"), "e": F.col("ck") * F.col("v")}, ["h", "k"])
     d = r.groupBy("h", "k").agg(F.sum(F.col("ck") * (F.col("v") * F.col("a_before") - F.col("b_before"))).alias("up"), F.sum(F.col("ch") * (F.col("v") * F.col("d_before") - F.col("e_before"))).alias("down"))
     j = pairs.join(d, ["h", "k"]).join(all_gini, "_k")

@@ -24,19 +24,21 @@ def _long(df: DataFrame, block: str, key: str | None = None) -> DataFrame:
 def statistic_table(items: DataFrame, flags: DataFrame, ratios: DataFrame) -> DataFrame:
     """(ord, block, key, metric, value): scope, all items' use, inequality in scope, ratios and their tiers.
 
-    The three tables are saved once, narrowed to what the figures need; ord numbers the blocks in the order of the report.
+    The tables are saved once, narrowed to what the figures need, and so are the running totals that the order statistics
+    are read from; ord numbers the blocks in the order of the report.
     """
     scratch = Scratch(items.sparkSession, "statistics")
     s, f = "subscribers", F.col("is_private_like")
     flags = scratch.save(items.select("mod_id", s).join(flags, "mod_id", "left"))
     items, inside, ratios = flags.select(s), flags.where(f != 1).select(s), scratch.save(ratios.select("ratio", "tier"))
     scope = flags.agg(F.count("*").alias("items"), F.count_if(f == 1).alias("private_like"), F.count_if(f == 0).alias("in_scope"), F.avg((f == 1).cast("double")).alias("private_share"))
-    shares = stats.end_shares(inside, s, (0.01, 0.05, 0.10), (0.10, 0.20)).select(F.concat_ws("_", "side", F.round(F.col("p") * 100).cast("int").cast("string")).alias("side"), "share")
+    every, some = scratch.save(stats.totals(items, s)), scratch.save(stats.totals(inside, s))
+    shares = stats.end_shares(inside, s, (0.01, 0.05, 0.10), (0.10, 0.20), some).select(F.concat_ws("_", "side", F.round(F.col("p") * 100).cast("int").cast("string")).alias("side"), "share")
     parts = [
-        _long(scope, "scope"), _long(stats.overview(items, s), "all"), _long(stats.percentiles(items, s), "all"), _long(stats.top_concentration(items, s), "all_top", "key"),
-        _long(stats.hhi(items, s), "all"), _long(stats.gini(items, s), "all"), _long(stats.pareto(items, s), "all_pareto", "target"), _long(stats.thresholds(items, s), "all_at_least", "threshold"),
-        _long(stats.buckets(items, s), "all_bucket", "bucket"), _long(stats.overview(inside, s), "scope_use"), _long(stats.percentiles(inside, s, (0.01, 0.10, 0.50, 0.90, 0.99)), "scope_use"),
-        _long(shares, "scope_share", "side"), _long(stats.quantile_ratios(inside, s), "scope_use"), _long(stats.gini(inside, s), "scope_use"),
+        _long(scope, "scope"), _long(stats.overview(items, s, known=every), "all"), _long(stats.percentiles(items, s, known=every), "all"), _long(stats.top_concentration(items, s, known=every), "all_top", "key"),
+        _long(stats.hhi(items, s), "all"), _long(stats.gini(items, s, known=every), "all"), _long(stats.pareto(items, s, known=every), "all_pareto", "target"), _long(stats.thresholds(items, s), "all_at_least", "threshold"),
+        _long(stats.buckets(items, s), "all_bucket", "bucket"), _long(stats.overview(inside, s, known=some), "scope_use"), _long(stats.percentiles(inside, s, (0.01, 0.10, 0.50, 0.90, 0.99), known=some), "scope_use"),
+        _long(shares, "scope_share", "side"), _long(stats.quantile_ratios(inside, s, known=some), "scope_use"), _long(stats.gini(inside, s, known=some), "scope_use"),
         _long(stats.descriptive(ratios, "ratio"), "ratio"), _long(ratio_tiers(ratios), "ratio_tier", "tier")]
     return reduce(DataFrame.unionByName, [p.select(F.lit(i).alias("ord"), "*") for i, p in enumerate(parts, 1)])
 
