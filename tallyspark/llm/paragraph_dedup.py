@@ -59,10 +59,15 @@ class Paragraphs:
 
         The range of hashes is dealt into bins, and a bin's least member is its key. Two sets that reach the
         threshold differ in at most d = (1 - t) / (1 + t) of their sizes' sum; with more than d bins, some
-        bin is the same in both (and empty in both only by chance, under 0.0002 for the smallest sets). So the number of bins, a power of two, follows from the sizes that linked
-        sets can have; a set near a step is keyed for both numbers.
+        bin is the same in both. So the number of bins, a power of two, follows from the sizes that linked
+        sets can have; a set near a step is keyed for both numbers. Bins that are the same can all be empty only
+        in sets that occupy no more than d bins: these few are also keyed by their n - ceil(t n) + 1 least members, of
+        which two linked sets share one. So any two linked sets share a key.
         """
-        low, high = (self._levels(np.diff(self.at) * (100 - threshold) // by) for by in (100, threshold))
+        size = np.diff(self.at)
+        most = size * (100 - threshold) // threshold
+        low, high = self._levels(size * (100 - threshold) // 100), self._levels(most)
+        crowded = np.zeros(len(self.id), bool)
         wanted = np.zeros(len(self.id), bool)
         wanted[of] = True
         units, keys = [], []
@@ -73,6 +78,12 @@ class Paragraphs:
             new = np.append(True, (u[1:] != u[:-1]) | (b[1:] != b[:-1])) if len(u) else np.empty(0, bool)
             units.append(u[new])
             keys.append(mix(x[new] + np.uint64(e)))
+            filled = np.bincount(u[new], minlength=len(self.id))
+            crowded |= (filled > 0) & (filled <= most)
+        least = np.arange(len(self.items)) - self.at[self.unit] <= (size + -threshold * size // 100)[self.unit]
+        pick = crowded[self.unit] & least
+        units.append(self.unit[pick])
+        keys.append(mix(self.items[pick] + np.uint64(64)))
         none = np.empty(0, np.int64)
         return np.concatenate(units or [none]), np.concatenate(keys or [none.view(np.uint64)]).view(np.int64)
 

@@ -185,6 +185,27 @@ def test_linked_sets_share_a_band():
                 assert set(h[unit == 0].tolist()) & set(h[unit == 1].tolist())
 
 
+def test_linked_sets_in_one_bin_share_a_key():
+    rng = np.random.default_rng(7)
+    p = Paragraphs([], 5)
+    for n in (4, 5, 9, 10, 15, 40):
+        for top in (0, 5, 15):
+            big = np.sort(rng.choice(2**40, n, replace=False).astype(np.uint64) + np.uint64(top << 60))
+            for small in (big[n // 5 :], big[: n - n // 5]):
+                p.items, p.unit, p.id = np.concatenate([big, small]), np.repeat([0, 1], [n, len(small)]), np.arange(2)
+                p.at = np.array([0, n, n + len(small)])
+                unit, h = p.keys(np.arange(2), 80)
+                assert set(h[unit == 0].tolist()) & set(h[unit == 1].tolist())
+    for _ in range(3000):  # sets of a few members at the threshold
+        n = int(rng.integers(4, 16))
+        big = np.sort(rng.integers(0, 2**64, n, dtype=np.uint64))
+        small = np.sort(rng.permutation(big)[: n - n // 5])
+        p.items, p.unit, p.id = np.concatenate([big, small]), np.repeat([0, 1], [n, len(small)]), np.arange(2)
+        p.at = np.array([0, n, n + len(small)])
+        unit, h = p.keys(np.arange(2), 80)
+        assert set(h[unit == 0].tolist()) & set(h[unit == 1].tolist())
+
+
 def test_hot_keys_go_another_way_to_the_same_result(spark):
     rng = random.Random(9)
     flat = spark.createDataFrame([(rng.choice([1, 1, 1, 2, 3, *range(4, 400)]), rng.randrange(50)) for _ in range(2000)] + [(1000, 7)] * 300, "h long, id long")
