@@ -14,8 +14,11 @@ from .minhash_dedup import near_duplicates
 from .mixing import mix
 from .paragraph_dedup import repeated_paragraphs
 from .suffix_dedup import suffix_dedup
+from .token_counts import prefix_table, within_budget
 from .toxicity import score_toxicity
 from .transcripts import format_chats
+from .turn_repair import repair_damaged
+from .whitening import whiten
 
 #: Fixed values of the URL rules.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -64,6 +67,20 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), shingle_words=4, threshold=80)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(load(spark, sf_dir, "embeddings"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # a folder of vocabulary files; other queries do without
+
+    return within_budget(prefix_table(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")), 4096)
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(load(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_reputation": op2_url_reputation,
@@ -75,6 +92,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_token_counts": op12_token_counts,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 _MOMENTS = """SELECT coalesce(least(1000.0, greatest(1.0, 1 / greatest(
