@@ -15,50 +15,86 @@ from .common import Scratch
 ROLES = ("system", "user", "assistant")
 #: A state is a role and whether the line opens a turn or continues one.
 STATES = [(r, first) for r in ROLES for first in (True, False)]
-MARKER = re.compile(r"^\s*(?:#{1,4}\s*(\w{1,20}):?\s*$|<\|(\w{1,20})\|>\s*|\[(\w{1,20})\]\s*|\*{0,2}(\w{1,20})\*{0,2}:(?:\s+|$))")
+#: What can be a speaker marker: a name in one of four forms. It is one only if the model has learned it as a speaker's.
+MARKER = re.compile(r"\s*(?:#{1,4}\s*(\w{1,20}):?\s*$|(?:<\|(\w{1,20})\|>|\[(\w{1,20})\]) ?|\*{0,2}(\w{1,20})\*{0,2}:(?: |$))")
+FORMS = ("# {}", "<|{}|>", "[{}]", "{}:")
+#: A log-probability that outweighs all others.
+NEVER = -1e4
 
 
-def split_marker(line: str) -> tuple[str, str]:
-    """(lower-cased speaker marker or '', the rest of the line)."""
+def split_marker(line: str) -> tuple[str, str | None]:
+    """(what can be a speaker marker, lower-cased in its form, or '', the rest of the line); the rest is None if the marker has the line to itself."""
     m = MARKER.match(line)
-    return (next(g for g in m.groups() if g).lower(), line[m.end() :]) if m else ("", line)
+    if not m:
+        return "", line
+    form, name = next((f, g) for f, g in zip(FORMS, m.groups(), strict=True) if g)
+    rest = line[m.end() :]
+    return form.format(name.lower()), rest if rest or m[0][-1] == " " and not m[1] else None
 
 
-def features(line: str) -> tuple[str, str, str]:
-    marker, rest = split_marker(line)
-    end = rest.rstrip()[-1:]
-    return f"m:{marker}", f"w:{min(10, len(rest.split()).bit_length())}", f"e:{end if end in '?.!:,' else '' if not end else 'x'}"
+def plain_features(line: str) -> tuple[str, ...]:
+    """Of a line without speaker marker; a blank one says nothing."""
+    end = line.rstrip()[-1:]
+    return ("m:", f"w:{min(10, len(line.split()).bit_length())}", f"e:{end if end in '?.!:,' else 'x'}") if end else ("m:",)
+
+
+def features(line: str) -> tuple[str, ...]:
+    marker = split_marker(line)[0]
+    return (f"m:{marker}",) if marker else plain_features(line)
 
 
 class RoleHMM:
-    """Start, step and feature log-probabilities of the states; features are independent given the state."""
+    """Start, step and feature log-probabilities of the states; features are independent given the state.
 
-    def __init__(self, start: dict, step: dict, seen: dict, smooth: float = 0.5, least: int = 5):
+    A marker name is a speaker's if nearly all lines that carry it open a turn of one role; such a line
+    always does. Other names, as of headings, notes or footnotes, say nothing and stay in the text.
+    A blank line opens no turn, nor does a line without a speaker's marker just after one that has its line to itself. Values of a feature never seen in training say nothing either.
+    """
+
+    def __init__(self, start: dict, step: dict, seen: dict, smooth: float = 0.5, least: int = 5, sure: float = 0.9):
         n = len(STATES)
         self.start = np.log(np.array([start.get(i, 0) + smooth * STATES[i][1] + 1e-9 for i in range(n)]))
         self.step = np.log(np.array([[step.get((i, j), 0) + smooth * (STATES[j][1] or STATES[i][0] == STATES[j][0]) + 1e-9 for j in range(n)] for i in range(n)]))
         self.start -= np.log(np.exp(self.start).sum())
         self.step -= np.log(np.exp(self.step).sum(axis=1, keepdims=True))
-        total, kinds = {}, {}
-        for (_, f), c in seen.items():
-            total[f] = total.get(f, 0) + c
-        for (s, f), c in seen.items():  # rare values of a kind share its unknown value
-            f = f if total[f] >= least else f[:2] + "?unknown"
+        by = {}
+        for (s, f), c in seen.items():
+            by.setdefault(f, np.zeros(n))[s] += c
+        #: The state that a line with a speaker's marker is in.
+        self.speakers = {f[2:]: int(c.argmax()) for f, c in by.items() if f[:2] == "m:" and len(f) > 2 and c.sum() >= least and STATES[c.argmax()][1] and c.max() >= sure * c.sum()}
+        kinds: dict[str, dict] = {}
+        for f, c in by.items():  # rare values of a kind share its unknown value
+            if f[:2] == "m:":
+                f = f if f[2:] in self.speakers else "m:"
+            elif c.sum() < least:
+                f = f[:2] + "?unknown"
             k = kinds.setdefault(f[:2], {})
-            k.setdefault(f, np.zeros(n))[s] += c
+            k[f] = k.get(f, 0) + c
         self.emit, self.unknown = {}, {}
         for k, values in kinds.items():
-            values.setdefault(k + "?unknown", np.zeros(n))
             mass = sum(values.values()) + smooth * len(values)
             self.emit |= {f: np.log((c + smooth) / mass) for f, c in values.items()}
-            self.unknown[k] = self.emit[k + "?unknown"]
+            self.unknown[k] = self.emit.get(k + "?unknown", np.zeros(n))
 
-    def decode(self, lines: list[str]) -> list[int]:
-        """The most likely states, by Viterbi."""
+    def emissions(self, lines: list[str]) -> np.ndarray:
+        """Log-probabilities (lines, states)."""
         e = np.zeros((len(lines), len(STATES)))
+        opens, alone = np.array([first for _, first in STATES]), False
         for i, x in enumerate(lines):
-            for f in features(x):
+            marker, rest = split_marker(x)
+            speaker = self.speakers.get(marker)
+            for f in plain_features(x) if speaker is None else (f"m:{marker}",):
                 e[i] += self.emit.get(f, self.unknown.get(f[:2], 0.0))
+            if speaker is not None:
+                e[i] += np.where(np.arange(len(STATES)) == speaker, 0.0, NEVER)
+            elif alone or not x.strip():
+                e[i] += np.where(opens, NEVER, 0.0)
+            alone = speaker is not None and rest is None
+        return e
+
+    def decode(self, lines: list[str]) -> list[int]:
+        """The most likely states, by Viterbi."""
+        e = self.emissions(lines)
         best, back = self.start + e[0], []
         for i in range(1, len(lines)):
             t = best[:, None] + self.step
@@ -69,6 +105,11 @@ class RoleHMM:
             path.append(int(b[path[-1]]))
         return path[::-1]
 
+    def text_of(self, line: str) -> str | None:
+        """The line without a speaker's marker, all else as it is; None if nothing else is in it."""
+        marker, rest = split_marker(line)
+        return rest if marker in self.speakers else line
+
 
 def transcript_lines(turns: DataFrame, raw: Column) -> DataFrame:
     """turns(conv_id, turn, ...) -> the same with (at, line): raw text of each turn in lines; turn and at order them."""
@@ -114,8 +155,9 @@ def recover_turns(lines: DataFrame, model: RoleHMM, span: int = 256, overlap: in
     ``overlap`` turns of either neighbour as context. A segment of more than ``most`` lines, as
     a very long turn or many rows under one turn number make it, is decoded piece by piece with ``context`` lines
     on either side, so no task holds more. A turn runs from an opening line to the next one and is rendered
-    without its marker as ``<|role|>\\ntext\\n<|end|>``; turn and at are its first line's, nth numbers the
-    openings at one place. Null lines are empty ones; rows without
+    as ``<|role|>\\ntext\\n<|end|>``: all its lines as they are, blank ones too, but for the speaker's marker of the
+    first; turn and at are its first line's, nth numbers the openings at one place. Every line is in one turn. An unmarked turn
+    without text can't be told from a blank line and is one of the turn before. Null lines are empty ones; rows without
     conv_id form one conversation; repeated rows are repeated lines; other columns are ignored; an empty
     table gives an empty result.
     """
@@ -152,7 +194,7 @@ def recover_turns(lines: DataFrame, model: RoleHMM, span: int = 256, overlap: in
                 if first is None or STATES[s][1]:
                     first = turn, at, nth, STATES[s][0]
                 if own:
-                    out.append((conv, *first, turn, at, split_marker(line)[1] if STATES[s][1] else line))
+                    out.append((conv, *first, turn, at, model.text_of(line)))
             if len(out) >= 1000:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
                 out = []
@@ -160,7 +202,7 @@ def recover_turns(lines: DataFrame, model: RoleHMM, span: int = 256, overlap: in
 
     found = held.mapInArrow(decode, "conv_id long, turn long, at int, nth long, role string, line_turn long, line_at int, line string")
     turns = found.groupBy("conv_id", "turn", "at", "nth", "role").agg(F.array_sort(F.collect_list(F.struct("line_turn", "line_at", "line"))).alias("x"))
-    text = F.array_join(F.filter(F.transform("x", lambda z: z["line"]), lambda s: s != ""), "\n")
+    text = F.array_join(F.transform("x", lambda z: z["line"]), "\n")  # a null is a marker's own line
     return turns.select("conv_id", "turn", "at", "nth", "role", F.size("x").alias("n_lines"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), text, F.lit("\n<|end|>")).alias("rendered"))
 
 

@@ -3,6 +3,7 @@
 from itertools import product
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from tallyspark.llm.language_id import identify_languages
 from tallyspark.llm.sampling import bounded_sample
@@ -105,10 +106,62 @@ def test_viterbi_finds_the_best_path():
         scores = {}
         for path in product(range(n), repeat=size):
             p = model.start[path[0]] + sum(model.step[a, b] for a, b in zip(path, path[1:]))
-            scores[path] = p + sum(model.emit.get(f, model.unknown.get(f[:2], np.zeros(n)))[s] for s, x in zip(path, lines) for f in features(x))
+            scores[path] = p + sum(e[s] for s, e in zip(path, model.emissions(lines)))
         assert np.isclose(scores[tuple(model.decode(lines))], max(scores.values()))
 
 
+def recovered(turns):
+    """(conv_id, role, text) in order."""
+    rows = sorted(turns.collect(), key=lambda r: (r["conv_id"], r["turn"], r["at"], r["nth"]))
+    return [(r["conv_id"], r["role"], r["rendered"].removeprefix(f"<|{r['role']}|>\n").removesuffix("\n<|end|>")) for r in rows]
+
+
+@pytest.fixture(scope="module")
+def role_model(spark):
+    return train(raw_log(spark.read.parquet(f"{SF}/conversations.parquet")))
+
+
+RICH = [
+    "Note: the answer is 42.\n\nSecond paragraph here.\n\n[1] a reference", "# Heading\n\ntext under it\n\n## Another\nmore", "code:\n\n    def f(x):\n        return {x: 1}\n\n\ndone",
+    "- one\n- two\n\n1. first\n2. second", "word: explained\nother: too\n**bold**: so\n<|tag|> in it", "", "\n\nafter blanks", "ends in blanks\n\n", "  indented: yes\n\ttab", "[x] done\n[ ] not done",
+]
+
+
+def test_marked_texts_come_back_as_they_were(spark, role_model):
+    """Every style of marker around texts of several paragraphs, headings, lists, code and lines that look like markers."""
+    rows = [(conv, t, ("user", "assistant")[t % 2], RICH[(conv + t) % len(RICH)]) for conv in range(12) for t in range(6)]
+    c = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert recovered(recover_turns(raw_log(c, omit=10**9), role_model)) == [(conv, role, text) for conv, _, role, text in rows]
+    assert set(role_model.speakers) == {split_marker(m.rstrip("\n"))[0] for style in STYLES for m in style}
+
+
+def test_every_line_is_in_one_turn(spark, role_model):
+    rows = [(conv, t, ("user", "assistant")[t % 2], RICH[(3 * conv + t) % len(RICH)]) for conv in range(20) for t in range(7)]
+    lines = raw_log(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), omit=3)
+    every = [(r["conv_id"], t) for r in lines.orderBy("conv_id", "turn", "at").collect() if (t := role_model.text_of(r["line"])) is not None]
+    turns = recover_turns(lines, role_model)
+    assert [(conv, x) for conv, _, text in recovered(turns) for x in text.split("\n")] == every
+    assert turns.agg(F.sum("n_lines")).first()[0] == lines.count()
+
+
+def test_turns_equal_plain_assembly(spark, role_model):
+    """Held-out logs decoded whole and put together line by line."""
+    lines = raw_log(spark.read.parquet(f"{SF}/conversations.parquet")).where("conv_id % 7 = 0")
+    logs = {}
+    for r in lines.orderBy("conv_id", "turn", "at").collect():
+        logs.setdefault(r["conv_id"], []).append(r["line"])
+    want = []
+    for conv, log in sorted(logs.items()):
+        turns = []
+        for x, s in zip(log, role_model.decode(log)):
+            if STATES[s][1] or not turns:
+                turns.append((STATES[s][0], []))
+            if (t := role_model.text_of(x)) is not None:
+                turns[-1][1].append(t)
+        want += [(conv, role, "\n".join(text)) for role, text in turns]
+    assert recovered(recover_turns(lines, role_model)) == want
+
+
 def test_transcript_edges(spark):
     rows = [(1, t, ("user", "assistant")[t % 2], "what is it?" if t % 2 == 0 else "it is so.\nand more") for t in range(40)]
     c = spark.createDataFrame(rows + [(None, 0, "user", "hm?"), (2, None, None, None), (3, 0, "user", "q?"), (3, 0, "user", "q?")], "conv_id long, turn long, role string, text string")
