@@ -64,6 +64,7 @@ def mix(
     ends = sums.withColumn("before", F.coalesce(F.sum("words").over(by), F.lit(0))).join(t, "skey")
     ends = ends.where("before <= extra and extra < before + words").select("skey", F.col("bucket").alias("last"), "before")
     plan = scratch.save(t.join(ends, "skey", "left"))
+    scratch.free(sums, t, *[rows] * bool(keep))
     full = (sized if keep else rows).join(plan, "skey")  # kept columns come from docs, not from a second copy
     # No bucket holds the end when the fraction takes in the whole source.
     last = F.coalesce("last", F.lit(BUCKETS))

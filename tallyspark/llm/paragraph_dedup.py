@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import _P, Scratch, mix, slices, words_of
@@ -208,9 +208,12 @@ def without_repeats(docs: DataFrame, k: int = 5, threshold: int = 80, least: int
     A paragraph goes with the white space that follows it; all else stays byte for byte. A document keeps its
     row even if nothing is left of its text; null ids and texts stay as they are.
     """
-    gone = repeated_paragraphs(docs, k, threshold, least, scratch).where("not kept").groupBy("doc_id", "t").agg(
-        F.collect_list(F.struct("start", "n_words")).alias("gone"))  # at most a text's own paragraphs
+    return without_paragraphs(docs, F.col("doc_id"), repeated_paragraphs(docs, k, threshold, least, scratch).where("not kept"))
 
+
+def without_paragraphs(docs: DataFrame, key: Column, spans: DataFrame) -> DataFrame:
+    """docs without the paragraphs in spans(doc_id, t, start, n_words); ``key`` is what doc_id means for a row of docs."""
+    gone = spans.groupBy("doc_id", "t").agg(F.collect_list(F.struct("start", "n_words")).alias("gone"))  # at most a text's own paragraphs
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +228,7 @@ def without_repeats(docs: DataFrame, k: int = 5, threshold: int = 80, least: int
                 columns[i] = pa.array(sizes, columns[i].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("d"), F.xxhash64(F.col("text").cast("string")).alias("s"))
+    row = docs.select(F.struct("*").alias("row"), key.cast("long").alias("d"), F.xxhash64(F.col("text").cast("string")).alias("s"))
     return row.join(gone, F.expr("d = doc_id and s = t"), "left").select("row", "gone").mapInArrow(cut, docs.schema)
 
 

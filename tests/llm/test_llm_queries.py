@@ -146,6 +146,42 @@ def test_pipeline_against_plain_stages(spark, monkeypatch):
     assert {i: (r["text"], r["source"], r["taken"]) for i, r in mixed.items()} == {i: (r["text"], r["source"], taken[i]) for i, r in clean.items()}
 
 
+def test_stages_of_two_pipelines_do_not_meet(spark):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    near, cut, clean = (stage(spark, docs, SF) for stage in (p.near_dedup, p.substring_dedup, p.decontamination))
+    both = p.mixing(spark, near, SF), p.mixing(spark, near, SF)
+    assert 0 < near.count() < docs.count() == cut.count() > clean.count() > 0
+    assert both[0].count() == both[1].count() == near.count()
+
+
+def test_pipeline_with_rows_without_id_and_clashing_columns(spark):
+    """Rows without an id are judged as those that have one; extra columns have the names of the stages' own."""
+    import corpus_pipeline as p
+
+    rng = random.Random(8)
+    words = lambda n: " ".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") + str(rng.randrange(90)) for _ in range(n))
+    base, passage = words(120), words(60)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first()["text"]
+    rows = [(None, base, 1), (None, base, 2), (7, base + " more", 3), (None, words(40) + " " + passage + " " + words(40), 4), (3, words(40) + " " + passage + " " + words(40), 5),
+            (None, words(50) + " " + item, 6), (None, words(70), 7), (None, None, 8), (9, "twice", 9), (9, "twice", 10), (8, words(30), 11)]
+    names = ["size", "Target", "taken", "mix_size", "row", "t", "key", "start", "gone", "n_words", "component_id", "shared", "h", "skey"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    for c in names:
+        docs = docs.withColumn(c, F.col("n"))
+    docs = docs.withColumn("source", F.lit("s")).withColumn("n_chars", F.length("text"))
+    columns = docs.columns
+    for name, stage in p.STAGES[1:]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns[: len(columns)] == columns, name
+    got = {r["n"]: r for r in docs.collect()}
+    assert docs.columns[len(columns) :] == ["mix_mix_size", "source_size", "mix_target", "mix_taken"]
+    assert set(got) - {9, 10} == {3, 4, 5, 7, 8, 11} and len(set(got) & {9, 10}) == 1
+    assert passage in got[5]["text"] and passage not in got[4]["text"] and got[4]["n_chars"] == len(got[4]["text"]) and got[4]["doc_id"] is None
+    assert all(r["size"] == r["row"] == r["skey"] == n for n, r in got.items()) and got[3]["mix_mix_size"] == 121
+
+
 def test_empty_pipeline(spark):
     import corpus_pipeline as p
 
