@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,81 +27,143 @@ class PrefixCounter:
     count[i] = count[i - len(t)] + 1.
 
     Characters outside the vocabulary are as many tokens as bytes and never merge. Where no piece of
-    several characters reaches across (before white space, at digits, line ends), a text falls into parts
-    that don't act on each other; each part is worked out once and held by its text while there is room.
+    several characters reaches across (before white space, between letters and other signs, at digits and line ends), a text
+    falls into parts that don't act on each other; each part is worked out once and held while there is room.
     """
 
-    def __init__(self, model_file: str, held: int = 1 << 17, longest_held: int = 64):
+    def __init__(self, model_file: str, held: int = 1 << 19, longest_held: int = 64):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         ids = range(model.get_piece_size())
         special = [model.is_unknown(i) or model.is_control(i) or model.is_unused(i) or model.is_byte(i) for i in ids]
-        if sum(map(model.is_byte, ids)) != 256 or model.normalize("a  ａ\t") != f"{SPACE}a {SPACE}ａ\t":
+        if sum(map(model.is_byte, ids)) != 256 or model.normalize("a  ａ\t") != f"{SPACE}a {SPACE}ａ\t".replace(" ", SPACE):
             raise ValueError("this needs a model with all byte pieces, a space put before the text and no other normalisation")
         self.rank = {model.id_to_piece(i): -model.get_score(i) for i in ids if not special[i]}
-        self.longest = max(map(len, self.rank))
+        #: The last merge of each piece that the model makes of its own characters; None for a character.
+        self.halves: dict[str, tuple[str, str] | None] = {}
+        for p in self.rank:
+            parts, last = self._merged(p)
+            if parts == [p]:
+                self.halves[p] = last
+        #: Pieces by their last character, the one before it and so on; the piece itself under "".
+        self.ends: dict = {}
+        for p in self.halves:
+            node = self.ends
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = p
+        ranks = Counter(self.rank.values())
+        #: The ends of a piece as it grows, with the rank at which each is merged on; none if a merge doesn't come after those before it.
+        self.left, self.right = ({p: self._growth(p, side, ranks) for p in self.halves} for side in (0, 1))
+        self.apart: dict[tuple[str, str], bool] = {}
         self.held, self.longest_held = held, longest_held
         self.parts: dict[str, bytes] = {}
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.whole = {p for p in self.rank if self._merged(p) == [p]}
+        self.before: dict[str, bytes] = {}  # parts held when there was no more room; those used since are in both
         several = [p for p in self.rank if len(p) > 1]
-        alone = "".join(re.escape(c) for c in map(chr, range(128)) if c != " " and not any(c in p for p in several))
-        split = f"[{alone}]|[ {SPACE}]+[^ {SPACE}{alone}]*|[^ {SPACE}{alone}]+"
-        self.part = re.compile(r"(?s).+" if any(SPACE in p.lstrip(SPACE) for p in several) else split)
-
-    def _merged(self, s: str) -> list[str]:
-        """What the model makes of a few characters: the best neighbours merge first, the left ones of equals."""
-        parts = list(s)
+        pairs = {a + b for p in several for a, b in zip(p, p[1:], strict=False)}
+        inside = {c for p in several for c in p}
+        alone = "".join(re.escape(c) for c in map(chr, range(128)) if c != " " and c not in inside)
+        signs = "".join(re.escape(c) for c in map(chr, range(128)) if c in inside and not c.isalnum())
+        sign = lambda c: c in inside and ord(c) < 128 and not c.isalnum()
+        mixed = any(sign(a) != sign(b) for a, b in pairs if SPACE not in (a, b))
+        words = f"[^ {SPACE}{alone}]+" if mixed else f"(?:[{signs}]+|[^ {SPACE}{alone}{signs}]+)"
+        self.part = re.compile(r"(?s).+" if any(b == SPACE != a for a, b in pairs) else f"[{alone}]|[ {SPACE}]+{words}|[ {SPACE}]+|{words}")
+
+    def _merged(self, s: str) -> tuple[list[str], tuple[str, str] | None]:
+        """What the model makes of a few characters, and its last merge: the best neighbours merge first, the left ones of equals."""
+        parts, last = list(s), None
         while True:
             best = min(((self.rank[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.rank), default=None)
             if best is None:
-                return parts
+                return parts, last
             i = best[1]
+            last = parts[i], parts[i + 1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
+    def _growth(self, p: str, side: int, ranks: Counter) -> list[tuple[str, float, float]] | None:
+        """[(end of the piece, rank of the merge that makes it, of the one that takes it up)], the whole first, which nothing takes up."""
+        out, until = [], np.inf
+        while (halves := self.halves[p]) is not None:
+            if self.rank[p] >= until or ranks[self.rank[p]] > 1:
+                return None
+            out.append((p, self.rank[p], until))
+            until, p = self.rank[p], halves[side]
+        return [*out, (p, -1.0, until)]
+
     def _stay_apart(self, a: str, b: str) -> bool:
+        """Whether the model makes a and b of the two together.
+
+        Merges come by rank, so an end of a and an end of b stand side by side until the first of them is taken
+        up; they merge if their own merge comes before, the left one of equals first.
+        """
         known = self.apart.get((a, b))
         if known is None:
-            if len(self.apart) >= 8 * self.held:
+            if len(self.apart) >= 4 * self.held:
                 self.apart.clear()
-            known = self.apart[a, b] = self._merged(a + b) == [a, b]
-        return known
-
-    def _steps(self, s: str) -> list[int]:
-        """By how much the count changes with each character."""
-        last, count = [""], [0]  # "": nothing that could merge
-        for i, c in enumerate(s, 1):
-            if c not in self.rank:
-                last.append("")
-                count.append(count[-1] + len(c.encode("utf-8", "replace")))
-                continue
-            for at in range(max(0, i - self.longest), i):
-                t = s[at:i]
-                if t in self.whole and (not last[at] or self._stay_apart(last[at], t)):
-                    last.append(t)
-                    count.append(count[at] + 1)
-                    break
+            x, y = self.right.get(a), self.left.get(b)
+            if x is None or y is None:
+                known = self._merged(a + b)[0] == [a, b]
             else:
-                raise ValueError(f"no encoding ends at character {i} of {s[:i][-40:]!r}")
-        return [b - a for a, b in zip(count, count[1:], strict=False)]
-
-    def _part(self, s: str) -> bytes:
-        """The steps of one part as signed bytes."""
-        if (known := self.parts.get(s)) is None:
-            known = np.array(self._steps(s), np.int8).tobytes()
-            if len(s) <= self.longest_held:
-                if len(self.parts) >= self.held:
-                    self.parts.clear()
-                self.parts[s] = known
+                rank = self.rank.get
+                known = not any(max(r, born_x, born_y) < until_x and max(r, born_x, born_y) <= until_y
+                                for p, born_x, until_x in x for q, born_y, until_y in y if (r := rank(p + q)) is not None)
+            self.apart[a, b] = known
         return known
 
-    def steps(self, text: str) -> bytes:
-        """One signed byte a character: the count at a prefix is the sum of its bytes."""
-        if not text:
-            return b""
-        found = b"".join(map(self._part, self.part.findall(SPACE + text.replace(" ", SPACE))))
-        return bytes([(found[0] + found[1]) & 255]) + found[2:]  # the space put before goes with the first character
+    def _work_out(self, parts: list[str]) -> Iterator[bytes]:
+        """The steps of each of some sorted parts, going on from where it leaves the one before it."""
+        last, count, steps, done = [""], [0], bytearray(), ""  # "": nothing that could merge
+        apart, ends, rank = self.apart, self.ends, self.rank
+        for s in parts:
+            n, most = 0, min(len(s), len(done))
+            while n < most and s[n] == done[n]:
+                n += 1
+            del last[n + 1 :], count[n + 1 :], steps[n:]
+            for i in range(n, len(s)):
+                c = s[i]
+                if c not in rank:
+                    size = len(c.encode("utf-8", "replace"))
+                    last.append("")
+                    count.append(count[i] + size)
+                    steps.append(size)
+                    continue
+                node, at, found = ends, i, []
+                while at >= 0 and (node := node.get(s[at])) is not None:
+                    if "" in node:
+                        found.append(at)
+                    at -= 1
+                for at in reversed(found):
+                    t, before = s[at : i + 1], last[at]
+                    ok = not before or apart.get((before, t))
+                    if ok or ok is None and self._stay_apart(before, t):
+                        last.append(t)
+                        count.append(count[at] + 1)
+                        steps.append(count[at] + 1 - count[i] & 255)
+                        break
+                else:
+                    raise ValueError(f"no encoding ends at character {i + 1} of {s[: i + 1][-40:]!r}")
+            done = s
+            yield bytes(steps)
+
+    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
+        """The steps of all parts in ``wanted``; those of moderate length are held for other texts."""
+        if len(self.parts) + len(wanted) > self.held:
+            self.before, self.parts = self.parts, {}
+        known, before = self.parts, self.before
+        new = sorted(w for w in wanted if w not in known and w not in before)
+        every = dict(zip(new, self._work_out(new), strict=True))
+        every |= {w: before[w] for w in wanted if w not in known and w in before}
+        known |= {w: x for w, x in every.items() if len(w) <= self.longest_held}
+        return every | {w: known[w] for w in wanted if w not in every}
+
+    def steps(self, texts: list[str]) -> list[bytes]:
+        """For each text one signed byte a character: the count at a prefix is the sum of its bytes."""
+        split = [self.part.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        of = self._learn(set(chain.from_iterable(split)))
+        joined = (b"".join(map(of.__getitem__, x)) for x in split)
+        # The space put before a text goes with its first character.
+        return [bytes([(x[0] + x[1]) & 255]) + x[2:] if x else b"" for x in joined]
 
 
 @lru_cache(1)
@@ -125,14 +189,14 @@ def prefix_table(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
     see ``count_at``, ``longest_within`` and ``within_budget``. Null texts are empty: no bytes, no tokens. Bytes that
     are not UTF-8 count as replacement characters. Begin, end and special tokens aren't added; their
     strings inside a text are ordinary text. Repeated and id-less rows are counted each; other columns are
-    ignored; an empty table gives an empty result. A task holds a megabyte of text, or one text.
+    ignored; an empty table gives an empty result. A task holds four megabytes of text, or one text, and the parts seen last.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = counter(model_file)
         for b in batches:
             at = 0
-            for texts in slices(b.column("text").to_pylist()):
-                steps = [of.steps((t or b"").decode("utf-8", "replace")) for t in texts]
+            for texts in slices(b.column("text").to_pylist(), 1 << 22):
+                steps = of.steps([(t or b"").decode("utf-8", "replace") for t in texts])
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id").slice(at, len(texts)), pa.array([len(t or b"") for t in texts], pa.int64()),
                     pa.array([count_at(s, len(s)) for s in steps], pa.int64()), pa.array(steps, pa.binary())], names=["doc_id", "n_bytes", "n_tokens", "steps"])

@@ -109,12 +109,21 @@ def test_every_prefix_counts_as_the_library_says(model):
     samples += [t[a : a + 60] for t in rng.sample([t for t in texts if t], 60) for a in [rng.randrange(len(t))]]
     samples += [" " * k + "the x" + " " * k for k in (1, 2, 14, 15, 16, 17, 31, 48, 63)] + ["a" * 70, "=" * 70, "the" * 20]
     for s in samples:
-        steps = of.steps(s)
+        steps = of.steps([s])[0]
         assert [token_counts.count_at(steps, i) for i in range(len(s) + 1)] == [len(model.encode(s[:i])) for i in range(len(s) + 1)], repr(s)
         for budget in (0, 1, 5):
             assert token_counts.longest_within(steps, budget) == max(i for i in range(len(s) + 1) if len(model.encode(s[:i])) <= budget)
 
 
+def test_pieces_stay_apart_as_merging_says(model):
+    of, rng = token_counts.PrefixCounter(MODEL), random.Random(4)
+    pieces = list(of.halves)
+    pairs = [rng.choices(pieces, k=2) for _ in range(20_000)]
+    for t in rng.sample(pieces, 3000):  # neighbours that do merge, and such as nearly do
+        pairs += [(t[:k], t[k:]) for k in range(1, len(t)) if t[:k] in of.halves and t[k:] in of.halves]
+    assert all(of._stay_apart(a, b) == (of._merged(a + b)[0] == [a, b]) for a, b in pairs)
+
+
 def test_token_count_edges(spark):
     schema = "doc_id long, text string, steps int, n_tokens string"
     df = spark.createDataFrame([(1, None, 1, "a"), (1, "", 1, "a"), (None, "the cat", 1, "a"), (2, "the " * 100_000, 1, "a"), (2, "x" * 200_000, 1, "a")], schema)
