@@ -2,7 +2,7 @@
 
 import compare
 import pytest
-from tallyspark.plans import catalogue, records  # noqa: F401
+from tallyspark.plans import builds, catalogue, records  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
