@@ -30,6 +30,15 @@ def unescape(s: Column) -> Column:
     return F.pandas_udf(_unescaped, "string")(s)
 
 
+def _all_unescaped(s: pd.Series) -> pd.Series:
+    return s.map(lambda xs: [x if x is None else html.unescape(x) for x in xs], na_action="ignore")
+
+
+def unescape_all(texts: Column) -> Column:
+    """``unescape`` of each text of an array."""
+    return F.pandas_udf(_all_unescaped, "array<string>")(texts)
+
+
 def unescape_basic(s: Column) -> Column:
     """The six most frequent entities, the ampersand last."""
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):

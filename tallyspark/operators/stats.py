@@ -280,6 +280,39 @@ def kde(df: DataFrame, value: str, points: int = 200, pad: float = 0.0, least_pa
     return runs.groupBy("i", "x").agg((F.sum(F.col("c") * F.exp(-0.5 * z * z)) / (n * width * (2 * 3.141592653589793) ** 0.5)).alias("density")).select("x", "density")
 
 
+def violins(df: DataFrame, value: str, group_cols: list[str], points: int = 100, factor: float = 1.0, tolerance: float = 1e-4, exact: bool = False) -> DataFrame:
+    """(groups, i, x, density, bound): a Gaussian kernel estimate of each group on an even grid from its least to its largest value.
+
+    The bandwidth is factor * s * n^(-1/5) of the group. Values are shared out to the two nearest of even bins by distance (linear binning), so
+    narrow that the estimate is off by no more than ``bound``, ``tolerance`` times the height of one kernel; with ``exact`` they are taken as
+    they are, and bound is 0. A bin meets the grid points within nine bandwidths only, so a group costs some hundred
+    thousand kernel values whatever its size. Groups of fewer than two values or without spread have no estimate: density and bound are null.
+    """
+    x, h, lo = F.col(value).cast("double"), F.col("_h"), F.col("_lo")
+    per = df.where(F.col(value).isNotNull()).groupBy(*group_cols).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(x).alias("_n"), F.stddev_samp(x).alias("_s"))
+    per = per.withColumn("_h", F.when((F.col("_n") > 1) & (F.col("_s") > 0), factor * F.col("_s") * F.pow("_n", F.lit(-0.2))))
+    # Linear binning at width w changes a kernel sum by at most w^2 / 8 of the largest second derivative, which is the height over h^2.
+    per = per.withColumn("_w", h * (8 * tolerance) ** 0.5).withColumn("_step", (F.col("_hi") - lo) / (points - 1))
+    per = Scratch(df.sparkSession, "violins").save(per)  # one row a group
+    grid = per.select(*group_cols, F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"), "_lo", "_step", "_h", "_n")
+    runs = _beside(value_runs(df.select(*group_cols, x.alias("_x")), "_x", group_cols), per, group_cols).where("_h is not null")
+    if not exact:
+        place = (F.col("v") - lo) / F.col("_w")
+        part = place - F.floor(place)
+        two = F.explode(F.array(F.struct(F.floor(place).alias("b"), (F.col("c") * (1 - part)).alias("c")), F.struct((F.floor(place) + 1).alias("b"), (F.col("c") * part).alias("c")))).alias("z")
+        runs = runs.select(*group_cols, "_lo", "_step", "_h", "_w", two).groupBy(*group_cols, "_lo", "_step", "_h", "_w", "z.b").agg(F.sum("z.c").alias("c"))
+        runs = runs.withColumn("v", lo + F.col("b") * F.col("_w"))
+    at = lambda d: ((F.col("v") + d * h - lo) / F.col("_step"))
+    first, last = F.greatest(F.lit(0), F.ceil(at(-9))).cast("int"), F.least(F.lit(points - 1), F.floor(at(9))).cast("int")
+    near = runs.where(first <= last).select(*group_cols, "v", "c", "_lo", "_step", "_h", F.explode(F.sequence(first, last)).alias("i"))
+    z = (lo + F.col("i") * F.col("_step") - F.col("v")) / h
+    sums = near.groupBy(*group_cols, "i").agg(F.sum(F.col("c") * F.exp(-0.5 * z * z)).alias("_sum"))
+    height = 1 / (h * (2 * 3.141592653589793) ** 0.5)
+    out = _beside(grid, sums, [*group_cols, "i"])
+    return out.select(*group_cols, "i", (lo + F.col("i") * F.coalesce("_step", F.lit(0.0))).alias("x"), (F.coalesce("_sum", F.lit(0.0)) * height / F.col("_n")).alias("density"),
+                      F.when(h.isNotNull(), F.lit(0.0) if exact else height * tolerance).alias("bound"))
+
+
 def box_stats(df: DataFrame, value: str, group_cols: list[str]) -> DataFrame:
     """Quartiles, whiskers (the last data within 1.5 quartile ranges), mean, n and number of outliers by group."""
     some = df.where(F.col(value).isNotNull())

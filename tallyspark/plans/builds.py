@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import rank_columns
-from ..sources import tables
+from ..operators import corpus, rank_columns, stats
+from ..operators.scan import rank_desc, row_numbers
+from ..sources import markup, onefile, page_files, readers, tables
 from ..sources.staging import Scratch
-from ..streaming import breaker_stream
-from . import adapter, catalogue
+from ..streaming import breaker_stream, page_queue
+from . import adapter, catalogue, documents
 from .adapter import load
-from .catalogue import MF, MR, query
+from .catalogue import MF, MR, query, rounded
+from .load import load_lists
 
 # The breaker over a stream
 
@@ -116,3 +119,178 @@ def q_catalogue_copy(spark: SparkSession, d: str) -> DataFrame:
     tables.copy_database(spark, one, two)
     rows = lambda t, k, n: spark.table(f"{two}.{t}").select(F.lit(t).alias("source"), F.col(k).alias("key"), F.col(n).alias("name"))
     return rows("customer", "c_custkey", "c_name").unionByName(rows("supplier", "s_suppkey", "s_name"))
+
+
+# Documents of one file
+
+
+@query("SELECT row_number() OVER (ORDER BY rank_all, mod_id) AS place, mod_id, mod_name, subscribers, rank_all FROM (SELECT doc_id AS mod_id, text AS mod_name, n_chars AS subscribers, rank() OVER (ORDER BY n_chars DESC) AS rank_all FROM documents)")
+def q_ranking_file(spark: SparkSession, d: str) -> DataFrame:
+    """The ranking as one CSV file with byte order mark, ordered, its texts with quotes and line ends; read back in its order."""
+    path = f"{Scratch(spark, 'ranking').root}/ranking.csv"
+    m = rank_desc(load(spark, d, "documents").select(F.col("doc_id").alias("mod_id"), F.col("text").alias("mod_name"), F.col("n_chars").alias("subscribers")), "subscribers", "rank_all")
+    os.makedirs(os.path.dirname(path.removeprefix("file://")))
+    onefile.write_csv(m.select("mod_id", "mod_name", "subscribers", "rank_all"), path, ["rank_all", "mod_id"])
+    back = spark.read.options(header=True, multiLine=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, enforceSchema=False).schema("mod_id long, mod_name string, subscribers long, rank_all long").csv(path)
+    return row_numbers(back, [F.col("rank_all"), F.col("mod_id")], "place")
+
+
+@query("SELECT row_number() OVER (ORDER BY page_id) - 1 AS place, url FROM pages WHERE trim(url) <> ''")
+def q_url_list_file(spark: SparkSession, d: str) -> DataFrame:
+    """Urls as one JSON array in one file, read back."""
+    path = f"{Scratch(spark, 'url-list').root}/urls.json"
+    os.makedirs(os.path.dirname(path.removeprefix("file://")))
+    onefile.write_json_list(load(spark, d, "pages").where(F.trim("url") != "").select("page_id", "url"), "url", path, ["page_id"])
+    return onefile.read_text(spark, path).select(F.posexplode(F.from_json("value", "array<string>")).alias("place", "url")).withColumn("place", F.col("place").cast("long"))
+
+
+def _report(spark: SparkSession, label: str, lines: list[str]) -> DataFrame:
+    """(place, line) of a report written as one file and read back."""
+    path = f"{Scratch(spark, label).root}/{label}.md"
+    os.makedirs(os.path.dirname(path.removeprefix("file://")))
+    documents.write_report(spark, lines, path)
+    return onefile.read_text(spark, path).select(documents.lines_of(F.col("value"))).where("line <> ''")
+
+
+_BAR = "'`' || repeat('█', CAST(round_even(20 * s, 0) AS INT)) || repeat('░', 20 - CAST(round_even(20 * s, 0) AS INT)) || '`'"
+_PCT = "format('{:.2f}%', 100 * s)"
+
+
+@query(f"""{catalogue.M}, t AS (SELECT count(*) AS n FROM mods), a AS (SELECT unnest([100, 500, 1000, 5000, 10000]) AS b), x AS (SELECT b, count(*) FILTER (subscribers >= b) AS k, count(*) FILTER (subscribers >= b) / any_value(n) AS s FROM mods, a, t GROUP BY b),
+u AS (SELECT unnest([0, 100, 1000, 5000, 10000, 50000]) AS lo, unnest([99, 999, 4999, 9999, 49999, NULL]) AS hi), y AS (SELECT lo, hi, count(*) FILTER (subscribers >= lo AND subscribers <= coalesce(hi, 1e18)) AS k, count(*) FILTER (subscribers >= lo AND subscribers <= coalesce(hi, 1e18)) / any_value(n) AS s FROM mods, u, t GROUP BY lo, hi)
+SELECT '| >= ' || format('{{:,}}', b) || ' | ' || format('{{:,}}', k) || ' | ' || {_PCT} || ' | ' || {_BAR} || ' |' AS line FROM x
+UNION ALL SELECT '| ' || format('{{:,}}', lo) || coalesce('-' || format('{{:,}}', hi), '+') || ' | ' || format('{{:,}}', k) || ' | ' || {_PCT} || ' | ' || {_BAR} || ' |' FROM y""")
+def q_dashboard_file(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of thresholds and buckets of the dashboard of all items."""
+    lines = _report(spark, "dashboard", documents.dashboard(adapter.items(spark, d), "subscribers", "Items", "all documents"))
+    return lines.where(F.col("line").rlike(r"^\| (>= )?[0-9,+-]+ \|.*`")).select("line")
+
+
+@query(f"""{catalogue.ORDERED}, p AS (SELECT unnest(['top', 'top', 'top', 'bottom', 'bottom']) AS side, CAST(unnest([0.01, 0.05, 0.1, 0.1, 0.2]) AS DOUBLE) AS p),
+x AS (SELECT side, p, CAST(sum(v) FILTER (CASE WHEN side = 'top' THEN i ELSE a END <= greatest(1, ceil(n * p))) AS DOUBLE) / any_value(t) AS s FROM o, p GROUP BY side, p)
+SELECT '| ' || side || ' ' || CAST(round(100 * p) AS INT) || ' % | ' || CASE side WHEN 'top' THEN format('{{:.2f}}%', 100 * s) ELSE format('{{:.4f}}%', 100 * s) END || ' |' AS line FROM x
+UNION ALL SELECT '| Gini | ' || format('{{:.6f}}', 2.0 * sum(a * v) / (count(*) * sum(v)) - (count(*) + 1.0) / count(*)) || ' |' FROM o""")
+def q_inequality_file(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of shares and of the Gini in the report on inequality."""
+    lines = _report(spark, "inequality", documents.inequality(adapter.items(spark, d), "subscribers", "lang", "Inequality", "all documents"))
+    return lines.where(F.col("line").rlike(r"^\| (top|bottom) [0-9]+ % \||^\| Gini \|")).select("line")
+
+
+@query(f"""{MR}, t AS (SELECT unnest([0, 1, 2, 3]) AS tier, unnest(['under 100', '100 to 1k', '1k to 10k', '10k and more']) AS name)
+SELECT '| ' || any_value(name) || ' | ' || format('{{:,}}', count(ratio)) || ' | ' || coalesce(format('{{:.6f}}', avg(ratio)), 'nan') || ' | ' || coalesce(format('{{:.6f}}', median(ratio)), 'nan') || ' |' AS line FROM t LEFT JOIN ratios USING (tier) GROUP BY tier""")
+def q_ratio_file(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of the tiers' table in the report on ratios."""
+    lines = _report(spark, "ratio", documents.ratio_report(adapter.ratios(adapter.items(spark, d)), "Ratios", "items in scope"))
+    return lines.where(F.col("line").rlike(r"^\| [0-9a-z ]+ \| [0-9,]+ \| ([0-9.]+|nan) \|")).select("line")
+
+
+# Page files
+
+_TITLE = r"regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title"
+
+
+def _page_files(spark: SparkSession, d: str, root: str, half: int | None = None) -> None:
+    pages = load(spark, d, "pages")
+    page_files.write_pages(pages if half is None else pages.where(F.col("page_id") % 2 == half), "page_id", "html", root)
+
+
+@query("SELECT page_id AS row_id, printf('%06d.html', page_id) AS file, md5(html) AS digest FROM pages WHERE html <> ''")
+def q_page_files(spark: SparkSession, d: str) -> DataFrame:
+    """Pages written as a file each and read again."""
+    root = f"{Scratch(spark, 'page-files').root}/html"
+    _page_files(spark, d, root)
+    return readers.required_pages(spark, root).select("row_id", "file", F.md5("html").alias("digest"))
+
+
+@query(f"SELECT page_id, {_TITLE} FROM pages WHERE html <> ''")
+def q_page_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Page files parsed as a stream in two runs of one query, the second reading only those that came since."""
+    root = Scratch(spark, "page-stream").root
+    parse = lambda p: markup.plain_page(p, "row_id", "html").select(F.col("row_id").alias("page_id"), "title")
+    for half in (0, 1):
+        _page_files(spark, d, f"{root}/html", half)
+        page_queue.follow(spark, f"{root}/html", parse, f"{root}/rows", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema("page_id long, title string").parquet(f"{root}/rows")
+
+
+# Figures of a load
+
+
+def _sighted(spark: SparkSession, d: str) -> DataFrame:
+    """List pages of five and of three documents under one tag, so that each is seen twice; every eleventh page has no items."""
+    docs = load(spark, d, "documents").where("doc_id is not null")
+    payload = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("title"), F.col("lang").alias("description")))
+    row = F.concat(F.lit('<img class="fileRating" src="https://x.example/4-star.png?v=1"><a class="workshop_author_link" href="#">by '), F.coalesce("source", F.lit("")),
+                   F.lit("</a><script>" + markup.HOVER + "(1, "), payload, F.lit(")</script>"))
+    seen = docs.select("doc_id", row.alias("row"), F.explode(F.array(F.lit(5), F.lit(3))).alias("size"))
+    seen = seen.select("doc_id", "row", "size", F.floor(F.col("doc_id") / F.col("size")).alias("at")).withColumn("page", F.when(F.col("size") == 5, F.col("at")).otherwise(F.col("at") + 1_000_000_000))
+    page = seen.groupBy("page", "size", "at").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "row"))), lambda z: z["row"]), "").alias("rows"))  # five at most
+    rows = F.when(F.col("page") % 11 == 0, "").otherwise(F.col("rows"))
+    html = F.concat(F.lit('<script>var paramsGET = {"requiredtags":["Trade"]};</script><div class="workshopBrowsePagingInfo">Showing '), (F.col("at") * F.col("size") + 1).cast("string"),
+                    F.lit("-9 of</div><div " + markup.ITEMS_FROM + ">"), rows, F.lit("</div><div " + markup.ITEMS_TO + "></div>"))
+    return page.select("page", html.alias("html"))
+
+
+@query("""WITH s AS (SELECT doc_id, unnest([5, 3]) AS size FROM documents WHERE doc_id IS NOT NULL), p AS (SELECT doc_id, size, doc_id // size AS a, CASE size WHEN 5 THEN doc_id // size ELSE doc_id // size + 1000000000 END AS page FROM s),
+r AS (SELECT doc_id, page, a * size + row_number() OVER (PARTITION BY page ORDER BY doc_id) AS rank FROM p), u AS (SELECT * FROM r WHERE page % 11 <> 0), o AS (SELECT doc_id, rank <> lag(rank) OVER (PARTITION BY doc_id ORDER BY page) AS c FROM u)
+SELECT * FROM (SELECT count(DISTINCT page) AS files, count(DISTINCT page) FILTER (page % 11 = 0) AS skipped FROM p), (SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_keys FROM u), (SELECT count(*) FILTER (c) AS overwrites FROM o), (SELECT CAST(2 AS BIGINT) AS tag_columns)""")
+def q_load_counters(spark: SparkSession, d: str) -> DataFrame:
+    c = load_lists(_sighted(spark, d), "page", "html", "https://catalogue.example/item?id=", "No_selected_tag").counters
+    return spark.createDataFrame([(c["files"], c["skipped"], c["rows"], c["keys"], c["overwrites"], c["tag_columns"])], "files long, skipped long, n_rows long, n_keys long, overwrites long, tag_columns long")
+
+
+# Densities by group
+
+
+@query(f"""{MR}, b AS (SELECT tier, min(ratio) AS lo, max(ratio) AS hi, count(*) AS n, stddev_samp(ratio) * pow(count(*), -0.2) AS h, avg(ratio) AS mean, median(ratio) AS median FROM ratios GROUP BY tier),
+g AS (SELECT *, CAST(i AS INT) AS i, lo + i * ((hi - lo) / 39) AS x FROM b, range(40) t(i)),
+e AS (SELECT tier, i, sum(exp(-0.5 * pow((x - ratio) / h, 2))) AS s FROM g JOIN ratios USING (tier) WHERE n > 1 AND h > 0 GROUP BY tier, i)
+SELECT g.tier, g.i, round(x, 6) AS x, round(s / (n * h * sqrt(2 * pi())), 6) AS density, round(mean, 6) AS mean, round(median, 6) AS median, CASE WHEN s IS NOT NULL THEN true END AS within FROM g LEFT JOIN e ON g.tier = e.tier AND g.i = e.i""")
+def q_tier_violins(spark: SparkSession, d: str) -> DataFrame:
+    """Each tier's density with mean and median; ``within`` tells whether the binned estimate keeps its bound."""
+    r = Scratch(spark, "violins").save(adapter.ratios(adapter.items(spark, d)).select("ratio", "tier"))
+    exact, binned = (stats.violins(r, "ratio", ["tier"], 40, exact=e) for e in (True, False))
+    both = exact.join(binned.select("tier", "i", F.col("density").alias("near"), F.col("bound").alias("most")), ["tier", "i"])
+    both = both.select("tier", "i", "x", "density", (F.abs(F.col("density") - F.col("near")) <= F.col("most")).alias("within"))
+    mean = r.groupBy("tier").agg(F.avg("ratio").alias("mean")).join(stats.quantiles(r, "ratio", (0.5,), ["tier"]).withColumnRenamed("p50", "median"), "tier")
+    return rounded(both.join(mean, "tier"), "x", "density", "mean", "median")
+
+
+# Near copies, neighbours and components
+
+_SIMHASH = r"""t AS (SELECT doc_id, unnest(string_split_regex(lower(coalesce(text, '')), '[^\p{L}]+')) AS term FROM documents WHERE doc_id IS NOT NULL), f AS (SELECT doc_id, CAST('0x' || substr(md5(term), 1, 15) AS BIGINT) AS b, count(*) AS tf FROM t WHERE term <> '' GROUP BY ALL),
+v AS (SELECT doc_id, i, sum(CASE WHEN (b >> i) & 1 = 1 THEN tf ELSE -tf END) AS s FROM f, range(60) r(i) GROUP BY ALL), h AS (SELECT doc_id, CAST(sum(CASE WHEN s > 0 THEN CAST(1 AS BIGINT) << i ELSE 0 END) AS BIGINT) AS hash FROM v GROUP BY doc_id)"""
+
+
+@query(f"WITH {_SIMHASH} SELECT doc_id, hash FROM h")
+def q_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.simhash(load(spark, d, "documents"), "doc_id", "text")
+
+
+@query(f"WITH {_SIMHASH}, c AS (SELECT hash, min(doc_id) AS rep FROM h GROUP BY hash) SELECT x.rep AS a, y.rep AS b, CAST(bit_count(xor(x.hash, y.hash)) AS INT) AS distance FROM c x JOIN c y ON x.rep < y.rep AND bit_count(xor(x.hash, y.hash)) <= 3")
+def q_near_hashes(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose hashes differ in at most three bits, one of each hash."""
+    hashes = Scratch(spark, "hashes").save(corpus.simhash(load(spark, d, "documents"), "doc_id", "text"))
+    return corpus.near_hashes(hashes, "doc_id")[0]
+
+
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL), s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_cosine_similarity(q.e, c.e), 9) AS cosine FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) AS INT) AS rank, vec_id, round(cosine, 6) AS cosine FROM s QUALIFY rank <= 5""")
+def q_cosine_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The five nearest of every twentieth vector, from all of them."""
+    e = load(spark, d, "embeddings")
+    return rounded(corpus.exact_neighbours(e, e.where("vec_id % 20 = 0"), "vec_id", "embedding"), "cosine")
+
+
+@query()
+def q_cosine_index(spark: SparkSession, d: str) -> DataFrame:
+    """The same by the index; a test measures how many of them it finds."""
+    e = load(spark, d, "embeddings")
+    return rounded(corpus.CosineIndex(e, "vec_id", "embedding").search(e.where("vec_id % 20 = 0")), "cosine")
+
+
+@query()
+def q_term_components(spark: SparkSession, d: str) -> DataFrame:
+    """Coordinates of each text on the four largest components of its term weights; a test compares them with a plain decomposition."""
+    _, x = corpus.truncated_svd(load(spark, d, "documents"), "doc_id", "text", 4)
+    return x.select("doc_id", *[F.round(F.col("x")[i], 6).alias(f"x{i + 1}") for i in range(4)])

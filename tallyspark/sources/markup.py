@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import author_name, collapse, loose_int, strict_int, tag_display, unescape
+from ..functions.text import author_name, collapse, loose_int, strict_int, tag_display, unescape, unescape_all
 from ..operators.derive import canonical_tag, star_name
 
 #: Fixed values of the page format: marks of sections, payloads and fields.
@@ -39,21 +40,20 @@ def items_section(page: Column) -> Column:
     return F.when(at == 0, "").when(end == 0, rest).otherwise(F.substr(rest, F.lit(1), end - 1))
 
 
+_DECODER = json.JSONDecoder()
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}]', re.S)
+
+
 def braced(text: str, at: int) -> str | None:
     """The balanced {...} that opens at ``at``; braces inside JSON strings don't count."""
-    depth, quoted, skip = 0, False, False
-    for i in range(at, len(text)):
-        c = text[i]
-        if quoted:
-            skip, quoted = c == "\\" and not skip, c != '"' or skip
-        elif c == '"':
-            quoted = True
-        elif c == "{":
-            depth += 1
-        elif c == "}":
-            depth -= 1
-            if depth == 0:
-                return text[at : i + 1]
+    try:
+        return text[at : _DECODER.raw_decode(text, at)[1]]
+    except ValueError:
+        depth = 0
+    for t in _TOKEN.finditer(text, at):
+        depth += (t[0] == "{") - (t[0] == "}")
+        if not depth and t[0] == "}":
+            return text[at : t.end()]
     return None
 
 
@@ -91,8 +91,8 @@ def page_tag(page: Column) -> Column:
     return F.when(given != "", given).when(none, NO_TAG).otherwise(F.nullif(F.trim(unescape(F.regexp_extract(page, TAG_LABEL, 1))), F.lit("")))
 
 
-def list_rows(pages: DataFrame, page_id: str, html: str, detail_base: str) -> DataFrame:
-    """(page_id, tag, rank, item_id, title, description, star_rating, author, detail_url) of list pages.
+def list_entries(pages: DataFrame, page_id: str, html: str, detail_base: str) -> DataFrame:
+    """(page_id, tag, entries) of list pages, entries being structs of rank, item_id, title, description, star_rating, author, detail_url.
 
     Payloads, ratings and authors are paired by position up to the shortest; ranks count from the page's
     first number, and entries whose id isn't digits are dropped after numbering.
@@ -100,12 +100,18 @@ def list_rows(pages: DataFrame, page_id: str, html: str, detail_base: str) -> Da
     section = items_section(F.col(html))
     p = pages.select(
         page_id, page_tag(F.col(html)).alias("tag"), F.coalesce(F.nullif(loose_int(F.regexp_extract(html, SHOWING, 1)), F.lit(0)), F.lit(1)).alias("_from"),
-        hover_payloads(F.col(html)).alias("_p"), F.regexp_extract_all(section, F.lit(RATING)).alias("_r"), F.regexp_extract_all(section, F.lit(AUTHOR)).alias("_a"))
+        hover_payloads(F.col(html)).alias("_p"), F.regexp_extract_all(section, F.lit(RATING)).alias("_r"), unescape_all(F.regexp_extract_all(section, F.lit(AUTHOR))).alias("_a"))
     n = F.least(F.size("_p"), F.size("_r"), F.size("_a"))
-    rows = p.select(page_id, "tag", "_from", F.posexplode(F.slice(F.arrays_zip("_p", "_r", "_a"), F.lit(1), n)).alias("_i", "_z")).where(F.col("_z._p.id").rlike("^[0-9]+$"))
-    return rows.select(page_id, "tag", (F.col("_from") + F.col("_i")).alias("rank"), F.col("_z._p.id").alias("item_id"), F.col("_z._p.title").alias("title"),
-                       F.col("_z._p.description").alias("description"), star_name(F.col("_z._r")).alias("star_rating"), author_name(unescape(F.col("_z._a"))).alias("author"),
-                       F.concat(F.lit(detail_base), F.col("_z._p.id")).alias("detail_url"))
+    entry = lambda z, i: F.struct(
+        (F.col("_from") + i).alias("rank"), z["_p"]["id"].alias("item_id"), z["_p"]["title"].alias("title"), z["_p"]["description"].alias("description"), star_name(z["_r"]).alias("star_rating"),
+        author_name(z["_a"]).alias("author"), F.concat(F.lit(detail_base), z["_p"]["id"]).alias("detail_url"))
+    entries = F.transform(F.slice(F.arrays_zip("_p", "_r", "_a"), F.lit(1), n), entry)
+    return p.select(page_id, "tag", F.filter(entries, lambda e: e["item_id"].rlike("^[0-9]+$")).alias("entries"))
+
+
+def list_rows(pages: DataFrame, page_id: str, html: str, detail_base: str) -> DataFrame:
+    """(page_id, tag, rank, item_id, title, description, star_rating, author, detail_url): the entries of list pages as rows."""
+    return list_entries(pages, page_id, html, detail_base).select(page_id, "tag", F.inline("entries"))
 
 
 def labelled_int(page: Column, label: str) -> Column:

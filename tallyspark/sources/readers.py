@@ -8,15 +8,27 @@ from pyspark.sql import functions as F
 HUB = "APPID int, tags array<struct<name:string,count:int>>, tag_count int, workshop_item_count int, source_url string"
 
 
+#: Given to ``text`` itself, whose defaults would outweigh options of the reader.
+_PAGES = {"wholetext": True, "recursiveFileLookup": True, "pathGlobFilter": "*.html"}
+
+
+def _page_rows(df: DataFrame) -> DataFrame:
+    name = F.col("_metadata.file_name")
+    return df.select(F.regexp_extract(name, r"(\d+)\.html$", 1).try_cast("long").alias("row_id"), name.alias("file"), F.col("value").alias("html"),
+                     F.col("_metadata.file_modification_time").alias("modified"))
+
+
 def pages(spark: SparkSession, root: str) -> DataFrame:
     """(row_id, file, html, modified) of all HTML files below root; row_id from the file's digits, null if it has none.
 
     Malformed UTF-8 is replaced. Order is a sort key, (row_id nulls last, file), not a property of the table.
     """
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.html").text(root)
-    name = F.col("_metadata.file_name")
-    return df.select(F.regexp_extract(name, r"(\d+)\.html$", 1).try_cast("long").alias("row_id"), name.alias("file"), F.col("value").alias("html"),
-                     F.col("_metadata.file_modification_time").alias("modified"))
+    return _page_rows(spark.read.text(root, **_PAGES))
+
+
+def page_stream(spark: SparkSession, root: str, files_a_batch: int = 10_000) -> DataFrame:
+    """``pages`` as a stream: a query with a checkpoint reads each file once, in the run that first sees it."""
+    return _page_rows(spark.readStream.option("maxFilesPerTrigger", files_a_batch).schema("value string").text(root, **_PAGES))
 
 
 def hub_snapshot(spark: SparkSession, path: str) -> DataFrame:
@@ -26,7 +38,7 @@ def hub_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _strings(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.coalesce(F.from_json("value", "array<string>"), F.from_json("value", "ids array<string>")["ids"]).alias("s"))
 
 
@@ -46,7 +58,7 @@ def id_list(spark: SparkSession, path: str, base: str) -> DataFrame:
 def series(spark: SparkSession, path: str) -> DataFrame:
     """(value) of a number series: .json (array, or {"prestiges": [...]}), .txt by line, .csv the first number of each row."""
     if path.endswith(".json"):
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
         return text.select(F.explode(F.coalesce(F.from_json("value", "array<double>"), F.from_json("value", "prestiges array<double>")["prestiges"])).alias("value"))
     lines = spark.read.text(path)
     cells = F.split("value", ",") if path.endswith(".csv") else F.array("value")
