@@ -81,10 +81,11 @@ def id_folder(number: Column, width: int = 0) -> Column:
     return F.substring(F.lpad(s, width, "0") if width else s, 1, 2)
 
 
-def script_mix(s: Column) -> Column:
-    """en, zh, mixed or unknown by the letters a text uses."""
-    han, latin = s.rlike("[一-鿿]"), s.rlike("[A-Za-z]")
-    return F.when(han & latin, "mixed").when(han, "zh").when(latin, "en").otherwise("unknown")
+def script_mix(s: Column, most: float = 0.9) -> Column:
+    """en or zh if the Latin or the Han letters are at least ``most`` of both, mixed if neither, unknown without any."""
+    han, latin = F.regexp_count(s, F.lit("[一-鿿]")), F.regexp_count(s, F.lit("[A-Za-z]"))
+    both = han + latin
+    return F.when(F.coalesce(both, F.lit(0)) == 0, "unknown").when(han >= most * both, "zh").when(latin >= most * both, "en").otherwise("mixed")
 
 
 #: A line of a text that says nothing of the item itself.

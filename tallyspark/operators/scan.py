@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import Scratch
 
-BUCKETS = 64
+#: Rows that one range bucket is meant to hold, and the most buckets made.
+BUCKET_ROWS, MOST_BUCKETS = 250_000, 512
+#: Ranges of ``row_numbers``, if the session has fewer shuffle partitions.
+RANGES = 64
 
 
 def value_runs(df: DataFrame, value: str, group_cols: list[str] | None = None) -> DataFrame:
@@ -16,8 +19,11 @@ def value_runs(df: DataFrame, value: str, group_cols: list[str] | None = None) -
     return df.where(F.col(value).isNotNull()).groupBy(*g, F.col(value).alias("v")).agg(F.count("*").alias("c"))
 
 
-def bucket_of(df: DataFrame, value: str, buckets: int = BUCKETS) -> Column:
-    """Range bucket of a numeric column by approximate quantiles; at most ``buckets`` bounds reach the driver."""
+def bucket_of(df: DataFrame, value: str, rows: int) -> Column:
+    """Range bucket of a numeric column of so many rows by approximate quantiles; at most ``MOST_BUCKETS`` bounds reach the driver."""
+    buckets = min(MOST_BUCKETS, -(-rows // BUCKET_ROWS))
+    if buckets < 2:
+        return F.lit(0)
     bounds = sorted(set(df.stat.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
 
     def among(lo: int, hi: int) -> Column:  # binary search
@@ -33,11 +39,12 @@ def running_totals(df: DataFrame, value: str, sums: dict[str, Column], group_col
     """Adds, for each name in ``sums``, the total over rows ordered before (name_before) and in all (name_all).
 
     Rows are dealt into range buckets of ``value``; totals run inside each bucket and over the small table
-    of bucket totals, so neither a global order nor one large group is sorted in one task. Values must
-    be distinct within a group.
+    of bucket totals, so neither a global order nor one large group is sorted in one task; how many buckets
+    follows from the number of rows. Values must be distinct within a group. The rows are saved first, as they are looked at three times.
     """
     g = group_cols or []
-    own = df.withColumn("_bucket", bucket_of(df, value)).withColumns({f"_{k}": c for k, c in sums.items()})
+    df = Scratch(df.sparkSession, "totals").save(df)
+    own = df.withColumn("_bucket", bucket_of(df, value, df.count())).withColumns({f"_{k}": c for k, c in sums.items()})
     order = lambda c: F.desc(c) if descending else F.asc(c)
     upto = (Window.unboundedPreceding, -1)
     per = own.groupBy(*g, "_bucket").agg(*[F.sum(f"_{k}").alias(f"_t_{k}") for k in sums])
@@ -65,7 +72,7 @@ def row_numbers(df: DataFrame, order: list[Column], name: str = "row") -> DataFr
 
     The ranges are saved before they are counted, so that a second look finds the same ones.
     """
-    parts = Scratch(df.sparkSession, "ranges").save(df.repartitionByRange(BUCKETS, *order).withColumn("_part", F.spark_partition_id()))
+    parts = Scratch(df.sparkSession, "ranges").save(df.repartitionByRange(max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *order).withColumn("_part", F.spark_partition_id()))
     upto = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     counts = parts.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))

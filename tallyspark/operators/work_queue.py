@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scan import row_numbers
+from .stats import quantiles
 
 
 def start(urls: DataFrame, id_col: str, url: str) -> DataFrame:
@@ -68,8 +69,9 @@ def runs(df: DataFrame, key: str, order: str, bad: Column) -> DataFrame:
 def grades(df: DataFrame, key: str, order: str, ok: Column, transport: Column, limited: Column, latency: Column) -> DataFrame:
     """(key, attempts, ok_rate, transport_rate, limited_rate, p95, longest, grade): health A, B, C or F by rates, latency and runs of failures."""
     r = runs(df, key, order, transport)
+    slow = quantiles(df.where(ok).select(key, latency.alias("_latency")), "_latency", (0.95,), [key])  # no task holds a key's latencies
     g = df.groupBy(key).agg(F.count("*").alias("attempts"), F.avg(ok.cast("double")).alias("ok_rate"), F.avg(transport.cast("double")).alias("transport_rate"),
-                            F.avg(limited.cast("double")).alias("limited_rate"), F.percentile(F.when(ok, latency), F.lit(0.95)).alias("p95")).join(r, key)
+                            F.avg(limited.cast("double")).alias("limited_rate")).join(slow, key, "left").join(r, key)
     c = F.col
     first = (F.when(c("ok_rate") == 0, "F")
              .when((c("ok_rate") >= 0.8) & (c("transport_rate") <= 0.2) & (c("limited_rate") <= 0.2), F.when(F.coalesce(c("p95") <= 30, F.lit(True)), "A").otherwise("B"))
@@ -78,14 +80,14 @@ def grades(df: DataFrame, key: str, order: str, ok: Column, transport: Column, l
     return g.select(key, "attempts", "ok_rate", "transport_rate", "limited_rate", "p95", "longest", final.alias("grade"))
 
 
-def breaker(df: DataFrame, key: str, order: str, failed: Column, degrade: int = 2, quarantine: int = 5) -> DataFrame:
-    """(key, order, failures, state) after each row: failures since the last success, and what they make of the key."""
+def breaker(df: DataFrame, key: str, order: str, failed: Column, degrade: int = 2, quarantine: int = 5, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, order, carry..., failures, state) after each row: failures since the last success, and what they make of the key."""
     w = Window.partitionBy(key).orderBy(order)
-    x = df.select(key, order, F.coalesce(failed, F.lit(False)).alias("_f"))
+    x = df.select(key, order, *carry, F.coalesce(failed, F.lit(False)).alias("_f"))
     x = x.withColumn("_since", F.sum((~F.col("_f")).cast("int")).over(w))
     n = F.sum(F.col("_f").cast("long")).over(Window.partitionBy(key, "_since").orderBy(order))
     state = F.when(n >= quarantine, "quarantined").when(n >= degrade, "degraded").otherwise("healthy")
-    return x.select(key, order, n.alias("failures"), state.alias("state"))
+    return x.select(key, order, *carry, n.alias("failures"), state.alias("state"))
 
 
 def standing(df: DataFrame, key: str, order: str, at: str, failed: Column, now: Column, quarantine_s: float = 900.0) -> DataFrame:
@@ -93,7 +95,7 @@ def standing(df: DataFrame, key: str, order: str, at: str, failed: Column, now:
 
     A quarantine lasts ``quarantine_s`` seconds from the failure that set or renewed it.
     """
-    each = breaker(df.withColumn("_f", failed), key, order, F.col("_f")).join(df.select(key, order, at), [key, order])
+    each = breaker(df, key, order, failed, carry=(at,))
     last = each.groupBy(key).agg(F.max_by(F.struct("failures", "state", at), F.col(order)).alias("z")).select(key, "z.*")
     over = F.col(at).cast("timestamp").cast("double") + quarantine_s <= now.cast("double")
     return last.select(key, "failures", F.when((F.col("state") == "quarantined") & over, "degraded").otherwise(F.col("state")).alias("state"))

@@ -573,9 +573,17 @@ def q_doc_dedup(spark, d):
     return c.groupBy("content_hash").agg(F.min("doc_id").alias("kept"), F.count("*").alias("copies")).where("copies > 1")
 
 
-@query("SELECT doc_id, 'en' AS script FROM documents WHERE regexp_matches(text, '[A-Za-z]') UNION ALL SELECT doc_id, 'unknown' FROM documents WHERE NOT regexp_matches(text, '[A-Za-z]')")
+#: Han letters in place of a to z, and of e alone, so that every kind of text occurs.
+_HAN = "".join(chr(0x4E00 + i) for i in range(26))
+
+
+@query(f"""WITH t AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN translate(text, 'abcdefghijklmnopqrstuvwxyz', '{_HAN}') ELSE translate(text, 'e', '{_HAN[0]}') END AS t FROM documents),
+c AS (SELECT doc_id, length(regexp_replace(t, '[^一-鿿]', '', 'g')) AS h, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS l FROM t)
+SELECT doc_id, CASE WHEN coalesce(h + l, 0) = 0 THEN 'unknown' WHEN h >= 0.9 * (h + l) THEN 'zh' WHEN l >= 0.9 * (h + l) THEN 'en' ELSE 'mixed' END AS script FROM c""")
 def q_script_mix(spark, d):
-    return load(spark, d, "documents").select("doc_id", derive.script_mix(F.col("text")).alias("script"))
+    docs, n = load(spark, d, "documents"), F.col("doc_id") % 3
+    t = F.when(n == 0, F.col("text")).when(n == 1, F.translate("text", "abcdefghijklmnopqrstuvwxyz", _HAN)).otherwise(F.translate("text", "e", _HAN[0]))
+    return docs.select("doc_id", derive.script_mix(t).alias("script"))
 
 
 @query("""WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings), c AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS m FROM u GROUP BY 1, 2),
@@ -639,7 +647,14 @@ def q_statistic_table(spark, d):
     return rounded(report.statistic_table(m, adapter.flags(m), adapter.ratios(m)), "value")
 
 
-@query()
+_NUMBER = r"""CASE WHEN isnan(v) THEN 'NaN' WHEN isinf(v) THEN CASE WHEN v > 0 THEN 'Inf' ELSE '-Inf' END WHEN abs(v) >= 1000 THEN format('{:,.2f}', v)
+WHEN abs(v) >= 1 THEN regexp_replace(format('{:,.4f}', v), '\.?0+$', '') ELSE regexp_replace(format('{:,.6f}', v), '\.?0+$', '') END"""
+_SHARE = "(starts_with(metric, 'share') OR ends_with(metric, 'share'))"
+
+
+@query(f"""SELECT ord, block, key, metric, CASE WHEN v IS NULL THEN NULL WHEN {_SHARE} THEN format('{{:.2f}}%', 100 * v) ELSE {_NUMBER} END AS value,
+CASE WHEN v IS NOT NULL AND {_SHARE} THEN repeat('█', k) || repeat('░', 20 - k) END AS bar
+FROM (SELECT *, CAST(value AS DOUBLE) AS v, CAST(round_even(least(1, greatest(0, CAST(value AS DOUBLE))) * 20, 0) AS INT) AS k FROM ({_statistic_sql()}))""")
 def q_statistic_text(spark, d):
     m = adapter.items(spark, d)
     return report.as_text(report.statistic_table(m, adapter.flags(m), adapter.ratios(m)))

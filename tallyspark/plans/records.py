@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import corpus, derive, relations, stats, work_queue
+from ..operators import corpus, derive, rank_columns, relations, stats, work_queue
 from ..operators.scan import row_numbers
-from ..sources import markup, readers
+from ..sources import markup, onefile, readers
 from ..sources.staging import Scratch
 from . import adapter, catalogue, report
 from .adapter import load
@@ -254,10 +256,13 @@ def q_id_files(spark, d):
 
 @query("SELECT n_name AS author, r_name AS mod_titles FROM nation JOIN region ON n_regionkey = r_regionkey")
 def q_record_files(spark, d):
-    path = f"{Scratch(spark, 'records').root}/records"
+    """Records of an author and titles in one JSON array, written and read again."""
+    path = f"{Scratch(spark, 'records').root}/records.json"
+    os.makedirs(os.path.dirname(path.removeprefix("file://")))
     n = load(spark, d, "nation").join(load(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    n.select(F.col("n_name").alias("author"), F.array("r_name").alias("mod_titles")).write.json(path)
-    return spark.read.schema("author string, mod_titles array<string>").json(path).select("author", F.array_join("mod_titles", "|").alias("mod_titles"))
+    n = n.select("n_nationkey", F.struct(F.col("n_name").alias("author"), F.array("r_name").alias("mod_titles")).alias("r"))
+    onefile.write_json_list(n, "r", path, ["n_nationkey"])
+    return readers.author_items(spark, path).select("author", F.array_join("mod_titles", "|").alias("mod_titles"))
 
 
 @query("SELECT CAST(77 AS INT) AS APPID, CAST(count(*) AS INT) AS workshop_item_count, CAST(count(DISTINCT p_brand) AS INT) AS tag_count FROM part")
@@ -284,10 +289,29 @@ def q_csv_files(spark, d):
     return spark.read.option("header", True).schema("c_custkey long, c_name string, c_nationkey int").csv(path)
 
 
-@query("SELECT 'no_such' AS \"table\", NULL AS \"column\" UNION ALL SELECT 'catalogue_nation', 'colour'")
+@query("SELECT replace(p_brand, '#', '_') AS column FROM part GROUP BY p_brand HAVING count(*) FILTER (p_size < 3) = 0")
 def q_missing_columns(spark, d):
-    load(spark, d, "nation").createOrReplaceTempView("catalogue_nation")
-    return relations.missing_columns(spark, {"no_such": ["a"], "catalogue_nation": ["n_name", "colour"]})
+    """Rank columns that all parts would need and a table made of the smallest parts lacks."""
+    p = load(spark, d, "part")
+    p.where("p_size < 3").groupBy("p_partkey").pivot("p_brand").agg(F.first("p_size")).transform(lambda t: t.toDF(*[c.replace("#", "_") for c in t.columns])).createOrReplaceTempView("catalogue_ranks")
+    needed = [r["name"] for r in rank_columns.column_order(p, "p_brand", ["p_partkey"]).collect()]  # one a brand
+    return relations.missing_columns(spark, {"catalogue_ranks": needed}).select("column")
+
+
+@query("SELECT c_acctbal AS value FROM customer WHERE c_custkey % 3 <> 0")
+def q_column_values(spark, d):
+    """A column of a table, without its nulls."""
+    c = F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal")).alias("value")
+    load(spark, d, "customer").select(c).createOrReplaceTempView("catalogue_balances")
+    return readers.column_values(spark, "catalogue_balances", "value")
+
+
+@query("""SELECT user_id, event_type AS described_in, rank FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rank FROM events)
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank, event_id) = 1""")
+def q_best_description(spark, d):
+    """Where each user stands best, which is what its description is taken from."""
+    s = catalogue._seen(spark, d)
+    return relations.first_wins(s, ["user_id"], ["rank", "event_id"], ["event_type", "rank"]).select("user_id", F.col("event_type").alias("described_in"), "rank")
 
 
 @query("SELECT n_nationkey, n_name FROM nation")

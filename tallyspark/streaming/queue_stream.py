@@ -17,6 +17,16 @@ def _keep(state: DataFrame, root: str, version: int) -> None:
     rows.repartition("bucket").write.partitionBy("bucket", "version").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
 
 
+def _forget(spark: SparkSession, root: str, buckets: list[int], kept: int = 2) -> None:
+    """Deletes all but the newest versions of some buckets: the last one, and the one that a batch run again starts from."""
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = of(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for b in buckets:
+        versions = sorted((f.getPath() for f in fs.listStatus(of(f"{root}/bucket={b}")) if f.getPath().getName().startswith("version=")), key=lambda p: int(p.getName().split("=")[1]))
+        for old in versions[:-kept]:
+            fs.delete(old, True)
+
+
 def begin(state: DataFrame, root: str) -> None:
     """Lays down the queue's start, version -1 of every bucket."""
     _keep(state, root, -1)
@@ -34,7 +44,7 @@ def follow(results: DataFrame, state_root: str, checkpoint: str, gap_phase: bool
 
     The state lies in buckets by a hash of id, each in versions numbered by batch: a batch reads and writes
     the buckets its ids fall into and no others, and a batch that is run again after a failure reads
-    the versions before it and writes its own anew.
+    the versions before it and writes its own anew. Of each bucket two versions stay, so batches cost the same however many went before.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
@@ -42,6 +52,7 @@ def follow(results: DataFrame, state_root: str, checkpoint: str, gap_phase: bool
         touched = latest.select(F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int").alias("bucket")).distinct()
         before = current(batch.sparkSession, state_root, number).join(F.broadcast(touched), "bucket", "left_semi")
         _keep(work_queue.step(before, latest, gap_phase), state_root, number)
+        _forget(batch.sparkSession, state_root, [r["bucket"] for r in touched.collect()])  # BUCKETS at most
 
     return results.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

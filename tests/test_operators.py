@@ -93,6 +93,11 @@ def test_stream_follows_batches(spark, tmp_path):
     spark.createDataFrame([(2, False, 404, 3)], "id long, ok boolean, status_code int, seq long").write.mode("append").parquet(f"{tmp_path}/results")
     queue_stream.follow(results, f"{tmp_path}/state", f"{tmp_path}/cp").awaitTermination()
     assert now() == {0: "success", 1: "success", 2: "invalid", 3: "pending"}
+    for seq, code in ((4, 500), (5, 404), (6, 500)):
+        spark.createDataFrame([(0, False, code, seq)], "id long, ok boolean, status_code int, seq long").write.mode("append").parquet(f"{tmp_path}/results")
+        queue_stream.follow(results, f"{tmp_path}/state", f"{tmp_path}/cp").awaitTermination()
+    assert now() == {0: "fail", 1: "success", 2: "invalid", 3: "pending"}
+    assert max(len(list(b.glob("version=*"))) for b in (tmp_path / "state").glob("bucket=*")) == 2
 
 
 def test_readers_and_sinks(spark, tmp_path):

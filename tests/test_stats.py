@@ -62,3 +62,13 @@ def test_groups_are_independent(spark):
     df = spark.createDataFrame([("x", 1), ("x", 5), ("y", 3), (None, 2), (None, 4)], "g string, v long")
     got = {r["g"]: r["gini"] for r in stats.gini(df, "v", ["g"]).collect()}
     assert {k: round(v, 9) for k, v in got.items()} == {"x": round(plain_gini([1, 5]), 9), "y": 0.0, None: round(plain_gini([2, 4]), 9)}
+
+
+def test_running_totals_in_many_buckets_equal_those_in_one(spark, monkeypatch):
+    from tallyspark.operators import scan
+
+    df = spark.range(500).select((F.col("id") * 7 % 501).alias("v"), (F.col("id") % 3).alias("g"))
+    got = lambda: {tuple(r) for r in scan.running_totals(df, "v", {"c": F.lit(1), "t": F.col("v")}, ["g"]).collect()}
+    one = got()
+    monkeypatch.setattr(scan, "BUCKET_ROWS", 20)
+    assert got() == one and len(one) == 500
