@@ -31,7 +31,7 @@ class PrefixCounter:
     falls into parts that don't act on each other; each part is worked out once and held while there is room.
     """
 
-    def __init__(self, model_file: str, held: int = 1 << 19, longest_held: int = 64):
+    def __init__(self, model_file: str, held: int = 400_000, longest_held: int = 64):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -53,13 +53,13 @@ class PrefixCounter:
             for c in reversed(p):
                 node = node.setdefault(c, {})
             node[""] = p
-        ranks = Counter(self.rank.values())
-        #: The ends of a piece as it grows, with the rank at which each is merged on; none if a merge doesn't come after those before it.
-        self.left, self.right = ({p: self._growth(p, side, ranks) for p in self.halves} for side in (0, 1))
+        self.ranks = Counter(self.rank.values())
+        self.grown: dict[tuple[str, int], list | None] = {}
         self.apart: dict[tuple[str, str], bool] = {}
         self.held, self.longest_held = held, longest_held
         self.parts: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # parts held when there was no more room; those used since are in both
+        self.shared: dict[bytes, bytes] = {}  # many parts have the same steps
         several = [p for p in self.rank if len(p) > 1]
         pairs = {a + b for p in several for a, b in zip(p, p[1:], strict=False)}
         inside = {c for p in several for c in p}
@@ -67,8 +67,8 @@ class PrefixCounter:
         signs = "".join(re.escape(c) for c in map(chr, range(128)) if c in inside and not c.isalnum())
         sign = lambda c: c in inside and ord(c) < 128 and not c.isalnum()
         mixed = any(sign(a) != sign(b) for a, b in pairs if SPACE not in (a, b))
-        words = f"[^ {SPACE}{alone}]+" if mixed else f"(?:[{signs}]+|[^ {SPACE}{alone}{signs}]+)"
-        self.part = re.compile(r"(?s).+" if any(b == SPACE != a for a, b in pairs) else f"[{alone}]|[ {SPACE}]+{words}|[ {SPACE}]+|{words}")
+        words = f"[^ {alone}]+" if mixed else f"(?:[{signs}]+|[^ {alone}{signs}]+)"
+        self.part = re.compile(r"(?s).+" if any(b == SPACE != a for a, b in pairs) else f"[{alone}]| +{words}| +|{words}")
 
     def _merged(self, s: str) -> tuple[list[str], tuple[str, str] | None]:
         """What the model makes of a few characters, and its last merge: the best neighbours merge first, the left ones of equals."""
@@ -81,15 +81,19 @@ class PrefixCounter:
             last = parts[i], parts[i + 1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def _growth(self, p: str, side: int, ranks: Counter) -> list[tuple[str, float, float]] | None:
-        """[(end of the piece, rank of the merge that makes it, of the one that takes it up)], the whole first, which nothing takes up."""
-        out, until = [], np.inf
-        while (halves := self.halves[p]) is not None:
-            if self.rank[p] >= until or ranks[self.rank[p]] > 1:
-                return None
-            out.append((p, self.rank[p], until))
-            until, p = self.rank[p], halves[side]
-        return [*out, (p, -1.0, until)]
+    def _growth(self, p: str, side: int) -> list[tuple[str, float, float]] | None:
+        """The left (side 0) or right ends of a piece as it grows, the whole first, which nothing takes up: [(end, rank of the merge that makes it,
+        of the one that takes it up)]; none if a merge doesn't come after those before it."""
+        if (p, side) not in self.grown:
+            out, until, x = [], np.inf, p
+            while out is not None and (halves := self.halves[x]) is not None:
+                if self.rank[x] >= until or self.ranks[self.rank[x]] > 1:
+                    out = None
+                else:
+                    out.append((x, self.rank[x], until))
+                    until, x = self.rank[x], halves[side]
+            self.grown[p, side] = None if out is None else [*out, (x, -1.0, until)]
+        return self.grown[p, side]
 
     def _stay_apart(self, a: str, b: str) -> bool:
         """Whether the model makes a and b of the two together.
@@ -101,7 +105,7 @@ class PrefixCounter:
         if known is None:
             if len(self.apart) >= 4 * self.held:
                 self.apart.clear()
-            x, y = self.right.get(a), self.left.get(b)
+            x, y = self._growth(a, 1), self._growth(b, 0)
             if x is None or y is None:
                 known = self._merged(a + b)[0] == [a, b]
             else:
@@ -115,7 +119,7 @@ class PrefixCounter:
         """The steps of each of some sorted parts, going on from where it leaves the one before it."""
         last, count, steps, done = [""], [0], bytearray(), ""  # "": nothing that could merge
         apart, ends, rank = self.apart, self.ends, self.rank
-        for s in parts:
+        for s in (p.replace(" ", SPACE) for p in parts):
             n, most = 0, min(len(s), len(done))
             while n < most and s[n] == done[n]:
                 n += 1
@@ -144,7 +148,8 @@ class PrefixCounter:
                 else:
                     raise ValueError(f"no encoding ends at character {i + 1} of {s[: i + 1][-40:]!r}")
             done = s
-            yield bytes(steps)
+            x = bytes(steps)
+            yield self.shared.setdefault(x, x) if len(x) < 16 and len(self.shared) < self.held else x
 
     def _learn(self, wanted: set[str]) -> dict[str, bytes]:
         """The steps of all parts in ``wanted``; those of moderate length are held for other texts."""
@@ -159,7 +164,7 @@ class PrefixCounter:
 
     def steps(self, texts: list[str]) -> list[bytes]:
         """For each text one signed byte a character: the count at a prefix is the sum of its bytes."""
-        split = [self.part.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        split = [self.part.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]  # both are the same to the model
         of = self._learn(set(chain.from_iterable(split)))
         joined = (b"".join(map(of.__getitem__, x)) for x in split)
         # The space put before a text goes with its first character.
