@@ -12,7 +12,7 @@ from ..operators import corpus, rank_columns, stats
 from ..operators.scan import rank_desc, row_numbers
 from ..sources import markup, onefile, page_files, readers, tables
 from ..sources.staging import Scratch
-from ..streaming import breaker_stream, page_queue
+from ..streaming import breaker_stream, page_queue, queue_stream
 from . import adapter, catalogue, documents
 from .adapter import load
 from .catalogue import MF, MR, query, rounded
@@ -45,6 +45,18 @@ def q_breaker_stream(spark: SparkSession, d: str) -> DataFrame:
     return breaker_stream.latest(spark.read.schema(breaker_stream.LOG).parquet(f"{root}/log"))
 
 
+@query(catalogue.ORACLES["queue_step"])
+def q_queue_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The queue after results that came as a stream in two runs of one query."""
+    root, results = Scratch(spark, "queue").root, catalogue._results(spark, d).withColumn("seq", F.col("id"))
+    queue_stream.begin(catalogue._state(spark, d), f"{root}/state")
+    for half in (0, 1):
+        results.where(F.col("id") % 2 == half).write.mode("append").parquet(f"{root}/results")
+        stream = spark.readStream.schema("id long, ok boolean, status_code int, seq long").parquet(f"{root}/results")
+        queue_stream.follow(stream, f"{root}/state", f"{root}/checkpoint", gap_phase=True).awaitTermination()
+    return queue_stream.current(spark, f"{root}/state").drop("bucket")
+
+
 # Rank columns from the data
 
 

@@ -21,7 +21,7 @@ def _forget(spark: SparkSession, root: str, buckets: list[int], kept: int = 2) -
     """Deletes all but the newest versions of some buckets: the last one, and the one that a batch run again starts from."""
     of = spark._jvm.org.apache.hadoop.fs.Path
     fs = of(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for b in buckets:
+    for b in (b for b in buckets if fs.exists(of(f"{root}/bucket={b}"))):  # results of unknown ids can fall into an empty one
         versions = sorted((f.getPath() for f in fs.listStatus(of(f"{root}/bucket={b}")) if f.getPath().getName().startswith("version=")), key=lambda p: int(p.getName().split("=")[1]))
         for old in versions[:-kept]:
             fs.delete(old, True)

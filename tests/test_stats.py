@@ -72,3 +72,23 @@ def test_running_totals_in_many_buckets_equal_those_in_one(spark, monkeypatch):
     one = got()
     monkeypatch.setattr(scan, "BUCKET_ROWS", 20)
     assert got() == one and len(one) == 500
+
+
+def test_sources_are_read_twice_at_most(spark):
+    """Once for plain aggregates and once for the runs that order statistics come from."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.range(200).select((F.col("id") % 90).alias("v"), (F.col("id") % 3).alias("g")).mapInArrow(counted, "v long, g long")
+    for f in (stats.overview, stats.percentiles, stats.descriptive, stats.gini):
+        for groups in (None, ["g"]):
+            before = read.value
+            f(df, "v", group_cols=groups).collect()
+            assert read.value - before <= 400, (f.__name__, groups)
+    before = read.value
+    stats.quantile_ratios(df, "v").collect()
+    assert read.value - before <= 400
