@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import corpus, rank_columns, stats
 from ..operators.scan import rank_desc, row_numbers
 from ..sources import markup, onefile, page_files, readers, tables
-from ..sources.staging import Scratch
+from ..sources.staging import Scratch, mounted
 from ..streaming import breaker_stream, page_queue, queue_stream
 from . import adapter, catalogue, documents
 from .adapter import load
@@ -141,7 +141,7 @@ def q_ranking_file(spark: SparkSession, d: str) -> DataFrame:
     """The ranking as one CSV file with byte order mark, ordered, its texts with quotes and line ends; read back in its order."""
     path = f"{Scratch(spark, 'ranking').root}/ranking.csv"
     m = rank_desc(load(spark, d, "documents").select(F.col("doc_id").alias("mod_id"), F.col("text").alias("mod_name"), F.col("n_chars").alias("subscribers")), "subscribers", "rank_all")
-    os.makedirs(os.path.dirname(path.removeprefix("file://")))
+    os.makedirs(os.path.dirname(mounted(path)))
     onefile.write_csv(m.select("mod_id", "mod_name", "subscribers", "rank_all"), path, ["rank_all", "mod_id"])
     back = spark.read.options(header=True, multiLine=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, enforceSchema=False).schema("mod_id long, mod_name string, subscribers long, rank_all long").csv(path)
     return row_numbers(back, [F.col("rank_all"), F.col("mod_id")], "place")
@@ -151,7 +151,7 @@ def q_ranking_file(spark: SparkSession, d: str) -> DataFrame:
 def q_url_list_file(spark: SparkSession, d: str) -> DataFrame:
     """Urls as one JSON array in one file, read back."""
     path = f"{Scratch(spark, 'url-list').root}/urls.json"
-    os.makedirs(os.path.dirname(path.removeprefix("file://")))
+    os.makedirs(os.path.dirname(mounted(path)))
     onefile.write_json_list(load(spark, d, "pages").where(F.trim("url") != "").select("page_id", "url"), "url", path, ["page_id"])
     return onefile.read_text(spark, path).select(F.posexplode(F.from_json("value", "array<string>")).alias("place", "url")).withColumn("place", F.col("place").cast("long"))
 
@@ -159,7 +159,7 @@ def q_url_list_file(spark: SparkSession, d: str) -> DataFrame:
 def _report(spark: SparkSession, label: str, lines: list[str]) -> DataFrame:
     """(place, line) of a report written as one file and read back."""
     path = f"{Scratch(spark, label).root}/{label}.md"
-    os.makedirs(os.path.dirname(path.removeprefix("file://")))
+    os.makedirs(os.path.dirname(mounted(path)))
     documents.write_report(spark, lines, path)
     return onefile.read_text(spark, path).select(documents.lines_of(F.col("value"))).where("line <> ''")
 

@@ -10,7 +10,7 @@ from ..functions import text
 from ..operators import corpus, derive, rank_columns, relations, stats, work_queue
 from ..operators.scan import row_numbers
 from ..sources import markup, onefile, readers
-from ..sources.staging import Scratch
+from ..sources.staging import Scratch, mounted
 from . import adapter, catalogue, report
 from .adapter import load
 from .catalogue import M, MF, MR, query, rounded
@@ -258,7 +258,7 @@ def q_id_files(spark, d):
 def q_record_files(spark, d):
     """Records of an author and titles in one JSON array, written and read again."""
     path = f"{Scratch(spark, 'records').root}/records.json"
-    os.makedirs(os.path.dirname(path.removeprefix("file://")))
+    os.makedirs(os.path.dirname(mounted(path)))
     n = load(spark, d, "nation").join(load(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     n = n.select("n_nationkey", F.struct(F.col("n_name").alias("author"), F.array("r_name").alias("mod_titles")).alias("r"))
     onefile.write_json_list(n, "r", path, ["n_nationkey"])

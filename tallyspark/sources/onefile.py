@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from .staging import mounted
+
 #: Byte order mark of UTF-8, as spreadsheet programs expect it.
 MARK = b"\xef\xbb\xbf"
 
@@ -36,7 +38,7 @@ class OneFileWriter(DataSourceArrowWriter):
     """
 
     def __init__(self, options: dict, overwrite: bool):
-        self.path = options["path"].removeprefix("file://")
+        self.path = mounted(options["path"])
         self.mark = options.get("mark", "false").lower() == "true"
         self.head, self.foot, self.end = (options.get(k, v) for k, v in (("head", ""), ("foot", ""), ("end", "\n")))
         self.overwrite, self.parts = overwrite, f"{self.path}.parts-{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.derive import id_folder
+from .staging import mounted
 
 
 def write_pages(pages: DataFrame, page_id: str, html: str, root: str, width: int = 6) -> int:
@@ -18,7 +19,7 @@ def write_pages(pages: DataFrame, page_id: str, html: str, root: str, width: int
     A file gets its name only when it is whole, so a reader sees no part of one and a task that runs again does no harm. Of repeated numbers the
     text that comes last in order stays. The root must lie in a folder that driver and executors share.
     """
-    at = root.removeprefix("file://")
+    at = mounted(root)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -10,6 +10,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def mounted(path: str) -> str:
+    """A path as Python opens it: without ``file:``. Other schemes than that are no path of this kind."""
+    plain = re.sub(r"^file:(?://)?(?=/)", "", path)
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:/", plain):
+        raise ValueError(f"{path} is not in a folder that driver and executors mount")
+    return plain
+
+
 class Scratch:
     """Intermediate Parquet tables under the shared folder in ``spark.checkpoint.dir``.
 
