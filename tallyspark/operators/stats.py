@@ -91,16 +91,27 @@ def moments(df: DataFrame, value: str, group_cols: list[str] | None = None) -> D
         _skew(x, n).alias("skewness"), _kurtosis(x, n).alias("kurtosis"))
 
 
-def descriptive(df: DataFrame, value: str, group_cols: list[str] | None = None) -> DataFrame:
-    """The 21 figures of a ratio: moments, range, counts above and at one, nine percentiles, quartile range."""
-    x, n = F.col(value), F.count(F.col(value))
-    std = F.coalesce(F.stddev_samp(x), F.lit(0.0))
+def descriptive(df: DataFrame, value: str, group_cols: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:
+    """The 21 figures of a ratio: moments, range, counts above and at one, nine percentiles, quartile range.
+
+    All are read off the running totals of distinct values, saved once, so the source is read once. Groups without values have no row.
+    """
+    g = group_cols or []
+    scratch = Scratch(df.sparkSession, "descriptive")
+    r = scratch.save(known if known is not None else totals(df, value, g))
+    v, c, n = F.col("v").cast("double"), F.col("c"), F.col("n")
+    away = v - F.col("t_all") / F.col("c_all")
+    power = lambda k: F.sum(c * F.pow(away, F.lit(float(k)))).alias(f"_m{k}")
+    one = r.groupBy(*g).agg(F.coalesce(F.sum(c), F.lit(0)).alias("n"), (F.sum(v * c) / F.sum(c)).alias("mean"), power(2), power(3), power(4), F.min("v").alias("least"), F.max("v").alias("most"),
+                            F.coalesce(F.sum(F.when(v > 1, c)), F.lit(0)).alias("above_one"), F.coalesce(F.sum(F.when(v == 1, c)), F.lit(0)).alias("at_one"))
+    std = F.when(n > 1, F.sqrt(F.col("_m2") / (n - 1))).when(n == 1, 0.0).otherwise(0.0)
+    spread = F.col("most") > F.col("least")
+    skew = F.when(n < 3, F.lit(None)).when(~spread, 0.0).otherwise(F.col("_m3") / n / F.pow(std, F.lit(3.0)))
+    kurtosis = F.when((n < 4) | ~spread, F.lit(None)).otherwise(F.col("_m4") / n / F.pow(std, F.lit(4.0)) - 3)
     ps = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
-    out = df.groupBy(*(group_cols or [])).agg(
-        n.alias("n"), F.avg(x).alias("mean"), std.alias("std"), F.when(F.avg(x) != 0, std / F.avg(x)).alias("cv"), F.min(x).alias("least"), F.max(x).alias("most"),
-        (F.max(x) - F.min(x)).alias("spread"), _skew(x, n).alias("skewness"), _kurtosis(x, n).alias("kurtosis"),
-        F.count_if(x > 1).alias("above_one"), F.count_if(x == 1).alias("at_one"))
-    return _beside(out, quantiles(df, value, ps, group_cols), group_cols).withColumn("iqr", F.col("p75") - F.col("p25"))
+    out = one.select(*g, "n", "mean", std.alias("std"), F.when(F.col("mean") != 0, std / F.col("mean")).alias("cv"), "least", "most", (F.col("most") - F.col("least")).alias("spread"),
+                     skew.alias("skewness"), kurtosis.alias("kurtosis"), "above_one", "at_one")
+    return _beside(out, quantiles(df, value, ps, g, r), group_cols).withColumn("iqr", F.col("p75") - F.col("p25"))
 
 
 def gini(df: DataFrame, value: str, group_cols: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:

@@ -657,7 +657,7 @@ CASE WHEN v IS NOT NULL AND {_SHARE} THEN repeat('█', k) || repeat('░', 20 -
 FROM (SELECT *, CAST(value AS DOUBLE) AS v, CAST(round_even(least(1, greatest(0, CAST(value AS DOUBLE))) * 20, 0) AS INT) AS k FROM ({_statistic_sql()}))""")
 def q_statistic_text(spark, d):
     m = adapter.items(spark, d)
-    return report.as_text(report.statistic_table(m, adapter.flags(m), adapter.ratios(m)))
+    return report.as_text(rounded(report.statistic_table(m, adapter.flags(m), adapter.ratios(m)), "value"))
 
 
 @query("""WITH g AS (SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))

@@ -45,8 +45,9 @@ def statistic_table(items: DataFrame, flags: DataFrame, ratios: DataFrame) -> Da
 
 def ratio_tiers(ratios: DataFrame) -> DataFrame:
     """(tier, n, mean, median) of all four tiers; an empty one has n = 0 and nulls."""
-    g = ratios.groupBy("tier").agg(F.count("*").alias("n"), F.avg("ratio").alias("mean")).join(
-        stats.quantiles(ratios, "ratio", (0.5,), ["tier"]).withColumnRenamed("p50", "median"), "tier", "left")
+    known = Scratch(ratios.sparkSession, "tiers").save(stats.totals(ratios, "ratio", ["tier"]))  # the source is read once
+    g = known.groupBy("tier").agg(F.sum("c").alias("n"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean")).join(
+        stats.quantiles(ratios, "ratio", (0.5,), ["tier"], known).withColumnRenamed("p50", "median"), "tier", "left")
     every = ratios.sparkSession.range(4).select(F.col("id").cast("int").alias("tier"))
     return every.join(g, "tier", "left").select("tier", F.coalesce("n", F.lit(0)).alias("n"), "mean", "median")
 
