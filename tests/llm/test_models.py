@@ -5,9 +5,10 @@ from itertools import product
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tallyspark.llm.language_id import identify_languages
+from tallyspark.llm.common import mix
+from tallyspark.llm.language_id import ByteCNN, identify_languages, predict
 from tallyspark.llm.sampling import bounded_sample
-from tallyspark.llm.toxicity import LENGTH, ToxicityNet, Words, score_toxicity, without_toxic
+from tallyspark.llm.toxicity import LENGTH, STRIDE, TRIGRAMS, ToxicityNet, Words, score, score_toxicity, without_toxic
 from tallyspark.llm.transcripts import STATES, STYLES, RoleHMM, features, format_chats, raw_log, recover_turns, split_marker, train
 
 SF = "/root/testdata/sf0.1"
@@ -53,6 +54,81 @@ def test_samples_agree_on_reruns(spark):
     assert one == other and [sum(r[2] == k for r in one) for k in range(3)] == [100, 30, 1333]
 
 
+def test_sample_of_many_labels(spark):
+    """300 labels, a hot row among them: the rows of least hash, as many as asked, from one scan for the counts and one for the rows."""
+    rows = spark.range(9000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < 3000, F.lit("hot")).otherwise(F.concat(F.lit("t"), "id")).alias("text"), F.concat(F.lit("l"), F.col("id") % 300).alias("k"))
+    u = F.pmod(F.xxhash64("doc_id", "text", F.lit(4)), F.lit(1 << 30))
+    by = {}
+    for r in rows.select("*", u.alias("u")).collect():
+        by.setdefault(r["k"], []).append((r["u"], r["doc_id"], r["text"]))
+    found = bounded_sample(rows, "k", "doc_id", 7, 4)
+    got = sorted((r["k"], r["doc_id"], r["text"]) for r in found.collect())
+    assert got == sorted((k, d, t) for k, v in by.items() for _, d, t in sorted(v)[:7]) and len(got) == 2100
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert bounded_sample(rows.limit(0), "k", "doc_id", 7, 4).count() == 0
+    assert bounded_sample(rows.withColumn("k", F.lit(None).cast("string")), "k", "doc_id", 7, 4).count() == 0
+
+
+def test_languages_equal_plain_forward_pass(spark):
+    """Byte by byte and filter by filter: the mean over all windows of 96 bytes of a text, the last one filled up with spaces."""
+    net = ByteCNN(["de", "en", "zh"], filters=3, seed=6)
+    texts = ["A short Text", "und nicht " * 40, "\u4f60\u597d " * 33 + "end", "x", "b" * 96, "c" * 97]
+    want = []
+    for t in texts:
+        raw = bytes(c + 32 if 65 <= c <= 90 else c for c in t.encode())
+        each = []
+        for at in range(0, len(raw), 96):
+            w = raw[at : at + 96].ljust(96)
+            pooled = [max(sum(float(table[j][w[i + j], f]) for j in range(width)) for i in range(96 - width + 1)) for width, table in net.tables.items() for f in range(3)]
+            z = [sum(max(0.0, p) * float(net.dense[k, c]) for k, p in enumerate(pooled)) + float(net.bias[c]) for c in range(3)]
+            e = np.exp(np.array(z) - max(z))
+            each.append(e / e.sum())
+        mean = np.mean(each, axis=0)
+        want.append((net.labels[int(mean.argmax())], mean.max()))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in predict(docs, net).collect())
+    assert [g[1] for g in got] == [w[0] for w in want] and np.allclose([g[2] for g in got], [w[1] for w in want], atol=1e-5)
+
+
+def plain_toxicity(net, text):
+    """The largest window probability, word by word and step by step."""
+    h, p = net.h, net.p
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        raw = b" " + bytes(c + 32 if 65 <= c <= 90 else c for c in word.encode()) + b" "
+        tri = [int(mix(np.array([raw[i - 1] << 16 | raw[i] << 8 | raw[i + 1]], np.uint64))[0]) % TRIGRAMS for i in range(1, len(raw) - 1)]
+        return np.concatenate([p["word"][Words([word]).word[0]], sum(p["tri"][i] for i in tri) / np.sqrt(len(tri))]).astype(np.float64)
+
+    def states(k, inputs):
+        s, out = np.zeros(h), []
+        for x in inputs:
+            g, v = x @ p[f"W{k}"] + p[f"b{k}"], s @ p[f"U{k}"]
+            z, r = sigmoid(g[:h] + v[:h]), sigmoid(g[h : 2 * h] + v[h : 2 * h])
+            s = z * s + (1 - z) * np.tanh(g[2 * h :] + r * v[2 * h :])
+            out.append(s)
+        return out
+
+    words = text.split()
+    starts = [*range(0, len(words) - LENGTH, STRIDE), max(0, len(words) - LENGTH)] if len(words) > LENGTH else [0]
+    best = 0.0
+    for at in starts:
+        seen = words[at : at + LENGTH]
+        x = [vector(w) for w in seen] + [np.zeros(2 * net.d)] * (LENGTH - len(seen))
+        s = [np.concatenate(fb) for fb in zip(states("f", x), states("b", x[::-1])[::-1])]
+        e = np.exp([s[i] @ p["a"] if i < len(seen) else -30.0 for i in range(LENGTH)])
+        best = max(best, sigmoid(sum(a * c for a, c in zip(e / e.sum(), s)) @ p["w"] + p["c"][0]))
+    return best
+
+
+def test_toxicity_equals_plain_forward_pass(spark):
+    net = ToxicityNet(width=5, hidden=4, seed=8)
+    texts = ["You vile RAT", "", " ".join(f"w{i}" for i in range(24)), " ".join(f"v{i % 19}" for i in range(25)), " ".join(f"u{i % 37}" for i in range(150)), "\u00e9t\u00e9 na\u00efve"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["score"] for r in score(docs, net).orderBy("doc_id").collect()]
+    assert np.allclose(got, [plain_toxicity(net, t) for t in texts], atol=1e-5) and len({round(x, 4) for x in got}) == len(got)
+
+
 def test_windows_cover_every_word():
     t = Words([None, "a", " ".join(map(str, range(100))), "b c"])
     assert len(t.word) == 103 and sorted(set(t.index[t.index >= 0].tolist())) == list(range(103))
