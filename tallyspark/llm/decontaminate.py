@@ -65,11 +65,8 @@ def contained_items(
 
     def runs(rows: DataFrame) -> DataFrame:
         w = rows.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), words_of("text").alias("words"))
-        parts = [w.select("doc_id", F.lit(n).alias("width"), F.explode(shingles_of(F.col("words"), n)).alias("shingle")) for n in widths]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        parts = F.array(*[F.struct(F.lit(n).alias("width"), shingles_of(F.col("words"), n).alias("s")) for n in widths])
+        return w.select("doc_id", F.explode(parts).alias("p")).select("doc_id", "p.width", F.explode("p.s").alias("shingle"))
 
     if not widths:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, shared long, item_shingles int")

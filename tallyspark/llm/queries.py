@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import load
 from .bit_sliced import top_k
 from .decontaminate import contained_items
-from .host_reputation import judge_urls
+from .host_reputation import TWO_LABEL_SUFFIXES, judge_urls
 from .language_id import identify_languages
 from .minhash_dedup import near_duplicates
 from .mixing import mix
@@ -107,9 +107,10 @@ WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, str
 p AS (SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 l AS (SELECT doc_id, max(CAST(greatest(1 - quality, toxic) AS INT)) AS bad FROM labels GROUP BY doc_id),
 c AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM p LEFT JOIN l ON page_id = doc_id GROUP BY host),
-h0 AS (SELECT *, split_part(host, '.', -1) AS suffix, CASE WHEN strpos(host, '.') = 0 THEN host
-  ELSE split_part(host, '.', -2) || '.' || split_part(host, '.', -1) END AS domain FROM c),
-h1 AS (SELECT host, n, bad, CASE WHEN strpos(host, '.') = 0 THEN '' ELSE suffix END AS suffix, domain FROM h0),
+h0 AS (SELECT *, regexp_matches(host, '^[0-9.]*$|:') OR strpos(host, '.') = 0 AS plain, string_split(host, '.') AS l,
+  CASE WHEN array_to_string(l[-2:], '.') IN {TWO_LABEL_SUFFIXES} THEN 2 ELSE 1 END AS k FROM c),
+h1 AS (SELECT host, n, bad, CASE WHEN plain THEN '' WHEN k = 2 THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix,
+  CASE WHEN plain THEN host WHEN k = 2 THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain FROM h0),
 g AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS p0 FROM h1),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(p0) AS p FROM h1, g GROUP BY suffix),
 d AS (SELECT h1.suffix, domain, sum(h1.n) AS n, sum(h1.bad) AS bad, any_value(CASE WHEN s.n > 0 THEN s.bad / s.n ELSE s.p END) AS p
@@ -150,7 +151,8 @@ WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
 i AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - least(5, len(w)) + 2, 1)), lambda x: array_to_string(list_slice(w, x, x + least(5, len(w)) - 1), ' '))) AS s FROM w WHERE len(w) > 0),
 q AS (SELECT item_id, count(*) AS q FROM i GROUP BY item_id),
 dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
-d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)), lambda x: array_to_string(list_slice(w, x, x + 4), ' '))) AS s FROM dw)
+k AS (SELECT DISTINCT least(5, len(w)) AS k FROM w WHERE len(w) > 0),
+d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)), lambda x: array_to_string(list_slice(w, x, x + k - 1), ' '))) AS s FROM dw, k)
 SELECT doc_id, item_id, count(*) AS shared, CAST(any_value(q) AS INT) AS item_shingles FROM d JOIN i USING (s) JOIN q USING (item_id)
 GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(q)""",
 }

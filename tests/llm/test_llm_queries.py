@@ -89,6 +89,15 @@ def test_contained(spark):
     assert {(r["doc_id"], r["item_id"]) for r in shuffled} == set(got)
 
 
+def test_items_of_every_width_in_one_scan(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "six one"), (3, "two three"), (4, "none of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "six"), (2, "two three"), (3, "two three four"), (4, "two three four five"), (5, "one two three four five six")], "item_id long, text string")
+    found = contained_items(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (3, 2)}
+    assert {(r["doc_id"], r["item_id"]) for r in contained_items(docs, items, broadcast_rows=0).collect()} == {(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (3, 2)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 def test_bit_slices():
     rng = np.random.default_rng(0)
     v = rng.integers(-300, 300, (130, 7))
