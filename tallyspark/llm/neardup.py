@@ -88,6 +88,38 @@ def list_array(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * w, w, dtype=np.int32)), pa.array(matrix.ravel()))
 
 
+class NodeIds:
+    """Ids of nodes: 64 bits, as joins like them, told apart by 128.
+
+    rows(own, alt, ...) name a set by two 64-bit hashes. Its id is ``own``; where rows of one id differ in own or
+    alt, the callers report that id as mixed, and its rows get new ids from both hashes, until none is mixed.
+    """
+
+    def __init__(self):
+        self.mixed: list[DataFrame] = []
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        """rows with id."""
+        rows = rows.withColumn("id", F.col("own"))
+        for salt, ids in enumerate(self.mixed):
+            rows = rows.join(ids.withColumn("_mixed", F.lit(True)), "id", "left")
+            rows = rows.withColumn("id", F.when(F.col("_mixed"), F.xxhash64("own", "alt", F.lit(salt))).otherwise(F.col("id"))).drop("_mixed")
+        return rows
+
+    @staticmethod
+    def differ() -> Column:
+        """Aggregate over the rows of an id: whether it is mixed."""
+        return (F.min("own") < F.max("own")) | (F.min("alt") < F.max("alt"))
+
+    def settled(self, classes: DataFrame) -> bool:
+        """classes(id, mixed, ...), a saved table: whether no id is mixed; those that are get new ids from now on."""
+        ids = classes.where("mixed").select("id")
+        if ids.isEmpty():
+            return True
+        self.mixed.append(ids)
+        return False
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Keeps pairs (a, b) with 100 * |A and B| >= threshold * |A or B| on the full sets."""
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("sa"))

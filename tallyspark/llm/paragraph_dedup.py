@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import _P, Scratch, mix, slices, words_of
-from .neardup import SETS, OddSketcher, meeting, near_links
+from .neardup import SETS, NodeIds, OddSketcher, meeting, near_links
 
 #: A paragraph starts at the least word pair among this many on either side.
 REACH = 6
@@ -25,9 +25,12 @@ LEAST = 16
 
 
 class Paragraphs:
-    """The paragraphs of some texts: text, start and size (in words), id of the shingle set, and the sorted sets."""
+    """The paragraphs of some texts: text, start and size (in words), the shingle set's two hashes, and the sorted sets.
 
-    def __init__(self, texts: list[str | None], k: int, reach: int = REACH):
+    Fewer ``bits`` of the first hash are for tests.
+    """
+
+    def __init__(self, texts: list[str | None], k: int, reach: int = REACH, bits: int = 64):
         words, counts = words_of(texts)
         n, ends = len(words), np.cumsum(counts)
         begins = ends - counts
@@ -51,8 +54,19 @@ class Paragraphs:
         new = np.append(True, (items[1:] != items[:-1]) | (unit[1:] != unit[:-1])) if len(items) else np.empty(0, bool)
         self.items, self.unit = items[new], unit[new]
         self.at = np.searchsorted(self.unit, np.arange(len(first) + 1))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.items ^ np.uint64(0x51ED270B9F6C)), dtype=np.uint64)])
-        self.id = mix(total[self.at[1:]] - total[self.at[:-1]]).view(np.int64)
+        self.own = (self._sums(0x51ED270B9F6C) >> np.uint64(64 - bits)).view(np.int64)
+        self.alt = self._sums(0x2545F4914F6CDD1D).view(np.int64)
+
+    def _sums(self, salt: int) -> np.ndarray:
+        """A hash of each set: its members' mixed hashes, summed."""
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.items ^ np.uint64(salt)), dtype=np.uint64)])
+        return mix(total[self.at[1:]] - total[self.at[:-1]])
+
+    def distinct(self) -> np.ndarray:
+        """The paragraphs that are the first with their set."""
+        order = np.lexsort((self.alt, self.own))
+        a, b = self.own[order], self.alt[order]
+        return order[np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))] if len(order) else order
 
     def keys(self, of: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
         """(paragraph, key) for the paragraphs in ``of``: one-permutation MinHash, each bin a band of one row.
@@ -67,8 +81,8 @@ class Paragraphs:
         size = np.diff(self.at)
         most = size * (100 - threshold) // threshold
         low, high = self._levels(size * (100 - threshold) // 100), self._levels(most)
-        crowded = np.zeros(len(self.id), bool)
-        wanted = np.zeros(len(self.id), bool)
+        crowded = np.zeros(len(size), bool)
+        wanted = np.zeros(len(size), bool)
         wanted[of] = True
         units, keys = [], []
         for e in range(2, int(high[of].max(initial=0)) + 1):
@@ -78,7 +92,7 @@ class Paragraphs:
             new = np.append(True, (u[1:] != u[:-1]) | (b[1:] != b[:-1])) if len(u) else np.empty(0, bool)
             units.append(u[new])
             keys.append(mix(x[new] + np.uint64(e)))
-            filled = np.bincount(u[new], minlength=len(self.id))
+            filled = np.bincount(u[new], minlength=len(size))
             crowded |= (filled > 0) & (filled <= most)
         least = np.arange(len(self.items)) - self.at[self.unit] <= (size + -threshold * size // 100)[self.unit]
         pick = crowded[self.unit] & least
@@ -111,60 +125,60 @@ def _held(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
-def paragraphs(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, t, start, n_words, id) of every paragraph; equal shingle sets have one id."""
+def paragraphs(docs: DataFrame, k: int, bits: int = 64) -> DataFrame:
+    """(doc_id, t, start, n_words, own, alt) of every paragraph; own and alt are the hashes of its shingle set."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = 0
             for part in slices(b.column("text").to_pylist()):
-                p = Paragraphs(part, k)
+                p = Paragraphs(part, k, bits=bits)
                 take = pa.array(p.text + at)
                 at += len(part)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(take), b.column("t").take(take), pa.array(p.start.astype(np.int32)), pa.array(p.words.astype(np.int32)), pa.array(p.id)],
-                    names=["doc_id", "t", "start", "n_words", "id"])
+                    [b.column("doc_id").take(take), b.column("t").take(take), pa.array(p.start.astype(np.int32)), pa.array(p.words.astype(np.int32)), pa.array(p.own), pa.array(p.alt)],
+                    names=["doc_id", "t", "start", "n_words", "own", "alt"])
 
-    return _held(docs).mapInArrow(make, "doc_id long, t long, start int, n_words int, id long")
+    return _held(docs).mapInArrow(make, "doc_id long, t long, start int, n_words int, own long, alt long")
 
 
-def band_keys(docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """(h, id): the band keys of each paragraph set, once for all its copies in a slice of texts."""
+def band_keys(docs: DataFrame, k: int, threshold: int, bits: int = 64) -> DataFrame:
+    """(h, own, alt): the band keys of each paragraph set, once for all its copies in a slice of texts."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in slices(b.column("text").to_pylist()):
-                p = Paragraphs(part, k)
-                unit, h = p.keys(np.unique(p.id, return_index=True)[1], threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(p.id[unit])], names=["h", "id"])
+                p = Paragraphs(part, k, bits=bits)
+                unit, h = p.keys(p.distinct(), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(p.own[unit]), pa.array(p.alt[unit])], names=["h", "own", "alt"])
 
-    return _held(docs).select("text").mapInArrow(make, "h long, id long")
+    return _held(docs).select("text").mapInArrow(make, "h long, own long, alt long")
 
 
 def paragraph_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Full sets (id, n, items) of the ids in wanted(doc_id, t, id), each read from that text."""
+    """Full sets (id, n, items) of the ids in wanted(doc_id, t, start, id), each read from that place."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             want, at = b.column("want"), 0
             for part in slices(b.column("text").to_pylist()):
                 p = Paragraphs(part, k)
-                rows: dict[int, tuple] = {}
                 asked = want.slice(at, len(part))
                 text = np.repeat(np.arange(len(part)), np.diff(asked.offsets.to_numpy()))
-                asked = set(zip(text.tolist(), asked.flatten().to_pylist(), strict=True))
+                asked = asked.flatten()
                 at += len(part)
-                for i, (t, x) in enumerate(zip(p.text.tolist(), p.id.tolist(), strict=True)):
-                    if x not in rows and (t, x) in asked:
-                        a, z = p.at[i], p.at[i + 1]
-                        rows[x] = x, z - a, p.items[a:z].tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows.values()], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "n", "items"])
-
-    lists = wanted.groupBy("doc_id", "t").agg(F.collect_list("id").alias("want"))  # at most a text's own paragraphs
+                ids, once = np.unique(asked.field("id").to_numpy(), return_index=True)
+                start = asked.field("start").to_numpy().astype(np.int64)
+                place = np.searchsorted(p.text << 32 | p.start, (text << 32 | start)[once])
+                a, z = p.at[place], p.at[place + 1]
+                items = [p.items[i:j].tobytes() for i, j in zip(a.tolist(), z.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(z - a, pa.int64()), pa.array(items, pa.binary())], names=["id", "n", "items"])
+
+    lists = wanted.groupBy("doc_id", "t").agg(F.collect_list(F.struct("start", "id")).alias("want"))  # at most a text's own paragraphs
     return _held(docs).join(lists, ["doc_id", "t"]).select("text", "want").mapInArrow(make, SETS).dropDuplicates(["id"])
 
 
-def repeated_paragraphs(docs: DataFrame, k: int = 5, threshold: int = 80, least: int = LEAST, scratch: Scratch | None = None) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, k: int = 5, threshold: int = 80, least: int = LEAST, scratch: Scratch | None = None, bits: int = 64) -> DataFrame:
     """docs(doc_id, text, ...) -> (doc_id, t, start, n_words, run_words, component_id, first_doc_id, first_start, copies, kept).
 
     Paragraphs (see above) whose sets of k-word shingles (A-Z lower-cased) have 100 * intersection >=
@@ -173,19 +187,25 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, threshold: int = 80, least:
     ``start`` of the text with xxhash64 ``t``. Neighbouring repeated paragraphs of a text are one run of
     ``run_words`` words; runs shorter than ``least`` are left out of the result, as short phrases and
     single boilerplate lines repeat in clean text. Every paragraph is searched, whatever its size, and
-    equal sets are one node from the start. Null or empty texts have no paragraphs, rows without doc_id
+    equal sets, by 128 bits of hash, are one node from the start. Null or empty texts have no paragraphs, rows without doc_id
     take no part, rows that share a doc_id are told apart by their text, and exact copies of a row
     count as copies that share one set of result rows; other columns are ignored; an empty table
     gives an empty result.
     """
     scratch = scratch or Scratch(docs.sparkSession, "paragraphs")
     some = docs.where(F.pmod(F.xxhash64(F.col("text").cast("string"), F.lit(1)), F.lit(256)) == 0)
-    met = scratch.save(meeting(band_keys(docs, k, threshold), band_keys(some, k, threshold), scratch))
-    every = scratch.save(paragraphs(docs, k))
-    classes = every.groupBy("id").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "start", "t")).alias("first"))
-    classes = classes.join(met.select("id").distinct().withColumn("met", F.lit(True)), "id", "left").where("copies > 1 or met")
-    classes = scratch.save(classes)
-    source = classes.where("met").select("first.doc_id", "first.t", "id")
+    stored = scratch.save(paragraphs(docs, k, bits))
+    ids, settled = NodeIds(), False
+    while not settled:
+        keys = [ids.of(band_keys(d, k, threshold, bits)).select("h", "id") for d in (docs, some)]
+        met = scratch.save(meeting(*keys, scratch))
+        every = ids.of(stored)
+        classes = every.groupBy("id").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "start", "t")).alias("first"), ids.differ().alias("mixed"))
+        classes = classes.join(met.select("id").distinct().withColumn("met", F.lit(True)), "id", "left").where("copies > 1 or met")
+        classes = scratch.save(classes)
+        settled = ids.settled(classes)  # a mixed id has two copies or more
+    every = every.drop("own", "alt")
+    source = classes.where("met").select("first.doc_id", "first.t", "first.start", "id")
     links, roots = near_links(met, lambda ids: paragraph_sets(docs, source, k), scratch, threshold, OddSketcher(bits=128))
     found = classes.join(roots, "id", "left").withColumn("component_id", F.coalesce("root", "id"))
     grouped = found.groupBy("component_id").agg(F.sum("copies").alias("copies"), F.min("first").alias("first")).where("copies > 1")
@@ -198,7 +218,7 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, threshold: int = 80, least:
     out = scratch.save(rows.select(
         "doc_id", "t", "start", "n_words", "run_words", "component_id", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"),
         "copies", (F.col("first") == F.struct("doc_id", "start", "t")).alias("kept")))
-    scratch.free(met, every, classes, member, links)
+    scratch.free(met, stored, classes, member, links)
     return out
 
 

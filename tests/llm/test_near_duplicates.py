@@ -57,6 +57,17 @@ def test_null_ids_repeats_and_empty(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [1, 6])
+def test_sets_of_one_short_hash_stay_apart(spark, bits):
+    """Ids cut to a few bits are mixed; the other hash tells their sets apart, and no result changes."""
+    docs = spark.read.parquet(SF)
+    sets = {r["doc_id"]: shingles(r["text"], 4) for r in docs.collect()}
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, 4, bits=bits).collect()} == classes(sets)
+    rows, _ = passages()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_rows(repeated_paragraphs(docs, bits=bits)) == repeats(rows)
+
+
 def test_sketch_bounds_the_difference():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 2**63, 900, dtype=np.uint64))
@@ -192,7 +203,7 @@ def test_linked_sets_in_one_bin_share_a_key():
         for top in (0, 5, 15):
             big = np.sort(rng.choice(2**40, n, replace=False).astype(np.uint64) + np.uint64(top << 60))
             for small in (big[n // 5 :], big[: n - n // 5]):
-                p.items, p.unit, p.id = np.concatenate([big, small]), np.repeat([0, 1], [n, len(small)]), np.arange(2)
+                p.items, p.unit = np.concatenate([big, small]), np.repeat([0, 1], [n, len(small)])
                 p.at = np.array([0, n, n + len(small)])
                 unit, h = p.keys(np.arange(2), 80)
                 assert set(h[unit == 0].tolist()) & set(h[unit == 1].tolist())
@@ -200,7 +211,7 @@ def test_linked_sets_in_one_bin_share_a_key():
         n = int(rng.integers(4, 16))
         big = np.sort(rng.integers(0, 2**64, n, dtype=np.uint64))
         small = np.sort(rng.permutation(big)[: n - n // 5])
-        p.items, p.unit, p.id = np.concatenate([big, small]), np.repeat([0, 1], [n, len(small)]), np.arange(2)
+        p.items, p.unit = np.concatenate([big, small]), np.repeat([0, 1], [n, len(small)])
         p.at = np.array([0, n, n + len(small)])
         unit, h = p.keys(np.arange(2), 80)
         assert set(h[unit == 0].tolist()) & set(h[unit == 1].tolist())
