@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import collapse
 
-#: Names of items made for their maker alone, as a pattern.
-PRIVATE_NAME = r"(?:^|\b)(test|debug|tmp|temp|private|for me|my |mine|backup|demo|自用|测试|临时)(?:\b|$)"
+_PRIVATE = "(test|debug|tmp|temp|private|for me|my |mine|backup|demo|自用|测试|临时)"
+#: Names of items made for their maker alone, as a pattern; any letter is part of a word.
+PRIVATE_NAME = rf"(?iU)(?:^|\b){_PRIVATE}(?:\b|$)"
+_EDGE = r"(?-iu:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+#: The same as SQL reads it: words are of ASCII letters, digits and underscores, and the end is that of the text, not of its last line.
+PRIVATE_NAME_SQL = rf"(?iu)(?:^|{_EDGE}){_PRIVATE}(?:{_EDGE}|\z)"
 #: Canonical tags.
 TAGS = (
     "AI", "Alternative History", "Balance", "Cultures and Religions", "Diplomacy", "Economy and Buildings", "Events", "Expansion",
@@ -27,11 +31,11 @@ TAG_ALIASES = {
 TIERS = (100, 1000, 10000)
 
 
-def private_like(name: Column, exposure: Column, subscribers: Column, favorites: Column) -> Column:
+def private_like(name: Column, exposure: Column, subscribers: Column, favorites: Column, telling: str = PRIVATE_NAME) -> Column:
     """1 if an item seems made for its maker alone: hardly seen, or little used with a telling name."""
     return (F.when((subscribers >= 100) | (favorites >= 20) | (exposure >= 2000), 0)
             .when((subscribers <= 10) & (favorites <= 1) & (exposure <= 80), 1)
-            .when((subscribers <= 50) & name.rlike("(?iU)" + PRIVATE_NAME), 1).otherwise(0))
+            .when((subscribers <= 50) & name.rlike(telling), 1).otherwise(0))
 
 
 def ratio(part: Column, whole: Column, places: int = 3) -> Column:
