@@ -98,8 +98,9 @@ def write_tables(tables: dict[str, DataFrame], root: str) -> None:
 
 
 def write_tiers(ratios: DataFrame, path: str) -> None:
-    """Ratio rows by tier, each tier in files of its own, ordered by ratio inside a file."""
-    ratios.repartition("tier").sortWithinPartitions("tier", F.desc("ratio"), "mod_id").write.mode("overwrite").partitionBy("tier").parquet(path)
+    """Ratio rows by tier, each tier in files of its own, as many as its rows need: ranges of falling ratio, ordered inside a file."""
+    order = ["tier", F.desc("ratio"), "mod_id"]
+    ratios.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("tier").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
