@@ -4,6 +4,7 @@ import glob
 
 import compare
 from pyspark.sql import functions as F
+from tallyspark.operators import corpus
 from tallyspark.plans import catalogue, records, report  # noqa: F401
 
 NAMES = ["une émine ici, et plus", "x 自用 y et du texte", "a自用b et du texte", "die testä sind hier da", "this one was my \n", "ſtest und noch etwas", "a teſt it is, as it was", "one\x0btwo three four 5", "contest or not, who knows", "自用",
@@ -36,3 +37,19 @@ def test_a_tier_takes_as_many_files_as_it_needs(spark, tmp_path):
     parts = [[(x["ratio"], x["mod_id"]) for x in spark.read.parquet(f).collect()] for f in files]
     whole = [x for p in parts for x in p]
     assert whole == sorted(whole, key=lambda x: (-x[0], x[1]))
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_simhash_shuffles_no_terms(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "c")], "doc_id long, text string")
+    exchanges = [x for x in _plan(corpus.simhash(docs, "doc_id", "text")).splitlines() if "Exchange" in x]
+    assert len(exchanges) == 1 and "term" not in exchanges[0]
+
+
+def test_keys_of_near_hashes_are_not_broadcast(spark):
+    h = spark.range(50).select("id", (F.col("id") % 25).alias("hash"))
+    pairs, _ = corpus.near_hashes(h, "id")
+    assert "BroadcastExchange" not in _plan(pairs) and "SortMergeJoin" in _plan(pairs)
