@@ -3,6 +3,7 @@
 import glob
 
 import compare
+import numpy as np
 from pyspark.sql import functions as F
 from tallyspark.operators import corpus
 from tallyspark.plans import catalogue, records, report  # noqa: F401
@@ -53,3 +54,16 @@ def test_keys_of_near_hashes_are_not_broadcast(spark):
     h = spark.range(50).select("id", (F.col("id") % 25).alias("hash"))
     pairs, _ = corpus.near_hashes(h, "id")
     assert "BroadcastExchange" not in _plan(pairs) and "SortMergeJoin" in _plan(pairs)
+
+
+def test_search_of_the_index_by_blocks_equals_plain_scores(spark):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    x[50:60] = x[49]  # ties go to the smaller id
+    e = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = corpus.CosineIndex(e, "vec_id", "embedding", centroids=8, into=2, probe=8).search(e.where("vec_id % 5 = 0"), block=16)
+    assert "zip_with" not in _plan(found)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 9)
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in found.collect()}
+    assert got == {(i, n + 1): int(j) for i in range(0, 300, 5) for n, j in enumerate(sorted((j for j in range(300) if j != i), key=lambda j: (-s[i, j], j))[:5])}
