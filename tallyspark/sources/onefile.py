@@ -10,11 +10,11 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from .staging import mounted
+from .staging import Scratch, mounted
 
 #: Byte order mark of UTF-8, as spreadsheet programs expect it.
 MARK = b"\xef\xbb\xbf"
@@ -123,3 +123,26 @@ def write_json_list(values: DataFrame, value: str, path: str, order: list[str])
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """(value): the whole file as one text."""
     return spark.read.text(path, wholetext=True)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of one CSV file with a line of names, as ``write_csv`` leaves it, read by as many tasks as the file has splits.
+
+    A line end ends a row if the quotes before it are even in number. So lines are read split by split, quotes are counted on from the splits before
+    (one row a split), and lines of one row, in whatever splits they lie, are put together.
+    """
+    at, i = F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("i")
+    lines = spark.read.text(path, lineSep="\n").select("value", at, i).withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    split = Window.partitionBy("at").orderBy("i")
+    lines = lines.withColumn("odd", F.coalesce(F.sum("quotes").over(split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2)
+    upto = split.rowsBetween(Window.unboundedPreceding, 0)
+    lines = Scratch(spark, "csv-lines").save(lines.withColumns({"start0": F.sum(1 - F.col("odd")).over(upto), "start1": F.sum("odd").over(upto)}))
+    before = Window.partitionBy(F.lit(0)).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
+    per = lines.groupBy("at").agg(F.sum("quotes").alias("n"), F.max("start0").alias("s0"), F.max("start1").alias("s1"))
+    per = per.withColumn("open", F.coalesce(F.sum("n").over(before), F.lit(0)) % 2)
+    per = per.select("at", "open", F.coalesce(F.sum(F.when(F.col("open") == 0, F.col("s0")).otherwise(F.col("s1"))).over(before), F.lit(0)).alias("rows"))
+    row = F.col("rows") + F.when(F.col("open") == 0, F.col("start0")).otherwise(F.col("start1"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "i", "value"))), lambda z: z["value"]), "\n")
+    rows = lines.join(F.broadcast(per), "at").groupBy(row.alias("row")).agg(text.alias("text")).where("row > 1")
+    cells = F.from_csv(F.regexp_replace("text", "\r\\z", ""), schema, {"multiLine": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    return rows.select(cells.alias("r")).select("r.*")

@@ -6,6 +6,7 @@ import compare
 import numpy as np
 from pyspark.sql import functions as F
 from tallyspark.operators import corpus
+from tallyspark.sources import onefile
 from tallyspark.plans import catalogue, records, report  # noqa: F401
 
 NAMES = ["une émine ici, et plus", "x 自用 y et du texte", "a自用b et du texte", "die testä sind hier da", "this one was my \n", "ſtest und noch etwas", "a teſt it is, as it was", "one\x0btwo three four 5", "contest or not, who knows", "自用",
@@ -67,3 +68,20 @@ def test_search_of_the_index_by_blocks_equals_plain_scores(spark):
     s = np.round(u @ u.T, 9)
     got = {(r["query_id"], r["rank"]): r["vec_id"] for r in found.collect()}
     assert got == {(i, n + 1): int(j) for i in range(0, 300, 5) for n, j in enumerate(sorted((j for j in range(300) if j != i), key=lambda j: (-s[i, j], j))[:5])}
+
+
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    texts = ["plain", 'a "quoted" cell', "two\nlines", "cr\r\nlf", '"', '""', "", None, " spaces ", "x,y", 'open " quote\n\n and, more', "end\r", "q\"\r\n\"", "long " * 300 + "\n" + '"z"\n' * 200]
+    rows = [(i, texts[i % len(texts)]) for i in range(140)]
+    path = f"{tmp_path}/t.csv"
+    onefile.write_csv(spark.createDataFrame(rows, "id long, t string"), path, ["id"])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in old:
+        spark.conf.set(k, "1000")
+    try:
+        assert spark.read.text(path, lineSep="\n").rdd.getNumPartitions() > 20
+        got = sorted((tuple(r) for r in onefile.read_csv(spark, path, "id long, t string").collect()))
+        assert got == [(i, t or None) for i, t in rows]  # an empty cell is written as a missing one; Spark's own reader would make a line feed of a pair within quotes
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
