@@ -11,8 +11,8 @@ _PRIVATE = "(test|debug|tmp|temp|private|for me|my |mine|backup|demo|自用|测
 #: Names of items made for their maker alone, as a pattern; any letter is part of a word.
 PRIVATE_NAME = rf"(?iU)(?:^|\b){_PRIVATE}(?:\b|$)"
 _EDGE = r"(?-iu:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
-#: The same as SQL reads it: words are of ASCII letters, digits and underscores, and the end is that of the text, not of its last line.
-PRIVATE_NAME_SQL = rf"(?iu)(?:^|{_EDGE}){_PRIVATE}(?:{_EDGE}|\z)"
+#: The same as SQL reads it: words are of ASCII letters, digits and underscores, the end is that of the text, not of its last line, and an i has a dot in lower case only.
+PRIVATE_NAME_SQL = rf"(?iu)(?:^|{_EDGE}){_PRIVATE.replace('i', '(?-iu:[Ii])')}(?:{_EDGE}|\z)"
 #: Canonical tags.
 TAGS = (
     "AI", "Alternative History", "Balance", "Cultures and Religions", "Diplomacy", "Economy and Buildings", "Events", "Expansion",

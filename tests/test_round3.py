@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from tallyspark.operators import corpus
 from tallyspark.sources import onefile
-from tallyspark.plans import catalogue, records, report  # noqa: F401
+from tallyspark.plans import builds, catalogue, records, report  # noqa: F401
 
 NAMES = ["une émine ici, et plus", "x 自用 y et du texte", "a自用b et du texte", "die testä sind hier da", "this one was my \n", "ſtest und noch etwas", "a teſt it is, as it was", "one\x0btwo three four 5", "contest or not, who knows", "自用",
          "a for me b, and so on", "unter_test ist keines", "Kmine (Kelvin sign) etc.", "my \r\n", "plain name of an item", "der tmp zwei, drei, vier"]
@@ -85,3 +85,11 @@ def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_an_i_without_its_dot_is_another_letter(spark, tmp_path):
+    rows = [(i, t + ", und mehr davon", "en", "web", 40) for i, t in enumerate(["mıne", "MİNE", "prıvate", "PRİVATE", "mine", "MINE", "Private", "bacKup", "teſt"])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name in ("private_flags", "scope_counts", "ratio", "catalogue_reload", "box_stats"):
+        assert compare.differences(spark, catalogue.QUERIES[name], catalogue.ORACLES[name], str(tmp_path)) == ""
