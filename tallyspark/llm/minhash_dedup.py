@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, shingle_set, word_hashes
+from .common import Scratch, parts, shingle_set, word_hashes
 from .components import components
 from .neardup import SETS, MinHasher, NodeIds, list_array, meeting, near_links
 
@@ -19,7 +19,7 @@ def signatures(docs: DataFrame, hasher: MinHasher, k: int, bits: int = 64) -> Da
     """(doc_id, n_shingles, own, alt, bands): own and alt identify equal shingle sets, null for empty ones."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
+        for t in parts(batches):
             sets = [shingle_set(word_hashes(x.as_py()), k) for x in t.column("text")]
             s = np.array([hasher.samples(x) for x in sets], np.uint32).reshape(len(sets), len(hasher.a))
             own, alt = zip(*(set_id(x, bits) for x in sets)) if sets else ((), ())
@@ -43,7 +43,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, k: int, bits: int = 64) ->
     """Full sets (id, n, items) of the ids in wanted(doc_id, own, alt, id), each read from a text of that document."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
+        for t in parts(batches):
             rows = []
             for text, want in zip(t.column("text"), t.column("want").to_pylist(), strict=True):
                 x = shingle_set(word_hashes(text.as_py()), k)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, mix
+from .common import Scratch, mix, parts
 from .components import components
 
 
@@ -126,7 +126,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("sb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
+        for t in parts(batches, "sa"):
             keep = []
             for x, y in zip(t.column("sa"), t.column("sb"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -140,7 +140,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 def _sketched(sets: DataFrame, sketcher: OddSketcher) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
+        for t in parts(batches, "items", 1 << 22):
             odd = sketcher.sketches([np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("items")])
             yield pa.RecordBatch.from_arrays([t.column("id"), t.column("n"), t.column("items"), list_array(odd)], names=["id", "n", "items", "odd"])
 
@@ -151,7 +151,7 @@ def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
     """(h, id): for each set its n - ceil(t n) + 1 rarest members, of which two linked sets share one."""
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
+        for t in parts(batches, "items", 1 << 22):
             ends = np.cumsum([0, *t.column("n").to_pylist()])
             joined = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in t.column("items")] or [np.empty(0, np.int64)])
             yield pa.RecordBatch.from_arrays([t.column("id"), t.column("n"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(joined))], names=["id", "n", "items"])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _P, Scratch, mix, slices, words_of
+from .common import _P, Scratch, mix, parts, words_of
 from .neardup import SETS, NodeIds, OddSketcher, meeting, near_links
 
 #: A paragraph starts at the least word pair among this many on either side.
@@ -129,15 +129,12 @@ def paragraphs(docs: DataFrame, k: int, bits: int = 64) -> DataFrame:
     """(doc_id, t, start, n_words, own, alt) of every paragraph; own and alt are the hashes of its shingle set."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = 0
-            for part in slices(b.column("text").to_pylist()):
-                p = Paragraphs(part, k, bits=bits)
-                take = pa.array(p.text + at)
-                at += len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(take), b.column("t").take(take), pa.array(p.start.astype(np.int32)), pa.array(p.words.astype(np.int32)), pa.array(p.own), pa.array(p.alt)],
-                    names=["doc_id", "t", "start", "n_words", "own", "alt"])
+        for b in parts(batches):
+            p = Paragraphs(b.column("text").to_pylist(), k, bits=bits)
+            take = pa.array(p.text)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").take(take), b.column("t").take(take), pa.array(p.start.astype(np.int32)), pa.array(p.words.astype(np.int32)), pa.array(p.own), pa.array(p.alt)],
+                names=["doc_id", "t", "start", "n_words", "own", "alt"])
 
     return _held(docs).mapInArrow(make, "doc_id long, t long, start int, n_words int, own long, alt long")
 
@@ -146,11 +143,10 @@ def band_keys(docs: DataFrame, k: int, threshold: int, bits: int = 64) -> DataFr
     """(h, own, alt): the band keys of each paragraph set, once for all its copies in a slice of texts."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for part in slices(b.column("text").to_pylist()):
-                p = Paragraphs(part, k, bits=bits)
-                unit, h = p.keys(p.distinct(), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(p.own[unit]), pa.array(p.alt[unit])], names=["h", "own", "alt"])
+        for b in parts(batches):
+            p = Paragraphs(b.column("text").to_pylist(), k, bits=bits)
+            unit, h = p.keys(p.distinct(), threshold)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(p.own[unit]), pa.array(p.alt[unit])], names=["h", "own", "alt"])
 
     return _held(docs).select("text").mapInArrow(make, "h long, own long, alt long")
 
@@ -159,20 +155,16 @@ def paragraph_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Full sets (id, n, items) of the ids in wanted(doc_id, t, start, id), each read from that place."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            want, at = b.column("want"), 0
-            for part in slices(b.column("text").to_pylist()):
-                p = Paragraphs(part, k)
-                asked = want.slice(at, len(part))
-                text = np.repeat(np.arange(len(part)), np.diff(asked.offsets.to_numpy()))
-                asked = asked.flatten()
-                at += len(part)
-                ids, once = np.unique(asked.field("id").to_numpy(), return_index=True)
-                start = asked.field("start").to_numpy().astype(np.int64)
-                place = np.searchsorted(p.text << 32 | p.start, (text << 32 | start)[once])
-                a, z = p.at[place], p.at[place + 1]
-                items = [p.items[i:j].tobytes() for i, j in zip(a.tolist(), z.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(z - a, pa.int64()), pa.array(items, pa.binary())], names=["id", "n", "items"])
+        for b in parts(batches):
+            p, asked = Paragraphs(b.column("text").to_pylist(), k), b.column("want")
+            text = np.repeat(np.arange(b.num_rows), np.diff(asked.offsets.to_numpy()))
+            asked = asked.flatten()
+            ids, once = np.unique(asked.field("id").to_numpy(), return_index=True)
+            start = asked.field("start").to_numpy().astype(np.int64)
+            place = np.searchsorted(p.text << 32 | p.start, (text << 32 | start)[once])
+            a, z = p.at[place], p.at[place + 1]
+            items = [p.items[i:j].tobytes() for i, j in zip(a.tolist(), z.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(z - a, pa.int64()), pa.array(items, pa.binary())], names=["id", "n", "items"])
 
     lists = wanted.groupBy("doc_id", "t").agg(F.collect_list(F.struct("start", "id")).alias("want"))  # at most a text's own paragraphs
     return _held(docs).join(lists, ["doc_id", "t"]).select("text", "want").mapInArrow(make, SETS).dropDuplicates(["id"])
@@ -237,9 +229,9 @@ def without_paragraphs(docs: DataFrame, key: Column, spans: DataFrame) -> DataFr
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        at = names.index("text")
+        for b in parts(batches, "row", field=at):
             columns = b.column("row").flatten()
-            at = names.index("text")
             texts = [_without(t, g) if g else t for t, g in zip(columns[at].to_pylist(), b.column("gone").to_pylist(), strict=True)]
             columns[at] = pa.array(texts, columns[at].type)
             if "n_chars" in names:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices
+from .common import mix, parts
 from .language_id import held_out
 from .sampling import bounded_sample
 
@@ -226,10 +226,9 @@ def score(docs: DataFrame, model: ToxicityNet | None) -> DataFrame:
     """docs(doc_id, text, ...) -> (doc_id, score): the largest window probability; 0 if nothing could be learned."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for texts in slices(b.column("text").to_pylist()):
-                out += model.scores(texts).tolist() if model else [0.0] * len(texts)
+        for b in parts(batches):
+            texts = b.column("text").to_pylist()
+            out = model.scores(texts).tolist() if model else [0.0] * len(texts)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(make, "doc_id long, score double")
@@ -259,10 +258,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.3) -> Dat
     columns = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for texts in slices(b.column("text").to_pylist()):
-                ok += (model.scores(texts) < limit).tolist() if model else [True] * len(texts)
+        for b in parts(batches):
+            texts = b.column("text").to_pylist()
+            ok = (model.scores(texts) < limit).tolist() if model else [True] * len(texts)
             yield b.filter(pa.array(ok, pa.bool_()))
 
     return docs.select(columns).mapInArrow(keep, docs.schema)
