@@ -21,13 +21,14 @@ def strict_int(s: Column) -> Column:
     return F.when(t.rlike(r"^\d+$"), t.try_cast("bigint")).otherwise(F.raise_error(F.concat(F.lit("not an integer: "), s)))
 
 
-def _unescaped(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
+#: What html.unescape looks at: a reference and nothing around it.
+ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
 def unescape(s: Column) -> Column:
-    """HTML entities of every kind; Spark has no built-in for them."""
-    return F.pandas_udf(_unescaped, "string")(s)
+    """HTML entities of every kind. Spark has no built-in for them, so each reference goes through Python; the text between them stays in Spark."""
+    between, known = F.split(s, ENTITY, -1), unescape_all(F.regexp_extract_all(s, F.lit(ENTITY), F.lit(0)))
+    return F.array_join(F.flatten(F.zip_with(between, known, lambda t, x: F.array(t, F.coalesce(x, F.lit(""))))), "")
 
 
 def _all_unescaped(s: pd.Series) -> pd.Series:
