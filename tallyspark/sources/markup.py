@@ -6,7 +6,7 @@ import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,13 +72,18 @@ def _payloads(page: str | None) -> Iterator[dict]:
         at = page.find(HOVER, at + len(HOVER))
 
 
-def _all_payloads(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda p: list(_payloads(p)))
+_PAYLOADS = pa.list_(pa.struct([(k, pa.string()) for k in ("id", "title", "description")]))
+
+
+def _all_payloads(pages: pa.Array) -> pa.Array:
+    """A few pages at a time are Python objects."""
+    some = [pa.array([list(_payloads(p)) for p in pages.slice(i, 16).to_pylist()], _PAYLOADS) for i in range(0, len(pages), 16)]
+    return pa.concat_arrays(some) if some else pa.array([], _PAYLOADS)
 
 
 def hover_payloads(page: Column) -> Column:
     """The JSON objects after each hover mark that have an id; broken ones are left out."""
-    return F.pandas_udf(_all_payloads, "array<struct<id:string,title:string,description:string>>")(page)
+    return F.arrow_udf(_all_payloads, "array<struct<id:string,title:string,description:string>>")(page)
 
 
 def page_tag(page: Column) -> Column:
