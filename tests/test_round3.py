@@ -112,3 +112,22 @@ def test_payloads_of_many_pages_come_in_their_order(spark):
     got = spark.createDataFrame(rows, "p long, h string").coalesce(1).select("p", markup.hover_payloads(F.col("h")).alias("x")).collect()
     want = {i: [(f"{i}{j}", "t" * j + "{é", "None") for j in range(i % 4 if i != 7 else 0)] for i in range(50)}
     assert {r["p"]: [tuple(x) for x in r["x"]] for r in got} == want
+
+
+def test_top_terms_of_texts_without_own_key_equal_sql(spark, tmp_path):
+    rows = [(1, "b a b c"), (1, "A c; d"), (2, "a é É b2b x"), (None, "q q a"), (None, "q r"), (3, None), (4, ""), (5, "..."), (6, "z y x w v u t s r q p o n")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert compare.differences(spark, records.q_top_terms, catalogue.ORACLES["top_terms"], str(tmp_path)) == ""
+
+
+def test_counts_of_terms_are_shuffled_by_block_only(spark):
+    docs = spark.createDataFrame([(i, f"a b{i % 7} c{i} a") for i in range(40)], "doc_id long, text string")
+    c = corpus.Counts(docs, "doc_id", "text", corpus.Scratch(spark, "counts"))
+    assert {(r["term"], r["tf"]) for r in c.pairs.where("row = 8").collect()} == {("a", 2), ("b", 1), ("c", 1)}
+    flag = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(flag, "false")
+    try:
+        exchanges = [x for x in _plan(c.weights()).splitlines() if "Exchange" in x]
+    finally:
+        spark.conf.set(flag, "true")
+    assert len(exchanges) == 2 and all("row" not in x and "hashpartitioning" in x for x in exchanges)  # what is known of a term to one task and back to the blocks
