@@ -131,3 +131,28 @@ def test_counts_of_terms_are_shuffled_by_block_only(spark):
     finally:
         spark.conf.set(flag, "true")
     assert len(exchanges) == 2 and all("row" not in x and "hashpartitioning" in x for x in exchanges)  # what is known of a term to one task and back to the blocks
+
+
+def test_components_are_near_a_plain_decomposition_as_they_come(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(9000, ""), (9001, None)], "doc_id long, text string"))
+    values, x = corpus.truncated_svd(docs, "doc_id", "text", 4)
+    w = corpus.weights(docs, "doc_id", "text").where("weight > 0").toPandas()
+    ids, row = np.unique(w["doc_id"].values, return_inverse=True)
+    _, col = np.unique(w["term"].values.astype(str), return_inverse=True)
+    a = np.zeros((len(ids), col.max() + 1))
+    a[row, col] = w["weight"].values
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    e, u = np.linalg.eigh(a @ a.T)
+    u, s = u[:, ::-1][:, :4], np.sqrt(e[::-1][:4])
+    want = u * s * np.where(((a.T @ u) ** 3).sum(axis=0) < 0, -1, 1)
+    got = {r["doc_id"]: r["x"] for r in x.collect()}
+    assert set(got) == set(ids.tolist()) and np.allclose(values, s, rtol=1e-4)
+    assert np.abs(np.array([got[i] for i in ids]) - want).max() < 2e-3  # 0.026 before
+
+
+def test_components_of_no_and_of_few_texts(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a c c"), (2, "d"), (None, "x y")], "doc_id long, text string")
+    values, x = corpus.truncated_svd(docs, "doc_id", "text", 4)
+    assert [r["doc_id"] for r in x.orderBy("doc_id").collect()] == [1, 2] and np.allclose(values, [1, 1, 0, 0])
+    values, x = corpus.truncated_svd(docs.limit(0), "doc_id", "text", 4)
+    assert not values.any() and x.count() == 0
