@@ -211,7 +211,7 @@ def q_page_files(spark: SparkSession, d: str) -> DataFrame:
     """Pages written as a file each and read again."""
     root = f"{Scratch(spark, 'page-files').root}/html"
     _page_files(spark, d, root)
-    return readers.required_pages(spark, root).select("row_id", "file", F.md5("html").alias("digest"))
+    return readers.written_pages(spark, root).select("row_id", "file", F.md5("html").alias("digest"))
 
 
 @query(f"SELECT page_id, {_TITLE} FROM pages WHERE html <> ''")

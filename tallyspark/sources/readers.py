@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import page_files
+
 HUB = "APPID int, tags array<struct<name:string,count:int>>, tag_count int, workshop_item_count int, source_url string"
 
 
@@ -31,6 +33,23 @@ def page_stream(spark: SparkSession, root: str, files_a_batch: int = 10_000) ->
     return _page_rows(spark.readStream.option("maxFilesPerTrigger", files_a_batch).schema("value string").text(root, **_PAGES))
 
 
+def written_pages(spark: SparkSession, root: str) -> DataFrame:
+    """``pages`` of a root that ``write_pages`` filled, by its table of what was written: the driver lists no pages. An error if there is none."""
+    names = spark.read.schema("name string").parquet(f"{root}/{page_files.WRITTEN}").distinct()
+    if names.isEmpty():
+        raise FileNotFoundError(f"no page below {root}")
+    return page_files.read_listed(names, root)
+
+
+def written_page_stream(spark: SparkSession, root: str, files_a_batch: int = 10_000) -> DataFrame:
+    """``written_pages`` as a stream: a query with a checkpoint reads each page once, in the run that first sees its name; a batch is so many files of names.
+
+    The driver lists the files of names, one a task of a writer; which names came before is state of the query.
+    """
+    names = spark.readStream.option("maxFilesPerTrigger", files_a_batch).schema("name string").parquet(f"{root}/{page_files.WRITTEN}")
+    return page_files.read_listed(names.dropDuplicates(["name"]), root)
+
+
 def hub_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """One JSON object, checked against its schema."""
     df = spark.read.schema(HUB).option("multiLine", True).option("mode", "FAILFAST").json(path)

@@ -9,7 +9,8 @@ import numpy as np
 from pyspark.sql import functions as F
 from tallyspark.functions import text
 from tallyspark.operators import corpus
-from tallyspark.sources import markup, onefile
+from tallyspark.sources import markup, onefile, page_files, readers
+from tallyspark.streaming import page_queue
 from tallyspark.plans import builds, catalogue, records, report  # noqa: F401
 
 NAMES = ["une émine ici, et plus", "x 自用 y et du texte", "a自用b et du texte", "die testä sind hier da", "this one was my \n", "ſtest und noch etwas", "a teſt it is, as it was", "one\x0btwo three four 5", "contest or not, who knows", "自用",
@@ -156,3 +157,17 @@ def test_components_of_no_and_of_few_texts(spark):
     assert [r["doc_id"] for r in x.orderBy("doc_id").collect()] == [1, 2] and np.allclose(values, [1, 1, 0, 0])
     values, x = corpus.truncated_svd(docs.limit(0), "doc_id", "text", 4)
     assert not values.any() and x.count() == 0
+
+
+def test_pages_are_read_by_the_names_that_their_writers_left(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"<title>é{i}</title>\r\n") for i in range(200)], "page_id long, html string")
+    assert page_files.write_pages(pages.repartition(5), "page_id", "html", f"{tmp_path}/html") == 200
+    assert page_files.write_pages(pages.where("page_id < 3"), "page_id", "html", f"{tmp_path}/html") == 3  # the same pages again
+    here = readers.written_pages(spark, f"{tmp_path}/html")
+    assert sorted(map(tuple, here.collect())) == sorted(map(tuple, readers.pages(spark, f"{tmp_path}/html").collect()))
+    assert not any(f.endswith(".html") for f in here.inputFiles())
+    run = lambda: page_queue.follow(spark, f"{tmp_path}/html", lambda p: p.select("row_id"), f"{tmp_path}/rows", f"{tmp_path}/cp")
+    run().awaitTermination()
+    page_files.write_pages(pages.where("page_id < 3"), "page_id", "html", f"{tmp_path}/html")
+    run().awaitTermination()
+    assert sorted(r["row_id"] for r in spark.read.parquet(f"{tmp_path}/rows").collect()) == list(range(200))
