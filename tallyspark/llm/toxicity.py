@@ -15,10 +15,44 @@ from .sampling import bounded_sample
 
 WORDS, TRIGRAMS = 1 << 13, 1 << 13
 LENGTH, STRIDE = 24, 16
+#: So many bytes of text are turned into words at once.
+PIECE = 1 << 17
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 
 
+def _cut(raw: bytes, most: int) -> Iterator[bytes]:
+    """A text in pieces of about ``most`` bytes, a window at least, whose windows together are those of the text."""
+    inside = np.concatenate([[False], ~_SPACE[np.frombuffer(raw, np.uint8)], [False]])
+    start, end = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    n, at = len(start), 0
+    while at + LENGTH < n:
+        within = int(np.searchsorted(end, start[at] + most, side="right")) - at
+        last = at + LENGTH + max(0, (within - LENGTH) // STRIDE) * STRIDE
+        if last >= n:
+            break
+        yield raw[start[at] : end[last - 1]]
+        at = last - LENGTH + STRIDE
+    at = min(at, max(0, n - LENGTH))  # the last window is as long as the others
+    yield raw[start[at] : end[-1]] if n else b""
+
+
+def _pieces(texts: list[str | None], most: int) -> Iterator[tuple[list[int], list[bytes]]]:
+    """The texts in turn, about ``most`` bytes at a time, longer ones cut: (each one's number, the bytes)."""
+    which, held, size = [], [], 0
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        for piece in _cut(raw, most) if len(raw) > most else [raw]:
+            if held and size + len(piece) > most:
+                yield which, held
+                which, held, size = [], [], 0
+            which.append(i)
+            held.append(piece)
+            size += len(piece)
+    if held:
+        yield which, held
+
+
 class Words:
     """The words of some texts: hashed word and byte-trigram inputs, and the overlapping windows over each text.
 
@@ -26,8 +60,8 @@ class Words:
     covered; an empty text has one window without words.
     """
 
-    def __init__(self, texts: list[str | None]):
-        raw = [(t or "").encode() for t in texts]
+    def __init__(self, texts: list[str | bytes | None]):
+        raw = [t if isinstance(t, bytes) else (t or "").encode() for t in texts]
         b = _LOWER[np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)]
         inside = ~_SPACE[b]
         b = np.where(inside, b, np.uint8(32))
@@ -109,15 +143,17 @@ class ToxicityNet:
             keep |= {"s": s, "e": e, "c": c, "kept": kept, "at": at}
         return c @ self.p["w"] + self.p["c"][0]
 
-    def scores(self, texts: list[str | None], step: int = 1024) -> np.ndarray:
-        """The largest window probability of each whole text."""
-        t = Words(texts)
-        x = self.inputs(t)
-        gates = {k: x @ self.p[f"W{k}"] + self.p[f"b{k}"] for k in "fb"}
-        z = np.empty(len(t), np.float32)
-        for i in range(0, len(t), step):
-            z[i : i + step] = self._windows(gates, t.index[i : i + step])
-        top = np.maximum.reduceat(z, t.first_window[:-1]) if len(texts) else z
+    def scores(self, texts: list[str | None], step: int = 1024, most: int = PIECE) -> np.ndarray:
+        """The largest window probability of each whole text; ``most`` bytes or a window are in work at once."""
+        top = np.full(len(texts), -np.inf, np.float32)
+        for which, raw in _pieces(texts, most):
+            t = Words(raw)
+            x = self.inputs(t)
+            gates = {k: x @ self.p[f"W{k}"] + self.p[f"b{k}"] for k in "fb"}
+            z = np.empty(len(t), np.float32)
+            for i in range(0, len(t), step):
+                z[i : i + step] = self._windows(gates, t.index[i : i + step])
+            np.maximum.at(top, which, np.maximum.reduceat(z, t.first_window[:-1]))
         return 1 / (1 + np.exp(-top.astype(np.float64)))
 
     def _windows(self, gates: dict, index: np.ndarray) -> np.ndarray:
