@@ -1,5 +1,7 @@
 import hashlib
+import itertools
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -93,3 +95,51 @@ def test_phrase_repeated_within_a_text(spark):
     got = {r.doc_id: tuple(r)[1:5] for r in suffix_dedup(docs).collect()}
     want = brute(texts)
     assert [i for i, w in enumerate(want) if got[i] != w] == [] and sum(w[1] for w in want) > 0
+
+
+def common_passage(spark, n):
+    """n texts with one passage each, between bytes that differ."""
+    rng = random.Random(6)
+    text = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    passage = text(460)
+    return spark.createDataFrame([(i, text(300) + passage + text(300)) for i in range(n)], "doc_id long, text string")
+
+
+class Kept(Scratch):
+    def __init__(self, spark, label):
+        super().__init__(spark, label)
+        self.plans, self.blocks = [], 0
+
+    def save(self, df):
+        self.plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        out = super().save(df)
+        if df.columns == ["d", "t", "pos", "a", "k", "core", "h", "x", "y"]:
+            self.blocks += out.count()
+        return out
+
+
+def test_no_join_by_anchor_shares_its_stage_with_a_grouping_by_it(spark):
+    """Else Spark can't split the rows of a frequent anchor over tasks."""
+    kept = Kept(spark, "t")
+    repeated_spans(common_passage(spark, 12), 400, 3, kept)
+    joins = 0
+    for plan in kept.plans:
+        lines = plan.split("\n")
+        for i, line in enumerate(lines):
+            if re.search(r"Join \w+, .*\ba#\d+L? = a#", line):
+                joins += 1
+                keys, depth = set(re.findall(r"(\w+)#\d+L? = \1#", line)), re.search(r"[A-Z]", line).start()
+                below = itertools.takewhile(lambda x: re.search(r"[A-Z]", x).start() > depth, filter(None, lines[i + 1 :]))
+                grouped = [re.search(r"Aggregate \[(.*?)\]", x) for x in below]
+                assert not [g for g in grouped if g and set(re.findall(r"(\w+)#", g[1])) <= keys], plan
+    assert joins >= 8
+
+
+def test_blocks_of_a_hot_anchor_grow_with_its_contexts(spark):
+    made = []
+    for n in (40, 160):
+        kept = Kept(spark, "t")
+        spans = repeated_spans(common_passage(spark, n), 400, 3, kept)
+        assert spans.count() == n
+        made.append(kept.blocks)
+    assert made[0] and made[1] < 6 * made[0]
