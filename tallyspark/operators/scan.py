@@ -62,9 +62,9 @@ def running_totals(df: DataFrame, value: str, sums: dict[str, Column], group_col
 
 
 def rank_desc(df: DataFrame, value: str, name: str = "rank") -> DataFrame:
-    """RANK() OVER (ORDER BY value DESC): ranks of distinct values, joined back."""
-    runs = running_totals(value_runs(df, value), "v", {"c": F.col("c")}, descending=True)
-    return df.join(runs.select(F.col("v").alias(value), (F.col("c_before") + 1).alias(name)), value)
+    """RANK() OVER (ORDER BY value DESC NULLS LAST): ranks of distinct values, joined back."""
+    runs = running_totals(df.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("c")), "v", {"c": F.col("c")}, descending=True)
+    return df.join(runs.select(F.col("v").alias("_v"), (F.col("c_before") + 1).alias(name)), F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
 def row_numbers(df: DataFrame, order: list[Column], name: str = "row") -> DataFrame:

@@ -142,9 +142,9 @@ def q_ranking_file(spark: SparkSession, d: str) -> DataFrame:
     path = f"{Scratch(spark, 'ranking').root}/ranking.csv"
     m = rank_desc(load(spark, d, "documents").select(F.col("doc_id").alias("mod_id"), F.col("text").alias("mod_name"), F.col("n_chars").alias("subscribers")), "subscribers", "rank_all")
     os.makedirs(os.path.dirname(mounted(path)))
-    onefile.write_csv(m.select("mod_id", "mod_name", "subscribers", "rank_all"), path, ["rank_all", "mod_id"])
+    onefile.write_csv(m.select("mod_id", "mod_name", "subscribers", "rank_all"), path, ["rank_all", "mod_id"], empty='""')
     back = onefile.read_csv(spark, path, "mod_id long, mod_name string, subscribers long, rank_all long")
-    return row_numbers(back, [F.col("rank_all"), F.col("mod_id")], "place")
+    return row_numbers(back, [F.col("rank_all"), F.asc_nulls_last("mod_id")], "place")
 
 
 @query("SELECT row_number() OVER (ORDER BY page_id) - 1 AS place, url FROM pages WHERE trim(url) <> ''")

@@ -27,6 +27,8 @@ class Part(WriterCommitMessage):
     lines: int
 
 
+#: What stands for a missing cell while a line is read. No cell is read as this text: Spark's reader leaves out a NUL after a quote.
+_MISSING = '"\0'
 _CELLS = {"escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -94,25 +96,29 @@ class OneFile(DataSource):
 
 
 def write_lines(lines: DataFrame, path: str, order: list[str] | None = None, overwrite: bool = True, **options: str) -> None:
-    """Writes the column ``line`` of lines as one file, ordered by ``order``: ranges of rows are written side by side."""
+    """Writes the column ``line`` of lines as one file, ordered by ``order``, nulls last as in SQL: ranges of rows are written side by side."""
     lines.sparkSession.dataSource.register(OneFile)
     if order:
-        lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+        by = [F.asc_nulls_last(o) for o in order]
+        lines = lines.repartitionByRange(*by).sortWithinPartitions(*by)
     lines.select("line").write.format("onefile").mode("overwrite" if overwrite else "append").options(path=path, **options).save()
 
 
-def write_csv(df: DataFrame, path: str, order: list[str], header: list[str] | None = None, mark: bool = True) -> None:
-    """One CSV file with a line of names, lines ended by carriage return and line feed, for spreadsheet programs with a byte order mark."""
+def write_csv(df: DataFrame, path: str, order: list[str], header: list[str] | None = None, mark: bool = True, empty: str = "") -> None:
+    """One CSV file with a line of names, lines ended by carriage return and line feed, for spreadsheet programs with a byte order mark.
+
+    An empty text is written as ``empty``: two quotes tell it from a missing one.
+    """
     names = header or df.columns
     cells = [F.to_csv(F.struct(F.lit(n).alias("x")), {**_CELLS, "emptyValue": '""'}).alias(f"n{i}") for i, n in enumerate(names)]
     head = ",".join(df.sparkSession.range(1).select(*cells).first())
-    line = F.to_csv(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)]), _CELLS)
+    line = F.to_csv(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)]), {**_CELLS, "emptyValue": empty})
     write_lines(df.select(*[F.col(o) for o in order], line.alias("line")), path, order, head=head + "\r\n", end="\r\n", mark=str(mark))
 
 
 def write_json_list(values: DataFrame, value: str, path: str, order: list[str]) -> None:
     """One JSON array of a column's values, an element a line."""
-    last = values.agg(F.max(F.struct(*order)).alias("m")).first()["m"] or {}
+    last = values.select(*order).orderBy(*[F.desc_nulls_first(o) for o in order]).first()
     rest = F.lit(False)
     for o in order if last else ():
         rest = rest | ~F.col(o).eqNullSafe(F.lit(last[o]))
@@ -129,7 +135,7 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The rows of one CSV file with a line of names, as ``write_csv`` leaves it, read by as many tasks as the file has splits.
 
     A line end ends a row if the quotes before it are even in number. So lines are read split by split, quotes are counted on from the splits before
-    (one row a split), and lines of one row, in whatever splits they lie, are put together.
+    (one row a split), and lines of one row, in whatever splits they lie, are put together. A cell of two quotes is an empty text, one of nothing is missing.
     """
     at, i = F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("i")
     lines = spark.read.text(path, lineSep="\n").select("value", at, i).withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
@@ -144,5 +150,5 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     row = F.col("rows") + F.when(F.col("open") == 0, F.col("start0")).otherwise(F.col("start1"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "i", "value"))), lambda z: z["value"]), "\n")
     rows = lines.join(F.broadcast(per), "at").groupBy(row.alias("row")).agg(text.alias("text")).where("row > 1")
-    cells = F.from_csv(F.regexp_replace("text", "\r\\z", ""), schema, {"multiLine": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    cells = F.from_csv(F.regexp_replace("text", "\r\\z", ""), schema, {"multiLine": "true", "escape": '"', "nullValue": _MISSING, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     return rows.select(cells.alias("r")).select("r.*")
