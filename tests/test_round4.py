@@ -46,3 +46,14 @@ def test_components_leave_no_tables_and_no_shuffle_files(spark, tmp_path):
     _, x = corpus.truncated_svd(docs, "doc_id", "text", 2, rounds=1, passes=2, scratch=scratch)
     assert len(_tables(scratch)) == 1 and not _left(spark, before)
     assert x.count() == 60
+
+
+def test_a_layout_searches_its_neighbours_in_steps_and_leaves_one_table(spark, tmp_path, monkeypatch):
+    docs, scratch, before = _texts(spark, tmp_path), Scratch(spark, "layout"), _shuffled(spark)
+    start = corpus.truncated_svd(docs, "doc_id", "text", 3, rounds=1, passes=1)
+    monkeypatch.setattr(corpus, "truncated_svd", lambda *a, **k: start)
+    whole = corpus.layout(docs, "doc_id", "text", 3, rounds=2, scratch=scratch)
+    assert len(_tables(scratch)) == 1 and not _left(spark, before)
+    monkeypatch.setattr(corpus, "SEARCHED", 13)
+    got = {r["doc_id"]: (round(r["x"], 9), round(r["y"], 9)) for r in corpus.layout(docs, "doc_id", "text", 3, rounds=2).collect()}
+    assert got == {r["doc_id"]: (round(r["x"], 9), round(r["y"], 9)) for r in whole.collect()} and len(got) == 60
