@@ -6,7 +6,7 @@ import compare
 
 from tallyspark.operators import corpus
 from tallyspark.plans import builds, catalogue  # noqa: F401
-from tallyspark.sources.staging import Scratch
+from tallyspark.sources.staging import Scratch, settings
 
 
 def test_ranking_file_keeps_empty_texts_and_rows_without_length_or_id(spark, tmp_path):
@@ -57,3 +57,12 @@ def test_a_layout_searches_its_neighbours_in_steps_and_leaves_one_table(spark, t
     monkeypatch.setattr(corpus, "SEARCHED", 13)
     got = {r["doc_id"]: (round(r["x"], 9), round(r["y"], 9)) for r in corpus.layout(docs, "doc_id", "text", 3, rounds=2).collect()}
     assert got == {r["doc_id"]: (round(r["x"], 9), round(r["y"], 9)) for r in whole.collect()} and len(got) == 60
+
+
+def test_pairs_of_text_and_term_stay_in_their_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus, "BLOCK", 64_000)  # some ten blocks
+    c = corpus.Counts(_texts(spark, tmp_path), "doc_id", "text", Scratch(spark, "pairs"))
+    with settings(spark, spark__sql__requireAllClusterKeysForCoPartition="false"):
+        joined = c.pairs.join(c.home(c.across({})).hint("shuffle_hash"), ["block", "term"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(term") == 1 == plan.count("Exchange hashpartitioning(block") and plan.count("Exchange ") == 2
